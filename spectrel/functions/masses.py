@@ -82,9 +82,9 @@ def close_to(a: Column | str, b: Column | str) -> Column:
 
 
 def near_integer(value: Column | str, tolerance: float = 0.00001) -> Column:
-    """Within the tolerance of a whole number, from either side."""
+    """The digits after the decimal point are smaller than the tolerance."""
     value = _col(value)
-    return F.abs(value - F.round(value)) < F.lit(tolerance)
+    return F.abs(value - value.cast("bigint")) < F.lit(tolerance)
 
 
 def fragment_bin(mz_micro: Column) -> Column:

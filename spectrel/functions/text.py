@@ -71,17 +71,15 @@ def escape_xml(text: Column | str) -> Column:
     out = _col(text)
     for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("'", "&apos;"), ('"', "&quot;")):
         out = F.replace(out, F.lit(plain), F.lit(entity))
-    split_points = F.split(out, "")
-    coded = F.array_join(
-        F.transform(
-            split_points,
-            lambda c: F.when(
-                c.rlike(r"^[\x20-\xFE]$") | (c == ""), c
-            ).otherwise(F.concat(F.lit("&#x"), F.lower(F.conv(F.hex(F.encode(c, "UTF-32")), 16, 16)), F.lit(";"))),
+    # runs of plain text stay whole; only the odd characters are handled one by one
+    runs = F.regexp_extract_all(out, F.lit(r"[\x20-\xFE]+|[^\x20-\xFE]"), F.lit(0))
+    coded = F.transform(
+        runs,
+        lambda c: F.when(c.rlike(r"^[\x20-\xFE]"), c).otherwise(
+            F.concat(F.lit("&#x"), F.lower(F.conv(F.hex(F.encode(c, "UTF-32")), 16, 16)), F.lit(";"))
         ),
-        "",
     )
-    return F.when(out.rlike(r"[^\x20-\xFE]"), coded).otherwise(out)
+    return F.when(out.rlike(r"[^\x20-\xFE]"), F.array_join(coded, "")).otherwise(out)
 
 
 def condition_label(label: Column | str) -> Column:
