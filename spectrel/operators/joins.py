@@ -124,14 +124,13 @@ def prefix_lookup(words: DataFrame, queries: DataFrame, word: str, prefix: str)
     """Words that begin with one of the prefixes.
 
     Each word is cut at the prefix lengths in use, which makes the test an
-    equi-join; the lengths are at most as many as the longest prefix has letters.
+    equi-join. Only that list of lengths, no longer than the longest prefix, is
+    fetched.
     """
-    lengths = queries.select(F.length(prefix).alias("_len")).distinct()
-    lists = lengths.agg(F.sort_array(F.collect_set("_len")).alias("_lens"))
-    cut = words.join(F.broadcast(lists)).withColumn(
-        "_len", F.explode(F.filter("_lens", lambda n: n <= F.length(word)))
-    )
-    cut = cut.withColumn("_start", F.substring(F.col(word), F.lit(1), F.col("_len"))).drop("_lens", "_len")
+    lengths = queries.agg(F.sort_array(F.collect_set(F.length(prefix))).alias("n")).first()["n"]
+    used = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(word))
+    cut = words.withColumn("_len", F.explode(used))
+    cut = cut.withColumn("_start", F.substring(F.col(word), F.lit(1), F.col("_len"))).drop("_len")
     return cut.join(queries.withColumn("_start", F.col(prefix)), "_start").drop("_start")
 
 

@@ -38,10 +38,11 @@ def run_statistics(
     spectra_per_batch: int = SPECTRA_PER_BATCH,
 ) -> DataFrame:
     """Rows, batches, scoring calls and comparisons of a run over all batch pairs."""
-    n_proteins = proteins.agg(F.count("*").alias("n_proteins"))
-    n_spectra = spectra.agg(F.count("*").alias("n_spectra"))
+    protein_rows = proteins.select(F.lit(1).alias("p"), F.lit(0).alias("s"))
+    spectrum_rows = spectra.select(F.lit(0).alias("p"), F.lit(1).alias("s"))
     return (
-        n_proteins.join(n_spectra)  # one row each
+        protein_rows.unionAll(spectrum_rows)
+        .agg(F.sum("p").alias("n_proteins"), F.sum("s").alias("n_spectra"))
         .withColumn("protein_batches", 1 + F.floor(F.col("n_proteins") / proteins_per_batch))
         .withColumn("spectra_batches", 1 + F.floor(F.col("n_spectra") / spectra_per_batch))
         .withColumn("calls", F.col("protein_batches") * F.col("spectra_batches"))
