@@ -130,8 +130,15 @@ def fasta_record(accession: Column | str, description: Column | str, sequence: C
     return F.concat(F.lit(">"), header, F.lit("\n"), wrap_sequence(sequence, width))
 
 
+# Control characters, and white space other than the non-breaking kinds.
+_SPACE_OR_CONTROL = (
+    r"\x{00}-\x{20}\x{7F}-\x{9F}\x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}"
+)
+
+
 def printing_only(text: Column | str) -> Column:
-    return F.regexp_replace(_col(text), r"[\s\p{Cntrl}\x{80}-\x{9F}]", "")
+    """Text without white space and control characters; non-breaking spaces stay."""
+    return F.regexp_replace(_col(text), f"[{_SPACE_OR_CONTROL}]", "")
 
 
 def equal_except_space(a: Column | str, b: Column | str) -> Column:

@@ -100,9 +100,9 @@ def at_most_partitions(df: DataFrame, n: int) -> DataFrame:
 
 
 def sample_fraction(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    """A repeatable sample: rows whose key hashes under the fraction."""
-    share = F.lit(int(fraction * 1_000_000))
-    return df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1_000_000)) < share)
+    """A repeatable sample: rows whose integer key hashes under the fraction."""
+    mixed = F.pmod(F.pmod(F.col(key).cast("bigint"), F.lit(1 << 31)) * F.lit(2654435761), F.lit(1 << 32))
+    return df.where(mixed < F.lit(int(fraction * (1 << 32))))
 
 
 def first_n(df: DataFrame, order: list, n: int) -> DataFrame:

@@ -200,16 +200,14 @@ def with_decoys(proteins: DataFrame) -> DataFrame:
 
 
 def prefix_masses(sequence: str = "sequence") -> Column:
-    """Running residue masses of a peptide: after residue 1, 2 ... to the last but one.
-
-    Letters are turned to masses through one constant map.
-    """
-    table = F.create_map(*[v for r, m in residue_table().items() for v in (F.lit(r), F.lit(m).cast("bigint"))])
+    """Running residue masses of a peptide: after residue 1, 2 ... to the last but one."""
+    table = residue_table()
+    by_code = F.array(*[F.lit(table.get(chr(c), 0)).cast("bigint") for c in range(128)])
     letters = F.filter(F.split(sequence, ""), lambda x: x != "")
     start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<bigint>").alias("out"))
 
     def add(acc, x):
-        total = acc["sum"] + F.element_at(table, x)
+        total = acc["sum"] + F.get(by_code, F.ascii(x))
         return F.struct(total.alias("sum"), F.concat(acc["out"], F.array(total)).alias("out"))
 
     return F.aggregate(F.slice(letters, F.lit(1), F.length(sequence) - 1), start, add, lambda acc: acc["out"])
