@@ -1,6 +1,6 @@
 """Registered queries over the test tables, each with the SQL that checks it."""
 
-from . import search_queries  # noqa: F401
+from . import file_queries, search_queries, table_queries  # noqa: F401
 from .core import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -26,14 +26,15 @@ def renumber_scans(scans: DataFrame, position: list[str], file: str = "source_fi
     first = scans.groupBy(file, "scan_num").agg(F.min(F.struct(*position)).alias("_first"))
     marked = scans.join(first, [file, "scan_num"]).withColumn("_again", F.struct(*position) != F.col("_first"))
     largest = scans.groupBy(file).agg(F.greatest(F.max("scan_num"), F.lit(FIRST_FREE_SCAN - 1)).alias("_largest"))
-    kept = marked.where(~F.col("_again")).withColumn("new_num", F.col("scan_num").cast("bigint"))
-    repeats = index_within(marked.where("_again"), [file], [F.col(c) for c in position], "_index")
+    kept = marked.where(~F.col("_again")).select(*scans.columns, F.col("scan_num").cast("bigint").alias("new_num"))
+    repeats = marked.where("_again").select(*scans.columns)
+    repeats = index_within(repeats, [file], [F.col(c) for c in position], "_index")
     repeats = (
         repeats.join(largest, file)
         .withColumn("new_num", F.col("_largest") + 1 + F.col("_index"))
         .drop("_index", "_largest")
     )
-    return kept.unionByName(repeats).drop("_first", "_again")
+    return kept.unionByName(repeats)
 
 
 def head_scans(scans: DataFrame, n: int, position: list[str], file: str = "source_file") -> DataFrame:
