@@ -350,8 +350,8 @@ def framed_text_write(spark, sf):
 
 @query(
     "scan_store_read",
-    """SELECT l_orderkey, l_linenumber, l_partkey, (l_extendedprice // 10000)::INTEGER AS mass_bin FROM lineitem
-    WHERE l_extendedprice // 10000 BETWEEN 3 AND 5""",
+    """SELECT l_orderkey, l_linenumber, l_partkey, floor(l_extendedprice / 10000)::INTEGER AS mass_bin FROM lineitem
+    WHERE floor(l_extendedprice / 10000) BETWEEN 3 AND 5""",
 )
 def scan_store_read(spark, sf):
     path = new_path(spark, "store")

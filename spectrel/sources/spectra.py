@@ -34,7 +34,7 @@ def read_mgf(spark: SparkSession, path: str) -> DataFrame:
     blocks = (
         read_delimited(spark, path, "BEGIN IONS")
         .where(F.col("value").contains("END IONS"))
-        .select("source_file", F.filter(F.transform(F.split(block, "\r?\n"), F.trim), lambda l: l != "").alias("lines"))
+        .select("source_file", F.filter(F.transform(F.split(block, "\r?\n"), lambda l: F.trim(l)), lambda l: l != "").alias("lines"))
     )
     fields = blocks.select(
         "source_file",

@@ -29,10 +29,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_whole_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One row per file. For files that fit a task; larger ones are read as records."""
-    reader = spark.read.option("wholetext", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
 
 
 def read_size_table(spark: SparkSession, path: str) -> DataFrame:
