@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +20,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make the packages importable in Python workers, wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="spectrel-")) / "spectrel_code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for package in ("spectrel", "catalog"):
+            for source in sorted((root / package).rglob("*.py")):
+                out.write(source, source.relative_to(root))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn
@@ -111,6 +138,8 @@ NOISE_PEAKS = 20
 def benchmark_spectra(spark: SparkSession, sf: str) -> DataFrame:
     """One synthetic spectrum per distinct uncut peptide of the benchmark texts."""
     peptides = digest(benchmark_proteins(spark, sf), missed=0, places=False).select("sequence", "mass_uda").distinct()
+    # few rows, but each costs a vector: keep them spread
+    peptides = peptides.repartition(spark.sparkContext.defaultParallelism)
     peptides = peptides.withColumn("prefix", prefix_masses()).withColumn("charge", 2 + F.length("sequence") % 3)
     mass = F.col("mass_uda")
     weight = mass % 1000

@@ -9,7 +9,7 @@ from spectrel.functions.masses import MICRO, fragment_bin, peptide_mass
 from spectrel.operators.hits import merge_hits, sort_hits, top_hits
 from spectrel.operators.batching import batch_rows
 from spectrel.operators.joins import pair_batches
-from spectrel.operators.shared import checkpointed
+from spectrel.operators.shared import written
 from spectrel.plans import digest as dg
 from spectrel.plans import search as se
 from spectrel.plans import spectra as sp
@@ -166,13 +166,13 @@ _PAIRS_SQL = f"""WITH {CANDIDATE_CTES} SELECT p.spectrum_id, b.sequence, b.mass_
 @query("mass_range_join", _PAIRS_SQL)
 def mass_range_join(spark, sf):
     peptides, spectra = plain_tables(spark, sf)
-    return se.candidates(spectra, checkpointed(peptides)).select("spectrum_id", "sequence", "mass_uda", "accession")
+    return se.candidates(written(spectra, "spectra"), written(peptides, "peptides")).select("spectrum_id", "sequence", "mass_uda", "accession")
 
 
 @query("broadcast_search", _PAIRS_SQL)
 def broadcast_search(spark, sf):
     peptides, spectra = plain_tables(spark, sf)
-    return se.candidates_shared(spectra, checkpointed(peptides)).select("spectrum_id", "sequence", "mass_uda", "accession")
+    return se.candidates_shared(spectra, written(peptides, "peptides")).select("spectrum_id", "sequence", "mass_uda", "accession")
 
 
 def ions_sql(source: str, max_charge: int) -> str:
@@ -276,7 +276,7 @@ def search_top_hits(spark, sf):
     FROM ranked r LEFT JOIN line l USING (spectrum_id) WHERE r.hit_rank <= 5""",
 )
 def expect_score(spark, sf):
-    scored = checkpointed(se.scored_candidates(document_proteins(spark, sf), benchmark_spectra(spark, sf)))
+    scored = written(se.scored_candidates(document_proteins(spark, sf), benchmark_spectra(spark, sf)), "scored")
     hits = top_hits(scored, ["spectrum_id"], "xcorr_sum", ["peptide", "charge"], 5)
     return se.expect_scores(scored, hits).select(
         "spectrum_id", "hit_rank", "peptide", F.round("log_expect", 6).alias("log_expect")

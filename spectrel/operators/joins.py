@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .shared import written
 
-# Most pairs that one (bin, slice) of a window join compares.
-PAIRS_PER_SLICE = 4_000_000
-# Most bins whose load table is broadcast: two numbers per bin, so a few megabytes.
+# A cell of the grid that a busy bin is cut into: at most this many ranges, and this many pairs.
+RANGES_PER_CELL = 2_000
+PAIRS_PER_CELL = 4_000_000
+# Most bins whose grid table is broadcast: three numbers per bin, so a few megabytes.
 BROADCAST_BINS = 100_000
 
 
-def bin_loads(points: DataFrame, ranges: DataFrame, pairs_per_slice: int) -> DataFrame:
-    """Slices needed per bin so that no slice compares more than ``pairs_per_slice`` pairs."""
+def bin_grid(points: DataFrame, ranges: DataFrame, ranges_per_cell: int, pairs_per_cell: int) -> DataFrame:
+    """Per bin, the number of parts that its points and its ranges are cut into."""
     n_points = points.groupBy("_bin").agg(F.count("*").alias("_p"))
     n_ranges = ranges.groupBy("_bin").agg(F.count("*").alias("_r"))
+    in_cell = F.least(F.col("_r"), F.lit(ranges_per_cell)).cast("double")
     return n_points.join(n_ranges, "_bin").select(
         "_bin",
-        F.least(F.col("_p"), F.ceil(F.col("_p").cast("double") * F.col("_r") / F.lit(float(pairs_per_slice))))
-        .cast("int")
-        .alias("_slices"),
+        F.ceil(F.col("_p") * in_cell / F.lit(float(pairs_per_cell))).cast("int").alias("_point_parts"),
+        F.ceil(F.col("_r") / F.lit(float(ranges_per_cell))).cast("int").alias("_range_parts"),
     )
 
 
@@ -31,22 +37,33 @@ def range_join(
     high: str,
     width: int,
     domain: tuple[int, int] | None = None,
-    balance: bool = True,
-    pairs_per_slice: int = PAIRS_PER_SLICE,
-    split_by: str | None = None,
+    points_by: list[str] | None = None,
+    ranges_by: list[str] | None = None,
+    max_broadcast_bytes: int = 0,
+    ranges_per_cell: int = RANGES_PER_CELL,
+    pairs_per_cell: int = PAIRS_PER_CELL,
+    prepare_points: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Rows of ``points`` and ``ranges`` with ``low <= value <= high``.
 
     Points fall in one bin of ``width``; ranges are repeated for each bin they
-    cover, so the join is an equi-join followed by the exact test. Bins that hold
-    many points and many ranges are cut in slices: a point goes to one slice, a
-    range to all slices of its bin. ``domain`` limits the values, which bounds the
-    number of bins and so the size of the table of slices.
+    cover, so the join is an equi-join followed by the exact test.
+
+    A bin that holds many rows is cut into a grid: its points in some parts, its
+    ranges in others, by a hash of ``points_by`` and ``ranges_by`` (all columns
+    if not given). Every pair meets in exactly one cell, and no task gets a whole
+    busy bin. ``domain`` limits the values, which bounds the number of bins and so
+    the size of the table of grids. Ranges whose measured size is at most
+    ``max_broadcast_bytes`` are sent to every task instead, and no point is moved.
+
+    ``prepare_points`` adds columns to the points of the join; counting the bins
+    does not pay for it.
     """
     low_bin = F.floor(F.col(low) / F.lit(width)).cast("bigint")
     high_bin = F.floor(F.col(high) / F.lit(width)).cast("bigint")
     points = points.where(F.col(value).isNotNull())
     ranges = ranges.where(F.col(low) <= F.col(high))
+    point_columns, range_columns = points_by or points.columns, ranges_by or ranges.columns
     bounded = False
     if domain is not None:
         first, last = domain[0] // width, domain[1] // width
@@ -56,33 +73,47 @@ def range_join(
         bounded = last - first < BROADCAST_BINS
     points = points.withColumn("_bin", F.floor(F.col(value) / F.lit(width)).cast("bigint"))
     ranges = ranges.withColumn("_bin", F.explode(F.sequence(low_bin, high_bin)))
-    keys = ["_bin"]
-    if balance:
-        loads = bin_loads(points.select("_bin"), ranges.select("_bin"), pairs_per_slice)
-        if bounded:
-            loads = F.broadcast(loads)
-        by = F.xxhash64(F.col(split_by or value))
-        points = points.join(loads, "_bin").withColumn("_slice", F.pmod(by, F.col("_slices")).cast("int"))
-        ranges = ranges.join(loads, "_bin").withColumn(
-            "_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1))
-        )
-        points, ranges = points.drop("_slices"), ranges.drop("_slices")
-        keys = ["_bin", "_slice"]
-    joined = points.join(ranges, keys).where(F.col(value).between(F.col(low), F.col(high)))
-    return joined.drop(*keys)
+    inside = F.col(value).between(F.col(low), F.col(high))
+    prepare = prepare_points or (lambda df: df)
+    if max_broadcast_bytes and small_enough(ranges, max_broadcast_bytes):
+        return prepare(points).join(F.broadcast(ranges), "_bin").where(inside).drop("_bin")
+
+    # three numbers per bin, kept once for both sides
+    grid = written(bin_grid(points.select("_bin"), ranges.select("_bin"), ranges_per_cell, pairs_per_cell), "grid")
+    if bounded:
+        grid = F.broadcast(grid)
+    points, ranges = prepare(points).join(grid, "_bin"), ranges.join(grid, "_bin")
+
+    def part(columns: list[str], parts: str) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.col(parts)).cast("int")
+
+    def all_parts(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+
+    points = points.withColumn("_cell_p", part(point_columns, "_point_parts")).withColumn("_cell_r", all_parts("_range_parts"))
+    ranges = ranges.withColumn("_cell_r", part(range_columns, "_range_parts")).withColumn("_cell_p", all_parts("_point_parts"))
+    points, ranges = (side.drop("_point_parts", "_range_parts") for side in (points, ranges))
+    keys = ["_bin", "_cell_p", "_cell_r"]
+    return points.join(ranges.hint("merge"), keys).where(inside).drop(*keys)
+
+
+def _bytes(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType):
+        size = F.size(column) * F.lit(8)
+    elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(column))) * F.lit(2)
+    else:
+        size = F.lit(8)
+    return F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("bigint") + F.lit(8)
 
 
 def small_enough(df: DataFrame, max_bytes: int) -> bool:
-    """Measured size of the rows against the limit: text lengths plus eight bytes for other columns."""
-    parts = [
-        F.octet_length(F.col(f.name)) if f.dataType.typeName() == "string" else F.octet_length(F.to_json(F.struct(f.name)))
-        if f.dataType.typeName() in ("array", "map", "struct")
-        else F.lit(8)
-        for f in df.schema.fields
-    ]
-    row = sum((F.coalesce(p, F.lit(8)).cast("bigint") for p in parts), F.lit(16).cast("bigint"))
-    measured = df.agg(F.sum(row).alias("b")).first()["b"] or 0
-    return measured <= max_bytes
+    """Measures the rows: text lengths, array sizes and eight bytes for every other value."""
+    row = sum((_bytes(f) for f in df.schema.fields), F.lit(16).cast("bigint"))
+    return (df.agg(F.sum(row).alias("b")).first()["b"] or 0) <= max_bytes
 
 
 def shared_table_join(
@@ -97,7 +128,7 @@ def shared_table_join(
 ) -> DataFrame:
     """Window join where every task sees the whole point table, if its measured size allows it.
 
-    Above the limit the balanced shuffle join gives the same rows.
+    Above the limit the shuffle join gives the same rows.
     """
     if not small_enough(points, max_bytes):
         return range_join(points, ranges, value, low, high, width, **kwargs)

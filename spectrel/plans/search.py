@@ -19,7 +19,7 @@ from ..functions.fixed_values import (
 from ..functions.masses import MICRO
 from ..operators.hits import top_hits
 from ..operators.joins import range_join, shared_table_join
-from ..operators.shared import checkpointed
+from ..operators.shared import written
 from .digest import digest, search_peptides, variable_mods, with_decoys, with_fragment_bins
 from .spectra import INTENSITY_UNIT, OFFSET_BINS, XCORR_SCALE, filter_spectra, with_precursor, with_vectors
 
@@ -53,25 +53,37 @@ def mass_domain(mass_range: tuple[float, float] = MASS_RANGE) -> tuple[int, int]
     return int(mass_range[0] * MICRO), int(mass_range[1] * MICRO)
 
 
+# Spectra (with vectors, per mass bin) up to this measured size are sent to every task.
+BROADCAST_SPECTRA_BYTES = 128 << 20
+
+
 def candidates(
     spectra: DataFrame,
     peptides: DataFrame,
     tolerance: float = MASS_TOLERANCE,
     mass_range: tuple[float, float] = MASS_RANGE,
+    max_broadcast_bytes: int = BROADCAST_SPECTRA_BYTES,
     **kwargs,
 ) -> DataFrame:
     """Peptides whose mass lies in the precursor window of a spectrum."""
     return range_join(
-        peptides, spectra, "mass_uda", "low_uda", "high_uda", int(tolerance * MICRO), mass_domain(mass_range),
-        split_by="sequence", **kwargs,
-    )
+        peptides,
+        spectra,
+        "mass_uda",
+        "low_uda",
+        "high_uda",
+        int(tolerance * MICRO),
+        mass_domain(mass_range),
+        points_by=["sequence"],
+        ranges_by=["spectrum_id"],
+        max_broadcast_bytes=max_broadcast_bytes,
+        **kwargs,
+    )
 
 
 def candidates_shared(spectra: DataFrame, peptides: DataFrame, tolerance: float = MASS_TOLERANCE, **kwargs) -> DataFrame:
     """The same pairs with the whole peptide table in every task, while its size allows it."""
-    return shared_table_join(
-        peptides, spectra, "mass_uda", "low_uda", "high_uda", int(tolerance * MICRO), **kwargs
-    )
+    return shared_table_join(peptides, spectra, "mass_uda", "low_uda", "high_uda", int(tolerance * MICRO), **kwargs)
 
 
 def xcorr_sum(max_charge: int = MAX_FRAGMENT_CHARGE):
@@ -120,21 +132,22 @@ def scored_candidates(
     spectra: DataFrame,
     tolerance: float = MASS_TOLERANCE,
     mass_range: tuple[float, float] = MASS_RANGE,
-    keep_peptides: bool = True,
+    max_broadcast_bytes: int = BROADCAST_SPECTRA_BYTES,
     **params,
 ) -> DataFrame:
     """Every candidate of every spectrum with its score.
 
-    The peptide and spectrum tables are used twice (slice sizes, then the join),
-    so both are kept in the shared folder instead of being computed again.
+    The peptide and spectrum tables are read more than once (sizes, then the
+    join), so both are written to the shared folder instead of being computed
+    again. The fragment bins are computed as the peptides are read.
     """
-    peptides = peptide_table(proteins, mass_range=mass_range, **params)
-    prepared = with_vectors(with_precursor(filter_spectra(spectra), tolerance)).select(
-        "spectrum_id", "charge", "low_uda", "high_uda", "vector"
+    peptides = written(peptide_table(proteins, mass_range=mass_range, **params), "peptides")
+    prepared = with_vectors(with_precursor(filter_spectra(spectra), tolerance))
+    prepared = written(prepared.select("spectrum_id", "charge", "low_uda", "high_uda", "vector"), "spectra")
+    pairs = candidates(
+        prepared, peptides, tolerance, mass_range, max_broadcast_bytes, prepare_points=with_fragment_bins
     )
-    if keep_peptides:
-        peptides, prepared = checkpointed(peptides), checkpointed(prepared)
-    return score(candidates(prepared, with_fragment_bins(peptides), tolerance, mass_range)).select(
+    return score(pairs).select(
         "spectrum_id", "charge", F.col("sequence").alias("peptide"), "accession", "xcorr_sum", "xcorr"
     )
 
