@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +17,7 @@ from ..functions.fixed_values import (
     MIN_PEAKS,
 )
 from ..functions.masses import MICRO, micro, precursor_mh
+from ..sources.spectra import peak_arrays
 
 # Published constants of the fast cross-correlation.
 WINDOWS = 10
@@ -90,22 +91,22 @@ def processed_vector(mz: np.ndarray, intensity: np.ndarray) -> np.ndarray:
 def with_vectors(spectra: DataFrame) -> DataFrame:
     """Replaces ``peaks`` by the correlation vector; one row in, one row out, no shuffle."""
     others = [f for f in spectra.schema if f.name != "peaks"]
+    names = [f.name for f in others]
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in frames:
+            peaks, starts = peak_arrays(batch.column("peaks"))
             vectors = [
-                processed_vector(
-                    np.array([p["mz"] for p in peaks], dtype="float64"),
-                    np.array([p["intensity"] for p in peaks], dtype="float64"),
-                ).astype(np.int32)
-                for peaks in frame["peaks"]
+                processed_vector(peaks["mz"][a:b], peaks["intensity"][a:b]).astype(np.int32)
+                for a, b in zip(starts[:-1], starts[1:])
             ]
-            out = frame.drop(columns="peaks")
-            out["vector"] = vectors
-            yield out
+            offsets = np.cumsum([0, *map(len, vectors)]).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.int32), *vectors])
+            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], column], names=[*names, "vector"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    return spectra.mapInPandas(batches, f"{fields}, vector array<int>")
+    return spectra.mapInArrow(batches, f"{fields}, vector array<int>")
 
 
 def processed_bins(spectra: DataFrame, keep: list[str] = ("spectrum_id",)) -> DataFrame:

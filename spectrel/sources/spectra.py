@@ -7,7 +7,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,46 +135,57 @@ def read_scans(spark: SparkSession, path: str) -> DataFrame:
     ).where("scan_num is not null")
 
 
+def peak_arrays(column: pa.ListArray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Peaks of a batch as two flat arrays, and where the peaks of each row start."""
+    flat = column.flatten()
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    values = {name: flat.field(name).to_numpy(zero_copy_only=False) for name in ("mz", "intensity")}
+    return values, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+
+
+def _decoded(text: str, precision: int, compressed: bool) -> np.ndarray:
+    raw = base64.b64decode(text)
+    if compressed:
+        raw = zlib.decompress(raw)
+    return np.frombuffer(raw, dtype=">f8" if precision == 64 else ">f4").astype("float64").reshape(-1, 2)
+
+
 def decode_peaks(scans: DataFrame) -> DataFrame:
     """Base64 peak text to an array of peaks: big-endian 32 or 64 bit pairs, zlib where marked."""
-    keep = [c for c in scans.columns if c not in ("encoded", "precision", "compressed")]
-
-    def decode(text: str, precision: int, compressed: bool) -> list[dict]:
-        raw = base64.b64decode(text)
-        if compressed:
-            raw = zlib.decompress(raw)
-        pairs = np.frombuffer(raw, dtype=">f8" if precision == 64 else ">f4").astype("float64").reshape(-1, 2)
-        return [{"mz": mz, "intensity": intensity} for mz, intensity in pairs.tolist()]
+    keep = [f for f in scans.schema if f.name not in ("encoded", "precision", "compressed")]
+    names = [f.name for f in keep]
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = frame[keep].copy()
-            out["peaks"] = [
-                decode(t, p, c) for t, p, c in zip(frame["encoded"], frame["precision"], frame["compressed"])
-            ]
-            yield out
+    def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in frames:
+            cells = (batch.column(n).to_pylist() for n in ("encoded", "precision", "compressed"))
+            decoded = [_decoded(*row) for row in zip(*cells)]
+            offsets = np.cumsum([0, *map(len, decoded)]).astype(np.int32)
+            flat = np.concatenate([np.zeros((0, 2)), *decoded])
+            pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], names=["mz", "intensity"])
+            column = pa.ListArray.from_arrays(pa.array(offsets), pairs)
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], column], names=[*names, "peaks"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scans.schema if f.name in keep)
-    return scans.mapInPandas(batches, f"{fields}, peaks {PEAKS}")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
+    return scans.mapInArrow(batches, f"{fields}, peaks {PEAKS}")
 
 
 def encode_peaks(spectra: DataFrame, precision: int = 32, compressed: bool = False) -> DataFrame:
     """Peaks to base64 text, the inverse of ``decode_peaks``."""
     dtype = ">f8" if precision == 64 else ">f4"
-    others = [f for f in spectra.schema if f.name != "peaks"]
-
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = frame.drop(columns="peaks")
-            texts = []
-            for peaks in frame["peaks"]:
-                flat = np.array([(p["mz"], p["intensity"]) for p in peaks], dtype=dtype).tobytes()
-                texts.append(base64.b64encode(zlib.compress(flat) if compressed else flat).decode("ascii"))
-            out["encoded"] = texts
-            yield out
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    return spectra.mapInPandas(batches, f"{fields}, encoded string")
+    keep = [f for f in spectra.schema if f.name != "peaks"]
+    names = [f.name for f in keep]
+
+    def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in frames:
+            peaks, starts = peak_arrays(batch.column("peaks"))
+            pairs = np.column_stack([peaks["mz"], peaks["intensity"]]).astype(dtype)
+            raw = (pairs[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:]))
+            texts = [base64.b64encode(zlib.compress(r) if compressed else r).decode("ascii") for r in raw]
+            column = pa.array(texts, type=pa.string())
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], column], names=[*names, "encoded"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
+    return spectra.mapInArrow(batches, f"{fields}, encoded string")
 
 
 def scan_xml(encoded: DataFrame, precision: int = 32, compressed: bool = False) -> DataFrame:
