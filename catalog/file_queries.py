@@ -143,18 +143,18 @@ def decode_peaks(spark, sf):
 
 @query(
     "mzxml_header",
-    f"SELECT 1::BIGINT AS n_files, '{HEADER.strip()}' AS header FROM (SELECT count(*) FROM embeddings)",
+    f"SELECT ((count(*) + 99) // 100)::BIGINT AS n_files, '{HEADER.strip()}' AS header FROM embeddings",
 )
 def mzxml_header(spark, sf):
-    headers = ss.read_mzxml_headers(spark, write_one_mzxml(spark, sf))
+    headers = ss.read_mzxml_headers(spark, write_shards(spark, sf))
     return headers.groupBy(F.trim(F.regexp_replace("header", r"\s+$", "")).alias("header")).agg(F.count("*").alias("n_files"))
 
 
-def write_one_mzxml(spark, sf) -> str:
-    """The vector scans as documents of 100 scans; one file here, so that it is cut at many places when read."""
+def write_shards(spark, sf) -> str:
+    """The vector scans as indexed documents of 100 scans."""
     scans = ss.scan_xml(encoded_vectors(spark, sf))
     path = new_path(spark, "run") + ".mzXML"
-    ss.write_mzxml_shards(scans, path, HEADER, per_shard=1_000_000)
+    ss.write_mzxml_shards(scans, path, HEADER, per_shard=100)
     return path
 
 
@@ -176,7 +176,7 @@ def scan_flatten_dedup(spark, sf):
     first = spectra.select(F.col("scan_num").alias("at"), scan("first", "").alias("text"))
     second = spectra.where("scan_num % 5 = 0").select((F.col("scan_num") + 10_000_000).alias("at"), scan("second", "").alias("text"))
     path = new_path(spark, "nested") + ".mzXML"
-    tf.write_framed_text(first.unionByName(second).coalesce(1), path, ["at"], "text", HEADER, "</msRun></mzXML>")
+    tf.write_framed_text(first.unionByName(second), path, ["at"], "text", HEADER, "</msRun></mzXML>")
     # part files of one run: name the run, and order by part
     scans = ss.read_scans(spark, path).withColumn("block", F.struct("source_file", "block")).withColumn("source_file", F.lit("run"))
     return sc.last_of_each_scan(scans).select(
@@ -205,20 +205,22 @@ def mzxml_shards(spark, sf):
     f"""WITH {VECTOR_SQL} SELECT scan_num, true AS same FROM vspec""",
 )
 def scan_offset_index(spark, sf):
-    """Offsets computed over the split file against those in the file's own index."""
-    path = write_one_mzxml(spark, sf)
+    """Offsets computed from the chunks of each file against those in the file's own index."""
+    path = write_shards(spark, sf)
     offsets = sc.chunk_offsets(ss.read_scan_chunks(spark, path), len("<scan "))
     ours = offsets.where(~ss.is_header_chunk()).select(
+        "source_file",
         F.regexp_extract("value", r'^num="(\d+)"', 1).cast("int").alias("scan_num"),
         # a chunk begins after its mark
         (F.col("byte_offset") - len("<scan ")).alias("ours"),
     )
     lines = tf.read_lines(spark, path).where(F.col("value").contains("<offset "))
     theirs = lines.select(
+        "source_file",
         F.regexp_extract("value", r'id="(\d+)"', 1).cast("int").alias("scan_num"),
         F.regexp_extract("value", r">(\d+)<", 1).cast("bigint").alias("theirs"),
     )
-    return ours.join(theirs, "scan_num").select("scan_num", (F.col("ours") == F.col("theirs")).alias("same"))
+    return ours.join(theirs, ["source_file", "scan_num"]).select("scan_num", (F.col("ours") == F.col("theirs")).alias("same"))
 
 
 @query(
@@ -279,11 +281,19 @@ def delimited_scan(spark, sf):
     )
 
 
-@query("whole_file_scan", "SELECT md5(concat(html, chr(10))) AS html, length(html) + 1 AS n FROM pages")
+@query(
+    "whole_file_scan",
+    "SELECT sum(length(html) + 1)::BIGINT AS n_chars, sum(len(regexp_extract_all(html, '<html')))::BIGINT AS n_pages, true AS all_named FROM pages",
+)
 def whole_file_scan(spark, sf):
-    path = written(spark, "whole", table(spark, sf, "pages").select(F.col("html").alias("value")), maxRecordsPerFile=1)
+    """Files of at most 20 pages, each read as one row."""
+    path = written(spark, "whole", table(spark, sf, "pages").select(F.col("html").alias("value")), maxRecordsPerFile=20)
     files = tf.read_whole_files(spark, path, "*.txt")
-    return files.select(F.md5("text").alias("html"), F.length("text").cast("bigint").alias("n"))
+    return files.agg(
+        F.sum(F.length("text")).alias("n_chars"),
+        F.sum(F.regexp_count("text", F.lit("<html"))).alias("n_pages"),
+        F.every(F.col("file_name").endswith(".txt")).alias("all_named"),
+    )
 
 
 @query(
@@ -319,7 +329,7 @@ def size_table_write(spark, sf):
     path = new_path(spark, "sizes")
     counts = table(spark, sf, "part").groupBy(F.col("p_size").alias("mass_bin")).agg(F.count("*").alias("n"))
     tf.write_size_table(counts, path)
-    lines = index_rows(tf.read_lines(spark, path), ["source_file", "block", "place"], "line_no")
+    lines = index_rows(tf.read_lines(spark, path), ["source_file", "block", "place"], "line_no", unique=True)
     return lines.select("line_no", "value")
 
 
@@ -344,7 +354,7 @@ def framed_text_write(spark, sf):
 
     path = new_path(spark, "framed")
     tf.write_framed_text(table(spark, sf, "customer"), path, ["c_custkey"], "c_name", "<run>", "</run>")
-    lines = index_rows(tf.read_lines(spark, path), ["source_file", "block", "place"], "line_no")
+    lines = index_rows(tf.read_lines(spark, path), ["source_file", "block", "place"], "line_no", unique=True)
     return lines.select("line_no", "value")
 
 

@@ -8,34 +8,69 @@ from pyspark.sql import functions as F
 from .shared import checkpointed
 
 
-def index_rows(df: DataFrame, order: list, name: str = "row_index") -> DataFrame:
-    """Number the rows 0, 1, 2 ... in the given order, over all partitions.
+# Copies of one row that a single task writes out again.
+COPIES_PER_TASK = 100_000
+
+
+def run_starts(counted: DataFrame, order: list, count: str = "_n") -> DataFrame:
+    """Each row with ``_start``: the sum of the counts of all rows before it in the order.
 
     The sorted rows are kept in the shared folder, so the partition edges of the
-    counting pass and of the numbering pass are the same. Only one row per
+    summing pass and of the numbering pass are the same. Only one row per
     partition is summed up across partitions.
     """
-    ordered = checkpointed(df.orderBy(*order))
+    ordered = checkpointed(counted.orderBy(*order, F.xxhash64(*counted.columns)))
     placed = ordered.select(
         "*",
         F.spark_partition_id().alias("_part"),
         # the id is the partition number in the upper bits and the row's place in the lower 33
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),
     )
-    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    totals = placed.groupBy("_part").agg(F.sum(count).alias("_total"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition of the sort: a list of partitions, never of data rows
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = totals.select("_part", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
+    inside = F.col("_place")
+    if not ordered.where(F.col(count) != 1).isEmpty():
+        earlier = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+        placed = placed.withColumn("_inside", F.coalesce(F.sum(count).over(earlier), F.lit(0)))
+        inside = F.col("_inside")
     return (
         placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_before") + F.col("_place"))
-        .drop("_part", "_place", "_before")
+        .withColumn("_start", F.col("_before") + inside)
+        .drop("_part", "_place", "_before", "_inside")
     )
 
 
-def index_within(df: DataFrame, key: list[str], order: list, name: str = "row_index") -> DataFrame:
+def index_rows(df: DataFrame, order: list, name: str = "row_index", unique: bool = False) -> DataFrame:
+    """Number the rows 0, 1, 2 ... in the given order, over all partitions.
+
+    Copies of a row are counted before the sort and written out after it, so a row
+    that makes up much of the table does not fill one sort task. Rows known to
+    differ (``unique``) skip that.
+    """
+    columns = df.columns
+    if unique:
+        return run_starts(df.withColumn("_n", F.lit(1)), order).select(*columns, F.col("_start").alias(name))
+    starts = run_starts(df.groupBy(*columns).agg(F.count("*").alias("_n")), order)
+
+    def numbers(first, n):
+        return F.explode(F.sequence(first, first + n - 1)).alias(name)
+
+    few = starts.where(F.col("_n") <= COPIES_PER_TASK).select(*columns, numbers(F.col("_start"), F.col("_n")))
+    blocks = starts.where(F.col("_n") > COPIES_PER_TASK).select(
+        *columns, "_start", "_n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(COPIES_PER_TASK).cast("bigint"))).alias("_at")
+    )
+    blocks = blocks.select(
+        *columns, (F.col("_start") + F.col("_at")).alias("_first"), F.least(F.col("_n") - F.col("_at"), F.lit(COPIES_PER_TASK)).alias("_len")
+    )
+    many = blocks.repartition("_first").select(*columns, numbers(F.col("_first"), F.col("_len")))
+    return few.unionAll(many)
+
+
+def index_within(df: DataFrame, key: list[str], order: list, name: str = "row_index", unique: bool = False) -> DataFrame:
     """Number the rows of every key from 0, without gathering a key in one task."""
-    numbered = index_rows(df, [*[F.col(k) for k in key], *order], "_all")
+    numbered = index_rows(df, [*[F.col(k) for k in key], *order], "_all", unique)
     starts = numbered.groupBy(*key).agg(F.min("_all").alias("_first"))
     return (
         numbered.join(starts, key)
@@ -60,20 +95,29 @@ def batch_rows(df: DataFrame, order: list, size: int, text: str, separator: str
 def group_to_lists(df: DataFrame, key: str, value: str, max_len: int = 1000) -> DataFrame:
     """Values per key as sorted lists; a long group continues in further parts.
 
-    Parts are cut from the global order, so one hot key spreads over many tasks
-    and no list is longer than ``max_len``.
+    Equal pairs are counted first, and parts are cut from the global order, so one
+    hot key or pair spreads over many tasks and no list is longer than ``max_len``.
     """
-    numbered = index_rows(df.select(key, value), [F.col(key), F.col(value)], "_index")
-    cut = numbered.withColumn("_part", F.floor(F.col("_index") / max_len))
-    lists = cut.groupBy(key, "_part").agg(F.sort_array(F.collect_list(value)).alias("items"))
+    counted = df.groupBy(key, value).agg(F.count("*").alias("_n"))
+    runs = run_starts(counted, [F.col(key), F.col(value)]).withColumn("_end", F.col("_start") + F.col("_n") - 1)
+    first_part, last_part = F.floor(F.col("_start") / max_len), F.floor(F.col("_end") / max_len)
+    cut = runs.withColumn("_part", F.explode(F.sequence(first_part, last_part)))
+    low = F.greatest(F.col("_start"), F.col("_part") * max_len)
+    high = F.least(F.col("_end"), F.col("_part") * max_len + max_len - 1)
+    cut = cut.select(key, value, "_part", low.alias("_low"), (high - low + 1).cast("int").alias("_len"))
+    pieces = F.array_sort(F.collect_list(F.struct("_low", "_len", value)))
+    lists = cut.groupBy(key, "_part").agg(pieces.alias("_pieces"))
+    lists = lists.select(
+        key, "_part", F.flatten(F.transform("_pieces", lambda p: F.array_repeat(p[value], p["_len"]))).alias("items")
+    )
     first = lists.groupBy(key).agg(F.min("_part").alias("_first"))
     return lists.join(first, key).select(key, (F.col("_part") - F.col("_first")).alias("part_no"), "items")
 
 
 def pairs_to_maps(df: DataFrame, key: str, value: str, max_len: int = 1000) -> DataFrame:
-    """Pairs as maps of at most ``max_len`` entries in key order; the last value of a key wins."""
+    """Pairs as maps of at most ``max_len`` entries in key order; the largest value of a key is kept."""
     single = df.groupBy(key).agg(F.max(value).alias(value))
-    numbered = index_rows(single, [F.col(key)], "_index")
+    numbered = index_rows(single, [F.col(key)], "_index", unique=True)
     entries = F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value))))
     return numbered.groupBy(F.floor(F.col("_index") / max_len).alias("map_no")).agg(entries.alias("pairs"))
 
