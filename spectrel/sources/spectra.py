@@ -23,7 +23,7 @@ _HEADER_LINE = r"^[A-Za-z][A-Za-z0-9_]*="
 
 
 def _first_line(lines: str, start: str):
-    return F.element_at(F.filter(lines, lambda l: l.startswith(start)), 1)
+    return F.get(F.filter(lines, lambda l: l.startswith(start)), F.lit(0))
 
 
 def read_mgf(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +51,7 @@ def read_mgf(spark: SparkSession, path: str) -> DataFrame:
     parsed = fields.select(
         "source_file", "headers", "content", F.filter(peaks, lambda p: p["mz"].isNotNull() & p["intensity"].isNotNull()).alias("peaks"), F.size("cells").alias("n_lines")
     )
-    title = mgf_title(F.element_at(F.filter("headers", lambda l: l.startswith("TITLE=")), 1))
+    title = mgf_title(_first_line("headers", "TITLE="))
     charge = F.regexp_extract(_first_line("headers", "CHARGE="), r"(\d+)", 1).try_cast("int")
     scan = F.regexp_extract(_first_line("headers", "SCANS="), r"(\d+)", 1).try_cast("int")
     return parsed.select(
