@@ -155,7 +155,7 @@ CANDIDATE_CTES = f"""{spectra_sql()}, charged AS (SELECT * FROM spec), {_PRECURS
 
 def plain_tables(spark, sf):
     peptides = se.peptide_table(document_proteins(spark, sf), modify=False)
-    spectra = sp.with_precursor(benchmark_spectra(spark, sf)).select("spectrum_id", "charge", "low_uda", "high_uda")
+    spectra = sp.with_precursor(benchmark_spectra(spark, sf)).select("spectrum_id", "charge", "mh_uda", "low_uda", "high_uda")
     return peptides, spectra
 
 
@@ -166,7 +166,9 @@ _PAIRS_SQL = f"""WITH {CANDIDATE_CTES} SELECT p.spectrum_id, b.sequence, b.mass_
 @query("mass_range_join", _PAIRS_SQL)
 def mass_range_join(spark, sf):
     peptides, spectra = plain_tables(spark, sf)
-    return se.candidates(written(spectra, "spectra"), written(peptides, "peptides")).select("spectrum_id", "sequence", "mass_uda", "accession")
+    # the shuffle form, whatever the size of the spectra
+    pairs = se.candidates(written(spectra, "spectra"), written(peptides, "peptides"), max_broadcast_bytes=0)
+    return pairs.select("spectrum_id", "sequence", "mass_uda", "accession")
 
 
 @query("broadcast_search", _PAIRS_SQL)

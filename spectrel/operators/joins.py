@@ -39,10 +39,11 @@ def range_join(
     domain: tuple[int, int] | None = None,
     points_by: list[str] | None = None,
     ranges_by: list[str] | None = None,
-    max_broadcast_bytes: int = 0,
+    broadcast_ranges: bool = False,
     ranges_per_cell: int = RANGES_PER_CELL,
     pairs_per_cell: int = PAIRS_PER_CELL,
     prepare_points: Callable[[DataFrame], DataFrame] | None = None,
+    prepare_ranges: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Rows of ``points`` and ``ranges`` with ``low <= value <= high``.
 
@@ -53,11 +54,11 @@ def range_join(
     ranges in others, by a hash of ``points_by`` and ``ranges_by`` (all columns
     if not given). Every pair meets in exactly one cell, and no task gets a whole
     busy bin. ``domain`` limits the values, which bounds the number of bins and so
-    the size of the table of grids. Ranges whose measured size is at most
-    ``max_broadcast_bytes`` are sent to every task instead, and no point is moved.
+    the size of the table of grids. With ``broadcast_ranges`` the ranges go to
+    every task and no point is moved; only for ranges that ``small_enough`` passed.
 
-    ``prepare_points`` adds columns to the points of the join; counting the bins
-    does not pay for it.
+    ``prepare_points`` and ``prepare_ranges`` add columns to the sides of the join;
+    counting the bins does not pay for them.
     """
     low_bin = F.floor(F.col(low) / F.lit(width)).cast("bigint")
     high_bin = F.floor(F.col(high) / F.lit(width)).cast("bigint")
@@ -71,18 +72,20 @@ def range_join(
         low_bin, high_bin = F.greatest(low_bin, F.lit(first)), F.least(high_bin, F.lit(last))
         ranges = ranges.where((F.col(high) >= domain[0]) & (F.col(low) <= domain[1]))
         bounded = last - first < BROADCAST_BINS
-    points = points.withColumn("_bin", F.floor(F.col(value) / F.lit(width)).cast("bigint"))
-    ranges = ranges.withColumn("_bin", F.explode(F.sequence(low_bin, high_bin)))
+    point_bin = F.floor(F.col(value) / F.lit(width)).cast("bigint")
+    range_bin = F.explode(F.sequence(low_bin, high_bin))
     inside = F.col(value).between(F.col(low), F.col(high))
-    prepare = prepare_points or (lambda df: df)
-    if max_broadcast_bytes and small_enough(ranges, max_broadcast_bytes):
-        return prepare(points).join(F.broadcast(ranges), "_bin").where(inside).drop("_bin")
+    full_points = (prepare_points(points) if prepare_points else points).withColumn("_bin", point_bin)
+    full_ranges = (prepare_ranges(ranges) if prepare_ranges else ranges).withColumn("_bin", range_bin)
+    if broadcast_ranges:
+        return full_points.join(F.broadcast(full_ranges), "_bin").where(inside).drop("_bin")
 
     # three numbers per bin, kept once for both sides
-    grid = written(bin_grid(points.select("_bin"), ranges.select("_bin"), ranges_per_cell, pairs_per_cell), "grid")
+    grid = bin_grid(points.select(point_bin.alias("_bin")), ranges.select(range_bin.alias("_bin")), ranges_per_cell, pairs_per_cell)
+    grid = written(grid, "grid")
     if bounded:
         grid = F.broadcast(grid)
-    points, ranges = prepare(points).join(grid, "_bin"), ranges.join(grid, "_bin")
+    points, ranges = full_points.join(grid, "_bin"), full_ranges.join(grid, "_bin")
 
     def part(columns: list[str], parts: str) -> Column:
         return F.pmod(F.xxhash64(*columns), F.col(parts)).cast("int")
@@ -110,8 +113,19 @@ def _bytes(field: T.StructField) -> Column:
     return F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("bigint") + F.lit(8)
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size of a table: for a plain file scan, the size of its files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def small_enough(df: DataFrame, max_bytes: int) -> bool:
-    """Measures the rows: text lengths, array sizes and eight bytes for every other value."""
+    """Whether the rows fit in ``max_bytes``.
+
+    A table whose files alone are larger is not read. A smaller one is measured:
+    text lengths, array sizes and eight bytes for every other value.
+    """
+    if planned_bytes(df) > max_bytes:
+        return False
     row = sum((_bytes(f) for f in df.schema.fields), F.lit(16).cast("bigint"))
     return (df.agg(F.sum(row).alias("b")).first()["b"] or 0) <= max_bytes
 

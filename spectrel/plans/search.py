@@ -18,7 +18,7 @@ from ..functions.fixed_values import (
 )
 from ..functions.masses import MICRO
 from ..operators.hits import top_hits
-from ..operators.joins import range_join, shared_table_join
+from ..operators.joins import range_join, shared_table_join, small_enough
 from ..operators.shared import written
 from .digest import digest, search_peptides, variable_mods, with_decoys, with_fragment_bins
 from .spectra import INTENSITY_UNIT, OFFSET_BINS, XCORR_SCALE, filter_spectra, with_precursor, with_vectors
@@ -53,8 +53,8 @@ def mass_domain(mass_range: tuple[float, float] = MASS_RANGE) -> tuple[int, int]
     return int(mass_range[0] * MICRO), int(mass_range[1] * MICRO)
 
 
-# Spectra (with vectors, per mass bin) up to this measured size are sent to every task.
-BROADCAST_SPECTRA_BYTES = 128 << 20
+# Spectra (with vectors) up to this measured size are sent to every task; each is there once per mass bin.
+BROADCAST_SPECTRA_BYTES = 64 << 20
 
 
 def candidates(
@@ -63,22 +63,28 @@ def candidates(
     tolerance: float = MASS_TOLERANCE,
     mass_range: tuple[float, float] = MASS_RANGE,
     max_broadcast_bytes: int = BROADCAST_SPECTRA_BYTES,
-    **kwargs,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    **limits,
 ) -> DataFrame:
-    """Peptides whose mass lies in the precursor window of a spectrum."""
-    return range_join(
-        peptides,
-        spectra,
-        "mass_uda",
-        "low_uda",
-        "high_uda",
-        int(tolerance * MICRO),
-        mass_domain(mass_range),
-        points_by=["sequence"],
-        ranges_by=["spectrum_id"],
-        max_broadcast_bytes=max_broadcast_bytes,
-        **kwargs,
-    )
+    """Peptides whose mass lies in the precursor window of a spectrum.
+
+    Few spectra go to every task, and the peptides stay where they are. Otherwise
+    both sides are shuffled by mass bin: a spectrum, with its long vector, moves
+    once, and the short peptide rows are repeated for the bins of their window.
+    """
+    width = int(tolerance * MICRO)
+    low, high = mass_domain(mass_range)
+    if max_broadcast_bytes and small_enough(spectra, max_broadcast_bytes):
+        return range_join(
+            peptides, spectra, "mass_uda", "low_uda", "high_uda", width, (low, high),
+            broadcast_ranges=True, prepare_points=prepare,
+        )
+    windows = peptides.withColumn("_low", F.col("mass_uda") - width).withColumn("_high", F.col("mass_uda") + width)
+    joined = range_join(
+        spectra, windows, "mh_uda", "_low", "_high", width, (low - width, high + width),
+        points_by=["spectrum_id", "charge"], ranges_by=["sequence"], prepare_ranges=prepare, **limits,
+    )
+    return joined.drop("_low", "_high")
 
 
 def candidates_shared(spectra: DataFrame, peptides: DataFrame, tolerance: float = MASS_TOLERANCE, **kwargs) -> DataFrame:
@@ -143,10 +149,8 @@ def scored_candidates(
     """
     peptides = written(peptide_table(proteins, mass_range=mass_range, **params), "peptides")
     prepared = with_vectors(with_precursor(filter_spectra(spectra), tolerance))
-    prepared = written(prepared.select("spectrum_id", "charge", "low_uda", "high_uda", "vector"), "spectra")
-    pairs = candidates(
-        prepared, peptides, tolerance, mass_range, max_broadcast_bytes, prepare_points=with_fragment_bins
-    )
+    prepared = written(prepared.select("spectrum_id", "charge", "mh_uda", "low_uda", "high_uda", "vector"), "spectra")
+    pairs = candidates(prepared, peptides, tolerance, mass_range, max_broadcast_bytes, with_fragment_bins)
     return score(pairs).select(
         "spectrum_id", "charge", F.col("sequence").alias("peptide"), "accession", "xcorr_sum", "xcorr"
     )

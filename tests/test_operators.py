@@ -12,6 +12,7 @@ from spectrel.operators import batching as ba
 from spectrel.operators import hits as hi
 from spectrel.operators import joins as jo
 from spectrel.operators import scans as sc
+from spectrel.operators.shared import written
 
 
 def one(spark, column):
@@ -69,7 +70,7 @@ def window_rows(spark, seed=3):
 
 
 @pytest.mark.parametrize("domain", [None, (0, 5000)])
-@pytest.mark.parametrize("limits", [{}, {"ranges_per_cell": 7, "pairs_per_cell": 50}, {"max_broadcast_bytes": 1 << 20}])
+@pytest.mark.parametrize("limits", [{}, {"ranges_per_cell": 7, "pairs_per_cell": 50}, {"broadcast_ranges": True}])
 @pytest.mark.parametrize("partitions", [1, 16])
 def test_range_join(spark, domain, limits, partitions):
     points, ranges, expected = window_rows(spark)
@@ -86,12 +87,18 @@ def test_busy_bin_is_cut(spark):
     assert (grid._point_parts, grid._range_parts) == (500, 3)
 
 
+def test_size_check(spark):
+    table = spark.range(1000).select("id", F.repeat(F.lit("x"), 100).alias("t"), F.array(F.lit(1), F.lit(2)).alias("a"))
+    assert jo.small_enough(table, 1000 * 200) and not jo.small_enough(table, 1000 * 100)
+
+
 @pytest.mark.parametrize("max_bytes", [1 << 20, 10])
 def test_shared_table_join(spark, max_bytes):
     points, ranges, expected = window_rows(spark)
+    points = written(points, "points")
     joined = jo.shared_table_join(points, ranges, "value", "low", "high", 25, max_bytes=max_bytes)
     assert sorted((r.p, r.r) for r in joined.collect()) == expected
-    assert ("BroadcastHashJoin" in joined._jdf.queryExecution().toString()) or max_bytes == 10
+    assert ("_cell_p" in joined._jdf.queryExecution().toString()) == (max_bytes == 10)
 
 
 def test_window_join_plans_no_nested_loop(spark):
