@@ -551,10 +551,13 @@ def batch_rows(spark, sf):
     return ba.batch_rows(table(spark, sf, "customer"), [F.col("c_custkey")], 500, "c_name")
 
 
-@query("balanced_partitions")
+@query("balanced_partitions", "SELECT 16::BIGINT AS n_partitions, count(*) AS n_rows, true AS balanced FROM lineitem")
 def balanced_partitions(spark, sf):
     spreadout = ba.guarantee_partitions(table(spark, sf, "lineitem"), 16)
-    return spreadout.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("n_rows"))
+    sizes = spreadout.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("n"))
+    return sizes.agg(
+        F.count("*").alias("n_partitions"), F.sum("n").alias("n_rows"), (F.max("n") <= F.avg("n") * 1.25).alias("balanced")
+    )
 
 
 @query(

@@ -121,19 +121,30 @@ def distinct_peptides(digested: DataFrame) -> DataFrame:
     Only counts and one place are kept per peptide, so a peptide found in a third
     of all proteins costs no more than another; all places stay in the digest rows.
     """
-    place = F.struct("accession", "start", "end", "prev", "next")
-    per_protein = digested.groupBy("sequence", "accession").agg(
-        F.first("mass_uda").alias("mass_uda"), F.count("*").alias("n"), F.min(place).alias("place")
+    # start and both neighbours in one number: the smallest is the first place in the protein
+    packed = F.shiftleft(F.col("start").cast("bigint"), 16) + F.shiftleft(F.ascii("prev").cast("bigint"), 8) + F.ascii("next")
+    per_protein = digested.groupBy("sequence", "mass_uda", "accession").agg(
+        F.count("*").alias("n"), F.min(packed).alias("packed")
     )
     return (
-        per_protein.groupBy("sequence")
+        per_protein.groupBy("sequence", "mass_uda")
         .agg(
-            F.first("mass_uda").alias("mass_uda"),
             F.count("*").alias("n_proteins"),
             F.sum("n").alias("n_places"),
-            F.min("place").alias("place"),
+            F.min(F.struct("accession", "packed")).alias("first"),
+        )
+        .select("sequence", "mass_uda", "n_proteins", "n_places", "first.*")
+        .select(
+            "sequence",
+            "mass_uda",
+            "n_proteins",
+            "n_places",
+            "accession",
+            F.shiftright("packed", 16).cast("int").alias("start"),
+            (F.shiftright("packed", 16) + F.length("sequence") - 1).cast("int").alias("end"),
+            F.chr(F.shiftright("packed", 8).bitwiseAND(F.lit(255))).alias("prev"),
+            F.chr(F.col("packed").bitwiseAND(F.lit(255))).alias("next"),
         )
-        .select("sequence", "mass_uda", "n_proteins", "n_places", "place.*")
     )
 
 

@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import fasta_record
+from .text_files import text_reader
 
 
-def read_proteins(spark: SparkSession, path: str) -> DataFrame:
+def read_proteins(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One row per FASTA record; large files are split, a record is read exactly once.
 
     A ``>`` inside a header or a record without sequence does not end anything.
     """
     return (
-        spark.read.option("lineSep", "\n>")
+        text_reader(spark, "\n>", glob)
         .text(path)
         .select(
             F.regexp_replace("value", "^>", "").alias("record"),

@@ -26,14 +26,14 @@ def _first_line(lines: str, start: str):
     return F.get(F.filter(lines, lambda l: l.startswith(start)), F.lit(0))
 
 
-def read_mgf(spark: SparkSession, path: str) -> DataFrame:
+def read_mgf(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One row per ``BEGIN IONS`` block; text before the first block is skipped.
 
     A line that is neither a header nor a peak is counted in ``bad_lines``.
     """
     block = F.regexp_extract("value", r"(?s)^(.*?)END IONS", 1)
     blocks = (
-        read_delimited(spark, path, "BEGIN IONS")
+        read_delimited(spark, path, "BEGIN IONS", glob)
         .where(F.col("value").contains("END IONS"))
         .select("source_file", F.filter(F.transform(F.split(block, "\r?\n"), lambda l: F.trim(l)), lambda l: l != "").alias("lines"))
     )
@@ -92,9 +92,9 @@ def write_mgf(spectra: DataFrame, path: str) -> None:
     mgf_block(spectra).select("value").write.mode("overwrite").text(path)
 
 
-def read_scan_chunks(spark: SparkSession, path: str) -> DataFrame:
+def read_scan_chunks(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Text between ``<scan `` marks in file order, nested scans included; the first chunk is the header."""
-    return read_delimited(spark, path, "<scan ")
+    return read_delimited(spark, path, "<scan ", glob)
 
 
 def is_header_chunk():
@@ -111,10 +111,10 @@ def read_mzxml_headers(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_scans(spark: SparkSession, path: str) -> DataFrame:
+def read_scans(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One row per scan at any nesting level, peaks still encoded."""
     opening = F.regexp_extract("value", r"(?s)^([^>]*)>", 1)
-    chunks = read_scan_chunks(spark, path).where(~is_header_chunk()).withColumn("tag", F.concat(F.lit(" "), opening))
+    chunks = read_scan_chunks(spark, path, glob).where(~is_header_chunk()).withColumn("tag", F.concat(F.lit(" "), opening))
     precursor = F.regexp_extract("value", r"(?s)<precursorMz\b([^>]*)>", 1)
     peak_tag = F.regexp_extract("value", r"(?s)<peaks\b([^>]*)>", 1)
     own = F.rtrim(F.regexp_replace("value", r"(?s)</scan>.*$", ""))
@@ -247,12 +247,12 @@ def write_mzxml_shards(scans: DataFrame, path: str, header: str, per_shard: int
     shards.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
 
 
-def read_spectra(spark: SparkSession, path: str) -> DataFrame:
-    """Spectra of a file or folder: mzXML by its suffix, MGF otherwise (``.gz`` allowed)."""
-    name = path.lower().removesuffix(".gz").rstrip("/")
+def read_spectra(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Spectra of a file or folder: mzXML by the suffix of the path or glob, MGF otherwise (``.gz`` allowed)."""
+    name = (glob or path).lower().removesuffix(".gz").rstrip("/")
     if not name.endswith(".mzxml"):
-        return read_mgf(spark, path).drop("bad_lines")
-    decoded = decode_peaks(read_scans(spark, path))
+        return read_mgf(spark, path, glob).drop("bad_lines")
+    decoded = decode_peaks(read_scans(spark, path, glob))
     return decoded.select(
         F.concat(F.lit("scan-"), F.col("scan_num").cast("string")).alias("spectrum_id"),
         F.lit(None).cast("string").alias("title"),

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_delimited(spark: SparkSession, path: str, separator: str) -> DataFrame:
+def text_reader(spark: SparkSession, separator: str, glob: str | None = None) -> DataFrameReader:
+    reader = spark.read.option("lineSep", separator)
+    return reader.option("pathGlobFilter", glob) if glob else reader
+
+
+def read_delimited(spark: SparkSession, path: str, separator: str, glob: str | None = None) -> DataFrame:
     """Records cut at a separator, which may span lines; files are split across tasks.
 
+    ``glob`` picks files of a folder by name.
+
     ``source_file``, ``block`` and ``place`` give the order of the records in their file.
     """
     return (
-        spark.read.option("lineSep", separator)
+        text_reader(spark, separator, glob)
         .text(path)
         .select(
             "value",

@@ -223,3 +223,17 @@ def test_counter_and_size_files(spark, write_file):
     assert sorted(map(tuple, sizes.collect())) == [(1000, 25), (1001, 30)]
     counters = tf.read_bin_counters(spark, write_file("c", "Binning:MZ1000=25\nOther=3\nBinning:MZ7 = 4\n"))
     assert sorted(map(tuple, counters.collect())) == [(7, 4), (1000, 25)]
+
+
+def test_files_by_glob(spark):
+    folder = tempfile.mkdtemp()
+    for name in ("a.fasta", "b.fasta", "c.txt"):
+        with open(os.path.join(folder, name), "w") as out:
+            out.write(f">{name}\nMKR\n")
+    assert sorted(r.accession for r in pr.read_proteins(spark, folder, "*.fasta").collect()) == ["a.fasta", "b.fasta"]
+    with open(os.path.join(folder, "d.mgf"), "w") as out:
+        out.write(MGF)
+    assert ss.read_spectra(spark, folder, "*.mgf").count() == 2
+    with open(os.path.join(folder, "e.mzXML"), "w") as out:
+        out.write(MZXML)
+    assert ss.read_spectra(spark, folder, "*.mzXML").count() == 3
