@@ -79,11 +79,13 @@ def index_within(df: DataFrame, key: list[str], order: list, name: str = "row_in
     )
 
 
-def batch_rows(df: DataFrame, order: list, size: int, text: str, separator: str = "\n") -> DataFrame:
+def batch_rows(
+    df: DataFrame, order: list, size: int, text: str, separator: str = "\n", unique: bool = False
+) -> DataFrame:
     """Concatenate the text of every ``size`` rows, in order; the last batch may be shorter."""
     if size < 1:
         raise ValueError("a batch holds at least one row")
-    numbered = index_rows(df, order, "_index").withColumn("batch_id", F.floor(F.col("_index") / size))
+    numbered = index_rows(df, order, "_index", unique).withColumn("batch_id", F.floor(F.col("_index") / size))
     pieces = F.array_sort(F.collect_list(F.struct(F.col("_index").alias("i"), F.col(text).alias("t"))))
     return (
         numbered.groupBy("batch_id")

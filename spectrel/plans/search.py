@@ -112,9 +112,10 @@ def xcorr(total):
     return total.cast("double") * F.lit(XCORR_SCALE) / F.lit(float(INTENSITY_UNIT * 2 * OFFSET_BINS))
 
 
-def score(pairs: DataFrame) -> DataFrame:
+def score(pairs: DataFrame, max_charge: int = MAX_FRAGMENT_CHARGE) -> DataFrame:
     """Candidate rows with their score; vector and bins are dropped in the same step."""
-    scored = pairs.withColumn("xcorr_sum", xcorr_sum()).drop("vector", "bins1", "bins2", "bins3")
+    bins = [f"bins{z}" for z in range(1, max_charge + 1)]
+    scored = pairs.withColumn("xcorr_sum", xcorr_sum(max_charge)).drop("vector", *bins)
     return scored.withColumn("xcorr", xcorr(F.col("xcorr_sum")))
 
 
@@ -150,8 +151,13 @@ def scored_candidates(
     peptides = written(peptide_table(proteins, mass_range=mass_range, **params), "peptides")
     prepared = with_vectors(with_precursor(filter_spectra(spectra), tolerance))
     prepared = written(prepared.select("spectrum_id", "charge", "mh_uda", "low_uda", "high_uda", "vector"), "spectra")
-    pairs = candidates(prepared, peptides, tolerance, mass_range, max_broadcast_bytes, with_fragment_bins)
-    return score(pairs).select(
+    # fragments of charges that no spectrum can show are not computed
+    highest = prepared.agg(F.max("charge").alias("z")).first()["z"] or 1
+    charges = max(1, min(MAX_FRAGMENT_CHARGE, highest - 1))
+    pairs = candidates(
+        prepared, peptides, tolerance, mass_range, max_broadcast_bytes, lambda df: with_fragment_bins(df, charges)
+    )
+    return score(pairs, charges).select(
         "spectrum_id", "charge", F.col("sequence").alias("peptide"), "accession", "xcorr_sum", "xcorr"
     )
 

@@ -27,6 +27,8 @@ OFFSET_BINS = 75
 XCORR_SCALE = 0.005
 # Processed intensity is kept as a whole number of thousandths.
 INTENSITY_UNIT = 1000
+# No instrument measures beyond this m/z; such a peak is a reading error.
+LARGEST_MZ = 100_000.0
 
 
 def filter_spectra(
@@ -37,8 +39,14 @@ def filter_spectra(
     max_charge: int = MAX_PRECURSOR_CHARGE,
     scan_range: tuple[int, int] = (0, 0),
 ) -> DataFrame:
-    """Spectra worth a search; peaks under the minimum intensity are dropped first."""
-    kept = spectra.withColumn("peaks", F.filter("peaks", lambda p: p["intensity"] >= min_intensity))
+    """Spectra worth a search; impossible peaks and those under the minimum intensity are dropped first."""
+
+    def usable(p):
+        # a NaN is greater than any number and fails the upper bounds
+        in_range = (p["mz"] > 0) & (p["mz"] <= LARGEST_MZ)
+        return in_range & (p["intensity"] >= max(min_intensity, 0.0)) & (p["intensity"] < float("inf"))
+
+    kept = spectra.withColumn("peaks", F.filter("peaks", usable))
     kept = kept.where((F.col("ms_level") == ms_level) & (F.size("peaks") >= min_peaks))
     kept = kept.where(F.col("charge").isNull() | F.col("charge").between(1, max_charge))
     if scan_range[0]:
@@ -68,6 +76,8 @@ def processed_vector(mz: np.ndarray, intensity: np.ndarray) -> np.ndarray:
     Square root, strongest peak per bin, ten windows scaled to 50 with peaks under
     a twentieth of the strongest left out, minus the mean of the 75 bins on each side.
     """
+    if not len(mz):
+        return np.zeros(0, dtype=np.int64)
     bins = np.floor(mz / FRAGMENT_BIN + (1.0 - FRAGMENT_OFFSET)).astype(np.int64)
     roots = np.sqrt(intensity)
     highest = int(bins.max())
