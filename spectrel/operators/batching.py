@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,12 +28,14 @@ def run_starts(counted: DataFrame, order: list, count: str = "_n") -> DataFrame:
         # the id is the partition number in the upper bits and the row's place in the lower 33
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),
     )
-    totals = placed.groupBy("_part").agg(F.sum(count).alias("_total"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition of the sort: a list of partitions, never of data rows
-    offsets = totals.select("_part", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
+    totals = placed.groupBy("_part").agg(F.sum(count).alias("total"), F.count("*").alias("rows")).orderBy("_part").collect()
+    before = accumulate((t["total"] for t in totals), initial=0)
+    offsets = counted.sparkSession.createDataFrame(
+        [(t["_part"], b) for t, b in zip(totals, before)], "_part int, _before bigint"
+    )
     inside = F.col("_place")
-    if not ordered.where(F.col(count) != 1).isEmpty():
+    if any(t["total"] != t["rows"] for t in totals):
         earlier = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
         placed = placed.withColumn("_inside", F.coalesce(F.sum(count).over(earlier), F.lit(0)))
         inside = F.col("_inside")
