@@ -8,10 +8,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spectrel.operators import scans as sc
+from spectrel.operators import batching
 from spectrel.operators import stats as st
+from spectrel.operators.batching import index_rows, index_within
+from spectrel.operators.blocks import by_row_number
 from spectrel.operators.hits import merge_hits, top_hits
 from spectrel.operators.shared import new_path
-from spectrel.functions import binning as bn
 from spectrel.sources import pepxml as px
 from spectrel.sources import proteins as pr
 from spectrel.sources import spectra as ss
@@ -252,9 +254,6 @@ def scan_index_parse(spark, sf):
     UNION ALL SELECT f, i, 0, CASE WHEN k = 1 THEN '<mzXML  v="1">' ELSE '<mzXML xsi:schemaLocation="u r l" v="1">' END FROM p WHERE kind = 'loc'""",
 )
 def repair_scan_tags(spark, sf):
-    from spectrel.operators.batching import index_within
-    from spectrel.operators.blocks import by_row_number
-
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("source_file"), *order)
     rows = index_within(rows, ["source_file"], [F.col(c) for c in order], "i")
@@ -301,10 +300,8 @@ def whole_file_scan(spark, sf):
     """SELECT 'customers' AS key, c_name AS value FROM customer""",
 )
 def keyed_lines(spark, sf):
-    from spectrel.operators.batching import keyed_lines as with_key
-
     path = written(spark, "lines", table(spark, sf, "customer").select(F.col("c_name").alias("value")))
-    return with_key(tf.read_lines(spark, path), "customers")
+    return batching.keyed_lines(tf.read_lines(spark, path), "customers")
 
 
 @query(
@@ -324,8 +321,6 @@ def size_table_scan(spark, sf):
     FROM (SELECT p_size, count(*) AS n FROM part GROUP BY 1)""",
 )
 def size_table_write(spark, sf):
-    from spectrel.operators.batching import index_rows
-
     path = new_path(spark, "sizes")
     counts = table(spark, sf, "part").groupBy(F.col("p_size").alias("mass_bin")).agg(F.count("*").alias("n"))
     tf.write_size_table(counts, path)
@@ -350,8 +345,6 @@ def bin_counter_scan(spark, sf):
     UNION ALL SELECT count(*) + 1, '</run>' FROM customer""",
 )
 def framed_text_write(spark, sf):
-    from spectrel.operators.batching import index_rows
-
     path = new_path(spark, "framed")
     tf.write_framed_text(table(spark, sf, "customer"), path, ["c_custkey"], "c_name", "<run>", "</run>")
     lines = index_rows(tf.read_lines(spark, path), ["source_file", "block", "place"], "line_no", unique=True)

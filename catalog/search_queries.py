@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spectrel.functions.fixed_values import FRAGMENT_BIN, FRAGMENT_OFFSET, MASS_TOLERANCE, PROTON, PROTON_DALTON
-from spectrel.functions.masses import MICRO, fragment_bin, peptide_mass
+from spectrel.functions.masses import MICRO, peptide_mass
 from spectrel.operators.hits import merge_hits, sort_hits, top_hits
-from spectrel.operators.batching import batch_rows
+from spectrel.operators.batching import index_rows
 from spectrel.operators.joins import pair_batches
 from spectrel.operators.shared import written
 from spectrel.plans import digest as dg
@@ -23,7 +23,6 @@ from .core import (
     benchmark_spectra,
     digest_sql,
     document_proteins,
-    mass_sql,
     prefix_sql,
     query,
     spectra_sql,
@@ -342,8 +341,6 @@ def search_batches(spark, sf):
 
 def batches_in_bins(rows, key, size):
     """Batches of at most ``size`` rows that do not cross a bin."""
-    from spectrel.operators.batching import index_rows
-
     cut = index_rows(rows, [F.col("mass_bin"), F.col(key)], "_i").withColumn("part", F.floor(F.col("_i") / size))
     pieces = F.array_sort(F.collect_list(F.struct("_i", "text")))
     return cut.groupBy("mass_bin", "part").agg(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from .shared import checkpointed
 
-
 # Copies of one row that a single task writes out again.
 COPIES_PER_TASK = 100_000
 

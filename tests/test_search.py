@@ -1,7 +1,6 @@
 """Digest, scores and the whole search against brute force in plain Python."""
 
 import math
-import re
 
 import pytest
 from pyspark.sql import functions as F
