@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catalog.core import ship, table
 
+from .decontamination import contaminations
 from .near_duplicates import near_duplicates
 from .packing import pack
 from .quality import fit_quality, score_quality
@@ -49,7 +50,8 @@ def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-WORDS_SQL = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS_SQL = f"regexp_extract_all({LOWER_SQL}, '[^\\x20\\x09-\\x0D]+')"
 NEAR_SQL = f"""WITH RECURSIVE words AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
     sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5
         THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
@@ -67,6 +69,25 @@ NEAR_SQL = f"""WITH RECURSIVE words AS (SELECT doc_id, {WORDS_SQL} AS w FROM doc
     FROM same LEFT JOIN least ON label = x"""
 
 
+LEAK_SQL = f"""WITH texts AS (SELECT 0 AS kind, doc_id AS id, {WORDS_SQL} AS w FROM documents
+        UNION ALL SELECT 1, item_id, {WORDS_SQL} FROM benchmark),
+    items AS (SELECT DISTINCT id, w, least(len(w), 5) AS k FROM texts WHERE kind = 1 AND len(w) > 0),
+    wanted AS (SELECT id, k, unnest(list_distinct(list_transform(range(1, len(w) - k + 2),
+        lambda i: array_to_string(w[i:i + k - 1], ' ')))) AS g FROM items),
+    sizes AS (SELECT id, k, count(*) AS n FROM wanted GROUP BY id, k),
+    held AS (SELECT DISTINCT id, k, g FROM (SELECT id, k, unnest(list_transform(range(1, len(w) - k + 2),
+        lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g
+        FROM texts, (SELECT DISTINCT k FROM items) WHERE kind = 0 AND len(w) >= k))
+    SELECT h.id AS doc_id, s.id AS item_id, s.n::BIGINT AS n_shingles, count(*)::BIGINT AS n_found
+    FROM held h JOIN wanted t ON h.k = t.k AND h.g = t.g JOIN sizes s ON s.id = t.id AND s.k = t.k
+    GROUP BY h.id, s.id, s.n HAVING 100 * count(*) >= 80 * s.n"""
+
+
+@query("op6_benchmark_leaks", LEAK_SQL)
+def benchmark_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminations(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query("op7_near_duplicates", NEAR_SQL)
 def near_duplicate_classes(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), percent=85)
