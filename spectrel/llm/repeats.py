@@ -32,7 +32,7 @@ GRAM = 16
 SHARD_BYTES = 4 << 20
 HOT_RUNS = 1 << 16
 PARTS = 4
-SLICE = 1 << 18
+SLICE = 1 << 16
 _U = np.uint64
 
 
@@ -224,100 +224,152 @@ def _send_runs(width: int, buckets: int):
 _RUNS = "bucket bigint, shard bigint, hash binary, owner binary, size binary, bytes binary"
 
 
-def transform(symbols: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix places and Burrows-Wheeler transform of strings that each end with symbol 0.
+class Strings:
+    """Strings that each end with symbol 0, laid end to end and read as circles."""
 
-    Equal suffixes keep the order of their strings. ``longest`` bounds the strings; ranks double in length until then.
-    """
-    n = len(symbols)
-    ends = np.flatnonzero(symbols == 0)
-    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)  # symbols before the end
-    key = np.zeros(n, np.uint64)
-    for j in range(8):
-        part = np.zeros(n, np.uint64)
-        part[: n - j] = symbols[j:]
-        part[left < j] = 0
-        key = (key << _U(8)) | part
-    length = 8
+    def __init__(self, size: np.ndarray, data: np.ndarray):
+        n = len(size)
+        self.begin = np.cumsum(size + 1) - size - 1
+        self.symbols = np.zeros(int(size.sum()) + n, np.uint8)
+        inside = np.ones(len(self.symbols), bool)
+        inside[self.begin + size] = False
+        self.symbols[inside] = data + 1  # the byte 255 never occurs in UTF-8
+        self.string = np.repeat(np.arange(n), size + 1)
+        self.around = (size + 1)[self.string]
+        self.place = np.arange(len(self.symbols))
+        self.offset = self.place - self.begin[self.string]
+
+    def ahead(self, steps: int) -> np.ndarray:
+        """The place that many symbols further in the same string."""
+        return self.place + steps - np.where(self.offset + steps >= self.around, self.around, 0)
+
+    def behind(self, steps: int) -> np.ndarray:
+        return self.place - steps + np.where(self.offset < steps, self.around, 0)
+
+
+def _dense(codes: np.ndarray, bound: int) -> tuple[np.ndarray, int]:
+    """Codes below ``bound`` renumbered without gaps in the same order, and how many there are."""
+    seen = np.zeros(bound, bool)
+    seen[codes] = True
+    return (np.cumsum(seen) - 1)[codes], int(np.count_nonzero(seen))
+
+
+def symbol_steps(strings: Strings) -> tuple[int, np.ndarray]:
+    """How many symbols a round can put in front of a row, 4 or 2, and their code (16 bits, in order) from each place."""
+    pair, count = _dense(strings.symbols.astype(np.int64) * 256 + strings.symbols[strings.ahead(1)], 1 << 16)
+    if count * count <= 1 << 24:
+        four, several = _dense(pair * count + pair[strings.ahead(2)], count * count)
+        if several <= 1 << 16:
+            return 4, four.astype(np.uint16)
+    return 2, pair.astype(np.uint16)
+
+
+def suffix_order(strings: Strings, low: int, high: int, depth: int) -> np.ndarray:
+    """The places from ``low`` to ``high`` (whole strings) sorted by at least ``depth`` symbols, by doubling ranks."""
+    key = strings.symbols[low:high].astype(np.uint64)
+    length = 1
     while True:
-        order = np.argsort(key, kind="stable")
-        if length > longest:
-            break
-        ordered = key[order]
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]])).astype(np.uint64)
-        after = np.zeros(n, np.uint64)
-        after[: n - length] = rank[length:] + _U(1)
-        after[left < length] = 0
-        key = (rank << _U(32)) | after
+        if length < 8:
+            after = key
+        else:
+            order = np.argsort(key)
+            if length >= depth:
+                return order + low
+            ordered = key[order]
+            after = np.empty(high - low, np.uint64)
+            after[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]])).astype(np.uint64)
+        shift = _U(8 * length if length < 8 else 32)
+        over = strings.offset[low:high] + length >= strings.around[low:high]
+        key = (after << shift) | after[np.arange(length, high - low + length) - np.where(over, strings.around[low:high], 0)]
         length *= 2
-    before = np.empty_like(symbols)
-    before[0], before[1:] = 0, symbols[:-1]
-    return order, before[order]
 
 
-def merge_transforms(parts: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """The interleave of the rows of several transforms, sorted by their first ``rounds`` symbols, and the blocks of rows
-    that agree in them.
+def merge_transforms(columns: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The interleave of the rows of several transforms, and the blocks of rows that agree in the symbols put in front.
 
-    Row by row, the interleave holds the number of the part that the next row is taken from. One round puts the symbol
-    before each row in front of it: rows are dealt by that symbol and keep their order otherwise. Rows that begin with the
-    end mark stay in the order of the parts. Two neighbours are in one block as long as their symbols and the blocks they
-    came from agree, which is when their common prefix is longer than the rounds so far.
+    ``columns`` has for each round the transform of each part: for each of its rows, in order, the symbols before it. Row
+    by row, the interleave holds the number of the part that the next row is taken from. A round deals the rows by the
+    symbols before them and keeps their order otherwise, which puts these symbols in front of each row. Two neighbours
+    stay in one block as long as these symbols and the blocks they came from agree: their common prefix is as long as
+    all rounds so far. No suffixes of different parts are ever compared.
     """
-    size = [len(p) for p in parts]
-    source = np.repeat(np.arange(len(parts), dtype=np.uint8), size)
-    ends = np.repeat(np.arange(len(parts), dtype=np.uint8), [int(np.count_nonzero(p == 0)) for p in parts])
+    size = [len(part) for part in columns[0]]
+    source = np.repeat(np.arange(len(size), dtype=np.int32), size)
     block = np.zeros(len(source), np.int32)
-    symbol = np.empty(len(source), np.uint8)
-    fresh = np.empty(len(source), bool)
-    for _ in range(rounds):
+    symbol, fresh = np.empty(len(source), np.uint16), np.zeros(len(source), bool)
+    for parts in columns:
         for k, part in enumerate(parts):
             symbol[source == k] = part
         order = np.argsort(symbol, kind="stable")
-        dealt, source, block = symbol[order], source[order], block[order]
-        source[: len(ends)] = ends
-        fresh[0] = False
-        np.not_equal(block[1:], block[:-1], out=fresh[1:])
-        fresh[1:] |= dealt[1:] != dealt[:-1]
-        fresh[: len(ends)] = False
+        packed = (block << 3 | source)[order]
+        dealt, block, source = symbol[order], packed >> 3, packed & 7
+        fresh[1:] = (dealt[1:] != dealt[:-1]) | (block[1:] != block[:-1])
         block = np.cumsum(fresh, dtype=np.int32)
     return source, block
 
 
 def _intervals(size: np.ndarray, data: np.ndarray, owner: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(string, first window, end) of the runs of windows that a string of a smaller owner holds as well."""
-    n = len(size)
-    begin = np.cumsum(size + 1) - size - 1
-    symbols = np.zeros(int(size.sum()) + n, np.uint8)
-    inside = np.ones(len(symbols), bool)
-    inside[begin + size] = False
-    symbols[inside] = data + 1  # the byte 255 never occurs in UTF-8
-    string = np.repeat(np.arange(n), size + 1)
-    edges = np.searchsorted(begin, np.arange(1, PARTS) * len(symbols) // PARTS)
-    edges = np.unique(np.concatenate([[0], edges, [n]]))
-    places, parts = [], []
-    for i, j in zip(edges, edges[1:]):
-        low, high = begin[i], begin[j - 1] + size[j - 1] + 1
-        order, before = transform(symbols[low:high], int(size[i:j].max()))
-        places.append(order + low)
-        parts.append(before)
-    source, block = merge_transforms(parts, width)
-    place = np.empty(len(symbols), np.int64)
-    for k, own in enumerate(places):
-        place[source == k] = own
-    window = place - begin[string[place]] + width <= size[string[place]]
+    strings = Strings(size, data)
+    begin, string, total = strings.begin, strings.string, len(strings.symbols)
+    edges = np.searchsorted(begin, np.arange(1, PARTS) * total // PARTS)
+    edges = np.append(begin, total)[np.unique(np.concatenate([[0], edges, [len(size)]]))]
+    orders = [suffix_order(strings, low, high, width) for low, high in zip(edges, edges[1:])]
+    step, codes = symbol_steps(strings)
+    single, several = strings.symbols[strings.behind(1)].astype(np.uint16), codes[strings.behind(step)]
+    rounds = [single] * (width % step) + [several] * (width // step)
+    cells = {id(column): [column[order] for order in orders] for column in (single, several)}
+    source, block = merge_transforms([cells[id(column)] for column in rounds])
+    place = np.empty(total, np.int64)
+    for k, order in enumerate(orders):
+        place[source == k] = order
+    window = strings.offset[place] + width < strings.around[place]
     place, block = place[window], block[window]
     first = _firsts(block)
-    least = np.repeat(np.minimum.reduceat(owner[string[place]], first), np.diff(np.append(first, len(block))))
-    smaller = np.zeros(len(symbols) + 1, bool)
-    smaller[place] = least < owner[string[place]]
+    holder = owner[string[place]]
+    least = np.repeat(np.minimum.reduceat(holder, first), np.diff(np.append(first, len(block))))
+    smaller = np.zeros(total + 1, bool)
+    smaller[place] = least < holder
     opens = np.flatnonzero(smaller[:-1] & ~np.concatenate([[False], smaller[:-2]]))
     closes = np.flatnonzero(smaller[:-1] & ~smaller[1:]) + 1
     of = string[opens]
     return of, opens - begin[of], closes - begin[of]
 
 
+def _shared(values: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """Which valid values occur more than once."""
+    out = np.zeros(len(values), bool)
+    order = np.argsort(values[valid], kind="stable")
+    ordered = values[valid][order]
+    twice = np.zeros(len(order) + 1, bool)
+    twice[1:-1] = ordered[1:] == ordered[:-1]
+    place = np.flatnonzero(valid)
+    out[place[order]] = twice[1:] | twice[:-1]
+    return out
+
+
+def _partnered(size: np.ndarray, data: np.ndarray, width: int) -> np.ndarray:
+    """Which distinct strings may share a window with another one.
+
+    A window that holds the gram of its run also holds the bytes on its left or on its right, as far as they always fit; a
+    string whose two contexts occur nowhere else shares no window. Strings that hold their gram twice are kept anyway.
+    """
+    begin, more = np.cumsum(size) - size, (width - GRAM) // 2
+    string = np.repeat(np.arange(len(size)), size)
+    grams = np.append(_grams(data), np.full(GRAM - 1, ~_U(0)))
+    left = size[string] - (np.arange(len(data)) - begin[string])
+    grams[left < GRAM] = ~_U(0)
+    found = np.flatnonzero(grams == np.minimum.reduceat(grams, begin)[string])
+    once = np.bincount(string[found], minlength=len(size)) == 1
+    place = np.empty(len(size), np.int64)
+    place[string[found]] = found
+    low, high = place - more, place + GRAM + more
+    has_left, has_right = low >= begin, high <= begin + size
+    lefts = run_hashes(data, np.maximum(low, begin), place + GRAM)
+    rights = run_hashes(data, place, np.minimum(high, begin + size))
+    return ~once | _shared(lefts, has_left) | _shared(rights, has_right)
+
+
 def _answer_runs(width: int):
     def run(table: pa.Table) -> pa.Table:
         marks, owner, size = (_cells(table, n, k) for n, k in (("hash", np.uint64), ("owner", np.int64), ("size", np.uint16)))
@@ -330,7 +382,12 @@ def _answer_runs(width: int):
         chosen = order[first]  # of each distinct string, the one of the smallest document
         string = np.empty(len(marks), np.int64)
         string[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(marks))))
-        of, low, high = _intervals(size[chosen], _pick(data, begin[chosen], size[chosen]), owner[chosen], width)
+        able = np.flatnonzero(_partnered(size[chosen], _pick(data, begin[chosen], size[chosen]), width))
+        few = chosen[able]
+        of = low = high = np.zeros(0, np.int64)
+        if len(few):
+            of, low, high = _intervals(size[few], _pick(data, begin[few], size[few]), owner[few], width)
+            of = able[of]
         least = owner[chosen][string]
         whole = np.flatnonzero(owner > least)
         part = np.flatnonzero(owner == least)
