@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 from catalog.core import ship, table
 
 from .decontamination import contaminations
+from .language import fit_languages, predict_languages
+from .licenses import BY_LINE, BY_MARK, CAPITALS, RULES, SENTENCES, SMALL, recognise_licenses
 from .near_duplicates import near_duplicates
 from .packing import pack
 from .quality import fit_quality, score_quality
 from .repeats import cut_repeats
+from .topk import scaled, top_k
+from .url_rules import HOST_RULES, PATTERNS, host_rule, pattern_rule, filter_urls, rule_table
+from .warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -41,6 +46,79 @@ def remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % divisor
 
 
+@query("op1_languages")
+def languages(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    field = fit_languages(docs, remainder(4) != 2)
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    predicted = predict_languages(docs.select("doc_id", "text"), field)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def text_literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _matches(rules: list[tuple], subject: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT page_id, {text_literal(rule)} AS rule, {text_literal(verdict)} AS verdict, {rank} AS by_host FROM parts"
+        f" WHERE regexp_matches({subject}, {text_literal(regex)})"
+        for rule, verdict, rank, regex, _ in rules
+    )
+
+
+URL_SQL = f"""WITH parts AS (SELECT page_id, url,
+        translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{CAPITALS}', '{SMALL}') AS host,
+        regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+    matches AS ({_matches([host_rule(*r) for r in HOST_RULES], "host || path")}
+        UNION ALL {_matches([pattern_rule(*p) for p in PATTERNS], "url")}),
+    best AS (SELECT page_id, rule, verdict, by_host FROM matches
+        QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY by_host DESC, length(rule) DESC, rule DESC, verdict DESC) = 1)
+    SELECT page_id, host, path, CASE WHEN by_host THEN rule END AS rule, CASE WHEN NOT by_host THEN rule END AS pattern,
+        coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (page_id)"""
+
+
+@query("op2_url_verdicts", URL_SQL)
+def url_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return filter_urls(pages, rule_table(spark)).select("page_id", "host", "path", "rule", "pattern", "verdict")
+
+
+TOP_SQL = """WITH usable AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+        FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (SELECT *, row_number() OVER (
+        PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10"""
+
+
+@query("op3_top_vectors", TOP_SQL)
+def top_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", scaled(F.col("embedding")).alias("vector"))
+    return top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
+WARC_SQL = """WITH facts AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+        sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM facts)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to FROM firsts"""
+
+
+@query("op4_archived_pages", WARC_SQL)
+def archived_pages(spark: SparkSession, sf: str) -> DataFrame:
+    def page(column: str) -> Column:
+        return F.regexp_extract(column, r"<urn:page:(-?\d+)>", 1)
+
+    records = archive_round_trip(table(spark, sf, "pages")).where("reason IS NULL")
+    return records.select(
+        F.when(page("record_id") != "", page("record_id")).cast("bigint").alias("page_id"),
+        "payload_bytes", "payload_digest", "record_type",
+        F.when(page("refers_to") != "", page("refers_to")).cast("bigint").alias("refers_to"),
+    )
+
+
 @query("op5_quality_scores")
 def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -93,6 +171,33 @@ def near_duplicate_classes(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), percent=85)
 
 
+def _licence_steps(name: str, ends: str) -> str:
+    small = f"translate(coalesce(text, ''), '{CAPITALS}', '{SMALL}')"
+    ids = "".join(f" WHEN {text_literal(sentence)} THEN {text_literal(f'<{i}>')}" for i, sentence in SENTENCES)
+    return (
+        f"list_aggregate(list_transform(list_transform(string_split_regex({small}, {text_literal(ends)}),"
+        f" lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))), lambda s: CASE s{ids} ELSE '' END), 'string_agg', '') AS {name}"
+    )
+
+
+def _licence_rules(column: str) -> str:
+    for licence, sequence in RULES:
+        column = f"replace({column}, {text_literal(''.join(f'<{i}>' for i in sequence))}, {text_literal(f'[{licence}]')})"
+    return column
+
+
+LICENCE_SQL = f"""WITH found AS (SELECT doc_id, {_licence_steps("a", BY_LINE)}, {_licence_steps("b", BY_MARK)} FROM documents),
+    ruled AS (SELECT *, {_licence_rules("a")} AS ra, {_licence_rules("b")} AS rb FROM found)
+    SELECT doc_id, CASE WHEN a <> '' THEN a ELSE b END AS sentence_ids,
+        array_to_string(list_sort(list_distinct(regexp_extract_all(ra || rb, '\\[([^\\]]+)\\]', 1))), ',') AS licenses,
+        array_to_string(regexp_extract_all(CASE WHEN a <> '' THEN ra ELSE rb END, '<([^>]+)>', 1), ',') AS unmatched_ids FROM ruled"""
+
+
+@query("op8_license_scan", LICENCE_SQL)
+def license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return recognise_licenses(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
+
+
 @query("op9_sequences")
 def sequences(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
