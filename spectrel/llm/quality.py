@@ -19,7 +19,7 @@ from .columns import SPACE, combined, flat, mix, slices, word_hashes
 BUCKETS = 1 << 13
 SAMPLE = 4000
 FACTORS = 4
-EPOCHS = 12
+STEPS = 900  # of 64 rows, whatever the number of rows
 _U = np.uint64
 
 _KIND = np.zeros(256, np.uint8)  # classes of bytes: 1 small, 2 capital, 3 digit, 4 space, 5 part of a longer character, 0 other
@@ -135,8 +135,9 @@ def train(rows: Rows, labels: np.ndarray) -> Machine:
     row, feature, value = row[order], feature[order], value[order]
     first = np.searchsorted(row, np.arange(n + 1))
     seen_w, seen_v, seen_b = np.full(width, 1e-8), np.full((width, FACTORS), 1e-8), 1e-8
-    for _ in range(EPOCHS):
-        for batch in np.array_split(random.permutation(n), max(1, n // 64)):
+    batches = max(1, n // 64)
+    for _ in range(-(-STEPS // batches)):
+        for batch in np.array_split(random.permutation(n), batches):
             pick = np.concatenate([np.arange(first[i], first[i + 1]) for i in batch])
             r = np.repeat(np.arange(len(batch)), first[batch + 1] - first[batch])
             f, x = feature[pick], value[pick]

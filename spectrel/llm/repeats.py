@@ -3,7 +3,7 @@
 A text is cut into runs of neighbouring windows (strings of ``width`` bytes) that share their least 16-byte gram, so equal
 windows of any two documents always lie in runs with the same gram. Documents are dealt to shards, and in one plan:
 
-1. each shard sends the grams of its runs to buckets, which answer which grams occur in several documents;
+1. each shard sends 32 bits of the grams of its runs to buckets, which answer which occur in several documents;
 2. each shard sends its distinct runs with such a gram, with the smallest document of each, to the bucket of the gram;
    there the runs are dealt to a few parts, each with its own transform, and the transforms are merged: the interleave of
    the parts is refined one symbol at a time, without sorting their suffixes together. After ``width`` rounds the rows
@@ -83,10 +83,15 @@ def window_runs(text: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.nd
     return tuple(np.concatenate(p) for p in zip(*parts))
 
 
-def _split_hot(runs: tuple, hot: np.ndarray) -> tuple:
-    """The runs, with those of a hot gram cut into single windows."""
+def _names(gram: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each gram and the 32 bits that are sent there."""
+    return (gram >> _U(32)) % _U(buckets) << _U(32) | gram & _U(0xFFFFFFFF)
+
+
+def _split_hot(runs: tuple, hot: np.ndarray, buckets: int) -> tuple:
+    """The runs, with those of a hot gram cut into single windows. Hot grams are named alike to all shards that hold them."""
     place, count, gram, row = runs
-    cut = np.isin(gram, hot)
+    cut = np.isin(_names(gram, buckets), hot) if len(hot) else np.zeros(len(gram), bool)
     if not cut.any():
         return (*runs, np.zeros(len(place), bool))
     times = np.where(cut, count, 1)
@@ -146,11 +151,11 @@ def _send_grams(width: int, buckets: int):
             several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
             times = np.minimum(np.diff(np.append(first, len(gram))), 127).astype(np.uint8) | (several.astype(np.uint8) << 7)
             gram = gram[first]
-            bucket = ((gram >> _U(20)) % _U(buckets)).astype(np.int64)
+            bucket = (_names(gram, buckets) >> _U(32)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             gram, times = gram[order], times[order]
-            out = [(k, shard, gram[i:j].tobytes(), times[i:j].tobytes()) for k, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
+            out = [(k, shard, gram[i:j].astype(np.uint32).tobytes(), times[i:j].tobytes()) for k, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
         return pa.Table.from_pylist(
             [dict(zip(("bucket", "shard", "gram", "times"), r)) for r in out],
             pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), ("gram", pa.binary()), ("times", pa.binary())]),
@@ -164,9 +169,8 @@ _GRAMS = "bucket bigint, shard bigint, gram binary, times binary"
 
 def _answer_grams(hot_runs: int):
     def run(table: pa.Table) -> pa.Table:
-        grams, times = _cells(table, "gram", np.uint64), _cells(table, "times", np.uint8)
+        grams, times = _cells(table, "gram", np.uint32), _cells(table, "times", np.uint8)
         every, count = np.concatenate(grams), np.concatenate(times)
-        source = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         order = np.argsort(every, kind="stable")
         ordered = every[order]
         first = _firsts(ordered)
@@ -175,14 +179,11 @@ def _answer_grams(hot_runs: int):
         hot = np.add.reduceat((count[order] & 127).astype(np.int64), first) > hot_runs
         keep = np.zeros(len(every), np.uint8)
         keep[order] = np.repeat(np.where(several, 1 + hot, 0), size)
-        rows = []
-        for k, shard in enumerate(table["shard"].to_pylist()):
-            mine, gram = keep[source == k] if len(grams) < 64 else None, grams[k]
-            if mine is None:
-                low = int(np.searchsorted(source, k))
-                mine = keep[low : low + len(gram)]
+        rows, bucket, low = [], _U(table["bucket"][0].as_py() << 32), 0
+        for shard, gram in zip(table["shard"].to_pylist(), grams):
+            mine, low = keep[low : low + len(gram)], low + len(gram)
             if mine.any():
-                rows.append({"shard": shard, "gram": gram[mine > 0].tobytes(), "hot": gram[mine > 1].tobytes()})
+                rows.append({"shard": shard, "gram": gram[mine > 0].tobytes(), "hot": (gram[mine > 1] | bucket).tobytes()})
         return pa.Table.from_pylist(rows, pa.schema([("shard", pa.int64()), ("gram", pa.binary()), ("hot", pa.binary())]))
 
     return run
@@ -191,17 +192,17 @@ def _answer_grams(hot_runs: int):
 # ---- step 2: repeated intervals ------------------------------------------------
 
 
-def _send_runs(width: int, buckets: int):
+def _send_runs(width: int, gram_buckets: int, buckets: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         schema = pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), *((n, pa.binary()) for n in ("hash", "owner", "size", "bytes"))])
         if not len(table) or not len(answers):
             return schema.empty_table()
         shard = table["shard"][0].as_py()
         text, starts, ids = _own_text(table)
-        wanted = np.sort(np.concatenate(_cells(answers, "gram", np.uint64)))
-        place, count, gram, row, cut = _split_hot(window_runs(text, starts, width), np.concatenate(_cells(answers, "hot", np.uint64)))
-        spot = np.minimum(np.searchsorted(wanted, gram), len(wanted) - 1)
-        hit = wanted[spot] == gram
+        wanted = np.sort(np.concatenate(_cells(answers, "gram", np.uint32)))
+        place, count, gram, row, cut = _split_hot(window_runs(text, starts, width), np.concatenate(_cells(answers, "hot", np.uint64)), gram_buckets)
+        half = gram.astype(np.uint32)
+        hit = wanted[np.minimum(np.searchsorted(wanted, half), len(wanted) - 1)] == half
         place, count, gram, row, cut = place[hit], count[hit], gram[hit], row[hit], cut[hit]
         size = count + width - 1
         marks, owner = _hashes(text, place, place + size), ids[row]
@@ -412,11 +413,11 @@ def _answer_runs(width: int):
 # ---- step 3: the documents without the repeats -----------------------------------
 
 
-def _covered(text: np.ndarray, starts: np.ndarray, ids: np.ndarray, width: int, table: pa.Table) -> np.ndarray:
+def _covered(text: np.ndarray, starts: np.ndarray, ids: np.ndarray, width: int, buckets: int, table: pa.Table) -> np.ndarray:
     """Which bytes some window of a smaller document covers."""
     hot = np.concatenate([np.zeros(0, np.uint64), *_cells(table.filter(pc.is_valid(table["hot"])), "hot", np.uint64)])
     found = table.filter(pc.is_valid(table["hash"]))
-    place, count, _, row, _ = _split_hot(window_runs(text, starts, width), hot)
+    place, count, _, row, _ = _split_hot(window_runs(text, starts, width), hot, buckets)
     marks, owner = _hashes(text, place, place + count + width - 1), ids[row]
     cover = np.zeros(len(text) + 1, np.int32)
 
@@ -442,11 +443,11 @@ def _covered(text: np.ndarray, starts: np.ndarray, ids: np.ndarray, width: int,
     return np.cumsum(cover[:-1]) > 0
 
 
-def _cut(width: int, with_text: bool):
+def _cut(width: int, buckets: int, with_text: bool):
     def run(table: pa.Table, messages: pa.Table) -> pa.Table:
         table = table.take(pc.sort_indices(table["doc_id"], null_placement="at_end"))
         text, starts, ids = _own_text(table)
-        gone = _covered(text, starts, ids, width, messages) if len(ids) else np.zeros(0, bool)
+        gone = _covered(text, starts, ids, width, buckets, messages) if len(ids) else np.zeros(0, bool)
         if len(table) > len(ids):  # rows without id stay whole
             text, starts = flat(table["text"])
             gone = np.concatenate([gone, np.zeros(len(text) - len(gone), bool)])
@@ -494,7 +495,7 @@ def cut_repeats(
     by_shard = dealt.groupBy("shard")
     grams = by_shard.applyInArrow(_send_grams(width, buckets), _GRAMS)
     answers = grams.groupBy("bucket").applyInArrow(_answer_grams(hot_runs), "shard bigint, gram binary, hot binary")
-    runs = by_shard.cogroup(answers.groupBy("shard")).applyInArrow(_send_runs(width, shards), _RUNS)
+    runs = by_shard.cogroup(answers.groupBy("shard")).applyInArrow(_send_runs(width, buckets, shards), _RUNS)
     found = runs.groupBy("bucket").applyInArrow(_answer_runs(width), "shard bigint, hash binary, low binary, high binary")
     nothing = F.lit(None).cast("binary")
     hot = answers.where("octet_length(hot) > 0").select("shard", nothing.alias("hash"), nothing.alias("low"), nothing.alias("high"), "hot")
@@ -504,4 +505,4 @@ def cut_repeats(
         + [StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
         + [StructField(n, StringType()) for n in ("kept_sha256", "kept_text")]
     )
-    return by_shard.cogroup(messages.groupBy("shard")).applyInArrow(_cut(width, with_text), schema)
+    return by_shard.cogroup(messages.groupBy("shard")).applyInArrow(_cut(width, buckets, with_text), schema)
