@@ -309,12 +309,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, id_column
     )
     full = written(full, "full_sets")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
+    def near(pairs: DataFrame) -> DataFrame:
         one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("marks").alias("marks_a"))
         two = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("marks").alias("marks_b"))
         sized = pairs.join(one, "a").join(two, "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        near = sized.select("a", "b", "marks_a", "marks_b").mapInArrow(_near(starts), "a bigint, b bigint")
-        whole = near.join(full.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(
+        return sized.select("a", "b", "marks_a", "marks_b").mapInArrow(_near(starts), "a bigint, b bigint")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        whole = pairs.join(full.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(
             full.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b"
         )
         return whole.mapInArrow(_confirm(percent), "a bigint, b bigint")
@@ -324,7 +326,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, id_column
     open_keys = members
     for _ in range(STAR_ROUNDS):
         stars = written(_stars(open_keys, tried), "stars")
-        found = written(confirmed(stars), "links")
+        found = written(confirmed(near(stars)), "links")
         tried = stars if tried is None else tried.union(stars)
         links = found if links is None else links.union(found)
         groups = written(components(links), "groups")
