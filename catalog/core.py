@@ -88,6 +88,8 @@ def _letters_sql(text: str) -> str:
 PROTEIN_SQL = {
     "documents": f"""prot AS (SELECT concat('sp|D', lpad(doc_id::VARCHAR,8,'0'), '|', lang) AS accession,
         source AS description, {_letters_sql('text')} AS sequence FROM documents)""",
+    "letters": """prot AS (SELECT concat('D', doc_id::VARCHAR) AS accession, '' AS description,
+        upper(regexp_replace(text,'[^A-Za-z]','','g')) AS sequence FROM documents)""",
     "benchmark": f"""prot AS (SELECT concat('B', lpad(item_id::VARCHAR,6,'0')) AS accession,
         '' AS description, {_letters_sql('text')} AS sequence FROM benchmark)""",
 }

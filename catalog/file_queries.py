@@ -23,9 +23,9 @@ from .core import PROTEIN_SQL, VECTOR_SQL, document_proteins, query, table, vect
 from .search_queries import _TOP, lineitem_hits
 
 
-def written(spark, name: str, df, **options) -> str:
+def written(spark, name: str, df, suffix: str = "", **options) -> str:
     """A text folder holding the ``value`` column."""
-    path = new_path(spark, name)
+    path = new_path(spark, name) + suffix
     writer = df.write
     for key, value in options.items():
         writer = writer.option(key, value)
@@ -40,7 +40,7 @@ def written(spark, name: str, df, **options) -> str:
 def fasta_scan(spark, sf):
     path = new_path(spark, "fasta")
     pr.write_proteins(document_proteins(spark, sf), path)
-    return pr.read_proteins(spark, path).drop("source_file")
+    return pr.read_proteins(spark, path).drop("source_file", "left_out")
 
 
 @query(
@@ -77,7 +77,7 @@ def write_vectors_mgf(spark, sf) -> str:
             ),
         ).alias("value")
     )
-    return written(spark, "mgf", blocks)
+    return written(spark, "mgf", blocks, ".mgf")
 
 
 @query(

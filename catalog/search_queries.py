@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from spectrel.functions.fixed_values import FRAGMENT_BIN, FRAGMENT_OFFSET, MASS_TOLERANCE, PROTON, PROTON_DALTON
 from spectrel.functions.masses import MICRO, peptide_mass
 from spectrel.operators.hits import merge_hits, sort_hits, top_hits
-from spectrel.operators.batching import index_rows
+from spectrel.operators.batching import index_rows, index_within
 from spectrel.operators.joins import pair_batches
-from spectrel.operators.shared import written
+from spectrel.operators.shared import new_path, written
 from spectrel.plans import digest as dg
 from spectrel.plans import search as se
 from spectrel.plans import spectra as sp
-from spectrel.sources.proteins import fasta_record
-from spectrel.sources.spectra import mgf_block
+from spectrel.sources.proteins import fasta_record, read_proteins, write_proteins
+from spectrel.sources.spectra import encode_peaks, mgf_block, read_spectra, scan_xml, write_mgf
+from spectrel.sources.text_files import write_framed_text
 
 from .core import (
     HIGH,
@@ -26,6 +27,7 @@ from .core import (
     prefix_sql,
     query,
     spectra_sql,
+    spread,
     table,
 )
 
@@ -37,6 +39,18 @@ def digest_peptides(spark, sf):
     return dg.digest(document_proteins(spark, sf))
 
 
+@query("digest_mixed_letters", f"WITH {digest_sql('letters')} SELECT accession, sequence, mass_uda, missed FROM pep")
+def digest_mixed_letters(spark, sf):
+    """All letters of the texts as they come, lower case too, through a FASTA file with signs that are no letters."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    letters = F.regexp_replace("text", "[^A-Za-z]", "")
+    marked = F.concat(F.substring(letters, 1, 3), F.lit("*-"), F.expr("substring(regexp_replace(text, '[^A-Za-z]', ''), 4)"))
+    proteins = docs.select(F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("accession"), F.lit("").alias("description"), marked.alias("sequence"))
+    path = new_path(spark, "fasta")
+    write_proteins(proteins, path)
+    return dg.digest(read_proteins(spark, path), places=False)
+
+
 @query(
     "peptide_mass",
     f"""WITH {digest_sql('documents')} SELECT accession, count(*) AS n_peptides, sum(mass_uda)::BIGINT AS total_uda,
@@ -243,7 +257,7 @@ SCORED_CTES = f"""{CANDIDATE_CTES}, {mods_sql('base', 'mods', ', accession')}, {
 
 @query("xcorr_score", f"WITH {SCORED_CTES} SELECT spectrum_id, charge, peptide, accession, xcorr_sum FROM scored")
 def xcorr_score(spark, sf):
-    return se.scored_candidates(document_proteins(spark, sf), benchmark_spectra(spark, sf)).drop("xcorr")
+    return se.scored_candidates(document_proteins(spark, sf), benchmark_spectra(spark, sf)).drop("xcorr", "source_file")
 
 
 _RANKED = """ranked AS (SELECT *, row_number() OVER (PARTITION BY spectrum_id ORDER BY xcorr_sum DESC, peptide, charge)::INTEGER AS hit_rank,
@@ -256,7 +270,106 @@ _RANKED = """ranked AS (SELECT *, row_number() OVER (PARTITION BY spectrum_id OR
     FROM ranked WHERE hit_rank <= 5""",
 )
 def search_top_hits(spark, sf):
-    return se.search(document_proteins(spark, sf), benchmark_spectra(spark, sf))
+    return se.search(document_proteins(spark, sf), benchmark_spectra(spark, sf)).drop("source_file")
+
+
+_RUN = "length(spectrum_id) % 4"
+_RUN_OF = f"CASE {_RUN} WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN 'c' ELSE 'd' END"
+
+
+@query(
+    "search_many_runs",
+    f"""WITH {SCORED_CTES}, {_RANKED},
+    files AS (SELECT spectrum_id, {_RUN_OF} AS run, row_number() OVER (PARTITION BY {_RUN} ORDER BY spectrum_id) AS number FROM spec)
+    SELECT run, concat(CASE WHEN run < 'c' THEN 'scan-' ELSE 't' END, number) AS spectrum_id, charge, peptide, accession, xcorr_sum, hit_rank
+    FROM ranked JOIN files USING (spectrum_id) WHERE hit_rank <= 2""",
+)
+def search_many_runs(spark, sf):
+    """Two mzXML and two MGF runs in one folder; scan numbers and titles repeat between the runs."""
+    spectra = benchmark_spectra(spark, sf).withColumn("run", F.expr(_RUN_OF))
+    spectra = written(index_within(spectra, ["run"], [F.col("spectrum_id")], "number", unique=True), "runs")
+    spectra = spectra.withColumn("scan_num", (F.col("number") + 1).cast("int")).withColumn("peaks_count", F.size("peaks"))
+    folder = new_path(spark, "folder")
+    for run in "ab":
+        texts = scan_xml(encode_peaks(spectra.where(F.col("run") == run), 64), 64)
+        write_framed_text(texts, f"{folder}/{run}.mzXML", ["scan_num"], "scan_text", "<mzXML>\n <msRun>\n", " </msRun>\n</mzXML>")
+    for run in "cd":
+        own = spectra.where(F.col("run") == run).withColumn("spectrum_id", F.concat(F.lit("t"), F.col("scan_num").cast("string")))
+        write_mgf(own, f"{folder}/{run}.mgf")
+    hits = se.search(document_proteins(spark, sf), read_spectra(spark, f"{folder}/*"), n=2)
+    run = F.regexp_extract("source_file", r"/([a-d])\.[A-Za-z]+/[^/]*$", 1)
+    return hits.select(run.alias("run"), "spectrum_id", "charge", "peptide", "accession", "xcorr_sum", "hit_rank")
+
+
+_NARROW = "mass_uda BETWEEN 1000000000 AND 2000000000"
+
+
+@query(
+    "candidate_windows",
+    f"""WITH {CANDIDATE_CTES}, pairs AS (SELECT p.spectrum_id, b.sequence FROM prec p JOIN base b
+        ON b.mass_uda BETWEEN p.mh_uda - 1000000 AND p.mh_uda + 1000000 WHERE b.{_NARROW})
+    SELECT 'shared' AS form, * FROM pairs UNION ALL SELECT 'shuffled', * FROM pairs""",
+)
+def candidate_windows(spark, sf):
+    """Both forms of the window join: windows of 1 Da, bins of 3 Da, peptides of a narrower mass range."""
+    peptides = written(se.peptide_table(document_proteins(spark, sf), modify=False), "peptides")
+    spectra = sp.with_precursor(benchmark_spectra(spark, sf), 1.0).select("spectrum_id", "charge", "mh_uda", "low_uda", "high_uda")
+    spectra = written(spectra, "spectra")
+    out = None
+    for form, most in (("shared", se.BROADCAST_SPECTRA_BYTES), ("shuffled", 0)):
+        pairs = se.candidates(spectra, peptides, mass_range=(1000.0, 2000.0), max_broadcast_bytes=most)
+        pairs = pairs.select(F.lit(form).alias("form"), "spectrum_id", "sequence")
+        out = pairs if out is None else out.unionAll(pairs)
+    return out
+
+
+@query(
+    "search_ppm",
+    f"""WITH {SCORED_CTES.replace(f"mh_uda - {TOL} AS low_uda, mh_uda + {TOL} AS high_uda",
+        "mh_uda - floor(mh_uda::DOUBLE * 20.0::DOUBLE / 1000000.0::DOUBLE)::BIGINT AS low_uda, mh_uda + floor(mh_uda::DOUBLE * 20.0::DOUBLE / 1000000.0::DOUBLE)::BIGINT AS high_uda"
+        ).replace("charged AS (SELECT * FROM spec)", "charged AS (SELECT * FROM spec WHERE charge = 2)")}, {_RANKED}
+    SELECT spectrum_id, charge, peptide, accession, xcorr_sum, hit_rank FROM ranked WHERE hit_rank <= 5""",
+)
+def search_ppm(spark, sf):
+    """A window of 20 ppm, and of the spectra those of charge 2, both set through the search."""
+    hits = se.search(
+        document_proteins(spark, sf), benchmark_spectra(spark, sf),
+        tolerance=20.0, tolerance_unit="ppm", bin_width=0.5, spectrum_filter={"max_charge": 2},
+    )
+    return hits.select("spectrum_id", "charge", "peptide", "accession", "xcorr_sum", "hit_rank")
+
+
+_DECOY_CTES = SCORED_CTES.replace(
+    "parts AS (SELECT accession, list_filter(string_split(regexp_replace(regexp_replace(sequence,'([KR])','\\1|','g'),\n        '\\|P','P','g'),'|'), lambda x: x <> '') AS l FROM prot)",
+    "parts AS (SELECT accession, list_filter(string_split(regexp_replace(regexp_replace(sequence,'([KR])','\\1|','g'),\n        '\\|P','P','g'),'|'), lambda x: x <> '') AS l"
+    " FROM (SELECT accession, sequence FROM prot UNION ALL SELECT concat('DECOY_', accession), reverse(sequence) FROM prot))",
+).replace(
+    "min(accession) AS accession FROM pep GROUP BY",
+    "coalesce(min(accession) FILTER (NOT starts_with(accession, 'DECOY_')), min(accession)) AS accession FROM pep GROUP BY",
+)
+
+
+@query(
+    "search_with_decoys",
+    f"""WITH {_DECOY_CTES}, {_RANKED} SELECT spectrum_id, charge, peptide, accession, xcorr_sum, hit_rank,
+        starts_with(accession, 'DECOY_') AS is_decoy FROM ranked WHERE hit_rank <= 3""",
+)
+def search_with_decoys(spark, sf):
+    """A peptide that a target holds as well is reported under the target."""
+    hits = se.search(document_proteins(spark, sf), benchmark_spectra(spark, sf), n=3, decoys=True)
+    decoy = F.col("accession").startswith("DECOY_").alias("is_decoy")
+    return hits.select("spectrum_id", "charge", "peptide", "accession", "xcorr_sum", "hit_rank", decoy)
+
+
+@query(
+    "hit_proteins",
+    f"""WITH {SCORED_CTES}, {_RANKED} SELECT r.spectrum_id, r.charge, r.hit_rank, r.peptide, p.accession, p.start, p."end", p.prev, p.next,
+        false AS is_decoy FROM ranked r JOIN pep p ON p.sequence = upper(r.peptide) WHERE r.hit_rank <= 5""",
+)
+def hit_proteins(spark, sf):
+    proteins = document_proteins(spark, sf)
+    hits = written(se.search(proteins, benchmark_spectra(spark, sf)), "hits")
+    return se.hit_proteins(hits, dg.digest(proteins)).drop("source_file")
 
 
 @query(

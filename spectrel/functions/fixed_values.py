@@ -26,6 +26,9 @@ RESIDUE_MASS = {
     "V": 99068414,
     "W": 186079313,
     "Y": 163063329,
+    # as the search parameters list them; B, J, X and Z weigh nothing there and have no entry
+    "U": 150953630,
+    "O": 132089880,
 }
 AMINO_ACIDS = "ACDEFGHIKLMNPQRSTVWY"
 
@@ -65,7 +68,6 @@ MAX_PRECURSOR_CHARGE = 6
 MAX_FRAGMENT_CHARGE = 3
 FRAGMENT_BIN = 1.0005
 FRAGMENT_OFFSET = 0.4
-NUM_RESULTS = 100
 NUM_OUTPUT = 5
 PROTEINS_PER_BATCH = 2000
 SPECTRA_PER_BATCH = 500

@@ -98,13 +98,16 @@ def batch_rows(
 
 
 def group_to_lists(df: DataFrame, key: str, value: str, max_len: int = 1000) -> DataFrame:
-    """Values per key as sorted lists; a long group continues in further parts.
+    """Values per key as sorted lists of ``max_len``; only a longer group continues in further parts.
 
-    Equal pairs are counted first, and parts are cut from the global order, so one
-    hot key or pair spreads over many tasks and no list is longer than ``max_len``.
+    Equal pairs are counted first, and places come from the global order less the
+    place where the key begins, so one hot key or pair spreads over many tasks.
     """
     counted = df.groupBy(key, value).agg(F.count("*").alias("_n"))
-    runs = run_starts(counted, [F.col(key), F.col(value)]).withColumn("_end", F.col("_start") + F.col("_n") - 1)
+    runs = run_starts(counted, [F.col(key), F.col(value)])
+    begins = runs.groupBy(key).agg(F.min("_start").alias("_begin"))
+    runs = runs.join(begins, runs[key].eqNullSafe(begins[key])).drop(begins[key])
+    runs = runs.withColumn("_start", F.col("_start") - F.col("_begin")).withColumn("_end", F.col("_start") + F.col("_n") - 1).drop("_begin")
     first_part, last_part = F.floor(F.col("_start") / max_len), F.floor(F.col("_end") / max_len)
     cut = runs.withColumn("_part", F.explode(F.sequence(first_part, last_part)))
     low = F.greatest(F.col("_start"), F.col("_part") * max_len)
@@ -115,8 +118,7 @@ def group_to_lists(df: DataFrame, key: str, value: str, max_len: int = 1000) ->
     lists = lists.select(
         key, "_part", F.flatten(F.transform("_pieces", lambda p: F.array_repeat(p[value], p["_len"]))).alias("items")
     )
-    first = lists.groupBy(key).agg(F.min("_part").alias("_first"))
-    return lists.join(first, key).select(key, (F.col("_part") - F.col("_first")).alias("part_no"), "items")
+    return lists.select(key, F.col("_part").alias("part_no"), "items")
 
 
 def pairs_to_maps(df: DataFrame, key: str, value: str, max_len: int = 1000) -> DataFrame:

@@ -29,6 +29,11 @@ def bin_grid(points: DataFrame, ranges: DataFrame, ranges_per_cell: int, pairs_p
     )
 
 
+def check_width(width: int) -> None:
+    if width < 1:
+        raise ValueError("bins are at least one unit wide")
+
+
 def range_join(
     points: DataFrame,
     ranges: DataFrame,
@@ -60,6 +65,7 @@ def range_join(
     ``prepare_points`` and ``prepare_ranges`` add columns to the sides of the join;
     counting the bins does not pay for them.
     """
+    check_width(width)
     low_bin = F.floor(F.col(low) / F.lit(width)).cast("bigint")
     high_bin = F.floor(F.col(high) / F.lit(width)).cast("bigint")
     points = points.where(F.col(value).isNotNull())
@@ -144,6 +150,7 @@ def shared_table_join(
 
     Above the limit the shuffle join gives the same rows.
     """
+    check_width(width)
     if not small_enough(points, max_bytes):
         return range_join(points, ranges, value, low, high, width, **kwargs)
     points = points.withColumn("_bin", F.floor(F.col(value) / F.lit(width)).cast("bigint"))

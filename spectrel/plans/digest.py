@@ -149,8 +149,9 @@ def distinct_peptides(digested: DataFrame) -> DataFrame:
 
 
 def search_peptides(digested: DataFrame) -> DataFrame:
-    """The peptide table of a search: each sequence once, with its first protein."""
-    return digested.groupBy("sequence", "mass_uda").agg(F.min("accession").alias("accession"))
+    """The peptide table of a search: each sequence once, with its first protein; a decoy only if no target holds it."""
+    first = F.min(F.struct(F.col("accession").startswith(DECOY_LABEL).alias("decoy"), "accession"))
+    return digested.groupBy("sequence", "mass_uda").agg(first["accession"].alias("accession"))
 
 
 def variable_mods(
@@ -299,8 +300,9 @@ def with_fragment_bins(peptides: DataFrame, max_charge: int = MAX_FRAGMENT_CHARG
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
             sequences = batch.column("sequence")
-            text = np.frombuffer("".join(sequences.to_pylist()).encode("ascii"), dtype=np.uint8)
-            ends = np.cumsum(pc.binary_length(sequences).to_numpy(zero_copy_only=False).astype(np.int64))
+            # a letter outside ASCII weighs nothing, like B, J, X and Z
+            text = np.frombuffer("".join(sequences.to_pylist()).encode("ascii", "replace"), dtype=np.uint8)
+            ends = np.cumsum(pc.utf8_length(sequences).to_numpy(zero_copy_only=False).astype(np.int64))
             mass = batch.column("mass_uda").to_numpy(zero_copy_only=False)
             columns = []
             for row, bins in bins_by_charge(text, ends, mass, max_charge):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
+    DECOY_LABEL,
     LENGTH_RANGE,
     MASS_RANGE,
     MASS_TOLERANCE,
@@ -18,7 +19,7 @@ from ..functions.fixed_values import (
 )
 from ..functions.masses import MICRO
 from ..operators.hits import top_hits
-from ..operators.joins import range_join, shared_table_join, small_enough
+from ..operators.joins import check_width, range_join, shared_table_join, small_enough
 from ..operators.shared import written
 from .digest import digest, search_peptides, variable_mods, with_decoys, with_fragment_bins
 from .spectra import INTENSITY_UNIT, OFFSET_BINS, XCORR_SCALE, filter_spectra, with_precursor, with_vectors
@@ -53,6 +54,9 @@ def mass_domain(mass_range: tuple[float, float] = MASS_RANGE) -> tuple[int, int]
     return int(mass_range[0] * MICRO), int(mass_range[1] * MICRO)
 
 
+# What names a spectrum: ids repeat between files.
+SPECTRUM = ["source_file", "spectrum_id"]
+
 # Spectra (with vectors) up to this measured size are sent to every task; each is there once per mass bin.
 BROADCAST_SPECTRA_BYTES = 64 << 20
 
@@ -60,36 +64,43 @@ BROADCAST_SPECTRA_BYTES = 64 << 20
 def candidates(
     spectra: DataFrame,
     peptides: DataFrame,
-    tolerance: float = MASS_TOLERANCE,
+    bin_width: float = MASS_TOLERANCE,
     mass_range: tuple[float, float] = MASS_RANGE,
     max_broadcast_bytes: int = BROADCAST_SPECTRA_BYTES,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     **limits,
 ) -> DataFrame:
-    """Peptides whose mass lies in the precursor window of a spectrum.
+    """Peptides in ``mass_range`` whose mass lies in the spectrum's own window, ``low_uda`` to ``high_uda``.
 
     Few spectra go to every task, and the peptides stay where they are. Otherwise
     both sides are shuffled by mass bin: a spectrum, with its long vector, moves
-    once, and the short peptide rows are repeated for the bins of their window.
+    once for each part of the peptides in its bin, and the short peptide rows are
+    repeated for the bins of the widest window. ``bin_width`` (daltons) changes
+    the cost of either form and never the pairs.
     """
-    width = int(tolerance * MICRO)
+    width = int(bin_width * MICRO)
+    check_width(width)
     low, high = mass_domain(mass_range)
     if max_broadcast_bytes and small_enough(spectra, max_broadcast_bytes):
         return range_join(
             peptides, spectra, "mass_uda", "low_uda", "high_uda", width, (low, high),
             broadcast_ranges=True, prepare_points=prepare,
         )
-    windows = peptides.withColumn("_low", F.col("mass_uda") - width).withColumn("_high", F.col("mass_uda") + width)
+    # how far windows reach to either side of their precursor mass, at most
+    reach = spectra.agg(F.max(F.col("mh_uda") - F.col("low_uda")).alias("below"), F.max(F.col("high_uda") - F.col("mh_uda")).alias("above")).first()
+    below, above = reach["below"] or 0, reach["above"] or 0
+    windows = peptides.where(F.col("mass_uda").between(low, high))
+    windows = windows.withColumn("_low", F.col("mass_uda") - above).withColumn("_high", F.col("mass_uda") + below)
     joined = range_join(
-        spectra, windows, "mh_uda", "_low", "_high", width, (low - width, high + width),
-        points_by=["spectrum_id", "charge"], ranges_by=["sequence"], prepare_ranges=prepare, **limits,
+        spectra, windows, "mh_uda", "_low", "_high", width, (low - above, high + below),
+        points_by=[c for c in (*SPECTRUM, "charge") if c in spectra.columns], ranges_by=["sequence"], prepare_ranges=prepare, **limits,
     )
-    return joined.drop("_low", "_high")
+    return joined.where(F.col("mass_uda").between(F.col("low_uda"), F.col("high_uda"))).drop("_low", "_high")
 
 
-def candidates_shared(spectra: DataFrame, peptides: DataFrame, tolerance: float = MASS_TOLERANCE, **kwargs) -> DataFrame:
+def candidates_shared(spectra: DataFrame, peptides: DataFrame, bin_width: float = MASS_TOLERANCE, **kwargs) -> DataFrame:
     """The same pairs with the whole peptide table in every task, while its size allows it."""
-    return shared_table_join(peptides, spectra, "mass_uda", "low_uda", "high_uda", int(tolerance * MICRO), **kwargs)
+    return shared_table_join(peptides, spectra, "mass_uda", "low_uda", "high_uda", int(bin_width * MICRO), **kwargs)
 
 
 def xcorr_sum(max_charge: int = MAX_FRAGMENT_CHARGE):
@@ -140,25 +151,34 @@ def scored_candidates(
     tolerance: float = MASS_TOLERANCE,
     mass_range: tuple[float, float] = MASS_RANGE,
     max_broadcast_bytes: int = BROADCAST_SPECTRA_BYTES,
+    tolerance_unit: str = "amu",
+    tolerance_of_mz: bool = False,
+    spectrum_filter: dict | None = None,
+    bin_width: float = MASS_TOLERANCE,
     **params,
 ) -> DataFrame:
     """Every candidate of every spectrum with its score.
 
+    ``tolerance`` is in ``tolerance_unit`` (see ``with_precursor``); ``spectrum_filter``
+    holds settings of ``filter_spectra``; further ones go to ``peptide_table``.
+
     The peptide and spectrum tables are read more than once (sizes, then the
     join), so both are written to the shared folder instead of being computed
     again. The fragment bins are computed as the peptides are read.
     """
     peptides = written(peptide_table(proteins, mass_range=mass_range, **params), "peptides")
-    prepared = with_vectors(with_precursor(filter_spectra(spectra), tolerance))
-    prepared = written(prepared.select("spectrum_id", "charge", "mh_uda", "low_uda", "high_uda", "vector"), "spectra")
+    if "source_file" not in spectra.columns:
+        spectra = spectra.withColumn("source_file", F.lit(""))
+    prepared = with_vectors(with_precursor(filter_spectra(spectra, **(spectrum_filter or {})), tolerance, tolerance_unit, tolerance_of_mz))
+    prepared = written(prepared.select(*SPECTRUM, "charge", "mh_uda", "low_uda", "high_uda", "vector"), "spectra")
     # fragments of charges that no spectrum can show are not computed
     highest = prepared.agg(F.max("charge").alias("z")).first()["z"] or 1
     charges = max(1, min(MAX_FRAGMENT_CHARGE, highest - 1))
     pairs = candidates(
-        prepared, peptides, tolerance, mass_range, max_broadcast_bytes, lambda df: with_fragment_bins(df, charges)
+        prepared, peptides, bin_width, mass_range, max_broadcast_bytes, lambda df: with_fragment_bins(df, charges)
     )
     return score(pairs, charges).select(
-        "spectrum_id", "charge", F.col("sequence").alias("peptide"), "accession", "xcorr_sum", "xcorr"
+        *SPECTRUM, "charge", F.col("sequence").alias("peptide"), "accession", "xcorr_sum", "xcorr"
     )
 
 
@@ -169,11 +189,23 @@ def search(
     settings: dict | None = None,
     **params,
 ) -> DataFrame:
-    """Best ``n`` peptides of every spectrum: spectrum, rank, peptide, protein and score."""
+    """Best ``n`` peptides of every spectrum of every file: file, spectrum, rank, peptide, protein and score."""
     check_settings(settings or {})
     hits = scored_candidates(proteins, spectra, **params)
     # a spectrum of unknown charge was tried with two charges; all its hits rank together
-    return top_hits(hits, ["spectrum_id"], "xcorr_sum", ["peptide", "charge"], n)
+    return top_hits(hits, SPECTRUM, "xcorr_sum", ["peptide", "charge"], n)
+
+
+def hit_proteins(hits: DataFrame, digested: DataFrame) -> DataFrame:
+    """All proteins and places of the reported hits: a row for each hit and place in ``digested``.
+
+    Only the few peptides that were reported are looked up, after the cut to the best hits.
+    """
+    plain = hits.withColumn("sequence", F.upper("peptide"))
+    keys = [c for c in (*SPECTRUM, "charge", "hit_rank", "peptide") if c in hits.columns]
+    places = digested.select("sequence", "accession", "start", "end", "prev", "next")
+    found = plain.select(*keys, "sequence").join(places, "sequence").drop("sequence")
+    return found.withColumn("is_decoy", F.col("accession").startswith(DECOY_LABEL))
 
 
 def expect_scores(scored: DataFrame, hits: DataFrame, bins_per_unit: int = 10) -> DataFrame:
@@ -182,11 +214,12 @@ def expect_scores(scored: DataFrame, hits: DataFrame, bins_per_unit: int = 10) -
     The score histogram has few bins per spectrum. Survival logs are rounded to
     whole millionths so that the fit sums whole numbers.
     """
-    counts = scored.withColumn("bin", F.floor(F.col("xcorr") * bins_per_unit)).groupBy("spectrum_id", "bin").agg(
+    key = [c for c in SPECTRUM if c in scored.columns]
+    counts = scored.withColumn("bin", F.floor(F.col("xcorr") * bins_per_unit)).groupBy(*key, "bin").agg(
         F.count("*").alias("n")
     )
-    above = Window.partitionBy("spectrum_id").orderBy(F.desc("bin"))
-    all_of = Window.partitionBy("spectrum_id")
+    above = Window.partitionBy(*key).orderBy(F.desc("bin"))
+    all_of = Window.partitionBy(*key)
     tail = (
         counts.withColumn("survivors", F.sum("n").over(above))
         .withColumn("total", F.sum("n").over(all_of))
@@ -194,12 +227,12 @@ def expect_scores(scored: DataFrame, hits: DataFrame, bins_per_unit: int = 10) -
         .withColumn("y", F.floor(F.log10(F.col("survivors").cast("double")) * 1e6 + 0.5).cast("bigint"))
     )
     x, y = F.col("bin").cast("bigint"), F.col("y")
-    sums = tail.groupBy("spectrum_id").agg(
+    sums = tail.groupBy(*key).agg(
         F.count("*").alias("k"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"), F.sum(x * y).alias("sxy")
     )
     spread = F.col("k") * F.col("sxx") - F.col("sx") * F.col("sx")
     fits = sums.where((F.col("k") >= 3) & (spread > 0)).select(
-        "spectrum_id",
+        *key,
         ((F.col("k") * F.col("sxy") - F.col("sx") * F.col("sy")).cast("double") / spread.cast("double")).alias("slope"),
         "k",
         "sx",
@@ -210,7 +243,7 @@ def expect_scores(scored: DataFrame, hits: DataFrame, bins_per_unit: int = 10) -
     )
     log_expect = (F.col("slope") * (F.col("xcorr") * F.lit(float(bins_per_unit))) + F.col("intercept")) / F.lit(1e6)
     return (
-        hits.join(fits.select("spectrum_id", "slope", "intercept"), "spectrum_id", "left")
+        hits.join(fits.select(*key, "slope", "intercept"), key, "left")
         .withColumn("log_expect", log_expect)
         .withColumn("expect", F.pow(F.lit(10.0), F.col("log_expect")))
         .drop("slope", "intercept")

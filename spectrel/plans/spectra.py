@@ -56,11 +56,27 @@ def filter_spectra(
     return kept
 
 
-def with_precursor(spectra: DataFrame, tolerance: float = MASS_TOLERANCE) -> DataFrame:
-    """MH+ and its window in micro-daltons; an unknown charge is tried as 2 and as 3."""
+#: Micro-daltons in a unit of tolerance; ppm is relative to MH+.
+TOLERANCE_UNITS = {"amu": float(MICRO), "mmu": MICRO / 1000.0, "ppm": None}
+
+
+def with_precursor(spectra: DataFrame, tolerance: float = MASS_TOLERANCE, unit: str = "amu", of_mz: bool = False) -> DataFrame:
+    """MH+ and its window in micro-daltons; an unknown charge is tried as 2 and as 3.
+
+    ``unit`` is amu, mmu or ppm; a tolerance ``of_mz`` is on the measured m/z and grows with the charge.
+    """
+    if unit not in TOLERANCE_UNITS:
+        raise ValueError(f"unknown tolerance unit {unit}")
+    if tolerance <= 0:
+        raise ValueError("the tolerance is a positive number")
     charges = F.when(F.col("charge").isNull(), F.array(F.lit(2), F.lit(3))).otherwise(F.array("charge"))
     mh = micro(precursor_mh("precursor_mz", "charge"))
-    width = int(tolerance * MICRO)
+    if unit == "ppm":
+        width = F.floor(F.col("mh_uda").cast("double") * F.lit(float(tolerance)) / F.lit(1e6)).cast("bigint")
+    else:
+        width = F.lit(int(tolerance * TOLERANCE_UNITS[unit])).cast("bigint")
+        if of_mz:
+            width = width * F.col("charge")
     return (
         spectra.where("precursor_mz is not null")
         .withColumn("charge", F.explode(charges))

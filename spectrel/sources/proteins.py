@@ -13,6 +13,9 @@ def read_proteins(spark: SparkSession, path: str, glob: str | None = None) -> Da
     """One row per FASTA record; large files are split, a record is read exactly once.
 
     A ``>`` inside a header or a record without sequence does not end anything.
+    Sequences are upper-cased (lower case marks masked regions in files and
+    modifications here); signs other than letters are left out and counted in
+    ``left_out``.
     """
     return (
         text_reader(spark, "\n>", glob)
@@ -23,15 +26,16 @@ def read_proteins(spark: SparkSession, path: str, glob: str | None = None) -> Da
         )
         .select(
             F.regexp_extract("record", r"^([^\r\n]*)", 1).alias("header"),
-            F.regexp_replace(F.regexp_replace("record", r"^[^\r\n]*", ""), r"\s", "").alias("sequence"),
+            F.upper(F.regexp_replace(F.regexp_replace("record", r"^[^\r\n]*", ""), r"\s", "")).alias("raw"),
             "source_file",
         )
         .where(F.trim("header") != "")
         .select(
             F.regexp_extract("header", r"^(\S+)", 1).alias("accession"),
             F.regexp_extract("header", r"^\S+\s+(.*)$", 1).alias("description"),
-            "sequence",
+            F.regexp_replace("raw", "[^A-Z]", "").alias("sequence"),
             "source_file",
+            (F.length("raw") - F.length(F.regexp_replace("raw", "[^A-Z]", ""))).alias("left_out"),
         )
     )
 

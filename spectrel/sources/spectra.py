@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import MAX_BAD_LINES, SPECTRA_PER_BATCH
@@ -29,16 +29,20 @@ def _first_line(lines: str, start: str):
 def read_mgf(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One row per ``BEGIN IONS`` block; text before the first block is skipped.
 
-    A line that is neither a header nor a peak is counted in ``bad_lines``.
+    A block without ``END IONS`` goes on to the next block or the end of the file.
+    A line that is neither a header nor a peak is counted in ``bad_lines``. A block
+    without title is named by its content and its place among equal ones.
     """
-    block = F.regexp_extract("value", r"(?s)^(.*?)END IONS", 1)
+    block = F.substring_index("value", "END IONS", 1)
     blocks = (
         read_delimited(spark, path, "BEGIN IONS", glob)
-        .where(F.col("value").contains("END IONS"))
-        .select("source_file", F.filter(F.transform(F.split(block, "\r?\n"), lambda l: F.trim(l)), lambda l: l != "").alias("lines"))
+        .where(F.col("value").contains("END IONS") | F.col("value").rlike(r"(?m)^(PEPMASS|TITLE|CHARGE)="))
+        .select("source_file", "block", "place", F.filter(F.transform(F.split(block, "\r?\n"), lambda l: F.trim(l)), lambda l: l != "").alias("lines"))
     )
     fields = blocks.select(
         "source_file",
+        "block",
+        "place",
         F.filter("lines", lambda l: l.rlike(_HEADER_LINE)).alias("headers"),
         F.transform(
             F.filter("lines", lambda l: ~l.rlike(_HEADER_LINE)), lambda l: F.split(l, r"[ \t]+")
@@ -49,14 +53,16 @@ def read_mgf(spark: SparkSession, path: str, glob: str | None = None) -> DataFra
         "cells", lambda c: F.struct(F.get(c, F.lit(0)).try_cast("double").alias("mz"), F.get(c, F.lit(1)).try_cast("double").alias("intensity"))
     )
     parsed = fields.select(
-        "source_file", "headers", "content", F.filter(peaks, lambda p: p["mz"].isNotNull() & p["intensity"].isNotNull()).alias("peaks"), F.size("cells").alias("n_lines")
+        "source_file", "block", "place", "headers", "content", F.filter(peaks, lambda p: p["mz"].isNotNull() & p["intensity"].isNotNull()).alias("peaks"), F.size("cells").alias("n_lines")
     )
     title = mgf_title(_first_line("headers", "TITLE="))
     charge = F.regexp_extract(_first_line("headers", "CHARGE="), r"(\d+)", 1).try_cast("int")
     scan = F.regexp_extract(_first_line("headers", "SCANS="), r"(\d+)", 1).try_cast("int")
-    return parsed.select(
-        F.coalesce(title, F.concat(F.lit("untitled-"), F.hex("content"))).alias("spectrum_id"),
+    out = parsed.select(
         title.alias("title"),
+        F.concat(F.lit("untitled-"), F.hex("content")).alias("content"),
+        "block",
+        "place",
         F.lit(2).alias("ms_level"),
         pep_mass(_first_line("headers", "PEPMASS=")).alias("precursor_mz"),
         charge.alias("charge"),
@@ -65,6 +71,14 @@ def read_mgf(spark: SparkSession, path: str, glob: str | None = None) -> DataFra
         (F.col("n_lines") - F.size("peaks")).alias("bad_lines"),
         "source_file",
     )
+    again = F.row_number().over(Window.partitionBy("source_file", "content").orderBy("block", "place"))
+    untitled = out.where("title IS NULL").withColumn(
+        "spectrum_id", F.when(again == 1, F.col("content")).otherwise(F.concat_ws("-", "content", again.cast("string")))
+    )
+    named = out.where("title IS NOT NULL").withColumn("spectrum_id", F.col("title")).unionByName(untitled)
+    return named.select(
+        "spectrum_id", "title", "ms_level", "precursor_mz", "charge", "scan_num", "peaks", "bad_lines", "source_file"
+    )
 
 
 def check_bad_lines(spectra: DataFrame, limit: int = MAX_BAD_LINES) -> int:
@@ -143,30 +157,39 @@ def peak_arrays(column: pa.ListArray) -> tuple[dict[str, np.ndarray], np.ndarray
     return values, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
 
 
-def _decoded(text: str, precision: int, compressed: bool) -> np.ndarray:
-    raw = base64.b64decode(text)
-    if compressed:
-        raw = zlib.decompress(raw)
-    return np.frombuffer(raw, dtype=">f8" if precision == 64 else ">f4").astype("float64").reshape(-1, 2)
+def _decoded(text: str, precision: int, compressed: bool) -> np.ndarray | None:
+    """Peaks of one scan, or None where the text is damaged."""
+    try:
+        raw = base64.b64decode(text or "", validate=True)
+        if compressed:
+            raw = zlib.decompress(raw)
+        return np.frombuffer(raw, dtype=">f8" if precision == 64 else ">f4").astype("float64").reshape(-1, 2)
+    except (ValueError, zlib.error):
+        return None
 
 
 def decode_peaks(scans: DataFrame) -> DataFrame:
-    """Base64 peak text to an array of peaks: big-endian 32 or 64 bit pairs, zlib where marked."""
+    """Base64 peak text to an array of peaks: big-endian 32 or 64 bit pairs, zlib where marked.
+
+    Damaged text gives no peaks and 1 in ``bad_lines``.
+    """
     keep = [f for f in scans.schema if f.name not in ("encoded", "precision", "compressed")]
     names = [f.name for f in keep]
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
             cells = (batch.column(n).to_pylist() for n in ("encoded", "precision", "compressed"))
-            decoded = [_decoded(*row) for row in zip(*cells)]
+            tried = [_decoded(*row) for row in zip(*cells)]
+            decoded = [np.zeros((0, 2)) if d is None else d for d in tried]
+            bad = pa.array([int(d is None) for d in tried], pa.int32())
             offsets = np.cumsum([0, *map(len, decoded)]).astype(np.int32)
             flat = np.concatenate([np.zeros((0, 2)), *decoded])
             pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], names=["mz", "intensity"])
             column = pa.ListArray.from_arrays(pa.array(offsets), pairs)
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], column], names=[*names, "peaks"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], column, bad], names=[*names, "peaks", "bad_lines"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    return scans.mapInArrow(batches, f"{fields}, peaks {PEAKS}")
+    return scans.mapInArrow(batches, f"{fields}, peaks {PEAKS}, bad_lines int")
 
 
 def encode_peaks(spectra: DataFrame, precision: int = 32, compressed: bool = False) -> DataFrame:
@@ -247,19 +270,47 @@ def write_mzxml_shards(scans: DataFrame, path: str, header: str, per_shard: int
     shards.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
 
 
-def read_spectra(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Spectra of a file or folder: mzXML by the suffix of the path or glob, MGF otherwise (``.gz`` allowed)."""
-    name = (glob or path).lower().removesuffix(".gz").rstrip("/")
-    if not name.endswith(".mzxml"):
-        return read_mgf(spark, path, glob).drop("bad_lines")
-    decoded = decode_peaks(read_scans(spark, path, glob))
-    return decoded.select(
-        F.concat(F.lit("scan-"), F.col("scan_num").cast("string")).alias("spectrum_id"),
-        F.lit(None).cast("string").alias("title"),
-        "ms_level",
-        "precursor_mz",
-        "charge",
-        "scan_num",
-        "peaks",
-        "source_file",
-    )
+def file_kind(path: Column) -> Column:
+    """mgf or mzxml by the name of a file or of the folder it lies in (``.gz`` allowed); null for any other."""
+    small = F.lower(path)
+    found = F.regexp_extract(small, r"\.(mgf|mzxml)(\.gz)?$", 1)
+    folder = F.regexp_extract(small, r"\.(mgf|mzxml)/[^/]*$", 1)
+    return F.when(found != "", found).when(folder != "", folder)
+
+
+def read_spectra(spark: SparkSession, path: str, glob: str | None = None, max_bad_lines: int | None = MAX_BAD_LINES) -> DataFrame:
+    """Spectra of all MGF and mzXML files of a path; each file is read by its own name, any other raises.
+
+    More than ``max_bad_lines`` unreadable lines and damaged peak lists raise as well
+    (None: no limit, and no pass that counts them). A spectrum is named by
+    ``source_file`` and ``spectrum_id``.
+    """
+    files = spark.read.format("binaryFile")
+    files = (files.option("pathGlobFilter", glob) if glob else files).load(path).select("path")
+    kinds = {r["kind"]: r["first"] for r in files.groupBy(file_kind(F.col("path")).alias("kind")).agg(F.min("path").alias("first")).collect()}
+    if None in kinds:
+        raise ValueError(f"neither an MGF nor an mzXML file: {kinds[None]}")
+    parts = []
+    if "mgf" in kinds:
+        parts.append(read_mgf(spark, path, glob).where(file_kind(F.col("source_file")) == "mgf"))
+    if "mzxml" in kinds:
+        decoded = decode_peaks(read_scans(spark, path, glob).where(file_kind(F.col("source_file")) == "mzxml"))
+        parts.append(
+            decoded.select(
+                F.concat(F.lit("scan-"), F.col("scan_num").cast("string")).alias("spectrum_id"),
+                F.lit(None).cast("string").alias("title"),
+                "ms_level",
+                "precursor_mz",
+                "charge",
+                "scan_num",
+                "peaks",
+                "bad_lines",
+                "source_file",
+            )
+        )
+    if not parts:
+        raise ValueError(f"no spectrum files in {path}")
+    spectra = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if max_bad_lines is not None:
+        check_bad_lines(spectra, max_bad_lines)
+    return spectra.drop("bad_lines")
