@@ -361,7 +361,7 @@ def scan_store_read(spark, sf):
     rows = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", F.floor(F.col("l_extendedprice") / 10000).cast("int").alias("mass_bin")
     )
-    tf.write_store(rows.repartition("mass_bin"), path)
+    tf.write_store(rows, path, then=["l_orderkey", "l_linenumber"])
     return tf.read_store(spark, path).where("mass_bin between 3 and 5")
 
 
@@ -372,7 +372,27 @@ def scan_store_read(spark, sf):
 def pepxml_roundtrip(spark, sf):
     path = new_path(spark, "pepxml")
     px.write_pepxml(merge_hits(lineitem_hits(spark, sf)), path)
-    return px.read_pepxml(spark, path).drop("hit_xml")
+    return px.read_pepxml(spark, path).select("spectrum_id", "hit_rank", "peptide", "accession", "xcorr")
+
+
+@query(
+    "pepxml_details",
+    f"""WITH {_TOP} SELECT spectrum_id, (2 + l % 2)::INTEGER AS charge, hit_rank, upper(p) AS peptide, p AS marked_peptide,
+        accession::VARCHAR AS accession, xcorr, xcorr / 7.0::DOUBLE AS expect, (l * 1000000)::BIGINT AS mass_uda
+        FROM (SELECT *, peptide AS l, concat('AmK', repeat('mC', (peptide % 3)::INTEGER)) AS p FROM top)""",
+)
+def pepxml_details(spark, sf):
+    """Charge, mass, modified residues and expect value go through the document."""
+    path = new_path(spark, "pepxml")
+    number = F.col("peptide")
+    hits = merge_hits(lineitem_hits(spark, sf)).select(
+        "spectrum_id", "accession", "xcorr", (2 + number % 2).cast("int").alias("charge"), (F.col("xcorr") / 7.0).alias("expect"),
+        (number * 1000000).cast("bigint").alias("mass_uda"), F.lpad(number.cast("string"), 12, "0").alias("order"),
+        F.concat(F.lit("AmK"), F.repeat(F.lit("mC"), (number % 3).cast("int"))).alias("peptide"),
+    )
+    ranked = top_hits(hits, ["spectrum_id"], "xcorr", ["order", "accession"], 5)
+    texts = px.query_text(ranked).select("value")
+    return px.read_pepxml(spark, written(spark, "queries", texts)).drop("hit_xml")
 
 
 @query(

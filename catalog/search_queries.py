@@ -439,46 +439,45 @@ BATCH_BIN = 50 * MICRO
 
 
 def search_batches(spark, sf):
-    """Peptide batches and spectrum batches that share a mass bin of 50 Da."""
+    """Peptides and spectra as texts with the masses they cover."""
     peptides = dg.digest(benchmark_proteins(spark, sf), places=False).select("sequence", "mass_uda").distinct()
-    peptides = peptides.withColumn("mass_bin", F.floor(F.col("mass_uda") / BATCH_BIN))
     records = peptides.select(
-        "mass_bin", "sequence", fasta_record("sequence", F.lit(""), "sequence").alias("text")
-    )
+        F.col("mass_uda").alias("low"), F.col("mass_uda").alias("high"), F.col("sequence").alias("key"),
+        fasta_record("sequence", F.lit(""), "sequence").alias("text"),
+    )
     spectra = sp.with_precursor(benchmark_spectra(spark, sf))
-    covered = F.sequence(F.floor(F.col("low_uda") / BATCH_BIN), F.floor(F.col("high_uda") / BATCH_BIN))
-    bins = spectra.select("spectrum_id", F.explode(covered).alias("mass_bin"))
-    blocks = mgf_block(spectra).join(bins, "spectrum_id").select("mass_bin", "spectrum_id", F.col("value").alias("text"))
-    return records, blocks
+    blocks = spectra.select(F.col("low_uda").alias("low"), F.col("high_uda").alias("high"), F.col("spectrum_id").alias("key"))
+    texts = mgf_block(spectra).select(F.col("spectrum_id").alias("key"), F.col("value").alias("text"))
+    return records, blocks.join(texts, "key")
 
 
-def batches_in_bins(rows, key, size):
-    """Batches of at most ``size`` rows that do not cross a bin."""
-    cut = index_rows(rows, [F.col("mass_bin"), F.col(key)], "_i").withColumn("part", F.floor(F.col("_i") / size))
+def mass_batches(rows, size):
+    """Batches of ``size`` rows in mass order; keys are numbered, and the texts join their batch afterwards."""
+    numbered = index_rows(rows.select("low", "high", "key"), [F.col("low"), F.col("key")], "_i", unique=True)
+    numbered = numbered.withColumn("part", F.floor(F.col("_i") / size))
     pieces = F.array_sort(F.collect_list(F.struct("_i", "text")))
-    return cut.groupBy("mass_bin", "part").agg(
-        F.count("*").alias("n"), F.array_join(F.transform(pieces, lambda p: p["text"]), "\n").alias("text")
-    )
+    return numbered.join(rows.select("key", "text"), "key").groupBy("part").agg(
+        F.count("*").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.array_join(F.transform(pieces, lambda p: p["text"]), "\n").alias("text"),
+    )
 
 
 @query(
     "batch_pairs",
     f"""WITH {spectra_sql()}, charged AS (SELECT * FROM spec), {_PRECURSOR_SQL}, {_BENCH_PEPTIDES},
-    a0 AS (SELECT mass_uda // {BATCH_BIN} AS mass_bin, sequence FROM base),
-    a AS (SELECT mass_bin, (row_number() OVER (ORDER BY mass_bin, sequence) - 1) // 200 AS part FROM a0),
-    b0 AS (SELECT spectrum_id, unnest(range(low_uda // {BATCH_BIN}, high_uda // {BATCH_BIN} + 1)) AS mass_bin FROM prec),
-    b AS (SELECT mass_bin, (row_number() OVER (ORDER BY mass_bin, spectrum_id) - 1) // 50 AS part FROM b0),
-    ga AS (SELECT mass_bin, part AS protein_batch, count(*) AS n_proteins FROM a GROUP BY ALL),
-    gb AS (SELECT mass_bin, part AS spectra_batch, count(*) AS n_spectra FROM b GROUP BY ALL)
-    SELECT mass_bin, protein_batch, n_proteins, spectra_batch, n_spectra FROM ga JOIN gb USING (mass_bin)""",
+    a AS (SELECT mass_uda, (row_number() OVER (ORDER BY mass_uda, sequence) - 1) // 200 AS part FROM base),
+    b AS (SELECT low_uda, high_uda, (row_number() OVER (ORDER BY low_uda, spectrum_id) - 1) // 50 AS part FROM prec),
+    ga AS (SELECT part AS protein_batch, count(*) AS n_proteins, min(mass_uda) AS low, max(mass_uda) AS high FROM a GROUP BY part),
+    gb AS (SELECT part AS spectra_batch, count(*) AS n_spectra, min(low_uda) AS low, max(high_uda) AS high FROM b GROUP BY part)
+    SELECT protein_batch, n_proteins, spectra_batch, n_spectra FROM ga JOIN gb ON ga.low <= gb.high AND gb.low <= ga.high""",
 )
 def batch_pairs(spark, sf):
     records, blocks = search_batches(spark, sf)
-    left = batches_in_bins(records, "sequence", 200)
-    right = batches_in_bins(blocks, "spectrum_id", 50)
+    left, right = mass_batches(records, 200), mass_batches(blocks, 50)
     return pair_batches(
-        left.select("mass_bin", F.col("part").alias("protein_batch"), F.col("n").alias("n_proteins")),
-        right.select("mass_bin", F.col("part").alias("spectra_batch"), F.col("n").alias("n_spectra")),
+        left.select("low", "high", F.col("part").alias("protein_batch"), F.col("n").alias("n_proteins")),
+        right.select("low", "high", F.col("part").alias("spectra_batch"), F.col("n").alias("n_spectra")),
+        BATCH_BIN,
     )
 
 
@@ -496,7 +495,8 @@ def exact_matches(proteins: str, spectra: str) -> list[dict]:
 def score_batches(spark, sf):
     records, blocks = search_batches(spark, sf)
     pairs = pair_batches(
-        batches_in_bins(records, "sequence", 200).select("mass_bin", F.col("text").alias("proteins")),
-        batches_in_bins(blocks, "spectrum_id", 50).select("mass_bin", F.col("text").alias("spectra")),
+        mass_batches(records, 200).select("low", "high", F.col("text").alias("proteins")),
+        mass_batches(blocks, 50).select("low", "high", F.col("text").alias("spectra")),
+        BATCH_BIN,
     )
     return merge_hits(se.score_batches(pairs, exact_matches, "spectrum_id string, peptide string"))

@@ -213,6 +213,20 @@ def tables_equal(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def pair_batches(left: DataFrame, right: DataFrame, key: Column | str = "mass_bin") -> DataFrame:
-    """Pairs of batches that share a mass bin; batches that cannot match are never paired."""
-    return left.join(right, key)
+def pair_batches(left: DataFrame, right: DataFrame, width: int) -> DataFrame:
+    """Pairs of batches whose mass intervals meet; batches that cannot match are never paired.
+
+    Both sides have ``low`` and ``high``, and come in mass order, so a batch spans
+    few bins of ``width`` and meets few others. A pair that shares several bins is
+    formed in the first of them.
+    """
+    check_width(width)
+
+    def binned(side: DataFrame, name: str) -> DataFrame:
+        first, last = (F.floor(F.col(c) / F.lit(width)).cast("bigint") for c in ("low", "high"))
+        side = side.withColumn(f"_first_{name}", first).withColumn("_bin", F.explode(F.sequence(first, last)))
+        return side.withColumnRenamed("low", f"_low_{name}").withColumnRenamed("high", f"_high_{name}")
+
+    pairs = binned(left, "l").join(binned(right, "r"), "_bin")
+    pairs = pairs.where("_low_l <= _high_r AND _low_r <= _high_l AND _bin = greatest(_first_l, _first_r)")
+    return pairs.drop("_bin", *[f"_{c}_{s}" for c in ("first", "low", "high") for s in "lr"])

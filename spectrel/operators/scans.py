@@ -71,21 +71,27 @@ def repair_scan_tags(lines: DataFrame, file: str = "source_file", value: str = "
     return marked.select(file, "block", "place", F.posexplode(out).alias("sub_place", value))
 
 
-def index_block(numbers_and_offsets: Column, index_offset: Column) -> Column:
-    """Index text of scan offsets, in scan-number order."""
+def index_block(numbers_and_offsets: Column, index_offset: Column, before: Column | None = None) -> Column:
+    """Index of scan offsets, in scan-number order, and the document's end.
+
+    The digest is the SHA-1 of all bytes up to and with the opening tag of the
+    digest itself; ``before`` is the document's text up to the index.
+    """
     rows = F.transform(
         F.array_sort(numbers_and_offsets),
         lambda e: F.concat(
             F.lit('        <offset id="'), e["scan_num"].cast("string"), F.lit('">'), e["byte_offset"].cast("string"), F.lit("</offset>\n")
         ),
     )
-    return F.concat(
+    index = F.concat(
         F.lit('    <index name="scan">\n'),
         F.array_join(rows, ""),
         F.lit("    </index>\n    <indexOffset>"),
         index_offset.cast("string"),
-        F.lit("</indexOffset>\n    <sha1>0</sha1>\n</mzXML>\n"),
+        F.lit("</indexOffset>\n    <sha1>"),
     )
+    whole = index if before is None else F.concat(before, index)
+    return F.concat(index, F.sha1(whole), F.lit("</sha1>\n</mzXML>\n"))
 
 
 def parse_index(df: DataFrame, text: str, keep: list[str]) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fixed_values import NUM_OUTPUT
+from ..functions.fixed_values import NUM_OUTPUT, PROTON
+from ..functions.masses import MICRO, residue_table
 from ..functions.text import escape_xml, extract_attr, extract_elements
 from ..operators.hits import top_hits
 from .text_files import read_delimited, write_framed_text
@@ -22,29 +23,79 @@ def header(**parameters) -> str:
     )
 
 
+def _attribute(name: str, column: str, columns: list[str]) -> Column:
+    """An attribute for a column that the hits may have; nothing where it is missing or null."""
+    if column not in columns:
+        return F.lit("")
+    return F.coalesce(F.concat(F.lit(f' {name}="'), escape_xml(F.col(column).cast("string")), F.lit('"')), F.lit(""))
+
+
+def _score(name: str, column: str, columns: list[str]) -> Column:
+    if column not in columns:
+        return F.lit("")
+    return F.coalesce(F.concat(F.lit(f'<search_score name="{name}" value="'), F.col(column).cast("string"), F.lit('"/>')), F.lit(""))
+
+
+def _modifications() -> Column:
+    """The modified residues (small letters) of a peptide, with their places and masses."""
+    table = residue_table()
+    masses = F.create_map(*[F.lit(x) for r, m in table.items() if r.islower() for x in (r, f"{m / MICRO:.6f}")])
+    sites = F.filter(
+        F.transform(F.split(F.col("peptide").cast("string"), ""), lambda r, i: F.struct((i + 1).alias("i"), r.alias("r"))),
+        lambda s: s["r"].rlike("^[a-z]$"),
+    )
+    rows = F.transform(
+        sites,
+        lambda s: F.concat(
+            F.lit('<mod_aminoacid_mass position="'), s["i"].cast("string"), F.lit('" mass="'), F.coalesce(F.element_at(masses, s["r"]), F.lit("0")), F.lit('"/>')
+        ),
+    )
+    text = F.concat(F.lit("<modification_info>"), F.array_join(rows, ""), F.lit("</modification_info>"))
+    return F.when(F.size(sites) > 0, text).otherwise("")
+
+
 def query_text(hits: DataFrame, key: str = "spectrum_id") -> DataFrame:
-    """One ``spectrum_query`` element per spectrum from its ranked hits (a few rows per spectrum)."""
+    """One ``spectrum_query`` element per spectrum, and per file where hits have ``source_file``, from its ranked hits.
+
+    ``charge``, ``mass_uda``, ``expect`` and ``other_proteins`` (an array) are written where the hits have them. A peptide
+    is written in capitals; its modified residues follow as a list of places and masses.
+    """
+    columns = hits.columns
+    keys = [c for c in ("source_file", key) if c in columns]
+    mass = F.concat(F.lit(' calc_neutral_pep_mass="'), ((F.col("mass_uda") - PROTON) / MICRO).cast("decimal(20,6)").cast("string"), F.lit('"'))
+    more = F.lit("")
+    if "other_proteins" in columns:
+        others = F.transform("other_proteins", lambda p: F.concat(F.lit('<alternative_protein protein="'), escape_xml(p), F.lit('"/>')))
+        more = F.coalesce(F.array_join(others, ""), F.lit(""))
     hit = F.concat(
         F.format_string(
-            '<search_hit hit_rank="%d" peptide="%s" protein="%s">',
+            '<search_hit hit_rank="%d" peptide="%s" protein="%s"',
             F.col("hit_rank"),
-            escape_xml(F.col("peptide").cast("string")),
+            escape_xml(F.upper(F.col("peptide").cast("string"))),
             escape_xml(F.col("accession").cast("string")),
         ),
-        F.lit('<search_score name="xcorr" value="'),
-        F.col("xcorr").cast("string"),
-        F.lit('"/></search_hit>'),
+        _attribute("assumed_charge", "charge", columns),
+        F.coalesce(mass, F.lit("")) if "mass_uda" in columns else F.lit(""),
+        F.lit(">"),
+        more,
+        _modifications(),
+        _score("xcorr", "xcorr", columns),
+        _score("expect", "expect", columns),
+        F.lit("</search_hit>"),
     )
     rows = F.array_sort(F.collect_list(F.struct(F.col("hit_rank").alias("r"), hit.alias("x"))))
+    file = _attribute("source_file", "source_file", columns)
     return (
-        hits.groupBy(key)
+        hits.groupBy(*keys)
         .agg(rows.alias("_rows"))
         .select(
-            F.col(key),
+            *keys,
             F.concat(
                 F.lit('<spectrum_query spectrum="'),
                 escape_xml(F.col(key).cast("string")),
-                F.lit('">\n<search_result>\n'),
+                F.lit('"'),
+                file,
+                F.lit(">\n<search_result>\n"),
                 F.array_join(F.transform("_rows", lambda r: r["x"]), "\n"),
                 F.lit("\n</search_result>\n</spectrum_query>"),
             ).alias("value"),
@@ -54,8 +105,9 @@ def query_text(hits: DataFrame, key: str = "spectrum_id") -> DataFrame:
 
 def write_pepxml(hits: DataFrame, path: str, n: int = NUM_OUTPUT, key: str = "spectrum_id", **parameters) -> None:
     """Best ``n`` hits per spectrum, sorted by spectrum, inside one document header and footer."""
-    ranked = top_hits(hits, [key], "xcorr", ["peptide", "accession"], n)
-    write_framed_text(query_text(ranked, key), path, [key], "value", header(num_output_lines=n, **parameters), FOOTER)
+    keys = [c for c in ("source_file", key) if c in hits.columns]
+    ranked = top_hits(hits, keys, "xcorr", ["peptide", "accession"], n)
+    write_framed_text(query_text(ranked, key), path, keys, "value", header(num_output_lines=n, **parameters), FOOTER)
 
 
 def unescape_xml(text: Column) -> Column:
@@ -76,14 +128,27 @@ def read_queries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pepxml(spark: SparkSession, path: str) -> DataFrame:
-    """One row per search hit."""
+    """One row per search hit; ``marked_peptide`` has its modified residues in small letters."""
     hits = read_queries(spark, path).select("spectrum_id", F.explode(extract_elements("query", "search_hit")).alias("hit_xml"))
-    score = F.regexp_extract("hit_xml", r'(?s)<search_score[^>]*name="xcorr"[^>]*value="([^"]*)"', 1)
+
+    def score(name: str) -> Column:
+        return F.regexp_extract("hit_xml", rf'(?s)<search_score[^>]*name="{name}"[^>]*value="([^"]*)"', 1).try_cast("double")
+
+    peptide = unescape_xml(extract_attr("hit_xml", "peptide"))
+    places = F.transform(
+        F.regexp_extract_all(F.col("hit_xml"), F.lit(r'<mod_aminoacid_mass position="(\d+)"'), F.lit(1)), lambda p: p.try_cast("int")
+    )
+    marked = F.aggregate(places, peptide, lambda text, i: F.overlay(text, F.lower(F.substring(text, i, F.lit(1))), i, F.lit(1)))
+    mass = F.regexp_extract("hit_xml", r'calc_neutral_pep_mass="([^"]*)"', 1).try_cast("decimal(20,6)")
     return hits.select(
         unescape_xml(F.col("spectrum_id")).alias("spectrum_id"),
+        F.regexp_extract("hit_xml", r'assumed_charge="(\d+)"', 1).try_cast("int").alias("charge"),
         extract_attr("hit_xml", "hit_rank").try_cast("int").alias("hit_rank"),
-        unescape_xml(extract_attr("hit_xml", "peptide")).alias("peptide"),
+        peptide.alias("peptide"),
+        marked.alias("marked_peptide"),
         unescape_xml(extract_attr("hit_xml", "protein")).alias("accession"),
-        score.try_cast("double").alias("xcorr"),
+        score("xcorr").alias("xcorr"),
+        score("expect").alias("expect"),
+        ((mass * MICRO).cast("bigint") + PROTON).alias("mass_uda"),
         "hit_xml",
     )

@@ -256,11 +256,12 @@ def mzxml_shards(scans: DataFrame, header: str, per_shard: int = SPECTRA_PER_BAT
     )
     placed_shards = shards.withColumn("placed", placed)
     body = F.array_join(F.transform("scans", lambda s: s["scan_text"]), "")
+    text = F.concat(F.lit(header), body, F.lit(end))
     index_at = F.col("placed.at") + F.lit(len(end) + 4)
     return placed_shards.select(
         "shard_id",
         "n_scans",
-        F.concat(F.lit(header), body, F.lit(end), index_block(F.col("placed.seen"), index_at)).alias("value"),
+        F.concat(text, index_block(F.col("placed.seen"), index_at, text)).alias("value"),
     )
 
 

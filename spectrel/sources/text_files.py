@@ -94,9 +94,14 @@ def write_framed_text(body: DataFrame, path: str, order: list[str], text: str, h
     framed(body, order, text, header, footer).write.mode("overwrite").text(path)
 
 
-def write_store(df: DataFrame, path: str, by: str = "mass_bin") -> None:
-    """Binary rows in one folder per mass bin; a reader of some bins opens only those."""
-    df.write.mode("overwrite").partitionBy(by).parquet(path)
+def write_store(df: DataFrame, path: str, by: str = "mass_bin", then: list[str] | None = None) -> None:
+    """Binary rows in one folder per mass bin; a reader of some bins opens only those.
+
+    Rows are dealt by ranges of the bin and of ``then`` (all other columns if not
+    given), so a task writes few folders and a busy bin is written by many tasks.
+    """
+    order = [by, *(then or [c for c in df.columns if c != by])]
+    df.repartitionByRange(*order).write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
