@@ -211,8 +211,14 @@ def fit_languages(docs: DataFrame, usable: Column | None = None, sample: int = S
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     if usable is not None:
         rows = rows.where(usable)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    few = rows.select("doc_id", "lang", "text").withColumn("number", F.row_number().over(order)).where(F.col("number") <= sample)
+    # rows are thinned out by a hash before they are ranked, so no task gets many rows of a language;
+    # the counts have a row for each label of the model
+    counts = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("n")))
+    share = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    thinned = rows.select("doc_id", "lang", "text").join(counts, "lang").withColumn("share", share).where(F.col("share") * F.col("n") < 4 * sample)
+    thinned = thinned.dropDuplicates(["lang", "doc_id", "share"])
+    order = Window.partitionBy("lang").orderBy("share", "doc_id")
+    few = thinned.withColumn("number", F.row_number().over(order)).where(F.col("number") <= sample)
     table = few.select("lang", "text").mapInArrow(_pieces, "lang string, piece string").where("piece <> ''").toArrow()
     pairs = sorted(zip(table["lang"].to_pylist(), table["piece"].to_pylist()))
     return train_field(pairs)
