@@ -49,11 +49,9 @@ def _statistics(text: np.ndarray, starts: np.ndarray, words: np.ndarray, first:
     lines, line_first = word_hashes(text, starts, _LINE)
     n_lines = np.diff(line_first).astype(float)
     triples = combined(words, 3)
-    inside = np.ones(len(words), bool)
-    for k in (1, 2):
-        inside[np.maximum(first[1:] - k, 0)] = False
-    inside = inside[: len(triples)]
-    row_of = np.repeat(np.arange(n), np.diff(first))[: len(triples)][inside]
+    word_row = np.repeat(np.arange(n), np.diff(first))
+    inside = word_row[: len(triples)] == word_row[len(word_row) - len(triples) :]
+    row_of = word_row[: len(triples)][inside]
     triple_first = np.searchsorted(row_of, np.arange(n + 1))
     marks = [np.bincount(rows[text == ord(c)], minlength=n) / np.maximum(count, 1) for c in "!?.,|"]
     columns = [

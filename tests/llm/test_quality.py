@@ -25,6 +25,17 @@ def test_linear_time_score_is_the_sum_over_pairs():
         assert raw[i] == pytest.approx(model.bias + model.weights[f] @ x + pairs)
 
 
+def test_features_do_not_depend_on_the_rows_beside():
+    texts = ["", "a b c a b c a", "  ", "x", "q r s t q r s", None, "A!! 1,\nB"]
+    text, starts = flat(pa.array(texts))
+    together = features(text, starts)
+    for i, own in enumerate(texts):
+        alone = features(*flat(pa.array([own], pa.string())))
+        assert np.array_equal(alone.statistics[0], together.statistics[i])
+        a, b = together.first[i], together.first[i + 1]
+        assert np.array_equal(alone.bucket, together.bucket[a:b]) and np.array_equal(alone.value, together.value[a:b])
+
+
 def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
     got = QUERIES["op5_quality_scores"](spark, SF).join(labels, "doc_id").where("held_out").toPandas()
