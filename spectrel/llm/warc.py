@@ -10,6 +10,7 @@ next place that holds a valid member or version line.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -106,7 +107,9 @@ class Window:
     """Bytes of a file from a moving place, read in chunks."""
 
     def __init__(self, file):
-        self.file, self.start, self.data = file, 0, b""
+        file.seek(0, 2)
+        self.file, self.start, self.data, self.end = file, 0, b"", file.tell()
+        file.seek(0)
 
     def at(self, place: int, size: int) -> bytes:
         """Up to ``size`` bytes from ``place``; fewer only at the end of the file."""
@@ -149,8 +152,12 @@ def _member(window: Window, place: int) -> tuple[bytes, int]:
 
 
 def _parsed(head: bytes) -> dict[str, str]:
+    """The headers by small name; raises ValueError without a plain version line or a header that every record has."""
     lines = head.decode("utf-8", "replace").split("\r\n")
-    return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+    headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+    if not re.fullmatch(r"WARC/1\.\d+", lines[0]) or not {"warc-type", "warc-record-id"} <= set(headers) or not headers.get("content-length", "").isdigit():
+        raise ValueError("headers")
+    return headers
 
 
 def _checked(headers: dict[str, str], block: bytes) -> bytes:
@@ -167,14 +174,12 @@ def record_at(window: Window, place: int) -> Found:
     opening = window.at(place, 8)
     if opening.startswith(MAGIC):
         text, size = _member(window, place)
-        head, mark, rest = text.partition(b"\r\n\r\n")
+        head, _, rest = text.partition(b"\r\n\r\n")
         headers = _parsed(head)
-        length = headers.get("content-length", "")
-        if not mark or not head.startswith(VERSION) or not length.isdigit():
-            raise ValueError("headers")
-        if rest[int(length) :] != b"\r\n\r\n":
+        length = int(headers["content-length"])
+        if rest[length:] != b"\r\n\r\n":
             raise ValueError("length")
-        return Found(place, size, None, headers, _checked(headers, rest[: int(length)]))
+        return Found(place, size, None, headers, _checked(headers, rest[:length]))
     if not opening.startswith(VERSION):
         raise ValueError("no record")
     room = 1 << 16
@@ -183,13 +188,13 @@ def record_at(window: Window, place: int) -> Found:
             raise ValueError("headers")
         room *= 2
     headers = _parsed(text[:end])
-    length = headers.get("content-length", "")
-    if not length.isdigit():
-        raise ValueError("headers")
-    block = window.at(place + end + 4, int(length) + 4)
-    if len(block) < int(length) + 4 or block[int(length) :] != b"\r\n\r\n":
+    length = int(headers["content-length"])
+    if place + end + 8 + length > window.end:  # a damaged length is not read
+        raise ValueError("length")
+    block = window.at(place + end + 4, length + 4)
+    if block[length:] != b"\r\n\r\n":
         raise ValueError("length")
-    return Found(place, end + 8 + int(length), None, headers, _checked(headers, block[: int(length)]))
+    return Found(place, end + 8 + length, None, headers, _checked(headers, block[:length]))
 
 
 def _next(window: Window, place: int) -> tuple[int, Found | None]:
