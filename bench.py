@@ -20,6 +20,7 @@ from catalog import QUERIES  # noqa: E402
 
 HEADLINE = [
     "search_top_hits",
+    "search_shuffled",
     "mass_range_join",
     "top_hits",
     "merge_hits",

@@ -273,6 +273,17 @@ def search_top_hits(spark, sf):
     return se.search(document_proteins(spark, sf), benchmark_spectra(spark, sf)).drop("source_file")
 
 
+@query(
+    "search_shuffled",
+    f"""WITH {SCORED_CTES}, {_RANKED} SELECT spectrum_id, charge, peptide, accession, xcorr_sum, hit_rank
+    FROM ranked WHERE hit_rank <= 5""",
+)
+def search_shuffled(spark, sf):
+    """The whole search in its shuffle form, whatever the size of the spectra."""
+    hits = se.search(document_proteins(spark, sf), benchmark_spectra(spark, sf), max_broadcast_bytes=0)
+    return hits.select("spectrum_id", "charge", "peptide", "accession", "xcorr_sum", "hit_rank")
+
+
 _RUN = "length(spectrum_id) % 4"
 _RUN_OF = f"CASE {_RUN} WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN 'c' ELSE 'd' END"
 

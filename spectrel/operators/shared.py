@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,9 +25,31 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+# Paths given out inside each open ``scratch`` block, innermost last.
+_OPEN: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables of a job at its end; results must be written inside the block.
+
+    Checkpoints of sorted rows go with the ``spark.cleaner.referenceTracking.cleanCheckpoints`` setting.
+    """
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

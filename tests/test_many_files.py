@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from spectrel.functions.masses import peptide_mass
 from spectrel.operators.batching import group_to_lists
+from spectrel.operators.shared import new_path, scratch, written
 from spectrel.plans.digest import digest, search_peptides
 from spectrel.plans.search import candidates, hit_proteins, search
 from spectrel.plans.spectra import with_precursor
@@ -153,3 +154,14 @@ def test_a_short_group_is_one_list(spark):
     pairs = [(k, v) for k in "abcde" for v in range(4)] + [("z", v) for v in range(12)]
     got = {(r.k, r.part_no): r["items"] for r in group_to_lists(spark.createDataFrame(pairs, "k string, v int"), "k", "v", 5).collect()}
     assert got == {(k, 0): [0, 1, 2, 3] for k in "abcde"} | {("z", 0): [0, 1, 2, 3, 4], ("z", 1): [5, 6, 7, 8, 9], ("z", 2): [10, 11]}
+
+
+def test_scratch_tables_are_deleted(spark):
+    with scratch(spark):
+        path = new_path(spark, "kept")
+        outer = written(spark.range(5), "outer").inputFiles()
+        with scratch(spark):
+            inner = written(spark.range(5), "inner").inputFiles()
+        assert outer and inner and not any(os.path.exists(f.removeprefix("file://")) for f in inner)
+        assert all(os.path.exists(f.removeprefix("file://")) for f in outer) and not os.path.exists(path)
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in outer)
