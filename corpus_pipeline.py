@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from catalog.core import ship, table
 from spectrel.llm.decontamination import contaminations
+from spectrel.llm.hashfilter import split_by_keys
 from spectrel.llm.near_duplicates import near_duplicates
 from spectrel.llm.packing import pack
 from spectrel.llm.quality import fit_quality, score_quality
@@ -36,11 +37,12 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     ship(spark)
     classes = written(near_duplicates(docs, percent=80), "classes")
-    gone = classes.where("NOT kept").select("doc_id").distinct()
+    gone = written(classes.where("NOT kept").select("doc_id").distinct(), "gone")
     repeated = written(classes.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    docs = docs.select(COLUMNS).join(gone, "doc_id", "left_anti")
-    once = docs.join(repeated, "doc_id", "left_anti")
-    return once.unionByName(docs.join(repeated, "doc_id").dropDuplicates(["doc_id"])).select(COLUMNS)
+    clear, rest = split_by_keys(docs.select(COLUMNS), gone.union(repeated), "doc_id")
+    rest = rest.join(gone, "doc_id", "left_anti")
+    once = rest.join(repeated, "doc_id", "left_anti").unionByName(rest.join(repeated, "doc_id").dropDuplicates(["doc_id"]))
+    return clear.unionByName(once).select(COLUMNS)
 
 
 def cut_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +56,9 @@ def cut_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that contain at least 0.8 of the shingles of a benchmark item."""
     ship(spark)
-    found = contaminations(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.select(COLUMNS).join(found, "doc_id", "left_anti").select(COLUMNS)
+    found = written(contaminations(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "found")
+    clear, rest = split_by_keys(docs.select(COLUMNS), found, "doc_id")
+    return clear.unionByName(rest.join(found, "doc_id", "left_anti")).select(COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

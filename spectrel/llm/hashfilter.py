@@ -6,12 +6,13 @@ that follows it drops them, so results don't depend on its size.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import mix
-
 BITS = 24
 
 
@@ -36,6 +37,20 @@ def passes(filter_words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (filter_words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def hashed_id(ids: np.ndarray) -> np.ndarray:
-    """Spread 64-bit ids over the bits that the filter looks at (as int64)."""
-    return mix(ids.astype(np.int64).view(np.uint64)).view(np.int64)
+def _rows(column: str, words, wanted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(column)
+            hit = passes(words.value, keys.fill_null(0).to_numpy(zero_copy_only=False)) & keys.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit == wanted))
+
+    return run
+
+
+def split_by_keys(df: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose bigint ``column`` is surely not among ``keys`` (null is not), and those where it may be.
+
+    Only the second part, about as large as what has a key, needs a join and its shuffle.
+    """
+    words = df.sparkSession.sparkContext.broadcast(key_filter(keys, column))
+    return df.mapInArrow(_rows(column, words, False), df.schema), df.mapInArrow(_rows(column, words, True), df.schema)
