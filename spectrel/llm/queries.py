@@ -203,7 +203,23 @@ def sequences(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@query("op10_repeats")
+REPEAT_SQL = """WITH data AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+    windows AS (SELECT doc_id, unnest(range(0, n - 49)) AS i, h FROM data WHERE n >= 50),
+    cut AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM windows),
+    least AS (SELECT s, min(doc_id) AS d FROM cut GROUP BY s HAVING count(*) > 1),
+    hits AS (SELECT doc_id, i FROM cut JOIN least USING (s) WHERE d < doc_id),
+    opened AS (SELECT doc_id, i, coalesce(i > lag(i) OVER w + 50, true)::INTEGER AS fresh FROM hits WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+    numbered AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM opened),
+    spans AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, k),
+    before AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f FROM spans),
+    pieces AS (SELECT doc_id, sum(b - a)::BIGINT AS removed, count(*) AS spans, max(b) AS last,
+        string_agg(substr(h, 2 * f + 1, 2 * (a - f)), '' ORDER BY a) AS head FROM before JOIN data USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, n AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+        sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+    FROM data LEFT JOIN pieces USING (doc_id)"""
+
+
+@query("op10_repeats", REPEAT_SQL)
 def repeats(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return cut_repeats(docs, with_text=False).drop("rest", "kept_text")
