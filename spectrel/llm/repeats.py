@@ -337,23 +337,22 @@ def _intervals(size: np.ndarray, data: np.ndarray, owner: np.ndarray, width: int
     return of, opens - begin[of], closes - begin[of]
 
 
-def _shared(values: np.ndarray, valid: np.ndarray) -> np.ndarray:
-    """Which valid values occur more than once."""
-    out = np.zeros(len(values), bool)
-    order = np.argsort(values[valid], kind="stable")
-    ordered = values[valid][order]
-    twice = np.zeros(len(order) + 1, bool)
-    twice[1:-1] = ordered[1:] == ordered[:-1]
-    place = np.flatnonzero(valid)
-    out[place[order]] = twice[1:] | twice[:-1]
-    return out
+def _sharing(values: np.ndarray, string: np.ndarray) -> np.ndarray:
+    """The strings that have a value which another string has as well."""
+    order = np.argsort(values, kind="stable")
+    values, string = values[order], string[order]
+    first = _firsts(values)
+    if not len(first):
+        return string
+    several = np.minimum.reduceat(string, first) != np.maximum.reduceat(string, first)
+    return string[np.repeat(several, np.diff(np.append(first, len(values))))]
 
 
 def _partnered(size: np.ndarray, data: np.ndarray, width: int) -> np.ndarray:
     """Which distinct strings may share a window with another one.
 
     A window that holds the gram of its run also holds the bytes on its left or on its right, as far as they always fit; a
-    string whose two contexts occur nowhere else shares no window. Strings that hold their gram twice are kept anyway.
+    string whose contexts, of every place where it holds the gram, occur in no other string shares no window.
     """
     begin, more = np.cumsum(size) - size, (width - GRAM) // 2
     string = np.repeat(np.arange(len(size)), size)
@@ -361,14 +360,14 @@ def _partnered(size: np.ndarray, data: np.ndarray, width: int) -> np.ndarray:
     left = size[string] - (np.arange(len(data)) - begin[string])
     grams[left < GRAM] = ~_U(0)
     found = np.flatnonzero(grams == np.minimum.reduceat(grams, begin)[string])
-    once = np.bincount(string[found], minlength=len(size)) == 1
-    place = np.empty(len(size), np.int64)
-    place[string[found]] = found
-    low, high = place - more, place + GRAM + more
-    has_left, has_right = low >= begin, high <= begin + size
-    lefts = run_hashes(data, np.maximum(low, begin), place + GRAM)
-    rights = run_hashes(data, place, np.minimum(high, begin + size))
-    return ~once | _shared(lefts, has_left) | _shared(rights, has_right)
+    string, out = string[found], np.zeros(len(size), bool)
+    opens, closes = begin[string], (begin + size)[string]
+    low, high = found - more, found + GRAM + more
+    lefts = run_hashes(data, np.maximum(low, opens), found + GRAM)
+    rights = run_hashes(data, found, np.minimum(high, closes))
+    for values, valid in ((lefts, low >= opens), (rights, high <= closes)):
+        out[_sharing(values[valid], string[valid])] = True
+    return out
 
 
 def _answer_runs(width: int):

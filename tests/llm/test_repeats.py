@@ -59,6 +59,18 @@ def test_other_widths(spark):
     assert sorted((tuple(r) for r in got.collect()), key=str) == cut(rows, 33)
 
 
+def test_a_gram_held_once_by_one_text_and_often_by_the_other(spark):
+    random = np.random.default_rng(3)
+    rows = []
+    for k in range(282):
+        shared, dash = prose(random, 20)[:34], chr(33 + k % 94)
+        for length in (16, 20) if k % 2 else (20, 16):
+            rows.append((len(rows), prose(random, 8) + shared + dash * length + prose(random, 8)))
+    got = cut_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), with_text=False)
+    facts = got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted((tuple(r) for r in facts.collect()), key=str) == cut(rows)
+
+
 def test_empty_table(spark):
     assert cut_repeats(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
