@@ -31,6 +31,7 @@ from .columns import flat, mix, run_hashes, slices
 GRAM = 16
 SHARD_BYTES = 4 << 20
 HOT_RUNS = 1 << 16
+MANY = 127  # a gram with fewer runs in a shard sends their number in 7 bits, any other in a list of whole numbers
 PARTS = 4
 SLICE = 1 << 16
 _U = np.uint64
@@ -149,34 +150,40 @@ def _send_grams(width: int, buckets: int):
         out = []
         if len(first):
             several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
-            times = np.minimum(np.diff(np.append(first, len(gram))), 127).astype(np.uint8) | (several.astype(np.uint8) << 7)
+            runs = np.diff(np.append(first, len(gram)))
+            times = np.minimum(runs, MANY).astype(np.uint8) | (several.astype(np.uint8) << 7)
             gram = gram[first]
             bucket = (_names(gram, buckets) >> _U(32)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            gram, times = gram[order], times[order]
-            out = [(k, shard, gram[i:j].astype(np.uint32).tobytes(), times[i:j].tobytes()) for k, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
+            gram, times, runs = gram[order], times[order], runs[order]
+            for k, (i, j) in enumerate(zip(cuts, cuts[1:])):
+                if j > i:
+                    many = runs[i:j][runs[i:j] >= MANY]
+                    out.append((k, shard, gram[i:j].astype(np.uint32).tobytes(), times[i:j].tobytes(), many.astype(np.int64).tobytes()))
         return pa.Table.from_pylist(
-            [dict(zip(("bucket", "shard", "gram", "times"), r)) for r in out],
-            pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), ("gram", pa.binary()), ("times", pa.binary())]),
+            [dict(zip(("bucket", "shard", "gram", "times", "many"), r)) for r in out],
+            pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), *((n, pa.binary()) for n in ("gram", "times", "many"))]),
         )
 
     return run
 
 
-_GRAMS = "bucket bigint, shard bigint, gram binary, times binary"
+_GRAMS = "bucket bigint, shard bigint, gram binary, times binary, many binary"
 
 
 def _answer_grams(hot_runs: int):
     def run(table: pa.Table) -> pa.Table:
         grams, times = _cells(table, "gram", np.uint32), _cells(table, "times", np.uint8)
-        every, count = np.concatenate(grams), np.concatenate(times)
+        every, times = np.concatenate(grams), np.concatenate(times)
+        count = (times & MANY).astype(np.int64)
+        count[count == MANY] = np.concatenate(_cells(table, "many", np.int64))
         order = np.argsort(every, kind="stable")
         ordered = every[order]
         first = _firsts(ordered)
         size = np.diff(np.append(first, len(every)))
-        several = (size > 1) | (np.maximum.reduceat(count[order], first) > 127)
-        hot = np.add.reduceat((count[order] & 127).astype(np.int64), first) > hot_runs
+        several = (size > 1) | (np.maximum.reduceat(times[order], first) > MANY)
+        hot = np.add.reduceat(count[order], first) > hot_runs
         keep = np.zeros(len(every), np.uint8)
         keep[order] = np.repeat(np.where(several, 1 + hot, 0), size)
         rows, bucket, low = [], _U(table["bucket"][0].as_py() << 32), 0

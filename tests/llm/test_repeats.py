@@ -1,9 +1,11 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from spectrel.llm.repeats import Strings, _intervals, cut_repeats, merge_transforms, suffix_order, symbol_steps
+from spectrel.llm.columns import flat
+from spectrel.llm.repeats import Strings, _answer_grams, _intervals, _names, _send_grams, cut_repeats, merge_transforms, suffix_order, symbol_steps, window_runs
 
 from .helpers import prose
 
@@ -71,6 +73,18 @@ def test_a_gram_held_once_by_one_text_and_often_by_the_other(spark):
     assert sorted((tuple(r) for r in facts.collect()), key=str) == cut(rows)
 
 
+def test_hot_grams_are_known_by_all_their_runs():
+    random = np.random.default_rng(5)
+    texts = ["the template of this line is the same in all and is filled with " + prose(random, 5) for _ in range(800)]
+    shards = [pa.table({"shard": [k] * 400, "doc_id": range(400 * k, 400 * k + 400), "text": texts[400 * k : 400 * k + 400]}) for k in range(2)]
+    gram, times = np.unique(window_runs(*flat(pa.array(texts)), 50)[2], return_counts=True)
+    sent = pa.concat_tables([_send_grams(50, 1)(shard) for shard in shards])
+    assert times.max() > 400
+    for hot_runs in (100, 300, int(times.max()) - 1, int(times.max())):
+        named = {int(n) for cell in _answer_grams(hot_runs)(sent)["hot"].to_pylist() for n in np.frombuffer(cell, np.uint64)}
+        assert named == set(_names(gram[times > hot_runs], 1).tolist())
+
+
 def test_empty_table(spark):
     assert cut_repeats(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
