@@ -200,24 +200,39 @@ def _group_ends(table: pa.Table) -> list[int]:
     return [*(np.flatnonzero(change) + 1).tolist(), len(table)]
 
 
-def _full_sets(size: int, wanted):
+def _full_sets(size: int, wanted, unnamed):
+    """Rows (doc_id, node, shingles) of the texts with an id in ``wanted`` or without id and with a node in ``unnamed``.
+
+    A task gives the set of a text without id once, however many such rows it has.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
+        any_unnamed = bool(unnamed.value.any())
         for batch in batches:
             ids = batch.column("doc_id")
-            hit = passes(wanted.value, ids.fill_null(0).to_numpy(zero_copy_only=False))
-            batch = batch.filter(pa.array(hit))
+            no_id = ids.is_null().to_numpy(zero_copy_only=False)
+            hit = np.where(no_id, any_unnamed, passes(wanted.value, ids.fill_null(0).to_numpy(zero_copy_only=False)))
+            batch, no_id = batch.filter(pa.array(hit)), no_id[hit]
             text, starts = flat(batch.column("text"))
             for a, b in slices(starts):
                 sets = shingle_sets(text[starts[a] : starts[b]], starts[a : b + 1] - starts[a], size)
                 rows = [i for i, s in enumerate(sets) if len(s)]
-                if rows:
-                    yield pa.record_batch(
-                        {
-                            "doc_id": batch.column("doc_id").slice(a, b - a).take(pa.array(rows)),
-                            "node": pa.array(set_ids([sets[i] for i in rows])),
-                            "shingles": pa.array([sets[i].tobytes() for i in rows], pa.binary()),
-                        }
-                    )
+                if not rows:
+                    continue
+                node = set_ids([sets[i] for i in rows])
+                fresh = passes(unnamed.value, node) | ~no_id[a:b][rows]
+                for k in np.flatnonzero(fresh & no_id[a:b][rows]):
+                    fresh[k] = int(node[k]) not in given
+                    given.add(int(node[k]))
+                rows, node = np.array(rows)[fresh], node[fresh]
+                yield pa.record_batch(
+                    {
+                        "doc_id": batch.column("doc_id").slice(a, b - a).take(pa.array(rows)),
+                        "node": pa.array(node),
+                        "shingles": pa.array([sets[i].tobytes() for i in rows], pa.binary()),
+                    }
+                )
 
     return run
 
@@ -301,12 +316,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, id_column
 
     need = members.select("node").distinct().join(nodes, "node").select("node", "label")
     wanted = spark.sparkContext.broadcast(key_filter(need.where("label IS NOT NULL"), "label"))
-    full = (
-        docs.mapInArrow(_full_sets(size, wanted), "doc_id bigint, node bigint, shingles binary")
-        .join(need.withColumnRenamed("label", "doc_id"), ["node", "doc_id"], "left_semi")
-        .select("node", "shingles")
-        .dropDuplicates(["node"])
-    )
+    unnamed = spark.sparkContext.broadcast(key_filter(need.where("label IS NULL"), "node"))
+    found = docs.mapInArrow(_full_sets(size, wanted, unnamed), "doc_id bigint, node bigint, shingles binary").alias("f")
+    same_text = F.expr("f.node = w.node AND f.doc_id <=> w.label")  # a node without label has rows without id only
+    full = found.join(need.alias("w"), same_text, "left_semi").select("node", "shingles").dropDuplicates(["node"])
     full = written(full, "full_sets")
 
     def near(pairs: DataFrame) -> DataFrame:

@@ -64,6 +64,18 @@ def test_repeated_rows_and_null_ids(spark):
     assert run(spark, rows) == classes(rows, 85)
 
 
+def test_texts_without_id_link_their_neighbours(spark):
+    base = prose(np.random.default_rng(7), 100).split()
+
+    def edited(*places):
+        return " ".join("e" if i in places else w for i, w in enumerate(base))
+
+    rows = [(7, edited()), (None, edited(20)), (None, edited(20)), (9, edited(20, 70)), (None, "x " + edited(1, 50)), (None, edited(1, 50))]
+    got = run(spark, rows)
+    assert got == classes(rows, 85)
+    assert (9, 96, 7, False) in got
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
