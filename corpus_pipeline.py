@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.core import ship, table
-from spectrel.llm.decontamination import contaminations
+from spectrel.llm.decontamination import contaminated_rows, row_name
 from spectrel.llm.hashfilter import split_by_keys
-from spectrel.llm.near_duplicates import near_duplicates
+from spectrel.llm.near_duplicates import duplicate_classes, with_nodes
 from spectrel.llm.packing import pack
 from spectrel.llm.quality import fit_quality, score_quality
 from spectrel.llm.repeats import cut_repeats
@@ -33,16 +33,22 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, that with the smallest id, of each class of near duplicates (similarity 0.8 or more).
 
-    Rows that repeat an id are one document, of which one row stays; rows without id are never compared away.
+    Rows that repeat an id are judged by their own texts: of those in one class one row stays, the first by node and then
+    by all columns. Rows without id are never compared away, and rows without words are in no class.
     """
     ship(spark)
-    classes = written(near_duplicates(docs, percent=80), "classes")
-    gone = written(classes.where("NOT kept").select("doc_id").distinct(), "gone")
-    repeated = written(classes.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    clear, rest = split_by_keys(docs.select(COLUMNS), gone.union(repeated), "doc_id")
+    classes = written(duplicate_classes(docs, percent=80).where("doc_id IS NOT NULL"), "classes")
+    away = F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False))
+    ids = written(classes.groupBy("doc_id").agg(F.count("*").alias("rows"), F.count_if(away).alias("away")).where("rows > 1 OR away > 0"), "ids")
+    gone, repeated = ids.where("away = rows").select("doc_id"), ids.where("away < rows").select("doc_id")
+    clear, rest = split_by_keys(docs.select(COLUMNS), ids, "doc_id")
     rest = rest.join(gone, "doc_id", "left_anti")
-    once = rest.join(repeated, "doc_id", "left_anti").unionByName(rest.join(repeated, "doc_id").dropDuplicates(["doc_id"]))
-    return clear.unionByName(once).select(COLUMNS)
+    once = rest.join(repeated, "doc_id", "left_anti")
+    told = with_nodes(rest.join(repeated, "doc_id", "left_semi"))
+    stays = classes.join(repeated, "doc_id", "left_semi").where("doc_id = component_id").select("doc_id", "node", "root").distinct()
+    first = told.join(stays, ["doc_id", "node"]).groupBy("doc_id", "root").agg(F.min(F.struct("node", *COLUMNS[1:])).alias("first"))
+    wordless = told.where("node IS NULL").select(COLUMNS)
+    return clear.unionByName(once).unionByName(first.select("doc_id", "first.*").select(COLUMNS)).unionByName(wordless)
 
 
 def cut_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +62,9 @@ def cut_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that contain at least 0.8 of the shingles of a benchmark item."""
     ship(spark)
-    found = written(contaminations(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "found")
-    clear, rest = split_by_keys(docs.select(COLUMNS), found, "doc_id")
-    return clear.unionByName(rest.join(found, "doc_id", "left_anti")).select(COLUMNS)
+    found = written(contaminated_rows(docs, table(spark, sf_dir, "benchmark")).select("row").distinct(), "found")
+    clear, rest = split_by_keys(docs.select(*COLUMNS, row_name().alias("row")), found, "row")
+    return clear.unionByName(rest.join(found, "row", "left_anti")).select(COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spectrel.operators.shared import written
@@ -108,8 +108,8 @@ def _confirm(size: int, percent: int):
                 out.append((len(own), found, 100 * found >= percent * len(own)))
             cells = np.array(out, np.int64).reshape(-1, 3)
             rows = pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("item_id"), pa.array(cells[:, 0]), pa.array(cells[:, 1])],
-                names=["doc_id", "item_id", "n_shingles", "n_found"],
+                [*(batch.column(c) for c in ("doc_id", "row", "item_id")), pa.array(cells[:, 0]), pa.array(cells[:, 1])],
+                names=["doc_id", "row", "item_id", "n_shingles", "n_found"],
             )
             yield rows.filter(pa.array(cells[:, 2] == 1))
 
@@ -126,6 +126,16 @@ def contaminations(docs: DataFrame, items: DataFrame, percent: int = 80, size: i
     items under one id are reported once; equal items under several ids once for each. Other columns are ignored. An empty
     table gives no row.
     """
+    return contaminated_rows(docs, items, percent, size).drop("row").distinct()
+
+
+def row_name() -> Column:
+    """The hash of doc_id and text by which ``contaminated_rows`` names a row."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), "text")
+
+
+def contaminated_rows(docs: DataFrame, items: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
+    """As ``contaminations``, with the name of the row (``row_name``): texts that share an id are told apart."""
     spark = docs.sparkSession
     items = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("item_text")).where("item_text IS NOT NULL")
     items = items.withColumn("item", F.xxhash64("item_text")).distinct()
@@ -135,7 +145,7 @@ def contaminations(docs: DataFrame, items: DataFrame, percent: int = 80, size: i
     wanted = spark.sparkContext.broadcast(key_filter(sketches, "key"))
 
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text IS NOT NULL")
-    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
+    docs = docs.withColumn("row", row_name())
     hits = docs.select("row", "text").mapInArrow(_hits(sorted(lengths), wanted), "row bigint, key bigint")
     candidates = (
         hits.join(sketches, "key")
@@ -148,6 +158,5 @@ def contaminations(docs: DataFrame, items: DataFrame, percent: int = 80, size: i
     chosen = spark.sparkContext.broadcast(key_filter(candidates, "row"))
     kinds = "doc_id bigint, text string, row bigint"
     pairs = docs.mapInArrow(_candidates_only(chosen), kinds).join(candidates.join(items, "item"), "row")
-    kinds = "doc_id bigint, item_id bigint, n_shingles bigint, n_found bigint"
-    checked = pairs.select("doc_id", "text", "row", "item_id", "item_text").mapInArrow(_confirm(size, percent), kinds)
-    return checked.distinct()
+    kinds = "doc_id bigint, row bigint, item_id bigint, n_shingles bigint, n_found bigint"
+    return pairs.select("doc_id", "text", "row", "item_id", "item_text").mapInArrow(_confirm(size, percent), kinds)

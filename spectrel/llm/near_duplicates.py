@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from spectrel.operators.shared import written
 
@@ -102,6 +103,27 @@ def _describe(size: int):
     return run
 
 
+def _node_column(size: int, text_column: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, starts = flat(batch.column(text_column))
+            for a, b in slices(starts):
+                sets = shingle_sets(text[starts[a] : starts[b]], starts[a : b + 1] - starts[a], size)
+                some, node = np.array([len(s) > 0 for s in sets]), np.zeros(b - a, np.int64)
+                if some.any():
+                    node[some] = set_ids([s for s in sets if len(s)])
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(node, mask=~some)], names=[*part.schema.names, "node"])
+
+    return run
+
+
+def with_nodes(docs: DataFrame, size: int = 5, text_column: str = "text") -> DataFrame:
+    """The rows with the node (a bigint) of their text, as ``duplicate_classes`` names it; null for a text without shingle."""
+    schema = docs.limit(0).withColumn("node", F.lit(None).cast(LongType())).schema
+    return docs.mapInArrow(_node_column(size, text_column), schema)
+
+
 def _keys(starts: np.ndarray, kept=None):
     """Rows (key, node), or with a filter (key, place, node): place is the symbol left out."""
 
@@ -292,6 +314,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, id_column
     the smallest id. Null id: linked like others but never the smallest id; kept only in a class without any id. Other
     columns are ignored. An empty table gives no row.
     """
+    out = duplicate_classes(docs, percent, size, id_column, text_column)
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def duplicate_classes(docs: DataFrame, percent: int = 80, size: int = 5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """As ``near_duplicates``: a row for each input row with doc_id, n_shingles, node, root, component_id.
+
+    ``node`` names the shingle set and ``root`` the class; several classes may have one smallest id where an id is
+    repeated. Both are null, as is component_id, for a text without shingle.
+    """
     spark = docs.sparkSession
     starts = chunk_starts(percent)
     docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
@@ -363,7 +396,6 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, id_column
 
     labels = nodes.select("node", "label").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = labels.groupBy("root").agg(F.min("label").alias("component_id"))
-    classes = labels.join(least, "root").select("node", "component_id")
+    classes = labels.join(least, "root").select("node", "root", "component_id")
     out = described.select("doc_id", "n_shingles", "node").join(classes, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "n_shingles", "node", "root", "component_id")

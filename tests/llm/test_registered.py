@@ -1,11 +1,14 @@
 """The registered queries against their SQL, and the pipeline's stages."""
 
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline
 from spectrel.llm.queries import QUERIES, SQL
 
+from .helpers import prose
+
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -57,6 +60,22 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == set(before)
 
 
+def test_texts_that_share_an_id_are_judged_apart(spark, tmp_path):
+    random = np.random.default_rng(9)
+    one, two, three, item = (prose(random, 60) for _ in range(4))
+    rows = [(1, one), (5, one + " end"), (5, two), (6, three), (6, three + " end"), (6, item), (8, None), (8, None), (9, two + " end")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = corpus_pipeline.keep_one_of_each(spark, docs.repartition(3), SF)
+    kept = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    threes = [r for r in kept if r[0] == 6 and r[1] != item]
+    assert len(threes) == 1 and threes[0][1].startswith(three)
+    assert sorted([(1, one), (5, two), (6, item), (8, None), (8, None), *threes], key=str) == kept
+
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = corpus_pipeline.drop_contaminated(spark, out, str(tmp_path))
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == [r for r in kept if r[1] != item]
+
+
 def test_run_over_an_empty_table(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").where("false").write.parquet(str(tmp_path / f"{name}.parquet"))
