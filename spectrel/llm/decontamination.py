@@ -129,6 +129,11 @@ def contaminations(docs: DataFrame, items: DataFrame, percent: int = 80, size: i
     return contaminated_rows(docs, items, percent, size).drop("row").distinct()
 
 
+def full_items(items: DataFrame, size: int = 5) -> DataFrame:
+    """The items with at least one full shingle, that is ``size`` words or more."""
+    return items.where(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) >= size)
+
+
 def row_name() -> Column:
     """The hash of doc_id and text by which ``contaminated_rows`` names a row."""
     return F.xxhash64(F.col("doc_id").cast("bigint"), "text")

@@ -76,6 +76,15 @@ def test_texts_that_share_an_id_are_judged_apart(spark, tmp_path):
     assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == [r for r in kept if r[1] != item]
 
 
+def test_short_items_drop_no_document(spark, tmp_path):
+    items = [(1, "yes"), (2, "the\tanswer is\x0bone "), (3, "the answer is not two"), (4, None), (5, "")]
+    texts = ["he said yes", "so The Answer is one", "so the answer is not two", "", None]
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    kinds = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], kinds)
+    assert {r.doc_id for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()} == {0, 1, 3, 4}
+
+
 def test_run_over_an_empty_table(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").where("false").write.parquet(str(tmp_path / f"{name}.parquet"))
