@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from .language import fit_languages, predict_languages
 from .licenses import BY_LINE, BY_MARK, CAPITALS, RULES, SENTENCES, SMALL, recognise_licenses
 from .near_duplicates import near_duplicates
 from .packing import pack
+from .periodic_runs import find_runs
 from .quality import fit_quality, score_quality
 from .repeats import cut_repeats
 from .topk import scaled, top_k
@@ -223,3 +226,61 @@ REPEAT_SQL = """WITH data AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS
 def repeats(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return cut_repeats(docs, with_text=False).drop("rest", "kept_text")
+
+
+def checksum_sql(text: str) -> str:
+    """The checksum (CRC-32) of an ASCII text: a fold over its bytes, each followed by eight shifts (-1)."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: list_prepend(ascii(c)::BIGINT, repeat([(-1)::BIGINT], 8))))"
+    shift = "CASE WHEN x >= 0 THEN xor(r, x) ELSE xor(r >> 1, (r & 1) * 3988292384) END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda r, x: {shift}), 4294967295)"
+
+
+def _looped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts whose ``h`` is a multiple of ten repeat a piece of themselves from some word on."""
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        for k, h in enumerate(batch.column("h").to_pylist()):
+            words = re.findall(r"[^\x20\x09-\x0D]+", texts[k] or "") if h is not None and h % 10 == 0 else []
+            if words:
+                g, n = h // 10, len(words)
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                texts[k] = " ".join(words[:a] + [words[a + i % p] for i in range(n - a)])
+        yield pa.record_batch({"doc_id": batch.column("doc_id"), "text": pa.array(texts, pa.string())})
+
+
+# Runs by joining equal strings of three words: q words apart along a run of 4 q words or more (6 where q is 1), there
+# are at least three in a row.
+RUNS_SQL = f"""WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        {checksum_sql("doc_id::VARCHAR")} AS h FROM documents),
+    sized AS (SELECT doc_id, w, len(w) AS n, h, h % 10 = 0 AND len(w) > 0 AS loops, h // 10 AS g FROM split),
+    placed AS (SELECT *, CASE WHEN loops THEN g % n END AS a, CASE WHEN loops THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM sized),
+    words AS (SELECT doc_id, n, CASE WHEN loops THEN list_transform(range(0, n), lambda i:
+        CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM placed),
+    grams AS (SELECT doc_id, n, i, hash(w[i + 1], w[i + 2], w[i + 3]) AS s FROM (SELECT *, unnest(range(0, n - 2)) AS i FROM words WHERE n >= 6)),
+    pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.s = y.s
+        AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+    islands AS (SELECT doc_id, q, min(i) AS start, max(i) + 3 - min(i) + q AS length FROM (SELECT *,
+        i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pairs) GROUP BY doc_id, q, k),
+    runs AS (SELECT doc_id, start, length, min(q) AS period FROM islands WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+    listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM runs GROUP BY doc_id),
+    best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1),
+    gone AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(start + period, start + length)) AS i FROM runs) GROUP BY doc_id),
+    rest AS (SELECT doc_id, array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+        list_filter(w, lambda x, i: NOT list_contains(gone, i - 1)) END, ' ') AS kept FROM words LEFT JOIN gone USING (doc_id))
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+        (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+        sha256(kept) AS collapsed_sha256 FROM rest LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
+@query("op13_periodic_runs", RUNS_SQL)
+def periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    found = find_runs(docs.mapInArrow(_looped, "doc_id bigint, text string"))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.*",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
