@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from catalog.core import ship, table
 
+from .conversations import damaged, repair_conversations
 from .decontamination import contaminations
 from .language import fit_languages, predict_languages
 from .licenses import BY_LINE, BY_MARK, CAPITALS, RULES, SENTENCES, SMALL, recognise_licenses
@@ -284,3 +285,62 @@ def periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+# Row by row: for each state of the expression the least (cost, audit) of the rows so far; 'B' and 'A' may end.
+CHAT_SQL = f"""WITH RECURSIVE marked AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {checksum_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind FROM conversations),
+    hurt AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM marked WHERE kind <> 0),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k,
+        left(role, 1) AS initial, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS ending FROM hurt),
+    judged AS (SELECT *, CASE WHEN ending = '' THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+        WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY k) || initial AS beside FROM placed),
+    facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (beside NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM judged GROUP BY conv_id),
+    moves(f, initial, t) AS (VALUES ('B', 's', 'Y'), ('B', 'u', 'U'), ('Y', 'u', 'U'), ('U', 'a', 'A'), ('A', 'u', 'U')),
+    one AS (SELECT f, t, 2 AS cost, 'I' AS audit FROM moves WHERE initial <> 's'),
+    more AS (SELECT f, f AS t, 0 AS cost, '' AS audit FROM (VALUES ('B'), ('Y'), ('U'), ('A')) AS v(f) UNION ALL FROM one
+        UNION ALL SELECT x.f, y.t, x.cost + y.cost, x.audit || y.audit FROM one x JOIN one y ON x.t = y.f),
+    kinds(fault, initial) AS (SELECT DISTINCT fault, initial FROM judged),
+    plain AS (SELECT fault, initial, f, f AS t, 3 AS cost, 'D' AS audit FROM kinds, (VALUES ('B'), ('Y'), ('U'), ('A')) AS v(f)
+        UNION ALL SELECT k.fault, k.initial, f, t, (k.fault = 'truncated')::INTEGER, 'K' FROM kinds k JOIN moves USING (initial)
+            WHERE k.fault NOT IN ('blank', 'duplicate')
+        UNION ALL SELECT k.fault, k.initial, f, t, 2 + (k.fault = 'truncated')::INTEGER, 'R' FROM kinds k, moves m
+            WHERE m.initial <> 's' AND k.fault NOT IN ('blank', 'duplicate')),
+    steps AS (SELECT p.fault, p.initial, p.f, m.t, p.cost + m.cost AS cost, p.audit || m.audit AS audit FROM plain p JOIN more m ON p.t = m.f),
+    parse AS (SELECT conv_id, 0::BIGINT AS k, t AS state, cost::BIGINT AS cost, audit FROM facts, more WHERE f = 'B'
+        UNION ALL (SELECT conv_id, k, state, cost, audit FROM (SELECT p.conv_id, j.k, s.t AS state, p.cost + s.cost AS cost,
+            p.audit || s.audit AS audit FROM parse p JOIN judged j ON j.conv_id = p.conv_id AND j.k = p.k + 1
+            JOIN steps s ON s.fault = j.fault AND s.initial = j.initial AND s.f = p.state)
+            QUALIFY row_number() OVER (PARTITION BY conv_id, k, state ORDER BY cost, audit) = 1)),
+    best AS (SELECT p.conv_id, p.cost, p.audit FROM parse p JOIN facts f ON p.conv_id = f.conv_id AND p.k = f.n AND p.state IN ('A', 'B')
+        QUALIFY row_number() OVER (PARTITION BY p.conv_id ORDER BY p.cost, p.audit) = 1),
+    letters AS (SELECT conv_id, i, audit[i] AS e, length(replace(audit, 'D', '')) % 2 AS led FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS i FROM best)),
+    counted AS (SELECT *, count(*) FILTER (e <> 'I') OVER w AS k, count(*) FILTER (e <> 'D') OVER w AS place FROM letters
+        WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+    edited AS (SELECT c.conv_id, c.place, CASE WHEN e = 'K' THEN j.role WHEN (c.place - c.led) % 2 = 1 THEN 'user' ELSE 'assistant' END
+        || ':' || CASE e WHEN 'I' THEN '' ELSE j.text END AS line FROM counted c
+        LEFT JOIN judged j ON e <> 'I' AND j.conv_id = c.conv_id AND j.k = c.k WHERE e <> 'D'),
+    repaired AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY place) AS text FROM edited GROUP BY conv_id)
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+        coalesce(audit, '') AS audit, sha256(coalesce(r.text, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts USING (conv_id) LEFT JOIN best USING (conv_id) LEFT JOIN repaired r USING (conv_id)"""
+
+
+@query("op12_repaired_conversations", CHAT_SQL)
+def repaired_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    name = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    whole = rows.withColumns({c: F.coalesce(c, F.lit(" ")) for c in ("role", "text")})
+    found = repair_conversations(damaged(whole, F.crc32(name) % 20))
+    every = rows.select("conv_id").distinct().alias("c").join(found.alias("f"), F.expr("c.conv_id <=> f.conv_id"), "left")
+    counts = [F.coalesce(f"f.{c}", F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    texts = [F.coalesce("f.audit", F.lit("")).alias("audit"), F.coalesce("f.repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")]
+    return every.select("c.conv_id", *counts, *texts)
