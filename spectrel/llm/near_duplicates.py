@@ -6,9 +6,8 @@ chunk is indexed once for each place that may be wrong, with that place left out
 a key. ``m`` is the least number of chunks for which a pair at the similarity threshold is beyond that distance with a
 chance below ``MISS`` (a binomial tail); pairs above the threshold are safer still.
 
-Equal shingle sets are one node from the start. Within a key, nodes are first compared with its best connected node. Only
-keys that still hold several components afterwards are compared pair by pair; never two nodes that are already
-connected, nor two whose sizes, less the shingles that no other such node holds, rule a link out.
+Equal shingle sets are one node from the start. How the nodes of a key are compared, and links confirmed on full sets, is
+in ``linking``.
 """
 
 from __future__ import annotations
@@ -25,14 +24,12 @@ from pyspark.sql.types import LongType
 from spectrel.operators.shared import written
 
 from .columns import flat, joined, mix, shingle_sets, slices
-from .components import components
 from .hashfilter import key_filter, passes
+from .linking import classes_of, linked_groups, one_set_each, set_ids
 
 SYMBOLS = 120
 MISS = 1e-6
 FILTER_BITS = 26
-STAR_ROUNDS = 2
-CELL = 4096  # nodes of a key that are compared in one step; a larger key becomes a grid of such cells
 _U = np.uint64
 _A = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64)) | _U(1)
 _B = mix(np.arange(5001, 5001 + SYMBOLS, dtype=np.uint64))
@@ -49,14 +46,6 @@ def chunk_starts(percent: int) -> np.ndarray:
     raise ValueError("no number of chunks is safe for so low a similarity")
 
 
-def set_ids(sets: list[np.ndarray]) -> np.ndarray:
-    """A 64-bit id of each non-empty set, equal for equal sets."""
-    size = np.array([len(s) for s in sets])
-    every = joined(sets, np.uint64)
-    first = np.concatenate([[0], np.cumsum(size)[:-1]])
-    return mix(np.add.reduceat(mix(every), first) ^ mix(np.bitwise_xor.reduceat(every, first) + size.astype(np.uint64))).view(np.int64)
-
-
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """One row of symbols for each non-empty set."""
     out = np.empty((len(sets), SYMBOLS), np.uint16)
@@ -157,152 +146,6 @@ def _near(starts: np.ndarray):
     return run
 
 
-def _crossing(starts: np.ndarray, percent: int):
-    """Pairs (a, b) within a key and cell whose signatures are near enough and whose sizes and components allow a link.
-
-    A pair that shares several keys is given for the first of them only.
-    """
-    most, edges = 2 * len(starts) - 1, np.append(starts, SYMBOLS)
-
-    def pairs(rows: dict[str, np.ndarray], symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        place = int(rows["place"][0])
-        chunk = int(np.searchsorted(starts, place, side="right")) - 1
-        n, m, root, own = (rows[c] for c in ("n", "m", "root", "own"))
-        same_cell = rows["low"][0] == rows["high"][0]
-        for i in range(len(n) - 1):
-            common = np.minimum(m[i], m[i + 1 :])
-            able = (root[i + 1 :] != root[i]) & (100 * common >= percent * (n[i] + n[i + 1 :] - common))
-            able &= 100 * np.minimum(n[i], n[i + 1 :]) >= percent * np.maximum(n[i], n[i + 1 :])
-            if not same_cell:
-                able &= own[i + 1 :] != own[i]
-            j = np.flatnonzero(able) + i + 1
-            if not len(j):
-                continue
-            unlike = symbols[j] != symbols[i]
-            near = np.count_nonzero(unlike, axis=1) <= most
-            j, unlike = j[near], unlike[near]
-            if not len(j):
-                continue
-            before = np.add.reduceat(unlike[:, : edges[chunk + 1]], starts[: chunk + 1], axis=1, dtype=np.int16)
-            first = (before[:, :-1] > 1).all(axis=1) & ((before[:, -1] == 1) | (place == starts[chunk]))
-            yield np.full(int(first.sum()), rows["node"][i]), rows["node"][j[first]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            ends = _group_ends(table)
-            rest = table.slice(ends[-2]) if len(ends) > 1 else table
-            yield from found(table.slice(0, len(table) - len(rest)))
-        if rest is not None:
-            yield from found(rest)
-
-    def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        if not len(table):
-            return
-        rows = {c: table[c].to_numpy() for c in ("place", "low", "high", "own", "node", "root", "n", "m")}
-        symbols = flat(table["marks"])[0].view(np.uint16).reshape(-1, SYMBOLS)
-        edges, out = [0, *_group_ends(table)], []
-        for a, b in zip(edges, edges[1:]):
-            if b - a > 1:
-                out += pairs({c: v[a:b] for c, v in rows.items()}, symbols[a:b])
-        for k in range(0, len(out), 10_000):
-            part = out[k : k + 10_000]
-            yield pa.record_batch({"a": pa.array(np.concatenate([x for x, _ in part])), "b": pa.array(np.concatenate([y for _, y in part]))})
-
-    return run
-
-
-def _group_ends(table: pa.Table) -> list[int]:
-    """Where each run of rows with one key and cell ends."""
-    change = np.zeros(len(table) - 1, bool)
-    for c in ("key", "low", "high"):
-        values = table[c].to_numpy()
-        change |= values[1:] != values[:-1]
-    return [*(np.flatnonzero(change) + 1).tolist(), len(table)]
-
-
-def _full_sets(size: int, wanted, unnamed):
-    """Rows (doc_id, node, shingles) of the texts with an id in ``wanted`` or without id and with a node in ``unnamed``.
-
-    A task gives the set of a text without id once, however many such rows it has.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given: set[int] = set()
-        any_unnamed = bool(unnamed.value.any())
-        for batch in batches:
-            ids = batch.column("doc_id")
-            no_id = ids.is_null().to_numpy(zero_copy_only=False)
-            hit = np.where(no_id, any_unnamed, passes(wanted.value, ids.fill_null(0).to_numpy(zero_copy_only=False)))
-            batch, no_id = batch.filter(pa.array(hit)), no_id[hit]
-            text, starts = flat(batch.column("text"))
-            for a, b in slices(starts):
-                sets = shingle_sets(text[starts[a] : starts[b]], starts[a : b + 1] - starts[a], size)
-                rows = [i for i, s in enumerate(sets) if len(s)]
-                if not rows:
-                    continue
-                node = set_ids([sets[i] for i in rows])
-                fresh = passes(unnamed.value, node) | ~no_id[a:b][rows]
-                for k in np.flatnonzero(fresh & no_id[a:b][rows]):
-                    fresh[k] = int(node[k]) not in given
-                    given.add(int(node[k]))
-                rows, node = np.array(rows)[fresh], node[fresh]
-                yield pa.record_batch(
-                    {
-                        "doc_id": batch.column("doc_id").slice(a, b - a).take(pa.array(rows)),
-                        "node": pa.array(node),
-                        "shingles": pa.array([sets[i].tobytes() for i in rows], pa.binary()),
-                    }
-                )
-
-    return run
-
-
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, two = batch.column("set_a"), batch.column("set_b")
-            good = []
-            for x, y in zip(one, two):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                place = np.searchsorted(y, x)
-                place[place == len(y)] = 0
-                common = int(np.count_nonzero(y[place] == x))
-                good.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return run
-
-
-def _stars(members: DataFrame, tried: DataFrame | None) -> DataFrame:
-    """For each node, the centre that it shares most keys with: (a, b). The centre of a key is its best connected node."""
-    weight = members.groupBy("node").agg(F.sum("c").alias("weight"))
-    centers = members.join(weight, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("center"))
-    pairs = members.join(centers, "key").where("node <> center").groupBy(F.col("center").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c"))
-    if tried is not None:
-        pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    return pairs.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")).select("a", "b")
-
-
-def _one_row_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a in range(0, batch.num_rows, 500):
-            part = batch.slice(a, 500)
-            shingles, starts = flat(part.column("shingles"))
-            node = np.repeat(part.column("node").to_numpy(), np.diff(starts) // 8)
-            yield pa.record_batch({"shingle": pa.array(shingles.view(np.int64)), "node": pa.array(node)})
-
-
-def _common_counts(sets: DataFrame) -> DataFrame:
-    """(node, m): how many shingles of each node some other of these nodes holds as well, which bounds any overlap."""
-    rows = sets.mapInArrow(_one_row_each, "shingle bigint, node bigint")
-    single = rows.groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
-    alone = single.groupBy("node").agg(F.count("*").alias("alone"))
-    size = sets.select("node", (F.octet_length("shingles") / 8).cast("bigint").alias("n"))
-    return size.join(alone, "node", "left").select("node", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m"))
-
-
 def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Classes of documents whose shingle sets are linked by a Jaccard similarity of ``percent`` hundredths or more.
 
@@ -348,12 +191,7 @@ def duplicate_classes(docs: DataFrame, percent: int = 80, size: int = 5, id_colu
     members = written(marks.mapInArrow(_keys(starts, kept), "key bigint, place int, node bigint").join(shared, "key"), "members")
 
     need = members.select("node").distinct().join(nodes, "node").select("node", "label")
-    wanted = spark.sparkContext.broadcast(key_filter(need.where("label IS NOT NULL"), "label"))
-    unnamed = spark.sparkContext.broadcast(key_filter(need.where("label IS NULL"), "node"))
-    found = docs.mapInArrow(_full_sets(size, wanted, unnamed), "doc_id bigint, node bigint, shingles binary").alias("f")
-    same_text = F.expr("f.node = w.node AND f.doc_id <=> w.label")  # a node without label has rows without id only
-    full = found.join(need.alias("w"), same_text, "left_semi").select("node", "shingles").dropDuplicates(["node"])
-    full = written(full, "full_sets")
+    full = written(one_set_each(docs, need, size), "full_sets")
 
     def near(pairs: DataFrame) -> DataFrame:
         one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("marks").alias("marks_a"))
@@ -361,41 +199,6 @@ def duplicate_classes(docs: DataFrame, percent: int = 80, size: int = 5, id_colu
         sized = pairs.join(one, "a").join(two, "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
         return sized.select("a", "b", "marks_a", "marks_b").mapInArrow(_near(starts), "a bigint, b bigint")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        whole = pairs.join(full.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(
-            full.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b"
-        )
-        return whole.mapInArrow(_confirm(percent), "a bigint, b bigint")
-
-    links = tried = None
-    groups = nodes.select("node", F.col("node").alias("root")).limit(0)
-    open_keys = members
-    for _ in range(STAR_ROUNDS):
-        stars = written(_stars(open_keys, tried), "stars")
-        found = written(confirmed(near(stars)), "links")
-        tried = stars if tried is None else tried.union(stars)
-        links = found if links is None else links.union(found)
-        groups = written(components(links), "groups")
-        placed = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        open_keys = written(placed.join(mixed, "key"), "open_keys").drop("root")
-
-    # what is left: pairs within a key that are not connected and whose sizes and common shingles allow a link
-    rows = open_keys.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")).join(nodes.select("node", "n"), "node")
-    rows = rows.join(_common_counts(full.join(open_keys.select("node").distinct(), "node", "left_semi")), "node").where(f"100 * m >= {percent} * n")
-    rows = written(rows, "mixed")
-    cells = rows.groupBy("key").agg(F.ceil(F.count("*") / CELL).cast("int").alias("cells"))
-    own = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
-    rows = rows.join(cells, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    rows = rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    rows = rows.join(marks, "node").select("key", "place", "low", "high", "own", "node", "root", "n", "m", "marks")
-    rows = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "node")
-    crossing = rows.mapInArrow(_crossing(starts, percent), "a bigint, b bigint")
-    more = written(confirmed(crossing), "links")
-    groups = written(components(links.union(more)), "groups")
-
-    labels = nodes.select("node", "label").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = labels.groupBy("root").agg(F.min("label").alias("component_id"))
-    classes = labels.join(least, "root").select("node", "root", "component_id")
-    out = described.select("doc_id", "n_shingles", "node").join(classes, "node", "left")
+    groups = linked_groups(members, full, percent, likely=near)
+    out = described.select("doc_id", "n_shingles", "node").join(classes_of(nodes, groups), "node", "left")
     return out.select("doc_id", "n_shingles", "node", "root", "component_id")

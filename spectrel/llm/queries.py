@@ -19,6 +19,7 @@ from .language import fit_languages, predict_languages
 from .licenses import BY_LINE, BY_MARK, CAPITALS, RULES, SENTENCES, SMALL, recognise_licenses
 from .near_duplicates import near_duplicates
 from .packing import pack
+from .parity_join import parity_join
 from .periodic_runs import find_runs
 from .quality import fit_quality, score_quality
 from .repeats import cut_repeats
@@ -134,9 +135,13 @@ def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS_SQL = f"regexp_extract_all({LOWER_SQL}, '[^\\x20\\x09-\\x0D]+')"
-NEAR_SQL = f"""WITH RECURSIVE words AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
-    sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5
-        THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+
+
+def near_sql(size: int, kept: str) -> str:
+    """Classes of documents by links of 85 hundredths, from all pairs that share a shingle."""
+    return f"""WITH RECURSIVE words AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+    sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= {size}
+        THEN list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))
         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
     same AS (SELECT doc_id, len(s) AS n, s, min(doc_id) OVER (PARTITION BY list_sort(s)) AS label FROM sets),
     rep AS (SELECT doc_id, n, s FROM same WHERE doc_id = label AND n > 0),
@@ -146,8 +151,7 @@ NEAR_SQL = f"""WITH RECURSIVE words AS (SELECT doc_id, {WORDS_SQL} AS w FROM doc
     edges AS (SELECT x, y FROM pairs UNION SELECT y, x FROM pairs UNION SELECT doc_id, doc_id FROM rep),
     reach AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
     least AS (SELECT x, min(y) AS m FROM reach GROUP BY x)
-    SELECT doc_id, n::BIGINT AS n_shingles, (CASE WHEN n = 0 THEN doc_id ELSE m END)::BIGINT AS component_id,
-        doc_id = (CASE WHEN n = 0 THEN doc_id ELSE m END) AS kept
+    SELECT doc_id, n::BIGINT AS n_shingles, (CASE WHEN n = 0 THEN doc_id ELSE m END)::BIGINT AS component_id{kept}
     FROM same LEFT JOIN least ON label = x"""
 
 
@@ -170,7 +174,7 @@ def benchmark_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return contaminations(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
-@query("op7_near_duplicates", NEAR_SQL)
+@query("op7_near_duplicates", near_sql(5, ", doc_id = (CASE WHEN n = 0 THEN doc_id ELSE m END) AS kept"))
 def near_duplicate_classes(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), percent=85)
 
@@ -229,6 +233,11 @@ def repeats(spark: SparkSession, sf: str) -> DataFrame:
     return cut_repeats(docs, with_text=False).drop("rest", "kept_text")
 
 
+@query("op11_similar_documents", near_sql(4, ""))
+def similar_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return parity_join(table(spark, sf, "documents"), percent=85, size=4)
+
+
 def checksum_sql(text: str) -> str:
     """The checksum (CRC-32) of an ASCII text: a fold over its bytes, each followed by eight shifts (-1)."""
     steps = f"flatten(list_transform(string_split({text}, ''), lambda c: list_prepend(ascii(c)::BIGINT, repeat([(-1)::BIGINT], 8))))"

@@ -7,8 +7,8 @@ from spectrel.llm.near_duplicates import SYMBOLS, chunk_keys, chunk_starts, near
 from .helpers import prose, shingles
 
 
-def classes(rows, percent):
-    sets = [shingles(t) for _, t in rows]
+def classes(rows, percent, size=5):
+    sets = [shingles(t, size) for _, t in rows]
     parent = list(range(len(rows)))
 
     def find(i):
@@ -16,11 +16,13 @@ def classes(rows, percent):
             i = parent[i]
         return i
 
-    for i in range(len(rows)):
-        for j in range(i):
-            common = len(sets[i] & sets[j])
-            if common and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
-                parent[find(i)] = find(j)
+    every = {g: k for k, g in enumerate({g for s in sets for g in s})}
+    held = np.zeros((len(rows), len(every)), np.float32)
+    for i, s in enumerate(sets):
+        held[i, [every[g] for g in s]] = 1
+    common, size = held @ held.T, np.array([len(s) for s in sets])
+    for i, j in np.argwhere((common > 0) & (100 * common >= percent * (size[:, None] + size - common))).tolist():
+        parent[find(i)] = find(j)
     least = {}
     for i, (doc, _) in enumerate(rows):
         if doc is not None:
@@ -91,3 +93,17 @@ def test_every_pair_within_the_distance_shares_a_key(seed, percent, data):
     two[wrong] ^= 1
     keys = chunk_keys(np.stack([one, two]), starts)
     assert set(keys[0]) & set(keys[1])
+
+
+def test_a_large_group_of_near_copies(spark):
+    """2,000 copies with their own edits, most pairs just above or below the threshold."""
+    random = np.random.default_rng(17)
+    base = prose(random, 110).split()
+    rows = []
+    for i in range(2000):
+        own = list(base)
+        for place in random.choice(110, int(random.integers(1, 4)), replace=False):
+            own[place] = f"e{random.integers(1000)}"
+        rows.append((i, " ".join(own)))
+    for percent in (80, 85):
+        assert run(spark, rows, percent) == classes(rows, percent)
