@@ -27,7 +27,8 @@ SALTS = 64  # parts of a length that are numbered apart
 def encoder(path: str):
     """A function from text to its ids, for a byte-level BPE file of the ``tokenizers`` library.
 
-    Where the ids follow the merge order, the same ranks run in ``tiktoken``, which is several times faster.
+    Where the ids follow the merge order, the same ranks run in ``tiktoken``, which is several times faster. A text that its
+    expression engine gives up on, as a run of a million spaces, is left to ``tokenizers``.
     """
     import public_tokenizers
     import tiktoken
@@ -39,9 +40,16 @@ def encoder(path: str):
     vocabulary = {k: v for k, v in model["vocab"].items() if k not in extra}
     merged = [vocabulary.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
     plain = (spec["pre_tokenizer"] or {}) == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+
+    @functools.cache
+    def whole() -> Tokenizer:
+        return Tokenizer.from_file(path)
+
+    def encode_whole(text: str) -> np.ndarray:
+        return np.array(whole().encode(text, add_special_tokens=False).ids, np.uint32)
+
     if None in merged or merged != sorted(merged) or not plain or spec["normalizer"]:
-        whole = Tokenizer.from_file(path)
-        return lambda text: np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
+        return encode_whole
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
     ranks = {bytes(byte[c] for c in token): rank for token, rank in vocabulary.items()}
@@ -49,7 +57,10 @@ def encoder(path: str):
 
     def encode(text: str) -> np.ndarray:
         special = "all" if any(token in text for token in extra) else set()
-        return fast.encode_to_numpy(text, allowed_special=special, disallowed_special=())
+        try:
+            return fast.encode_to_numpy(text, allowed_special=special, disallowed_special=())
+        except ValueError:  # the stack of its expression engine is bounded
+            return encode_whole(text)
 
     return encode
 

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -50,6 +51,19 @@ def test_ids_are_those_of_tokenizers(text):
     assert encoder(PATH)(text).tolist() == WHOLE.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("sign", [" ", "\n", "\t", "a", " \n", "é", "1", "-"])
+def test_a_million_of_one_sign(sign):
+    text = sign * 1_000_000 + "end"
+    assert encoder(PATH)(text).tolist() == WHOLE.encode(text, add_special_tokens=False).ids
+
+
+def test_a_run_that_the_fast_engine_gives_up_on(spark):
+    docs = spark.createDataFrame([(1, " " * 1_000_000), (2, "x")], "doc_id bigint, text string")
+    got = pack(docs, PATH).toPandas()
+    n = len(WHOLE.encode(" " * 1_000_000, add_special_tokens=False).ids) + 1
+    assert got.length[got.doc_id == 1].sum() == n and got.sequence_id.nunique() == -(-(n + 2) // 2048)
+
+
 def test_pieces_and_places(spark):
     texts = {1: "hello world", 2: None, 3: "", 4: "word " * 5000, 5: "tok " * 2047, 6: "tok " * 2046, 7: "same text", 8: "same text"}
     rows = [(k, v, 1, "s") for k, v in texts.items()] + [(8, "same text", 1, "s"), (None, "null id", 1, "s")]
