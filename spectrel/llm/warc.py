@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 
 from spectrel.operators.shared import new_path, written
 
+from .hashfilter import split_by_keys
+
 LEAST_SHARED = 100  # bytes of a payload from which equal ones are written once
 SPLIT_BYTES = 8 << 20
+MOST_TASKS = 10_000  # of a read
 CHUNK = 1 << 20
 MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1."
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -60,10 +63,10 @@ def record(page_id, url: str | None, payload: bytes, digest: str, first) -> byte
     return b"\r\n".join(fields) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def _write(folder: str):
+def _write(folder: str, torn_every: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = pyarrow.fs.FileSystem.from_uri(folder)
-        path, out, starts, place = f"part-{uuid.uuid4().hex}.warc.gz", None, [0], 0
+        path, out, starts, place, n = f"part-{uuid.uuid4().hex}.warc.gz", None, [0], 0, 0
         for batch in batches:
             for row in zip(*(batch.column(c) for c in ("page_id", "url", "payload", "payload_digest", "first"))):
                 page_id, url, payload, digest, first = (cell.as_py() for cell in row)
@@ -74,6 +77,9 @@ def _write(folder: str):
                     out = system.open_output_stream(f"{root}/{path}", compression=None)  # members are packed here
                 if place - starts[-1] >= SPLIT_BYTES:
                     starts.append(place)
+                n += 1
+                if torn_every and n % torn_every == 0:
+                    member += member[: len(member) // 2]
                 out.write(member)
                 place += len(member)
         if out is not None:
@@ -84,20 +90,28 @@ def _write(folder: str):
     return run
 
 
-def write_archives(pages: DataFrame, folder: str) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, torn_every: int = 0) -> DataFrame:
     """Write a record for each row (page_id, url, html) into ``folder``; returns the splits (path, start, stop).
 
     Of rows with equal payloads of ``LEAST_SHARED`` bytes or more, that with the smallest page_id is a response and the
-    others revisit it; all others are responses. Null html is an empty payload, a null url an empty one. Rows with a null
-    page_id, and rows that repeat the smallest id, are responses. Other columns are ignored; an empty table writes nothing.
+    others revisit it; all others are responses. Only ids and digests are grouped, and only rows that may be a revisit are
+    joined, by their id; payloads of popular pages stay where they are. After every ``torn_every``-th record of a file its
+    first half is written once more, as by a writer that was cut off (0: never).
+
+    Null html is an empty payload, a null url an empty one. Rows with a null page_id, and rows that repeat the smallest id,
+    are responses. Other columns are ignored; an empty table writes nothing.
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", payload.alias("payload"))
     rows = rows.withColumn("payload_digest", F.sha2("payload", 256))
-    shared = rows.where(f"octet_length(payload) >= {LEAST_SHARED} AND page_id IS NOT NULL").groupBy("payload_digest")
-    shared = shared.agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    marked = rows.join(shared, "payload_digest", "left").withColumn("first", F.when(F.col("page_id") > F.col("first"), F.col("first")))
-    return marked.mapInArrow(_write(folder), _SPLITS)
+    names = rows.where(f"octet_length(payload) >= {LEAST_SHARED} AND page_id IS NOT NULL").select("page_id", "payload_digest")
+    names = written(names.distinct(), "digests")
+    firsts = names.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    revisits = written(names.join(firsts, "payload_digest").where("page_id > first"), "revisits")
+    alone, rest = split_by_keys(rows, revisits, "page_id")
+    rest = rest.join(revisits, ["page_id", "payload_digest"], "left").select(*rows.columns, "first")
+    marked = alone.withColumn("first", F.lit(None).cast("bigint")).unionByName(rest)
+    return marked.mapInArrow(_write(folder, torn_every), _SPLITS)
 
 
 # ---- reading -------------------------------------------------------------------
@@ -273,9 +287,12 @@ def read_archives(splits: DataFrame) -> DataFrame:
     payload_digest (SHA-256 in hex). The payload of a revisit is that of the record it refers to; its size and digest come
     from its headers. An empty table or an empty file gives no row.
     """
-    return splits.select("path", "start", "stop").repartition(F.col("path"), F.col("start")).mapInArrow(_read, _RECORDS)
+    # rows of a split are tiny and what is read for them is not, so the number of tasks is given
+    tasks = max(1, min(MOST_TASKS, splits.count()))
+    return splits.select("path", "start", "stop").repartition(tasks, "path", "start").mapInArrow(_read, _RECORDS)
 
 
-def archive_round_trip(pages: DataFrame) -> DataFrame:
+def archive_round_trip(pages: DataFrame, torn_every: int = 0) -> DataFrame:
     """Write the pages into archives in the shared folder and read those back: the rows of ``read_archives``."""
-    return read_archives(written(write_archives(pages, new_path(pages.sparkSession, "archives")), "splits"))
+    folder = new_path(pages.sparkSession, "archives")
+    return read_archives(written(write_archives(pages, folder, torn_every), "splits"))

@@ -1,12 +1,13 @@
 import gzip
 import hashlib
 import io
+import tempfile
 
 import numpy as np
 import pytest
 
 from spectrel.llm.queries import QUERIES
-from spectrel.llm.warc import archive_round_trip, read_archives, record, salvage
+from spectrel.llm.warc import archive_round_trip, read_archives, record, salvage, write_archives
 
 
 def archive(n=40, packed=True, seed=0):
@@ -110,3 +111,24 @@ def test_a_damaged_file_is_read_by_spark(spark, tmp_path):
 
 def test_query(spark):
     assert QUERIES["op4_archived_pages"](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_torn_records_cost_nothing_and_splits_are_read_apart(spark, monkeypatch):
+    monkeypatch.setattr("spectrel.llm.warc.SPLIT_BYTES", 1 << 12)
+    random = np.random.default_rng(2)
+    bodies = ["x" * 200, "small", None, *("".join(map(chr, random.integers(97, 123, 300))) for _ in range(97))]
+    rows = [(i, f"http://h/{i}", bodies[i % 100], "d", 1) for i in range(400)] + [(None, None, "x" * 200, "d", 1), (3, "again", bodies[3], "d", 1)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, payload_digest string, first int").repartition(3)
+    splits = spark.createDataFrame(write_archives(pages, tempfile.mkdtemp(), torn_every=7).collect())
+    assert splits.count() > 6
+    found = read_archives(splits)
+    assert found.rdd.getNumPartitions() == splits.count()
+    found = found.collect()
+    got = sorted(((r.record_id, r.record_type, r.refers_to, r.payload_bytes) for r in found if r.reason is None), key=str)
+    expected = []
+    for page, _, body, *_ in rows:
+        size = len(body or "")
+        first = page % 100 if page is not None and page >= 100 and size >= 100 else None
+        expected.append((f"<urn:page:{'' if page is None else page}>", "response" if first is None else "revisit", first if first is None else f"<urn:page:{first}>", size))
+    assert got == sorted(expected, key=str)
+    assert 40 < sum(r.reason is not None for r in found) < 60
