@@ -176,12 +176,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = None
     """A machine for the ``quality`` of ``labels``, from at most ``sample`` labelled rows chosen by a hash of their id.
 
     ``docs`` has doc_id and text, ``labels`` has doc_id and quality; ``usable`` may narrow the ids that are learned from.
+    Of several labels or texts of one id the one with the least hash is learned from; null ids, labels other than 0 and 1 and
+    labels without a document are left out. Without any label the machine scores every text alike.
     """
     chosen = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("double").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL")
     if usable is not None:
         chosen = chosen.where(usable)
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
+    chosen = chosen.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` ids
+    one_text = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    texts = texts.groupBy("doc_id").agg(F.first("label").alias("label"), one_text)  # so at most ``sample`` rows reach the driver
     kinds = "label double, bucket binary, value binary, statistics binary"
     table = texts.select("label", "text").mapInArrow(_feature_rows, kinds).toArrow()
     order = np.argsort(np.array([hash_of(v.as_py()) for v in table["statistics"]], np.uint64), kind="stable")

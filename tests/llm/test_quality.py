@@ -59,3 +59,12 @@ def test_labels_of_rows_held_out_are_not_used(spark):
     flipped = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
     one, two = (fit_quality(docs, some, ~held) for some in (labels, flipped))
     assert np.array_equal(one.weights, two.weights) and one.bias == two.bias
+
+
+def test_one_text_of_an_id_is_learned_from(spark):
+    docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(40)] + [(7, "copy " * 5)] * 500, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(7, 0)] * 3 + [(None, 1), (99, 1), (5, None)], "doc_id bigint, quality int")
+    once = spark.createDataFrame([(i, f"word{i} and more") for i in range(40) if i != 7], "doc_id bigint, text string")
+    both = docs.where("doc_id = 7").dropDuplicates().orderBy(F.xxhash64("text")).limit(1)
+    one, two = (score_quality(once, fit_quality(d, labels)).collect() for d in (docs, once.union(both)))
+    assert {(r.doc_id, round(r.score, 9)) for r in one} == {(r.doc_id, round(r.score, 9)) for r in two}
