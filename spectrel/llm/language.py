@@ -27,8 +27,7 @@ from .columns import mix
 BUCKETS = 1 << 17
 SIZES = (1, 2, 3, 4)  # letters of an n-gram, an edge of the word counted as one
 SAMPLE = 300  # documents of each language that are learned from
-PIECES = 24  # pieces of a sampled document, spread over the whole text
-PIECE = 16  # words of a piece, at most
+PIECE = 16  # words of a piece that is spliced into training sequences
 LEXICON = 400  # words of a language
 LENGTH = 64  # words of a training sequence
 SEQUENCES = 2048
@@ -192,21 +191,20 @@ def marginals(psi: np.ndarray, first: np.ndarray, start: np.ndarray, moves: np.n
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of the words of each text, spread evenly over the whole of it."""
+    """The words of each text in pieces."""
     for batch in batches:
         rows = []
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
-            step = max(PIECE, -(-len(words) // PIECES))
-            rows += [(lang, " ".join(words[i : i + PIECE])) for i in range(0, len(words), step)]
+            rows += [(lang, " ".join(words[i : i + PIECE])) for i in range(0, len(words), PIECE)]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in (0, 1)], names=["lang", "piece"])
 
 
 def fit_languages(docs: DataFrame, usable: Column | None = None, sample: int = SAMPLE) -> Field:
     """A field for the languages of ``docs`` (doc_id, text, lang), from at most ``sample`` documents of each language.
 
-    Documents are chosen by a hash of their id, ``usable`` may narrow them; of each, at most ``PIECES`` pieces of
-    ``PIECE`` words are used, spread over the whole text. Null languages and texts are left out.
+    Documents are chosen by a hash of their id, ``usable`` may narrow them; the whole text of each is learned from. Null
+    languages and texts are left out.
     """
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     if usable is not None:
