@@ -345,7 +345,7 @@ def search_ppm(spark, sf):
     """A window of 20 ppm, and of the spectra those of charge 2, both set through the search."""
     hits = se.search(
         document_proteins(spark, sf), benchmark_spectra(spark, sf),
-        tolerance=20.0, tolerance_unit="ppm", bin_width=0.5, spectrum_filter={"max_charge": 2},
+        tolerance=20.0, tolerance_unit="ppm", spectrum_filter={"max_charge": 2},
     )
     return hits.select("spectrum_id", "charge", "peptide", "accession", "xcorr_sum", "hit_rank")
 
@@ -401,11 +401,54 @@ def hit_proteins(spark, sf):
     FROM ranked r LEFT JOIN line l USING (spectrum_id) WHERE r.hit_rank <= 5""",
 )
 def expect_score(spark, sf):
-    scored = written(se.scored_candidates(document_proteins(spark, sf), benchmark_spectra(spark, sf)), "scored")
-    hits = top_hits(scored, ["spectrum_id"], "xcorr_sum", ["peptide", "charge"], 5)
-    return se.expect_scores(scored, hits).select(
-        "spectrum_id", "hit_rank", "peptide", F.round("log_expect", 6).alias("log_expect")
-    )
+    """The search sums up the scores of all candidates as it computes them; none of them becomes a row."""
+    hits = se.search(document_proteins(spark, sf), benchmark_spectra(spark, sf), expect=True)
+    return hits.select("spectrum_id", "hit_rank", "peptide", F.round("log_expect", 6).alias("log_expect"))
+
+
+_FINE = SCORED_CTES.replace(f"/ {FRAGMENT_BIN}::DOUBLE + {1.0 - FRAGMENT_OFFSET}::DOUBLE", "/ 0.02::DOUBLE + 1.0::DOUBLE")
+
+
+@query(
+    "search_fine_bins",
+    f"""WITH {_FINE}, {_RANKED} SELECT spectrum_id, charge, peptide, accession, xcorr_sum, hit_rank
+    FROM ranked WHERE hit_rank <= 5""",
+)
+def search_fine_bins(spark, sf):
+    """Fragment bins of 0.02 without offset, as for high-resolution spectra; the memory of a spectrum is that of its peaks."""
+    hits = se.search(document_proteins(spark, sf), benchmark_spectra(spark, sf), fragment_bin=0.02, fragment_offset=0.0)
+    return hits.select("spectrum_id", "charge", "peptide", "accession", "xcorr_sum", "hit_rank")
+
+
+@query(
+    "search_flanking",
+    f"""WITH {SCORED_CTES.replace("LEFT JOIN processed q ON", "LEFT JOIN flanked q ON").replace("cand AS (", """flanked AS (
+        SELECT spectrum_id, bin, sum(value)::BIGINT AS value FROM (SELECT spectrum_id, bin, 2 * value AS value FROM processed
+        UNION ALL SELECT spectrum_id, bin + 1, value FROM processed UNION ALL SELECT spectrum_id, bin - 1, value FROM processed)
+        GROUP BY 1, 2), cand AS (""", 1)}, {_RANKED.replace("150000.0", "300000.0")}
+    SELECT spectrum_id, charge, peptide, accession, xcorr_sum, xcorr, hit_rank FROM ranked WHERE hit_rank <= 5""",
+)
+def search_flanking(spark, sf):
+    """Theoretical spectra with flanking peaks: half of both neighbouring bins adds to each fragment."""
+    return se.search(document_proteins(spark, sf), benchmark_spectra(spark, sf), flanking=True).drop("source_file")
+
+
+@query(
+    "search_work",
+    f"""WITH {SCORED_CTES} SELECT form, spectrum_id, charge, count(*) AS n_candidates, true AS fewer_scored
+    FROM scored, (VALUES ('shared'), ('shuffled')) AS f(form) GROUP BY ALL""",
+)
+def search_work(spark, sf):
+    """Candidates of each spectrum, and whether over all spectra fewer were scored, in both forms of the search."""
+    out = None
+    for form, most in (("shared", se.BROADCAST_SPECTRA_BYTES), ("shuffled", 0)):
+        summaries, _ = se.search_summaries(document_proteins(spark, sf), benchmark_spectra(spark, sf), max_broadcast_bytes=most)
+        counts = summaries.groupBy("spectrum_id", "charge").agg(F.sum("n_candidates").alias("n_candidates"), F.sum("n_scored").alias("n_scored"))
+        counts = written(counts, "counts")
+        total = counts.agg((F.sum("n_scored") < F.sum("n_candidates")).alias("fewer_scored"))
+        rows = counts.crossJoin(F.broadcast(total)).select(F.lit(form).alias("form"), "spectrum_id", "charge", "n_candidates", "fewer_scored")
+        out = rows if out is None else out.unionAll(rows)
+    return out
 
 
 # ---- hits of a table ---------------------------------------------------------

@@ -262,7 +262,9 @@ def ion_mz(mh: Column, charge: Column) -> Column:
     return F.floor(total / charge).cast("bigint")
 
 
-def bins_by_charge(text: np.ndarray, ends: np.ndarray, mass: np.ndarray, max_charge: int) -> list[tuple]:
+def bins_by_charge(
+    text: np.ndarray, ends: np.ndarray, mass: np.ndarray, max_charge: int, width: float = FRAGMENT_BIN, offset: float = FRAGMENT_OFFSET
+) -> list[tuple]:
     """Fragment bins of many peptides at once: (row, bin) per charge, each bin at its lowest charge only."""
     masses = np.zeros(256, dtype=np.int64)
     for residue, value in residue_table().items():
@@ -271,6 +273,8 @@ def bins_by_charge(text: np.ndarray, ends: np.ndarray, mass: np.ndarray, max_cha
     row = np.repeat(np.arange(len(ends)), lengths)
     running = np.cumsum(masses[text])
     before = np.concatenate([[0], running])[ends - lengths]
+    if len(ends) >= 1 << 20:
+        raise ValueError("too many peptides at once")
     inner = np.ones(len(text), dtype=bool)
     inner[ends - 1] = False  # a fragment leaves out at least the last residue
     row, prefix = row[inner], (running - before[row])[inner]
@@ -278,13 +282,13 @@ def bins_by_charge(text: np.ndarray, ends: np.ndarray, mass: np.ndarray, max_cha
     for charge in range(1, max_charge + 1):
         for singly in (prefix + PROTON, mass[row] - prefix):
             mz = (singly + (charge - 1) * PROTON) // charge
-            bins = np.floor(mz / float(MICRO) / FRAGMENT_BIN + (1.0 - FRAGMENT_OFFSET)).astype(np.int64)
-            codes.append((row << 24) | (bins << 4) | charge)
+            bins = np.floor(mz / float(MICRO) / width + (1.0 - offset)).astype(np.int64)
+            codes.append((row << 43) | (bins << 4) | charge)
     ordered = np.sort(np.concatenate(codes))
     place = ordered >> 4
     lowest = ordered[np.concatenate([[True], place[1:] != place[:-1]])] if len(ordered) else ordered
     return [
-        ((part := lowest[(lowest & 15) == charge]) >> 24, ((part >> 4) & 0xFFFFF).astype(np.int32))
+        ((part := lowest[(lowest & 15) == charge]) >> 43, (part >> 4) & ((1 << 39) - 1))
         for charge in range(1, max_charge + 1)
     ]
 
@@ -307,7 +311,7 @@ def with_fragment_bins(peptides: DataFrame, max_charge: int = MAX_FRAGMENT_CHARG
             columns = []
             for row, bins in bins_by_charge(text, ends, mass, max_charge):
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(ends)))]).astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(bins)))
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(bins.astype(np.int32))))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in peptides.schema]

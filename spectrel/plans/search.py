@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
     DECOY_LABEL,
+    FRAGMENT_BIN,
+    FRAGMENT_OFFSET,
     LENGTH_RANGE,
     MASS_RANGE,
     MASS_TOLERANCE,
@@ -21,8 +24,9 @@ from ..functions.masses import MICRO
 from ..operators.hits import top_hits
 from ..operators.joins import check_width, range_join, shared_table_join, small_enough
 from ..operators.shared import written
-from .digest import digest, search_peptides, variable_mods, with_decoys, with_fragment_bins
-from .spectra import INTENSITY_UNIT, OFFSET_BINS, XCORR_SCALE, filter_spectra, with_precursor, with_vectors
+from .digest import digest, search_peptides, variable_mods, with_decoys
+from .scoring import SPECTRUM_COLUMNS, Rules, score_pairs, score_summaries
+from .spectra import XCORR_SCALE, filter_spectra, with_precursor, with_strong_peaks
 
 # Settings whose base value turns a feature off; any other value is refused.
 OFF = {
@@ -57,8 +61,10 @@ def mass_domain(mass_range: tuple[float, float] = MASS_RANGE) -> tuple[int, int]
 # What names a spectrum: ids repeat between files.
 SPECTRUM = ["source_file", "spectrum_id"]
 
-# Spectra (with vectors) up to this measured size are sent to every task; each is there once per mass bin.
+# Spectra (with their strong peaks) up to this measured size are sent to every task.
 BROADCAST_SPECTRA_BYTES = 64 << 20
+# Bins of the score histogram to a unit of xcorr.
+EXPECT_BINS = 10
 
 
 def candidates(
@@ -103,33 +109,6 @@ def candidates_shared(spectra: DataFrame, peptides: DataFrame, bin_width: float
     return shared_table_join(peptides, spectra, "mass_uda", "low_uda", "high_uda", int(bin_width * MICRO), **kwargs)
 
 
-def xcorr_sum(max_charge: int = MAX_FRAGMENT_CHARGE):
-    """Sum of the vector at the distinct fragment bins of charges 1 to min(max, z - 1), at least 1."""
-
-    def total(charge: int):
-        return F.aggregate(
-            f"bins{charge}",
-            F.lit(0).cast("bigint"),
-            lambda acc, b: acc + F.coalesce(F.get("vector", b), F.lit(0)).cast("bigint"),
-        )
-
-    out = total(1)
-    for charge in range(2, max_charge + 1):
-        out = out + F.when(F.col("charge") > charge, total(charge)).otherwise(F.lit(0).cast("bigint"))
-    return out
-
-
-def xcorr(total):
-    return total.cast("double") * F.lit(XCORR_SCALE) / F.lit(float(INTENSITY_UNIT * 2 * OFFSET_BINS))
-
-
-def score(pairs: DataFrame, max_charge: int = MAX_FRAGMENT_CHARGE) -> DataFrame:
-    """Candidate rows with their score; vector and bins are dropped in the same step."""
-    bins = [f"bins{z}" for z in range(1, max_charge + 1)]
-    scored = pairs.withColumn("xcorr_sum", xcorr_sum(max_charge)).drop("vector", *bins)
-    return scored.withColumn("xcorr", xcorr(F.col("xcorr_sum")))
-
-
 def peptide_table(
     proteins: DataFrame,
     enzyme: str = "Trypsin",
@@ -145,41 +124,58 @@ def peptide_table(
     return variable_mods(peptides, mass_range=mass_range) if modify else peptides
 
 
-def scored_candidates(
+def prepared_search(
     proteins: DataFrame,
     spectra: DataFrame,
     tolerance: float = MASS_TOLERANCE,
     mass_range: tuple[float, float] = MASS_RANGE,
-    max_broadcast_bytes: int = BROADCAST_SPECTRA_BYTES,
     tolerance_unit: str = "amu",
     tolerance_of_mz: bool = False,
     spectrum_filter: dict | None = None,
-    bin_width: float = MASS_TOLERANCE,
+    fragment_bin: float = FRAGMENT_BIN,
+    fragment_offset: float = FRAGMENT_OFFSET,
+    flanking: bool = False,
+    max_fragment_charge: int = MAX_FRAGMENT_CHARGE,
     **params,
-) -> DataFrame:
-    """Every candidate of every spectrum with its score.
+) -> tuple[DataFrame, DataFrame, Rules]:
+    """The peptides and the spectra with their strong peaks, both written, and the rules of their scores.
 
-    ``tolerance`` is in ``tolerance_unit`` (see ``with_precursor``); ``spectrum_filter``
-    holds settings of ``filter_spectra``; further ones go to ``peptide_table``.
+    ``tolerance`` is in ``tolerance_unit`` (see ``with_precursor``); ``spectrum_filter`` holds settings of
+    ``filter_spectra``; fragments are binned by ``fragment_bin`` and ``fragment_offset`` (0.02 and 0.0 for high
+    resolution), with half of both neighbours where ``flanking`` is set; further settings go to ``peptide_table``.
 
-    The peptide and spectrum tables are read more than once (sizes, then the
-    join), so both are written to the shared folder instead of being computed
-    again. The fragment bins are computed as the peptides are read.
+    Both tables are read more than once (sizes, then the scores), so they are written to the shared folder instead of being
+    computed again.
     """
     peptides = written(peptide_table(proteins, mass_range=mass_range, **params), "peptides")
     if "source_file" not in spectra.columns:
         spectra = spectra.withColumn("source_file", F.lit(""))
-    prepared = with_vectors(with_precursor(filter_spectra(spectra, **(spectrum_filter or {})), tolerance, tolerance_unit, tolerance_of_mz))
-    prepared = written(prepared.select(*SPECTRUM, "charge", "mh_uda", "low_uda", "high_uda", "vector"), "spectra")
+    usable = with_precursor(filter_spectra(spectra, **(spectrum_filter or {})), tolerance, tolerance_unit, tolerance_of_mz)
+    prepared = written(with_strong_peaks(usable, fragment_bin, fragment_offset).select(*SPECTRUM_COLUMNS), "spectra")
     # fragments of charges that no spectrum can show are not computed
     highest = prepared.agg(F.max("charge").alias("z")).first()["z"] or 1
-    charges = max(1, min(MAX_FRAGMENT_CHARGE, highest - 1))
-    pairs = candidates(
-        prepared, peptides, bin_width, mass_range, max_broadcast_bytes, lambda df: with_fragment_bins(df, charges)
-    )
-    return score(pairs, charges).select(
-        *SPECTRUM, "charge", F.col("sequence").alias("peptide"), "accession", "xcorr_sum", "xcorr"
-    )
+    charges = max(1, min(max_fragment_charge, highest - 1))
+    rules = Rules(fragment_bin=fragment_bin, fragment_offset=fragment_offset, max_charge=charges, flanking=flanking)
+    return peptides, prepared, rules
+
+
+def with_xcorr(hits: DataFrame, rules: Rules) -> DataFrame:
+    return hits.withColumn("xcorr", F.col("xcorr_sum").cast("double") * F.lit(XCORR_SCALE) / F.lit(rules.unit))
+
+
+def scored_candidates(proteins: DataFrame, spectra: DataFrame, **params) -> DataFrame:
+    """Every candidate of every spectrum with its score, a row each; ``search`` makes no such rows."""
+    peptides, prepared, rules = prepared_search(proteins, spectra, **params)
+    return with_xcorr(score_pairs(peptides, prepared, rules), rules)
+
+
+def search_summaries(
+    proteins: DataFrame, spectra: DataFrame, n: int = NUM_OUTPUT, max_broadcast_bytes: int = BROADCAST_SPECTRA_BYTES, bins_per_unit: int | None = None, **params
+) -> tuple[DataFrame, Rules]:
+    """What each part of the peptides gives for each spectrum (see ``score_summaries``), and the rules of the scores."""
+    peptides, prepared, rules = prepared_search(proteins, spectra, **params)
+    rules = replace(rules, n=n, score_bins=bins_per_unit)
+    return score_summaries(peptides, prepared, rules, max_broadcast_bytes), rules
 
 
 def search(
@@ -187,13 +183,26 @@ def search(
     spectra: DataFrame,
     n: int = NUM_OUTPUT,
     settings: dict | None = None,
+    expect: bool = False,
     **params,
 ) -> DataFrame:
-    """Best ``n`` peptides of every spectrum of every file: file, spectrum, rank, peptide, protein and score."""
+    """Best ``n`` peptides of every spectrum of every file: file, spectrum, rank, peptide, protein and score.
+
+    With ``expect`` also log_expect and expect, from a histogram of the scores of all candidates that is summed up where the
+    scores are computed.
+    """
     check_settings(settings or {})
-    hits = scored_candidates(proteins, spectra, **params)
+    bins_per_unit = EXPECT_BINS if expect else None
+    summaries, rules = search_summaries(proteins, spectra, n, bins_per_unit=bins_per_unit, **params)
+    summaries = written(summaries, "summaries") if expect else summaries
+    hits = with_xcorr(summaries.select(*SPECTRUM, "charge", F.inline("hits")), rules)
     # a spectrum of unknown charge was tried with two charges; all its hits rank together
-    return top_hits(hits, SPECTRUM, "xcorr_sum", ["peptide", "charge"], n)
+    best = top_hits(hits, SPECTRUM, "xcorr_sum", ["peptide", "charge"], n)
+    if not expect:
+        return best
+    counts = summaries.select(*SPECTRUM, F.inline(F.arrays_zip("score_bins", "score_counts")))
+    counts = counts.groupBy(*SPECTRUM, F.col("score_bins").cast("bigint").alias("bin")).agg(F.sum("score_counts").alias("n"))
+    return expect_from_counts(counts, best, bins_per_unit)
 
 
 def hit_proteins(hits: DataFrame, digested: DataFrame) -> DataFrame:
@@ -208,16 +217,13 @@ def hit_proteins(hits: DataFrame, digested: DataFrame) -> DataFrame:
     return found.withColumn("is_decoy", F.col("accession").startswith(DECOY_LABEL))
 
 
-def expect_scores(scored: DataFrame, hits: DataFrame, bins_per_unit: int = 10) -> DataFrame:
+def expect_from_counts(counts: DataFrame, hits: DataFrame, bins_per_unit: int = EXPECT_BINS) -> DataFrame:
     """Expect value of hits from a log-linear fit of the upper half of each spectrum's scores.
 
-    The score histogram has few bins per spectrum. Survival logs are rounded to
-    whole millionths so that the fit sums whole numbers.
+    ``counts`` has a row for each spectrum and bin of scores (bin, n), so few for each spectrum. Survival logs are rounded
+    to whole millionths so that the fit sums whole numbers. Too few bins for a fit: null.
     """
-    key = [c for c in SPECTRUM if c in scored.columns]
-    counts = scored.withColumn("bin", F.floor(F.col("xcorr") * bins_per_unit)).groupBy(*key, "bin").agg(
-        F.count("*").alias("n")
-    )
+    key = [c for c in SPECTRUM if c in counts.columns]
     above = Window.partitionBy(*key).orderBy(F.desc("bin"))
     all_of = Window.partitionBy(*key)
     tail = (

@@ -27,8 +27,6 @@ OFFSET_BINS = 75
 XCORR_SCALE = 0.005
 # Processed intensity is kept as a whole number of thousandths.
 INTENSITY_UNIT = 1000
-# No instrument measures beyond this m/z; such a peak is a reading error.
-LARGEST_MZ = 100_000.0
 
 
 def filter_spectra(
@@ -39,11 +37,11 @@ def filter_spectra(
     max_charge: int = MAX_PRECURSOR_CHARGE,
     scan_range: tuple[int, int] = (0, 0),
 ) -> DataFrame:
-    """Spectra worth a search; impossible peaks and those under the minimum intensity are dropped first."""
+    """Spectra worth a search; peaks that are no numbers above zero and those under the minimum intensity are dropped first."""
 
     def usable(p):
         # a NaN is greater than any number and fails the upper bounds
-        in_range = (p["mz"] > 0) & (p["mz"] <= LARGEST_MZ)
+        in_range = (p["mz"] > 0) & (p["mz"] < float("inf"))
         return in_range & (p["intensity"] >= max(min_intensity, 0.0)) & (p["intensity"] < float("inf"))
 
     kept = spectra.withColumn("peaks", F.filter("peaks", usable))
@@ -86,56 +84,93 @@ def with_precursor(spectra: DataFrame, tolerance: float = MASS_TOLERANCE, unit:
     )
 
 
-def processed_vector(mz: np.ndarray, intensity: np.ndarray) -> np.ndarray:
-    """Correlation vector over fragment bins, in units of 1 / (INTENSITY_UNIT * 2 * OFFSET_BINS).
+def strong_peaks(
+    mz: np.ndarray, intensity: np.ndarray, fragment_bin: float = FRAGMENT_BIN, fragment_offset: float = FRAGMENT_OFFSET
+) -> tuple[np.ndarray, np.ndarray]:
+    """Fragment bins (sorted) and scaled intensities of the peaks that count.
 
-    Square root, strongest peak per bin, ten windows scaled to 50 with peaks under
-    a twentieth of the strongest left out, minus the mean of the 75 bins on each side.
+    Square root, strongest peak per bin, ten windows scaled to 50 with peaks under a twentieth of the strongest left out.
+    The memory is that of the peaks, however high their m/z is.
     """
     if not len(mz):
-        return np.zeros(0, dtype=np.int64)
-    bins = np.floor(mz / FRAGMENT_BIN + (1.0 - FRAGMENT_OFFSET)).astype(np.int64)
-    roots = np.sqrt(intensity)
-    highest = int(bins.max())
-    dense = np.zeros(highest + 1)
-    np.maximum.at(dense, bins, roots)
-    window = np.arange(highest + 1) // (highest // WINDOWS + 1)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    places = np.minimum(np.floor(mz / fragment_bin + (1.0 - fragment_offset)), float(1 << 62)).astype(np.int64)
+    bins, owner = np.unique(places, return_inverse=True)
+    roots = np.zeros(len(bins))
+    np.maximum.at(roots, owner, np.sqrt(intensity))
+    window = bins // (int(bins[-1]) // WINDOWS + 1)
     tops = np.zeros(WINDOWS)
-    np.maximum.at(tops, window, dense)
-    top = tops[window]
-    strong = dense > NOISE_SHARE * dense.max()
-    scaled = np.zeros(highest + 1, dtype=np.int64)
-    scaled[strong] = np.floor(dense[strong] * (WINDOW_TOP * INTENSITY_UNIT) / top[strong] + 0.5).astype(np.int64)
-    padded = np.concatenate([np.zeros(OFFSET_BINS + 1, np.int64), scaled, np.zeros(2 * OFFSET_BINS, np.int64)])
-    running = np.cumsum(padded)
-    n = highest + 1 + OFFSET_BINS
-    around = running[2 * OFFSET_BINS + 1 : 2 * OFFSET_BINS + 1 + n] - running[:n]
-    own = np.concatenate([scaled, np.zeros(OFFSET_BINS, np.int64)])
+    np.maximum.at(tops, window, roots)
+    strong = roots > NOISE_SHARE * roots.max()
+    scaled = np.floor(roots[strong] * (WINDOW_TOP * INTENSITY_UNIT) / tops[window][strong] + 0.5).astype(np.int64)
+    return bins[strong], scaled
+
+
+def values_at(bins: np.ndarray, values: np.ndarray, at: np.ndarray, flanking: bool = False) -> np.ndarray:
+    """The correlation vector at some bins, in units of 1 / (INTENSITY_UNIT * 2 * OFFSET_BINS).
+
+    The scaled intensity minus the mean of the 75 bins on each side, from sums over the peaks. With ``flanking`` the value
+    and half of both neighbours, in units half as large.
+    """
+    if flanking:
+        return 2 * values_at(bins, values, at) + values_at(bins, values, at - 1) + values_at(bins, values, at + 1)
+    running = np.concatenate([[0], np.cumsum(values)])
+    around = running[np.searchsorted(bins, at + OFFSET_BINS, side="right")] - running[np.searchsorted(bins, at - OFFSET_BINS)]
+    own = np.zeros(len(at), np.int64)
+    if len(bins):
+        spot = np.minimum(np.searchsorted(bins, at), len(bins) - 1)
+        own = np.where(bins[spot] == at, values[spot], 0)
     return (2 * OFFSET_BINS + 1) * own - around
 
 
-def with_vectors(spectra: DataFrame) -> DataFrame:
-    """Replaces ``peaks`` by the correlation vector; one row in, one row out, no shuffle."""
+def _list_column(parts: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *parts])))
+
+
+def _peak_rows(spectra: DataFrame, of_row, columns: tuple[str, str]) -> DataFrame:
     others = [f for f in spectra.schema if f.name != "peaks"]
     names = [f.name for f in others]
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
-            peaks, starts = peak_arrays(batch.column("peaks"))
-            vectors = [
-                processed_vector(peaks["mz"][a:b], peaks["intensity"][a:b]).astype(np.int32)
-                for a, b in zip(starts[:-1], starts[1:])
-            ]
-            offsets = np.cumsum([0, *map(len, vectors)]).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.int32), *vectors])
-            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], column], names=[*names, "vector"])
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
+                peaks, starts = peak_arrays(part.column("peaks"))
+                rows = [of_row(peaks["mz"][a:b], peaks["intensity"][a:b]) for a, b in zip(starts[:-1], starts[1:])]
+                made = [_list_column([r[k] for r in rows]) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], *made], names=[*names, *columns])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    return spectra.mapInArrow(batches, f"{fields}, vector array<int>")
+    return spectra.mapInArrow(batches, f"{fields}, {columns[0]} array<bigint>, {columns[1]} array<bigint>")
 
 
-def processed_bins(spectra: DataFrame, keep: list[str] = ("spectrum_id",)) -> DataFrame:
-    """The correlation vector as rows (spectrum, bin, value), zero values left out."""
-    rows = with_vectors(spectra).select(*keep, F.posexplode("vector").alias("bin", "value"))
-    return rows.where("value <> 0").withColumn("value", F.col("value").cast("bigint"))
+def with_strong_peaks(spectra: DataFrame, fragment_bin: float = FRAGMENT_BIN, fragment_offset: float = FRAGMENT_OFFSET) -> DataFrame:
+    """Replaces ``peaks`` by ``bins`` and ``values``, the strong peaks; one row in, one row out, no shuffle."""
+    check_fragment_bins(fragment_bin, fragment_offset)
+    return _peak_rows(spectra, lambda mz, intensity: strong_peaks(mz, intensity, fragment_bin, fragment_offset), ("bins", "values"))
+
+
+def check_fragment_bins(fragment_bin: float, fragment_offset: float) -> None:
+    if not 1e-6 <= fragment_bin or not 0.0 <= fragment_offset <= 1.0:
+        raise ValueError("fragment bins are at least a millionth wide, and their offset is from 0 to 1")
+
+
+def processed_bins(
+    spectra: DataFrame, keep: list[str] = ("spectrum_id",), fragment_bin: float = FRAGMENT_BIN, fragment_offset: float = FRAGMENT_OFFSET
+) -> DataFrame:
+    """The correlation vector as rows (spectrum, bin, value), zero values left out: only bins near a peak have one."""
+    check_fragment_bins(fragment_bin, fragment_offset)
+    reach = np.arange(-OFFSET_BINS, OFFSET_BINS + 1)
+
+    def near(mz: np.ndarray, intensity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bins, values = strong_peaks(mz, intensity, fragment_bin, fragment_offset)
+        at = np.unique((bins[:, None] + reach).ravel())
+        at = at[at >= 0]
+        found = values_at(bins, values, at)
+        return at[found != 0], found[found != 0]
+
+    rows = _peak_rows(spectra.select(*keep, "peaks"), near, ("bins", "values"))
+    return rows.select(*keep, F.inline(F.arrays_zip("bins", "values"))).select(
+        *keep, F.col("bins").cast("int").alias("bin"), F.col("values").alias("value")
+    )
