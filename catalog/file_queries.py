@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from spectrel.functions.text import fasta_record
 from spectrel.operators import scans as sc
 from spectrel.operators import batching
 from spectrel.operators import stats as st
@@ -38,8 +39,10 @@ def written(spark, name: str, df, suffix: str = "", **options) -> str:
 
 @query("fasta_scan", f"WITH {PROTEIN_SQL['documents']} SELECT accession, description, sequence FROM prot")
 def fasta_scan(spark, sf):
-    path = new_path(spark, "fasta")
-    pr.write_proteins(document_proteins(spark, sf), path)
+    """Every file begins with a comment and an empty line, which are no record."""
+    records = document_proteins(spark, sf).select(fasta_record("accession", "description", "sequence").alias("value"))
+    path = new_path(spark, "fasta") + ".fasta"
+    tf.write_framed_text(records.withColumn("k", F.col("value")), path, ["k"], "value", "; database of documents\n# version=1\n\n", "")
     return pr.read_proteins(spark, path).drop("source_file", "left_out")
 
 
@@ -68,10 +71,10 @@ def fasta_shard_counts(spark, sf):
 
 
 def write_vectors_mgf(spark, sf) -> str:
-    """MGF with a preamble, and a comment line inside the blocks of charge 3."""
+    """MGF whose files begin with header lines, with a comment before each block and one inside those of charge 3."""
     blocks = ss.mgf_block(vector_spectra(spark, sf)).select(
         F.concat(
-            F.lit("# search parameters\n"),
+            F.lit("COM=run\nCHARGE=2+ and 3+\n# search parameters\n"),
             F.when(F.col("value").contains("CHARGE=3+"), F.replace("value", F.lit("CHARGE=3+\n"), F.lit("CHARGE=3+\nnot a peak\n"))).otherwise(
                 F.col("value")
             ),
@@ -86,7 +89,7 @@ def write_vectors_mgf(spark, sf) -> str:
     FROM vspec s JOIN vpeak p USING (spectrum_id)""",
 )
 def mgf_scan(spark, sf):
-    spectra = ss.read_spectra(spark, write_vectors_mgf(spark, sf))
+    spectra = ss.read_spectra(spark, write_vectors_mgf(spark, sf), bad_lines=ss.BadLines(1 << 40))
     rows = spectra.select("spectrum_id", "precursor_mz", "charge", F.posexplode("peaks").alias("pos", "p"))
     return rows.select("spectrum_id", "precursor_mz", "charge", "pos", "p.mz", "p.intensity")
 

@@ -6,24 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import fasta_record
-from .text_files import text_reader
+from .text_files import read_records
 
 
 def read_proteins(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One row per FASTA record; large files are split, a record is read exactly once.
 
-    A ``>`` inside a header or a record without sequence does not end anything.
+    A ``>`` inside a header or a record without sequence does not end anything. Text
+    before the first record of a file is left out.
     Sequences are upper-cased (lower case marks masked regions in files and
     modifications here); signs other than letters are left out and counted in
     ``left_out``.
     """
     return (
-        text_reader(spark, "\n>", glob)
-        .text(path)
-        .select(
-            F.regexp_replace("value", "^>", "").alias("record"),
-            F.col("_metadata.file_path").alias("source_file"),
-        )
+        read_records(spark, path, "\n>", glob, opening=">")
+        .select(F.regexp_replace("value", "^>", "").alias("record"), "source_file")
         .select(
             F.regexp_extract("record", r"^([^\r\n]*)", 1).alias("header"),
             F.upper(F.regexp_replace(F.regexp_replace("record", r"^[^\r\n]*", ""), r"\s", "")).alias("raw"),

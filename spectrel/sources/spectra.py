@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import MAX_BAD_LINES, SPECTRA_PER_BATCH
 from ..functions.text import extract_attr, mgf_title, pep_mass
 from ..operators.batching import index_rows
 from ..operators.scans import index_block
-from .text_files import read_delimited
+from .text_files import Paths, read_delimited, read_records, text_reader
 
 PEAKS = "array<struct<mz:double,intensity:double>>"
 _HEADER_LINE = r"^[A-Za-z][A-Za-z0-9_]*="
@@ -26,16 +28,16 @@ def _first_line(lines: str, start: str):
     return F.get(F.filter(lines, lambda l: l.startswith(start)), F.lit(0))
 
 
-def read_mgf(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """One row per ``BEGIN IONS`` block; text before the first block is skipped.
+def read_mgf(spark: SparkSession, path: Paths, glob: str | None = None) -> DataFrame:
+    """One row per ``BEGIN IONS`` block; text before the first block of a file is skipped, header lines too.
 
     A block without ``END IONS`` goes on to the next block or the end of the file.
     A line that is neither a header nor a peak is counted in ``bad_lines``. A block
-    without title is named by its content and its place among equal ones.
+    without title is named by the split of the file and its place there.
     """
     block = F.substring_index("value", "END IONS", 1)
     blocks = (
-        read_delimited(spark, path, "BEGIN IONS", glob)
+        read_records(spark, path, "BEGIN IONS", glob)
         .where(F.col("value").contains("END IONS") | F.col("value").rlike(r"(?m)^(PEPMASS|TITLE|CHARGE)="))
         .select("source_file", "block", "place", F.filter(F.transform(F.split(block, "\r?\n"), lambda l: F.trim(l)), lambda l: l != "").alias("lines"))
     )
@@ -47,22 +49,19 @@ def read_mgf(spark: SparkSession, path: str, glob: str | None = None) -> DataFra
         F.transform(
             F.filter("lines", lambda l: ~l.rlike(_HEADER_LINE)), lambda l: F.split(l, r"[ \t]+")
         ).alias("cells"),
-        F.xxhash64("lines").alias("content"),
     )
     peaks = F.transform(
         "cells", lambda c: F.struct(F.get(c, F.lit(0)).try_cast("double").alias("mz"), F.get(c, F.lit(1)).try_cast("double").alias("intensity"))
     )
     parsed = fields.select(
-        "source_file", "block", "place", "headers", "content", F.filter(peaks, lambda p: p["mz"].isNotNull() & p["intensity"].isNotNull()).alias("peaks"), F.size("cells").alias("n_lines")
+        "source_file", "block", "place", "headers", F.filter(peaks, lambda p: p["mz"].isNotNull() & p["intensity"].isNotNull()).alias("peaks"), F.size("cells").alias("n_lines")
     )
     title = mgf_title(_first_line("headers", "TITLE="))
     charge = F.regexp_extract(_first_line("headers", "CHARGE="), r"(\d+)", 1).try_cast("int")
     scan = F.regexp_extract(_first_line("headers", "SCANS="), r"(\d+)", 1).try_cast("int")
-    out = parsed.select(
+    return parsed.select(
+        F.coalesce(title, F.concat_ws("-", F.lit("untitled"), F.col("block").cast("string"), F.col("place").cast("string"))).alias("spectrum_id"),
         title.alias("title"),
-        F.concat(F.lit("untitled-"), F.hex("content")).alias("content"),
-        "block",
-        "place",
         F.lit(2).alias("ms_level"),
         pep_mass(_first_line("headers", "PEPMASS=")).alias("precursor_mz"),
         charge.alias("charge"),
@@ -71,14 +70,26 @@ def read_mgf(spark: SparkSession, path: str, glob: str | None = None) -> DataFra
         (F.col("n_lines") - F.size("peaks")).alias("bad_lines"),
         "source_file",
     )
-    again = F.row_number().over(Window.partitionBy("source_file", "content").orderBy("block", "place"))
-    untitled = out.where("title IS NULL").withColumn(
-        "spectrum_id", F.when(again == 1, F.col("content")).otherwise(F.concat_ws("-", "content", again.cast("string")))
-    )
-    named = out.where("title IS NOT NULL").withColumn("spectrum_id", F.col("title")).unionByName(untitled)
-    return named.select(
-        "spectrum_id", "title", "ms_level", "precursor_mz", "charge", "scan_num", "peaks", "bad_lines", "source_file"
-    )
+
+
+class BadLines:
+    """Counts unreadable lines as the spectra are read, without a pass of its own.
+
+    ``counted(spectra)`` is what to work on; after an action on it ``check`` raises where there were too many.
+    """
+
+    def __init__(self, limit: int = MAX_BAD_LINES):
+        self.limit = limit
+        self.seen = Observation()
+
+    def counted(self, spectra: DataFrame) -> DataFrame:
+        return spectra.observe(self.seen, F.sum("bad_lines").alias("n"))
+
+    def check(self) -> int:
+        total = self.seen.get["n"] or 0
+        if total > self.limit:
+            raise ValueError(f"{total} lines could not be read, more than {self.limit}")
+        return total
 
 
 def check_bad_lines(spectra: DataFrame, limit: int = MAX_BAD_LINES) -> int:
@@ -106,7 +117,7 @@ def write_mgf(spectra: DataFrame, path: str) -> None:
     mgf_block(spectra).select("value").write.mode("overwrite").text(path)
 
 
-def read_scan_chunks(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def read_scan_chunks(spark: SparkSession, path: Paths, glob: str | None = None) -> DataFrame:
     """Text between ``<scan `` marks in file order, nested scans included; the first chunk is the header."""
     return read_delimited(spark, path, "<scan ", glob)
 
@@ -125,7 +136,7 @@ def read_mzxml_headers(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_scans(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def read_scans(spark: SparkSession, path: Paths, glob: str | None = None) -> DataFrame:
     """One row per scan at any nesting level, peaks still encoded."""
     opening = F.regexp_extract("value", r"(?s)^([^>]*)>", 1)
     chunks = read_scan_chunks(spark, path, glob).where(~is_header_chunk()).withColumn("tag", F.concat(F.lit(" "), opening))
@@ -271,33 +282,34 @@ def write_mzxml_shards(scans: DataFrame, path: str, header: str, per_shard: int
     shards.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
 
 
-def file_kind(path: Column) -> Column:
-    """mgf or mzxml by the name of a file or of the folder it lies in (``.gz`` allowed); null for any other."""
-    small = F.lower(path)
-    found = F.regexp_extract(small, r"\.(mgf|mzxml)(\.gz)?$", 1)
-    folder = F.regexp_extract(small, r"\.(mgf|mzxml)/[^/]*$", 1)
-    return F.when(found != "", found).when(folder != "", folder)
+def files_by_kind(spark: SparkSession, path: str, glob: str | None = None) -> dict[str, list[str]]:
+    """The files of a path by kind, from the listing that every scan needs anyway; a file of neither kind raises."""
+    kinds: dict[str, list[str]] = {}
+    for file in text_reader(spark, "\n", glob).text(path).inputFiles():
+        found = re.search(r"\.(mgf|mzxml)(?:\.gz)?$|\.(mgf|mzxml)/[^/]*$", file.lower())
+        if not found:
+            raise ValueError(f"neither an MGF nor an mzXML file: {file}")
+        kinds.setdefault(found[1] or found[2], []).append(unquote(file))
+    return kinds
 
 
-def read_spectra(spark: SparkSession, path: str, glob: str | None = None, max_bad_lines: int | None = MAX_BAD_LINES) -> DataFrame:
-    """Spectra of all MGF and mzXML files of a path; each file is read by its own name, any other raises.
+def read_spectra(spark: SparkSession, path: str, glob: str | None = None, bad_lines: BadLines | None = None) -> DataFrame:
+    """Spectra of all MGF and mzXML files of a path; each file is read once, by its own name, and any other raises.
 
-    More than ``max_bad_lines`` unreadable lines and damaged peak lists raise as well
-    (None: no limit, and no pass that counts them). A spectrum is named by
-    ``source_file`` and ``spectrum_id``.
+    Nothing is read yet. Unreadable lines and damaged peak lists are counted by ``bad_lines`` as the rows are read. A
+    spectrum is named by ``source_file`` and ``spectrum_id``.
     """
-    files = spark.read.format("binaryFile")
-    files = (files.option("pathGlobFilter", glob) if glob else files).load(path).select("path")
-    kinds = {r["kind"]: r["first"] for r in files.groupBy(file_kind(F.col("path")).alias("kind")).agg(F.min("path").alias("first")).collect()}
-    if None in kinds:
-        raise ValueError(f"neither an MGF nor an mzXML file: {kinds[None]}")
+    kinds = files_by_kind(spark, path, glob)
+    if not kinds:
+        raise ValueError(f"no spectrum files in {path}")
+    # one kind is read as the path says, two kinds are read by their own lists of files
+    own = {kind: (path, glob) if len(kinds) == 1 else (files, None) for kind, files in kinds.items()}
     parts = []
     if "mgf" in kinds:
-        parts.append(read_mgf(spark, path, glob).where(file_kind(F.col("source_file")) == "mgf"))
+        parts.append(read_mgf(spark, *own["mgf"]))
     if "mzxml" in kinds:
-        decoded = decode_peaks(read_scans(spark, path, glob).where(file_kind(F.col("source_file")) == "mzxml"))
         parts.append(
-            decoded.select(
+            decode_peaks(read_scans(spark, *own["mzxml"])).select(
                 F.concat(F.lit("scan-"), F.col("scan_num").cast("string")).alias("spectrum_id"),
                 F.lit(None).cast("string").alias("title"),
                 "ms_level",
@@ -309,9 +321,5 @@ def read_spectra(spark: SparkSession, path: str, glob: str | None = None, max_ba
                 "source_file",
             )
         )
-    if not parts:
-        raise ValueError(f"no spectrum files in {path}")
     spectra = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    if max_bad_lines is not None:
-        check_bad_lines(spectra, max_bad_lines)
-    return spectra.drop("bad_lines")
+    return (bad_lines.counted(spectra) if bad_lines else spectra).drop("bad_lines")

@@ -2,16 +2,60 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 
+Paths = str | list[str]
+
+
 def text_reader(spark: SparkSession, separator: str, glob: str | None = None) -> DataFrameReader:
     reader = spark.read.option("lineSep", separator)
     return reader.option("pathGlobFilter", glob) if glob else reader
 
 
-def read_delimited(spark: SparkSession, path: str, separator: str, glob: str | None = None) -> DataFrame:
+def _numbered(opening: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, count = None, 0  # the split at hand, and its records so far
+        for batch in batches:
+            n = batch.num_rows
+            file, block = batch.column("source_file"), batch.column("block")
+            if not n:
+                continue
+            fresh = np.ones(n, bool)
+            fresh[1:] = pc.not_equal(file[1:], file[:-1]).to_numpy(zero_copy_only=False) | (np.diff(block.to_numpy()) != 0)
+            fresh[0] = (file[0].as_py(), block[0].as_py()) != last
+            last = (file[n - 1].as_py(), block[n - 1].as_py())
+            starts = np.flatnonzero(fresh)
+            place = np.arange(n) - np.repeat(starts if fresh[0] else [0, *starts], np.diff([*(starts if fresh[0] else [0, *starts]), n]))
+            if not fresh[0]:
+                place[: starts[0] if len(starts) else n] += count
+            count = int(place[-1]) + 1
+            keep = (place > 0) | (block.to_numpy() > 0)
+            if opening:
+                keep |= pc.starts_with(batch.column("value"), opening).to_numpy(zero_copy_only=False)
+            out = pa.RecordBatch.from_arrays([batch.column("value"), file, block, pa.array(place)], names=["value", "source_file", "block", "place"])
+            yield out.filter(pa.array(keep))
+
+    return run
+
+
+def read_records(spark: SparkSession, path: Paths, separator: str, glob: str | None = None, opening: str = "") -> DataFrame:
+    """Records that a separator opens: what stands before the first one in a file is left out.
+
+    A file may begin with a record at once; it then begins with ``opening``, the part of the separator after its line end.
+    ``place`` counts the records of a split from 0.
+    """
+    kinds = "value string, source_file string, block bigint, place bigint"
+    return read_delimited(spark, path, separator, glob).select("value", "source_file", "block").mapInArrow(_numbered(opening), kinds)
+
+
+def read_delimited(spark: SparkSession, path: Paths, separator: str, glob: str | None = None) -> DataFrame:
     """Records cut at a separator, which may span lines; files are split across tasks.
 
     ``glob`` picks files of a folder by name.

@@ -2,6 +2,7 @@
 
 import os
 import random
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from spectrel.plans.digest import digest, search_peptides
 from spectrel.plans.search import candidates, hit_proteins, search
 from spectrel.plans.spectra import with_precursor
 from spectrel.sources.proteins import read_proteins
-from spectrel.sources.spectra import decode_peaks, encode_peaks, read_mgf, read_spectra, scan_xml
+from spectrel.sources.spectra import BadLines, decode_peaks, encode_peaks, read_mgf, read_spectra, scan_xml
 
 BLOCK = "BEGIN IONS\n{head}PEPMASS=500.5\nCHARGE=2+\n100.1 5\n200.2 6\n{end}"
 
@@ -59,12 +60,48 @@ def test_unclosed_and_equal_untitled_blocks(spark, write_file):
     assert all(len(r.peaks) == 2 and r.charge == 2 for r in rows)
 
 
-def test_bad_lines_above_the_limit_fail_the_read(spark, write_file):
+def test_bad_lines_are_counted_as_the_rows_are_read(spark, write_file):
     path = write_file("x.mgf", mgf("t").replace("100.1 5", "\n".join(["not a peak"] * 20)))
     assert read_spectra(spark, path).count() == 1
-    assert read_spectra(spark, path, max_bad_lines=None).count() == 1
-    with pytest.raises(ValueError, match="20 lines"):
-        read_spectra(spark, path, max_bad_lines=19)
+    for limit in (20, 19):
+        counter = BadLines(limit)
+        assert len(read_spectra(spark, path, bad_lines=counter).collect()) == 1
+        if limit == 20:
+            assert counter.check() == 20
+        else:
+            with pytest.raises(ValueError, match="20 lines"):
+                counter.check()
+
+
+def test_reading_starts_no_job_and_scans_each_file_once(spark, tmp_path):
+    (tmp_path / "a.mgf").write_text("COM=run\n" + mgf("t1", ""))
+    (tmp_path / "b c.mgf").write_text(mgf("t1", ""))
+    (tmp_path / "c.mzXML").write_text(mzxml(spark))
+    context = spark.sparkContext
+    context.setJobGroup("reading", "")
+    spectra = read_spectra(spark, str(tmp_path), bad_lines=BadLines())
+    assert not context.statusTracker().getJobIdsForGroup("reading")
+    context.setJobGroup("", "")
+    plan = spectra._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 2 and "Exchange" not in plan
+    got = sorted((os.path.basename(unquote(r.source_file)), r.spectrum_id) for r in spectra.collect())
+    assert [(f, s) for f, s in got if not s.startswith("untitled")] == [("a.mgf", "t1"), ("b c.mgf", "t1"), ("c.mzXML", "scan-1"), ("c.mzXML", "scan-2")]
+    assert len(set(got)) == 6
+
+
+@pytest.mark.parametrize("splits", ["whole", "small"])
+def test_what_stands_before_the_first_block(spark, write_file, splits, request):
+    if splits == "small":
+        request.getfixturevalue("small_splits")
+    head = "COM=run\nCHARGE=2+ and 3+\n# more\n\n"
+    rows = read_mgf(spark, write_file("x.mgf", head + mgf(*"abcdef"))).collect()
+    assert sorted(r.spectrum_id for r in rows) == list("abcdef") and all(len(r.peaks) == 2 for r in rows)
+    rows = read_proteins(spark, write_file("x.fasta", ";comment\nTITLE=x\n>p1 d\nMK\n>p2\nRR\n>p3 > x\nAA\n" * 1 + ">p4\n" + "K" * 200)).collect()
+    assert sorted((r.accession, len(r.sequence)) for r in rows) == [("p1", 2), ("p2", 2), ("p3", 2), ("p4", 200)]
+    rows = read_proteins(spark, write_file("y.fasta", ">p1 d\nMK\n>p2\nRR\n")).collect()
+    assert sorted(r.accession for r in rows) == ["p1", "p2"]
+    assert read_proteins(spark, write_file("z.fasta", "")).collect() == []
+    assert read_proteins(spark, write_file("z.fasta", "no record\n")).collect() == []
 
 
 def test_damaged_peaks_are_counted(spark, tmp_path):
