@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spectrel.functions.fixed_values import FRAGMENT_BIN, FRAGMENT_OFFSET, MASS_TOLERANCE, PROTON, PROTON_DALTON
+from spectrel.functions.fixed_values import FRAGMENT_BIN, FRAGMENT_OFFSET, LENGTH_RANGE, MASS_TOLERANCE, PROTON, PROTON_DALTON, WATER
 from spectrel.functions.masses import MICRO, peptide_mass
 from spectrel.operators.hits import merge_hits, sort_hits, top_hits
 from spectrel.operators.batching import index_rows, index_within
@@ -13,13 +13,18 @@ from spectrel.operators.shared import new_path, written
 from spectrel.plans import digest as dg
 from spectrel.plans import search as se
 from spectrel.plans import spectra as sp
+from spectrel.plans.error_rates import error_rates
+from spectrel.plans.modifications import Modification, with_modifications
+from spectrel.plans.semi_digest import semi_digest
 from spectrel.sources.proteins import fasta_record, read_proteins, write_proteins
 from spectrel.sources.spectra import encode_peaks, mgf_block, read_spectra, scan_xml, write_mgf
 from spectrel.sources.text_files import write_framed_text
 
 from .core import (
+    _CODES,
     HIGH,
     LOW,
+    PROTEIN_SQL,
     benchmark_proteins,
     benchmark_spectra,
     digest_sql,
@@ -451,6 +456,112 @@ def search_work(spark, sf):
     return out
 
 
+# ---- peptides with one free end ------------------------------------------------
+
+
+def semi_sql(source: str) -> str:
+    """CTEs ending in ``windows``: all windows of a protein by prefix masses, one end or both at a cut site."""
+    return f"""{PROTEIN_SQL[source]},
+    letters AS (SELECT accession, sequence, unnest(range(1, length(sequence) + 1))::INTEGER AS i FROM prot),
+    sums AS (SELECT accession, sequence, i, (sum(([{_CODES}]::BIGINT[])[ascii(substr(sequence, i, 1)) + 1]) OVER w)::BIGINT AS m,
+        (regexp_matches(substr(sequence, i, 1), '[KR]') AND substr(sequence, i + 1, 1) <> 'P' AND i < length(sequence)) AS cut
+        FROM letters WINDOW w AS (PARTITION BY accession ORDER BY i)),
+    ends AS (SELECT *, sum(cut::INTEGER) OVER (PARTITION BY accession ORDER BY i) AS sites, cut OR i = length(sequence) AS free FROM sums
+        UNION ALL SELECT accession, sequence, 0, 0, false, 0, true FROM prot WHERE length(sequence) > 0),
+    windows AS (SELECT a.accession, substr(a.sequence, a.i + 1, b.i - a.i) AS sequence, b.m - a.m + {WATER + PROTON} AS mass_uda,
+        (b.sites - b.cut::INTEGER - a.sites)::INTEGER AS missed, (a.i + 1)::INTEGER AS start, b.i AS "end",
+        CASE WHEN a.i = 0 THEN '-' ELSE substr(a.sequence, a.i, 1) END AS prev,
+        CASE WHEN b.i = length(a.sequence) THEN '-' ELSE substr(a.sequence, b.i + 1, 1) END AS next
+        FROM ends a JOIN ends b ON a.accession = b.accession AND b.i BETWEEN a.i + {LENGTH_RANGE[0]} AND a.i + {LENGTH_RANGE[1]}
+        WHERE (a.free OR b.free) AND b.m - a.m + {WATER + PROTON} BETWEEN {LOW} AND {HIGH} AND b.sites - b.cut::INTEGER - a.sites <= 2)"""
+
+
+@query("digest_semi", f"WITH {semi_sql('benchmark')} SELECT * FROM windows")
+def digest_semi(spark, sf):
+    return semi_digest(benchmark_proteins(spark, sf))
+
+
+@query(
+    "digest_semi_sums",
+    f"""WITH {semi_sql('documents')} SELECT accession, count(*) AS n, count(DISTINCT sequence) AS n_distinct, sum(mass_uda)::BIGINT AS mass,
+    sum(start)::BIGINT AS starts, sum(missed)::BIGINT AS missed FROM windows GROUP BY accession""",
+)
+def digest_semi_sums(spark, sf):
+    """Peptides of all documents with one free end, summed up for each."""
+    rows = semi_digest(document_proteins(spark, sf))
+    once = semi_digest(document_proteins(spark, sf), places=False).groupBy("accession").agg(F.count_distinct("sequence").alias("n_distinct"))
+    sums = [F.sum(c).cast("bigint").alias(n) for c, n in (("mass_uda", "mass"), ("start", "starts"), ("missed", "missed"))]
+    return rows.groupBy("accession").agg(F.count("*").alias("n"), *sums).join(once, "accession")
+
+
+# ---- two modifications ---------------------------------------------------------
+
+TWO_MODS = [Modification("M", 15.9949, 2), Modification("ST", 79.966331, 1)]
+_ADDED = [m.added_uda for m in TWO_MODS]
+_TWO_SQL = f"""sites AS (SELECT *, CASE WHEN c = 'M' THEN 1 ELSE 2 END AS k FROM (SELECT *, substr(sequence, p, 1) AS c
+        FROM (SELECT *, unnest(range(1, length(sequence) + 1)) AS p FROM base)) WHERE c IN ('M', 'S', 'T')),
+    one AS (SELECT sequence AS plain, accession, mass_uda + CASE k WHEN 1 THEN {_ADDED[0]} ELSE {_ADDED[1]} END AS mass_uda, p, k,
+        left(sequence, p) || k || substr(sequence, p + 1) AS sequence FROM sites),
+    two AS (SELECT o.accession, o.mass_uda + CASE s.k WHEN 1 THEN {_ADDED[0]} ELSE {_ADDED[1]} END AS mass_uda,
+        left(o.sequence, s.p) || s.k || substr(o.sequence, s.p + 1) AS sequence
+        FROM one o JOIN sites s ON s.sequence = o.plain AND s.p < o.p AND NOT (s.k = 2 AND o.k = 2)),
+    mods AS (SELECT sequence, mass_uda, n_mods, accession FROM (SELECT sequence, mass_uda, 0 AS n_mods, accession FROM base
+        UNION ALL SELECT sequence, mass_uda, 1, accession FROM one UNION ALL SELECT sequence, mass_uda, 2, accession FROM two)
+        WHERE mass_uda BETWEEN {LOW} AND {HIGH})"""
+
+
+@query("two_modifications", f"WITH {CANDIDATE_CTES}, {_TWO_SQL} SELECT sequence, mass_uda, n_mods, accession FROM mods")
+def two_modifications(spark, sf):
+    return with_modifications(se.peptide_table(document_proteins(spark, sf), modify=False), TWO_MODS, most_in_all=2)
+
+
+_MARK_CODES = _CODES.split(",")
+for _mark, _value in enumerate(_ADDED, start=1):
+    _MARK_CODES[ord(str(_mark))] = str(_value)
+_MARKED = ions_sql("used", 3).replace(_CODES, ",".join(_MARK_CODES))
+_MARKED = _MARKED.replace("WHERE i < length(sequence))", "WHERE i < length(sequence) AND NOT regexp_matches(substr(sequence, i + 1, 1), '[0-9]'))")
+
+
+@query(
+    "search_two_mods",
+    f"""WITH {SCORED_CTES.replace(mods_sql('base', 'mods', ', accession'), _TWO_SQL).replace(ions_sql('used', 3), _MARKED)}, {_RANKED}
+    SELECT spectrum_id, charge, peptide, accession, xcorr_sum, hit_rank FROM ranked WHERE hit_rank <= 5""",
+)
+def search_two_mods(spark, sf):
+    """Two modifications, of which only those are placed that some spectrum's window can hold."""
+    hits = se.search(document_proteins(spark, sf), benchmark_spectra(spark, sf), modifications=TWO_MODS, most_modifications=2)
+    return hits.select("spectrum_id", "charge", "peptide", "accession", "xcorr_sum", "hit_rank")
+
+
+# ---- separate decoy search -----------------------------------------------------
+
+
+def _one_side(name: str, backwards: bool) -> str:
+    ctes, letters = SCORED_CTES, PROTEIN_SQL["documents"].partition("AS description, ")[2].partition(" AS sequence")[0]
+    if backwards:
+        ctes = ctes.replace(PROTEIN_SQL["documents"], PROTEIN_SQL["documents"].replace(letters, f"reverse({letters})"))
+    return f"{name} AS (WITH {ctes}, {_RANKED} SELECT spectrum_id, peptide, xcorr_sum FROM ranked WHERE hit_rank = 1)"
+
+
+@query(
+    "decoy_error_rate",
+    f"""WITH {_one_side('targets', False)}, {_one_side('decoys', True)},
+    both_sides AS (SELECT *, false AS is_decoy FROM targets UNION ALL SELECT *, true FROM decoys),
+    counted AS (SELECT xcorr_sum, sum((NOT is_decoy)::INTEGER) AS t, sum(is_decoy::INTEGER) AS d FROM both_sides GROUP BY xcorr_sum),
+    rated AS (SELECT xcorr_sum, least(1.0::DOUBLE, sum(d) OVER w::DOUBLE / greatest(sum(t) OVER w, 1)::DOUBLE) AS rate FROM counted WINDOW w AS (ORDER BY xcorr_sum DESC))
+    SELECT spectrum_id, peptide, xcorr_sum, is_decoy, round(min(rate) OVER (ORDER BY xcorr_sum), 9) AS error_rate FROM both_sides JOIN rated USING (xcorr_sum)""",
+)
+def decoy_error_rate(spark, sf):
+    """Targets and decoys are searched apart; the best hit of each spectrum on either side is rated."""
+    proteins, spectra = document_proteins(spark, sf), benchmark_spectra(spark, sf)
+    sides = []
+    for decoys in (False, True):
+        source = proteins.withColumn("sequence", F.reverse("sequence")) if decoys else proteins
+        sides.append(se.search(source, spectra, n=1).withColumn("is_decoy", F.lit(decoys)))
+    rated = error_rates(written(sides[0].unionByName(sides[1]), "sides"))
+    return rated.select("spectrum_id", "peptide", "xcorr_sum", "is_decoy", F.round("error_rate", 9).alias("error_rate"))
+
+
 # ---- hits of a table ---------------------------------------------------------
 
 

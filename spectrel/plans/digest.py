@@ -263,12 +263,23 @@ def ion_mz(mh: Column, charge: Column) -> Column:
 
 
 def bins_by_charge(
-    text: np.ndarray, ends: np.ndarray, mass: np.ndarray, max_charge: int, width: float = FRAGMENT_BIN, offset: float = FRAGMENT_OFFSET
+    text: np.ndarray,
+    ends: np.ndarray,
+    mass: np.ndarray,
+    max_charge: int,
+    width: float = FRAGMENT_BIN,
+    offset: float = FRAGMENT_OFFSET,
+    added: tuple[int, ...] = (),
 ) -> list[tuple]:
-    """Fragment bins of many peptides at once: (row, bin) per charge, each bin at its lowest charge only."""
+    """Fragment bins of many peptides at once: (row, bin) per charge, each bin at its lowest charge only.
+
+    ``added`` has the masses of the marks 1, 2 ... that may follow a residue or the signs of the ends, n and c.
+    """
     masses = np.zeros(256, dtype=np.int64)
     for residue, value in residue_table().items():
         masses[ord(residue)] = value
+    for mark, value in enumerate(added, start=1):
+        masses[ord(str(mark))] = value
     lengths = np.diff(ends, prepend=0)
     row = np.repeat(np.arange(len(ends)), lengths)
     running = np.cumsum(masses[text])
@@ -276,6 +287,11 @@ def bins_by_charge(
     if len(ends) >= 1 << 20:
         raise ValueError("too many peptides at once")
     inner = np.ones(len(text), dtype=bool)
+    if added:  # a fragment ends where a residue follows, and holds one
+        residue = (text >= ord("A")) & (text <= ord("Z"))
+        seen = np.cumsum(residue)
+        inner[:-1] = residue[1:]
+        inner &= seen > np.concatenate([[0], seen])[ends - lengths][row]
     inner[ends - 1] = False  # a fragment leaves out at least the last residue
     row, prefix = row[inner], (running - before[row])[inner]
     codes = []

@@ -53,7 +53,8 @@ class Rules:
     """How fragments are binned and what is kept of the scores.
 
     ``n`` best peptides of each spectrum; with ``score_bins`` a histogram of all scores, so many bins to a unit of xcorr.
-    ``flanking`` adds half of the value of both neighbouring bins at each fragment.
+    ``flanking`` adds half of the value of both neighbouring bins at each fragment. ``added`` has the masses of the marks of
+    modified residues.
     """
 
     n: int = 5
@@ -62,6 +63,7 @@ class Rules:
     max_charge: int = 3
     flanking: bool = False
     score_bins: int | None = None
+    added: tuple[int, ...] = ()
 
     @property
     def unit(self) -> float:
@@ -157,7 +159,7 @@ class Block:
         # a letter outside ASCII weighs nothing, like B, J, X and Z
         text = np.frombuffer("".join(self.sequence.to_pylist()).encode("ascii", "replace"), dtype=np.uint8)
         ends = np.cumsum(pc.utf8_length(self.sequence).to_numpy(zero_copy_only=False).astype(np.int64))
-        self.entries = bins_by_charge(text, ends, self.mass, rules.max_charge, rules.fragment_bin, rules.fragment_offset)
+        self.entries = bins_by_charge(text, ends, self.mass, rules.max_charge, rules.fragment_bin, rules.fragment_offset, rules.added)
         self.indexes: dict[int, Index] = {}
 
     def index(self, charge: int) -> Index:

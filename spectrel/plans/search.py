@@ -25,7 +25,9 @@ from ..operators.hits import top_hits
 from ..operators.joins import check_width, range_join, shared_table_join, small_enough
 from ..operators.shared import written
 from .digest import digest, search_peptides, variable_mods, with_decoys
+from .modifications import MOST_IN_ALL, Modification, covered_masses, plain_sequence, with_modifications
 from .scoring import SPECTRUM_COLUMNS, Rules, score_pairs, score_summaries
+from .semi_digest import semi_digest
 from .spectra import XCORR_SCALE, filter_spectra, with_precursor, with_strong_peaks
 
 # Settings whose base value turns a feature off; any other value is refused.
@@ -61,6 +63,8 @@ def mass_domain(mass_range: tuple[float, float] = MASS_RANGE) -> tuple[int, int]
 # What names a spectrum: ids repeat between files.
 SPECTRUM = ["source_file", "spectrum_id"]
 
+# Both ends of a peptide are cut sites.
+FULL_ENDS = 2
 # Spectra (with their strong peaks) up to this measured size are sent to every task.
 BROADCAST_SPECTRA_BYTES = 64 << 20
 # Bins of the score histogram to a unit of xcorr.
@@ -117,10 +121,18 @@ def peptide_table(
     length_range: tuple[int, int] = LENGTH_RANGE,
     decoys: bool = False,
     modify: bool = True,
+    termini: int = FULL_ENDS,
 ) -> DataFrame:
-    """Distinct (modified) peptides of a protein database with mass and first protein."""
+    """Distinct (modified) peptides of a protein database with mass and first protein.
+
+    ``termini``: 2 where both ends are cut sites, else see ``semi_digest``.
+    """
     source = with_decoys(proteins) if decoys else proteins
-    peptides = search_peptides(digest(source, enzyme, missed, mass_range, length_range, places=False))
+    if termini == FULL_ENDS:
+        digested = digest(source, enzyme, missed, mass_range, length_range, places=False)
+    else:
+        digested = semi_digest(source, enzyme, termini, missed, mass_range, length_range, places=False)
+    peptides = search_peptides(digested)
     return variable_mods(peptides, mass_range=mass_range) if modify else peptides
 
 
@@ -136,18 +148,20 @@ def prepared_search(
     fragment_offset: float = FRAGMENT_OFFSET,
     flanking: bool = False,
     max_fragment_charge: int = MAX_FRAGMENT_CHARGE,
+    modifications: list[Modification] | None = None,
+    most_modifications: int = MOST_IN_ALL,
     **params,
 ) -> tuple[DataFrame, DataFrame, Rules]:
     """The peptides and the spectra with their strong peaks, both written, and the rules of their scores.
 
     ``tolerance`` is in ``tolerance_unit`` (see ``with_precursor``); ``spectrum_filter`` holds settings of
     ``filter_spectra``; fragments are binned by ``fragment_bin`` and ``fragment_offset`` (0.02 and 0.0 for high
-    resolution), with half of both neighbours where ``flanking`` is set; further settings go to ``peptide_table``.
+    resolution), with half of both neighbours where ``flanking`` is set. ``modifications`` replace the one on M; those that
+    no spectrum asks for are not placed. Further settings go to ``peptide_table``.
 
     Both tables are read more than once (sizes, then the scores), so they are written to the shared folder instead of being
     computed again.
     """
-    peptides = written(peptide_table(proteins, mass_range=mass_range, **params), "peptides")
     if "source_file" not in spectra.columns:
         spectra = spectra.withColumn("source_file", F.lit(""))
     usable = with_precursor(filter_spectra(spectra, **(spectrum_filter or {})), tolerance, tolerance_unit, tolerance_of_mz)
@@ -156,7 +170,12 @@ def prepared_search(
     highest = prepared.agg(F.max("charge").alias("z")).first()["z"] or 1
     charges = max(1, min(max_fragment_charge, highest - 1))
     rules = Rules(fragment_bin=fragment_bin, fragment_offset=fragment_offset, max_charge=charges, flanking=flanking)
-    return peptides, prepared, rules
+    if modifications is None:
+        return written(peptide_table(proteins, mass_range=mass_range, **params), "peptides"), prepared, rules
+    plain = peptide_table(proteins, mass_range=mass_range, **(params | {"modify": False}))
+    covered = covered_masses(prepared, mass_range)
+    peptides = written(with_modifications(plain, modifications, most_modifications, mass_range, covered), "peptides")
+    return peptides, prepared, replace(rules, added=tuple(m.added_uda for m in modifications))
 
 
 def with_xcorr(hits: DataFrame, rules: Rules) -> DataFrame:
@@ -210,7 +229,7 @@ def hit_proteins(hits: DataFrame, digested: DataFrame) -> DataFrame:
 
     Only the few peptides that were reported are looked up, after the cut to the best hits.
     """
-    plain = hits.withColumn("sequence", F.upper("peptide"))
+    plain = hits.withColumn("sequence", plain_sequence("peptide"))
     keys = [c for c in (*SPECTRUM, "charge", "hit_rank", "peptide") if c in hits.columns]
     places = digested.select("sequence", "accession", "start", "end", "prev", "next")
     found = plain.select(*keys, "sequence").join(places, "sequence").drop("sequence")
