@@ -665,3 +665,38 @@ def score_batches(spark, sf):
         BATCH_BIN,
     )
     return merge_hits(se.score_batches(pairs, exact_matches, "spectrum_id string, peptide string"))
+
+
+_BENCH_SCORED = SCORED_CTES.replace(digest_sql("documents"), digest_sql("benchmark"))
+
+
+@query("score_batches_native", f"WITH {_BENCH_SCORED}, {_RANKED} SELECT spectrum_id, charge, peptide, xcorr_sum, hit_rank FROM ranked WHERE hit_rank <= 5")
+def score_batches_native(spark, sf):
+    """The search itself as the scorer of pairs of batches; the best hits of all pairs are those of one search."""
+    records, blocks = search_batches(spark, sf)
+    pairs = pair_batches(
+        mass_batches(records, 200).select("low", "high", F.col("text").alias("proteins")),
+        mass_batches(blocks, 50).select("low", "high", F.col("text").alias("spectra")),
+        BATCH_BIN,
+    )
+    hits = merge_hits(se.score_batches(pairs).drop("accession"))
+    return top_hits(hits, ["spectrum_id"], "xcorr_sum", ["peptide", "charge"], 5)
+
+
+@query("score_batches_shared", f"WITH {_BENCH_SCORED}, {_RANKED} SELECT spectrum_id, charge, peptide, accession, xcorr_sum, hit_rank FROM ranked WHERE hit_rank <= 5")
+def score_batches_shared(spark, sf):
+    """Batches of spectra, each scored against the whole database that every executor holds."""
+    _, blocks = search_batches(spark, sf)
+    batches = mass_batches(blocks, 50).select(F.col("text").alias("spectra"))
+    hits = se.score_batches_shared(batches, benchmark_proteins(spark, sf))
+    return top_hits(hits, ["spectrum_id"], "xcorr_sum", ["peptide", "charge"], 5)
+
+
+@query(
+    "search_shared_database",
+    f"""WITH {_BENCH_SCORED}, {_RANKED} SELECT spectrum_id, charge, peptide, accession, xcorr_sum, xcorr, hit_rank
+    FROM ranked WHERE hit_rank <= 5""",
+)
+def search_shared_database(spark, sf):
+    """The whole search with its peptides in every task; the spectra are not moved."""
+    return se.search(benchmark_proteins(spark, sf), benchmark_spectra(spark, sf), shared_database=True).drop("source_file")

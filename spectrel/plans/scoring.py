@@ -14,6 +14,7 @@ score are let go, and the remaining lists are skipped when few are left.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -417,6 +418,39 @@ def score_pairs(peptides: DataFrame, spectra: DataFrame, rules: Rules, **sizes)
     return _cells(peptides, spectra, **sizes).applyInArrow(_all_pairs(rules), PAIRS)
 
 
+# The index of the database that this worker last used, by the name of the search.
+_SHARED_BLOCK: dict[str, Block] = {}
+
+
+def _against_database(shared, rules: Rules):
+    """Summaries of a task's spectra against the whole database, whose index a worker makes once."""
+    name = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if name not in _SHARED_BLOCK:
+            _SHARED_BLOCK.clear()
+            _SHARED_BLOCK[name] = Block(shared.value, rules)
+        block = _SHARED_BLOCK[name]
+        for batch in batches:
+            spectra, kept = Spectra(pa.Table.from_batches([batch])), {}
+            _score(spectra, np.argsort(spectra.low, kind="stable"), block, kept)
+            yield from _rows(spectra, kept)
+
+    return run
+
+
+def score_with_shared_database(peptides: DataFrame, spectra: DataFrame, rules: Rules, max_bytes: int) -> DataFrame:
+    """As ``score_summaries``, with the peptides in every task and each spectrum finished where it is; no shuffle.
+
+    Peptides of more than ``max_bytes`` are not sent round; the cells then give the same summaries.
+    """
+    peptides, spectra = peptides.select("sequence", "accession", "mass_uda"), spectra.select(*SPECTRUM_COLUMNS)
+    if not small_enough(peptides, max_bytes):
+        return _cells(peptides, spectra).applyInArrow(_cell(rules), SUMMARY)
+    shared = spectra.sparkSession.sparkContext.broadcast(peptides.toArrow())
+    return spectra.mapInArrow(_against_database(shared, rules), SUMMARY)
+
+
 def score_summaries(peptides: DataFrame, spectra: DataFrame, rules: Rules, max_broadcast_bytes: int, **sizes) -> DataFrame:
     """For each spectrum and part of the peptides: candidates, scored ones, the best hits and the histogram of scores.
 

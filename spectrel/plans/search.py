@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import replace
+from itertools import combinations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +21,12 @@ from ..functions.fixed_values import (
     MASS_RANGE,
     MASS_TOLERANCE,
     MAX_FRAGMENT_CHARGE,
+    MAX_VARIABLE_SITES,
+    MIN_PEAKS,
     MISSED_CLEAVAGES,
     NUM_OUTPUT,
+    PROTON_DALTON,
+    VARIABLE_ADDED,
 )
 from ..functions.masses import MICRO
 from ..operators.hits import top_hits
@@ -26,9 +34,9 @@ from ..operators.joins import check_width, range_join, shared_table_join, small_
 from ..operators.shared import written
 from .digest import digest, search_peptides, variable_mods, with_decoys
 from .modifications import MOST_IN_ALL, Modification, covered_masses, plain_sequence, with_modifications
-from .scoring import SPECTRUM_COLUMNS, Rules, score_pairs, score_summaries
-from .semi_digest import semi_digest
-from .spectra import XCORR_SCALE, filter_spectra, with_precursor, with_strong_peaks
+from .scoring import SPECTRUM_COLUMNS, Block, Rules, Summary, score_pairs, score_summaries, score_with_shared_database
+from .semi_digest import masses_by_code, semi_digest, windows
+from .spectra import XCORR_SCALE, filter_spectra, strong_peaks, with_precursor, with_strong_peaks
 
 # Settings whose base value turns a feature off; any other value is refused.
 OFF = {
@@ -189,12 +197,22 @@ def scored_candidates(proteins: DataFrame, spectra: DataFrame, **params) -> Data
 
 
 def search_summaries(
-    proteins: DataFrame, spectra: DataFrame, n: int = NUM_OUTPUT, max_broadcast_bytes: int = BROADCAST_SPECTRA_BYTES, bins_per_unit: int | None = None, **params
+    proteins: DataFrame,
+    spectra: DataFrame,
+    n: int = NUM_OUTPUT,
+    max_broadcast_bytes: int = BROADCAST_SPECTRA_BYTES,
+    bins_per_unit: int | None = None,
+    shared_database: bool = False,
+    **params,
 ) -> tuple[DataFrame, Rules]:
-    """What each part of the peptides gives for each spectrum (see ``score_summaries``), and the rules of the scores."""
+    """What each part of the peptides gives for each spectrum (see ``score_summaries``), and the rules of the scores.
+
+    With ``shared_database`` the peptides go to every task, up to ``max_broadcast_bytes``, and the spectra stay.
+    """
     peptides, prepared, rules = prepared_search(proteins, spectra, **params)
     rules = replace(rules, n=n, score_bins=bins_per_unit)
-    return score_summaries(peptides, prepared, rules, max_broadcast_bytes), rules
+    form = score_with_shared_database if shared_database else score_summaries
+    return form(peptides, prepared, rules, max_broadcast_bytes), rules
 
 
 def search(
@@ -275,11 +293,98 @@ def expect_from_counts(counts: DataFrame, hits: DataFrame, bins_per_unit: int =
     )
 
 
-def score_batches(pairs: DataFrame, fn: Callable[[str, str], list[dict] | None], schema: str) -> DataFrame:
-    """Run a user's scorer on (database text, spectra text) pairs; no result gives no rows.
+def _protein_records(text: str) -> Iterator[tuple[str, str]]:
+    for record in ("\n" + text).split("\n>")[1:]:
+        head, _, lines = record.partition("\n")
+        yield (head.split() or [""])[0], re.sub("[^A-Z]", "", lines.upper())
+
+
+def _spectrum_records(text: str) -> Iterator[dict]:
+    for block in text.split("BEGIN IONS")[1:]:
+        lines = [line.strip() for line in block.partition("END IONS")[0].splitlines()]
+        fields = {k.upper(): v for k, _, v in (line.partition("=") for line in lines if re.match(r"[A-Za-z]\w*=", line))}
+        peaks = [line.split() for line in lines if line and "=" not in line]
+        charge = re.search(r"\d+", fields.get("CHARGE", ""))
+        mass = re.match(r"[\d.eE+-]+", fields.get("PEPMASS", ""))
+        if mass:
+            yield {"name": fields.get("TITLE", ""), "mz": float(mass[0]), "charge": int(charge[0]) if charge else None, "peaks": np.array([[float(p[0]), float(p[1])] for p in peaks if len(p) > 1]).reshape(-1, 2)}
+
+
+def native_scorer(
+    n: int = NUM_OUTPUT,
+    tolerance: float = MASS_TOLERANCE,
+    enzyme: str = "Trypsin",
+    missed: int = MISSED_CLEAVAGES,
+    termini: int = FULL_ENDS,
+    mass_range: tuple[float, float] = MASS_RANGE,
+    min_peaks: int = MIN_PEAKS,
+    rules: Rules = Rules(),
+) -> Callable[[str, str], list[dict]]:
+    """A scorer for ``score_batches``: the search itself on FASTA and MGF text of one pair of batches.
 
-    The columns are ``proteins`` and ``spectra``; each batch is bounded by its batch size.
+    A row is a hit: spectrum_id, charge, peptide, accession, xcorr_sum. The best of all pairs together are those of ``search``.
+    """
+    masses, limits = masses_by_code(), mass_domain(mass_range)
+    rules = replace(rules, n=n)
+
+    last: dict[str, Block] = {}  # pairs of one database batch often follow each other
+
+    def block_of(proteins: str) -> Block:
+        if proteins not in last:
+            last.clear()
+            last[proteins] = made(proteins)
+        return last[proteins]
+
+    def made(proteins: str) -> Block:
+        found: dict[str, tuple[str, int]] = {}
+        for accession, sequence in _protein_records(proteins):
+            if sequence:
+                codes = np.frombuffer(sequence.encode(), np.uint8)
+                for s, e, mass in zip(*(c.tolist() for c in windows(codes, masses, enzyme, termini, missed, limits, LENGTH_RANGE)[:3])):
+                    peptide = sequence[s:e]
+                    if peptide not in found or accession < found[peptide][0]:
+                        found[peptide] = accession, mass
+        rows = []
+        for peptide, (accession, mass) in found.items():
+            sites = [i for i, c in enumerate(peptide) if c == "M"]
+            for k in range(min(MAX_VARIABLE_SITES, len(sites)) + 1):
+                if limits[0] <= (total := mass + k * VARIABLE_ADDED["M"]) <= limits[1]:
+                    for chosen in combinations(sites, k):
+                        rows.append(("".join("m" if i in chosen else c for i, c in enumerate(peptide)), accession, total))
+        columns = list(zip(*rows)) or [(), (), ()]
+        kinds = (pa.string(), pa.string(), pa.int64())
+        return Block(pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["sequence", "accession", "mass_uda"]), rules)
+
+    def run(proteins: str, spectra: str) -> list[dict]:
+        block, out, width = block_of(proteins), [], int(tolerance * MICRO)
+        if not len(block.mass):
+            return out
+        for s in _spectrum_records(spectra):
+            peaks = s["peaks"]
+            peaks = peaks[(peaks[:, 0] > 0) & np.isfinite(peaks[:, 0]) & (peaks[:, 1] >= 0) & np.isfinite(peaks[:, 1])]
+            if len(peaks) < min_peaks:
+                continue
+            bins, values = strong_peaks(peaks[:, 0], peaks[:, 1], rules.fragment_bin, rules.fragment_offset)
+            for charge in [s["charge"]] if s["charge"] else [2, 3]:
+                mh = int(np.floor((s["mz"] * charge - PROTON_DALTON * charge + PROTON_DALTON) * 1e6 + 0.5))
+                summary = Summary()
+                summary.add(block, charge, mh - width, mh + width, bins, values)
+                out += [{"spectrum_id": s["name"], "charge": charge, "peptide": p, "accession": a, "xcorr_sum": -v} for v, p, a in summary.hits]
+        return out
+
+    return run
+
+
+NATIVE_HITS = "spectrum_id string, charge int, peptide string, accession string, xcorr_sum bigint"
+
+
+def score_batches(pairs: DataFrame, fn: Callable[[str, str], list[dict] | None] | None = None, schema: str = NATIVE_HITS) -> DataFrame:
+    """Run a scorer on (database text, spectra text) pairs; no result gives no rows.
+
+    The columns are ``proteins`` and ``spectra``; each batch is bounded by its batch size. ``fn`` is a user's own scorer,
+    with the schema of its rows; without one the search itself scores the pairs (``native_scorer``).
     """
+    fn = fn or native_scorer()
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -289,3 +394,27 @@ def score_batches(pairs: DataFrame, fn: Callable[[str, str], list[dict] | None],
                     yield pd.DataFrame(rows)
 
     return pairs.select("proteins", "spectra").mapInPandas(batches, schema)
+
+
+def score_batches_shared(spectra: DataFrame, proteins: DataFrame, fn: Callable[[str, str], list[dict] | None] | None = None, schema: str = NATIVE_HITS, max_bytes: int = BROADCAST_SPECTRA_BYTES) -> DataFrame:
+    """Run a scorer on batches of spectra (column ``spectra``), each with the whole database (accession, sequence) beside it.
+
+    The database is sent to every executor once and made into text once in each worker; one whose measured size is above
+    ``max_bytes`` raises, as it belongs in batches.
+    """
+    proteins = proteins.select("accession", "sequence")
+    if not small_enough(proteins, max_bytes):
+        raise ValueError("the database is too large to be shared; pair batches instead")
+    shared, fn = proteins.sparkSession.sparkContext.broadcast(proteins.toArrow()), fn or native_scorer()
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        text = None
+        for frame in frames:
+            if text is None:
+                text = "".join(f">{a}\n{s}\n" for a, s in zip(*(shared.value[c].to_pylist() for c in ("accession", "sequence"))))
+            for spectra in frame["spectra"]:
+                rows = fn(text, spectra)
+                if rows:
+                    yield pd.DataFrame(rows)
+
+    return spectra.select("spectra").mapInPandas(batches, schema)

@@ -16,8 +16,15 @@ from pyspark.sql import DataFrame
 from ..functions.fixed_values import ENZYMES, LENGTH_RANGE, MASS_RANGE, MISSED_CLEAVAGES, PROTON, WATER
 from ..functions.masses import MICRO, residue_table
 
-#: Which ends of a peptide have to be cut sites: one of both, the first (free C-terminus), the last (free N-terminus).
-EITHER_END, FREE_C_END, FREE_N_END = 1, 8, 9
+#: Which ends of a peptide have to be cut sites: one of both, both, the first (free C-terminus), the last (free N-terminus).
+EITHER_END, BOTH_ENDS, FREE_C_END, FREE_N_END = 1, 2, 8, 9
+
+
+def masses_by_code() -> np.ndarray:
+    masses = np.zeros(256, np.int64)
+    for residue, value in residue_table().items():
+        masses[ord(residue)] = value
+    return masses
 
 
 def cut_places(codes: np.ndarray, enzyme: str) -> np.ndarray:
@@ -36,14 +43,16 @@ def windows(codes: np.ndarray, masses: np.ndarray, enzyme: str, termini: int, mi
     inside = np.cumsum(np.isin(np.arange(n + 1), places[1:-1]))  # cut sites up to and with a place
     low, high = mass_range[0] - WATER - PROTON, mass_range[1] - WATER - PROTON
     found = []
-    if termini in (EITHER_END, FREE_C_END):
+    if termini in (EITHER_END, BOTH_ENDS, FREE_C_END):
         start = places[:-1]
         limit = places[np.minimum(np.arange(len(start)) + missed + 1, len(places) - 1)]
         first = np.maximum(np.searchsorted(sums, sums[start] + low), start + length_range[0])
         last = np.minimum.reduce([np.searchsorted(sums, sums[start] + high, side="right") - 1, start + length_range[1], limit])
         many = np.maximum(last - first + 1, 0)
         s = np.repeat(start, many)
-        found.append((s, np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)))
+        e = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
+        whole = np.isin(e, places) if termini == BOTH_ENDS else np.ones(len(e), bool)
+        found.append((s[whole], e[whole]))
     if termini in (EITHER_END, FREE_N_END):
         end = places[1:]
         limit = places[np.maximum(np.arange(1, len(places)) - missed - 1, 0)]
@@ -79,15 +88,13 @@ def semi_digest(
     Without ``places`` a protein gives a sequence that it holds several times once, and the columns that tell where a
     peptide lies are left out. A null or empty sequence gives no row.
     """
-    if termini not in (EITHER_END, FREE_C_END, FREE_N_END):
-        raise ValueError("termini is 1 (either end), 8 (free C-terminus) or 9 (free N-terminus)")
+    if termini not in (EITHER_END, BOTH_ENDS, FREE_C_END, FREE_N_END):
+        raise ValueError("termini is 1 (either end), 2 (both), 8 (free C-terminus) or 9 (free N-terminus)")
     if enzyme not in ENZYMES:
         raise ValueError(f"unknown enzyme {enzyme}")
     if length_range[0] < 1:
         raise ValueError("a peptide has at least one residue")
-    masses = np.zeros(256, np.int64)
-    for residue, value in residue_table().items():
-        masses[ord(residue)] = value
+    masses = masses_by_code()
     limits = (int(mass_range[0] * MICRO), int(mass_range[1] * MICRO))
     kinds = _KINDS if places else _KINDS[:4]
 
