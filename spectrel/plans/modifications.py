@@ -149,7 +149,7 @@ def with_modifications(
     def table(batch, owner, texts, masses, counted) -> pa.RecordBatch:
         rest = batch.select([f.name for f in others]).take(pa.array(owner, pa.int64())) if others else None
         own = [pa.array(texts, pa.string()), pa.array(masses, pa.int64()), pa.array(counted, pa.int32())]
-        return pa.RecordBatch.from_arrays([*own, *(rest.columns if rest else [])], names=["sequence", "mass_uda", "n_mods", *(f.name for f in others)])
+        return pa.RecordBatch.from_arrays([*own, *(rest.columns if rest is not None else [])], names=["sequence", "mass_uda", "n_mods", *(f.name for f in others)])
 
     fields = ["sequence string", "mass_uda bigint", "n_mods int", *(f"`{f.name}` {f.dataType.simpleString()}" for f in others)]
     return peptides.mapInArrow(batches, ", ".join(fields))
