@@ -15,7 +15,9 @@ from spectrel.plans import search as se
 from spectrel.plans import spectra as sp
 from spectrel.plans.error_rates import error_rates
 from spectrel.plans.modifications import Modification, with_modifications
+from spectrel.plans.report import search_to_pepxml
 from spectrel.plans.semi_digest import semi_digest
+from spectrel.sources.pepxml import read_pepxml
 from spectrel.sources.proteins import fasta_record, read_proteins, write_proteins
 from spectrel.sources.spectra import encode_peaks, mgf_block, read_spectra, scan_xml, write_mgf
 from spectrel.sources.text_files import write_framed_text
@@ -700,3 +702,29 @@ def score_batches_shared(spark, sf):
 def search_shared_database(spark, sf):
     """The whole search with its peptides in every task; the spectra are not moved."""
     return se.search(benchmark_proteins(spark, sf), benchmark_spectra(spark, sf), shared_database=True).drop("source_file")
+
+
+_REPORT_SQL = f"""{_BENCH_SCORED}, {_RANKED}, top AS (SELECT * FROM ranked WHERE hit_rank <= 5),
+    holders AS (SELECT DISTINCT sequence, accession FROM pep),
+    counted AS (SELECT sequence, count(*) AS n_proteins FROM holders GROUP BY sequence),
+    hist AS (SELECT spectrum_id, floor(xcorr * 10)::BIGINT AS bin, count(*) AS n FROM ranked GROUP BY 1, 2),
+    surv AS (SELECT *, sum(n) OVER (PARTITION BY spectrum_id ORDER BY bin DESC) AS survivors, sum(n) OVER (PARTITION BY spectrum_id) AS total FROM hist),
+    tail AS (SELECT spectrum_id, count(*) AS k, max(bin) - min(bin) AS wide FROM surv WHERE survivors * 2 <= total GROUP BY 1)"""
+
+
+@query(
+    "search_report",
+    f"""WITH {_REPORT_SQL} SELECT t.spectrum_id, t.charge, t.hit_rank, upper(t.peptide) AS peptide, t.peptide AS marked_peptide, t.accession,
+        t.xcorr, (k >= 3 AND wide > 0) IS TRUE AS has_expect, m.mass_uda, c.n_proteins
+    FROM top t JOIN mods m ON m.sequence = t.peptide JOIN counted c ON c.sequence = upper(t.peptide) LEFT JOIN tail USING (spectrum_id)""",
+)
+def search_report(spark, sf):
+    """The document that a search writes, read back: masses, modified residues, expect values and numbers of proteins."""
+    path = new_path(spark, "report")
+    search_to_pepxml(benchmark_proteins(spark, sf), benchmark_spectra(spark, sf), path)
+    rows = read_pepxml(spark, path)
+    n_proteins = F.regexp_extract("hit_xml", r'num_tot_proteins="(\d+)"', 1).cast("bigint").alias("n_proteins")
+    return rows.select(
+        "spectrum_id", "charge", "hit_rank", "peptide", "marked_peptide", "accession", "xcorr",
+        F.col("expect").isNotNull().alias("has_expect"), "mass_uda", n_proteins,
+    )

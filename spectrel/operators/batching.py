@@ -130,7 +130,17 @@ def pairs_to_maps(df: DataFrame, key: str, value: str, max_len: int = 1000) -> D
 
 
 def partition_count(df: DataFrame) -> int:
-    return df.rdd.getNumPartitions()
+    """Partitions that a table is planned with; nothing is run.
+
+    With adaptive execution the number is known only after the shuffles have run, so it is asked for without.
+    """
+    session = df.sparkSession
+    adaptive = session.conf.get("spark.sql.adaptive.enabled")
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.select("*").rdd.getNumPartitions()
+    finally:
+        session.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
 def guarantee_partitions(df: DataFrame, n: int, tolerance: float = 0.25) -> DataFrame:

@@ -22,19 +22,30 @@ def last_of_each_scan(scans: DataFrame) -> DataFrame:
 
 
 def renumber_scans(scans: DataFrame, position: list[str], file: str = "source_file") -> DataFrame:
-    """First use of a number keeps it; later uses get free numbers from 10000 on, in file order."""
-    first = scans.groupBy(file, "scan_num").agg(F.min(F.struct(*position)).alias("_first"))
-    marked = scans.join(first, [file, "scan_num"]).withColumn("_again", F.struct(*position) != F.col("_first"))
-    largest = scans.groupBy(file).agg(F.greatest(F.max("scan_num"), F.lit(FIRST_FREE_SCAN - 1)).alias("_largest"))
-    kept = marked.where(~F.col("_again")).select(*scans.columns, F.col("scan_num").cast("bigint").alias("new_num"))
-    repeats = marked.where("_again").select(*scans.columns)
-    repeats = index_within(repeats, [file], [F.col(c) for c in position], "_index")
+    """First use of a number keeps it; later uses get free numbers from 10000 on, in file order.
+
+    Rows that share a number and a position too are uses of their own: one of them is the first. A row without a number
+    keeps none.
+    """
+    numbered = scans.where("scan_num IS NOT NULL")
+    copies = numbered.groupBy(*numbered.columns).agg(F.count("*").alias("_n"))
+    # one row of each place in the file, the first by all columns where rows share it
+    order = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in numbered.columns])
+    first = copies.groupBy(file, "scan_num").agg(F.min(F.struct(*position, order)).alias("_first"))
+    marked = copies.join(first, [file, "scan_num"]).withColumn("_is_first", F.struct(*position, order) == F.col("_first"))
+    largest = numbered.groupBy(file).agg(F.greatest(F.max("scan_num"), F.lit(FIRST_FREE_SCAN - 1)).alias("_largest"))
+    kept = marked.where("_is_first").select(*scans.columns, F.col("scan_num").cast("bigint").alias("new_num"))
+    again = F.when(F.col("_is_first"), F.col("_n") - 1).otherwise(F.col("_n"))
+    repeats = marked.withColumn("_n", again).where("_n > 0")
+    repeats = repeats.select(*scans.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_copy"))
+    repeats = index_within(repeats, [file], [F.col(c) for c in position], "_index", unique=True)
     repeats = (
         repeats.join(largest, file)
         .withColumn("new_num", F.col("_largest") + 1 + F.col("_index"))
-        .drop("_index", "_largest")
+        .drop("_index", "_largest", "_copy")
     )
-    return kept.unionByName(repeats)
+    bare = scans.where("scan_num IS NULL").withColumn("new_num", F.lit(None).cast("bigint"))
+    return kept.unionByName(repeats).unionByName(bare)
 
 
 def head_scans(scans: DataFrame, n: int, position: list[str], file: str = "source_file") -> DataFrame:

@@ -36,29 +36,50 @@ def _score(name: str, column: str, columns: list[str]) -> Column:
     return F.coalesce(F.concat(F.lit(f'<search_score name="{name}" value="'), F.col(column).cast("string"), F.lit('"/>')), F.lit(""))
 
 
-def _modifications() -> Column:
-    """The modified residues (small letters) of a peptide, with their places and masses."""
-    table = residue_table()
-    masses = F.create_map(*[F.lit(x) for r, m in table.items() if r.islower() for x in (r, f"{m / MICRO:.6f}")])
-    sites = F.filter(
-        F.transform(F.split(F.col("peptide").cast("string"), ""), lambda r, i: F.struct((i + 1).alias("i"), r.alias("r"))),
-        lambda s: s["r"].rlike("^[a-z]$"),
+def _sites(added: list[int] | None) -> Column:
+    """Places (from 1) and masses of the modified residues of a peptide: small letters, or residues with a mark."""
+    table = {r: m for r, m in residue_table().items()}
+    text = F.col("peptide").cast("string")
+    if added is None:
+        masses = F.create_map(*[F.lit(x) for r, m in table.items() if r.islower() for x in (r, m)])
+        letters = F.transform(F.split(text, ""), lambda r, i: F.struct((i + 1).alias("i"), F.element_at(masses, r).alias("m"), r.rlike("^[a-z]$").alias("on")))
+        return F.filter(letters, lambda s: s["on"])
+    masses = F.create_map(*[F.lit(x) for r, m in table.items() if r.isupper() for x in (r, m)])
+    extra = F.create_map(*[F.lit(x) for k, m in enumerate(added, start=1) for x in (str(k), m)])
+    residues = F.regexp_extract_all(F.regexp_replace(text, "(^n[0-9])|(c[0-9]$)", ""), F.lit("[A-Z][0-9]?"), F.lit(0))
+    cells = F.transform(
+        residues,
+        lambda r, i: F.struct((i + 1).alias("i"), (F.element_at(masses, F.left(r, F.lit(1))) + F.element_at(extra, F.substring(r, 2, 1))).alias("m"), (F.length(r) > 1).alias("on")),
     )
+    return F.filter(cells, lambda s: s["on"])
+
+
+def _modifications(added: list[int] | None = None) -> Column:
+    """The modified residues of a peptide with their masses, and the additions at its ends."""
+    sites = _sites(added)
     rows = F.transform(
         sites,
         lambda s: F.concat(
-            F.lit('<mod_aminoacid_mass position="'), s["i"].cast("string"), F.lit('" mass="'), F.coalesce(F.element_at(masses, s["r"]), F.lit("0")), F.lit('"/>')
+            F.lit('<mod_aminoacid_mass position="'), s["i"].cast("string"), F.lit('" mass="'),
+            F.coalesce((s["m"] / MICRO).cast("decimal(20,6)").cast("string"), F.lit("0")), F.lit('"/>'),
         ),
-    )
-    text = F.concat(F.lit("<modification_info>"), F.array_join(rows, ""), F.lit("</modification_info>"))
-    return F.when(F.size(sites) > 0, text).otherwise("")
-
-
-def query_text(hits: DataFrame, key: str = "spectrum_id") -> DataFrame:
+    )
+    ends = F.lit("")
+    if added is not None:
+        extra = F.create_map(*[F.lit(x) for k, m in enumerate(added, start=1) for x in (str(k), f"{m / MICRO:.6f}")])
+        for name, pattern in (("mod_nterm_mass", "^n([0-9])"), ("mod_cterm_mass", "c([0-9])$")):
+            value = F.element_at(extra, F.regexp_extract(F.col("peptide"), pattern, 1))
+            ends = F.concat(ends, F.coalesce(F.concat(F.lit(f' {name}="'), value, F.lit('"')), F.lit("")))
+    text = F.concat(F.lit("<modification_info"), ends, F.lit(">"), F.array_join(rows, ""), F.lit("</modification_info>"))
+    return F.when((F.size(sites) > 0) | (ends != ""), text).otherwise("")
+
+
+def query_text(hits: DataFrame, key: str = "spectrum_id", added: list[int] | None = None) -> DataFrame:
     """One ``spectrum_query`` element per spectrum, and per file where hits have ``source_file``, from its ranked hits.
 
-    ``charge``, ``mass_uda``, ``expect`` and ``other_proteins`` (an array) are written where the hits have them. A peptide
-    is written in capitals; its modified residues follow as a list of places and masses.
+    ``charge``, ``mass_uda``, ``expect``, ``n_proteins`` and ``other_proteins`` (an array) are written where the hits have
+    them. A peptide is written in capitals; its modified residues follow as a list of places and masses. ``added`` has the
+    masses of the marks of modified residues, in micro-daltons; without it these are small letters.
     """
     columns = hits.columns
     keys = [c for c in ("source_file", key) if c in columns]
@@ -71,14 +92,15 @@ def query_text(hits: DataFrame, key: str = "spectrum_id") -> DataFrame:
         F.format_string(
             '<search_hit hit_rank="%d" peptide="%s" protein="%s"',
             F.col("hit_rank"),
-            escape_xml(F.upper(F.col("peptide").cast("string"))),
+            escape_xml(F.upper(F.col("peptide").cast("string") if added is None else F.regexp_replace("peptide", "[nc0-9]", ""))),
             escape_xml(F.col("accession").cast("string")),
         ),
         _attribute("assumed_charge", "charge", columns),
+        _attribute("num_tot_proteins", "n_proteins", columns),
         F.coalesce(mass, F.lit("")) if "mass_uda" in columns else F.lit(""),
         F.lit(">"),
         more,
-        _modifications(),
+        _modifications(added),
         _score("xcorr", "xcorr", columns),
         _score("expect", "expect", columns),
         F.lit("</search_hit>"),
@@ -103,11 +125,15 @@ def query_text(hits: DataFrame, key: str = "spectrum_id") -> DataFrame:
     )
 
 
-def write_pepxml(hits: DataFrame, path: str, n: int = NUM_OUTPUT, key: str = "spectrum_id", **parameters) -> None:
-    """Best ``n`` hits per spectrum, sorted by spectrum, inside one document header and footer."""
+def write_pepxml(hits: DataFrame, path: str, n: int = NUM_OUTPUT, key: str = "spectrum_id", modifications: list | None = None, **parameters) -> None:
+    """Best ``n`` hits per spectrum, sorted by spectrum, inside one document header and footer.
+
+    ``modifications`` are those of the search, where it had several.
+    """
+    added = None if modifications is None else [m.added_uda for m in modifications]
     keys = [c for c in ("source_file", key) if c in hits.columns]
     ranked = top_hits(hits, keys, "xcorr", ["peptide", "accession"], n)
-    write_framed_text(query_text(ranked, key), path, keys, "value", header(num_output_lines=n, **parameters), FOOTER)
+    write_framed_text(query_text(ranked, key, added), path, keys, "value", header(num_output_lines=n, **parameters), FOOTER)
 
 
 def unescape_xml(text: Column) -> Column:

@@ -181,3 +181,19 @@ def test_partition_counts(spark):
     assert ba.partition_count(ba.guarantee_partitions(table, 20)) == 20
     assert ba.partition_count(ba.at_most_partitions(table, 3)) == 3
     assert ba.partition_count(ba.at_least_partitions(table, 3)) == 10
+
+
+def test_partition_counts_run_nothing(spark):
+    context = spark.sparkContext
+    context.setJobGroup("counting", "")
+    table = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    assert ba.partition_count(table) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert not context.statusTracker().getJobIdsForGroup("counting")
+    context.setJobGroup("", "")
+
+
+def test_renumber_rows_that_share_a_place(spark):
+    rows = [("f", 5, 5), ("f", 5, 5), ("f", 5, 5), ("f", 5, 9), ("f", 6, 5), ("f", None, 1), ("g", 20_000, 1), ("g", 20_000, 1)]
+    scans = spark.createDataFrame(rows, "source_file string, scan_num int, place int")
+    got = [(r.source_file, r.scan_num, r.new_num) for r in sc.renumber_scans(scans, ["place"]).collect()]
+    assert sorted(got, key=str) == sorted([("f", 5, 5), ("f", 5, 10_000), ("f", 5, 10_001), ("f", 5, 10_002), ("f", 6, 6), ("f", None, None), ("g", 20_000, 20_000), ("g", 20_000, 20_001)], key=str)
