@@ -28,7 +28,8 @@ from .columns import flat, joined, mix, shingle_sets, slices
 from .components import components
 from .hashfilter import key_filter, passes
 
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3  # at most; a round is left out once few enough nodes are open for the cells
+FEW_OPEN = 500_000
 CELL_NODES = 4096  # nodes of a cluster that are compared in one step, and the bytes of their sets;
 CELL_BYTES = 16 << 20  # a larger cluster becomes a grid of such cells
 
@@ -78,21 +79,26 @@ def _full_sets(size: int, wanted, unnamed):
     return run
 
 
-def sets_of(docs: DataFrame, need: DataFrame, size: int) -> DataFrame:
-    """Rows (doc_id, node, shingles) of the texts that ``need`` (node, label: the smallest id of its texts) names.
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-    The rows pass filters of fixed size, so there may be some more, and several of one node.
+
+def sets_of(docs: DataFrame, need: DataFrame, size: int) -> Step:
+    """A step over ``docs`` that gives (doc_id, node, shingles) of the texts that ``need`` (node, label) names.
+
+    The label is the smallest id of a node's texts. The rows pass filters of fixed size, so there may be some more, and
+    several of one node.
     """
     context = docs.sparkSession.sparkContext
     wanted = context.broadcast(key_filter(need.where("label IS NOT NULL"), "label"))
     unnamed = context.broadcast(key_filter(need.where("label IS NULL"), "node"))
-    return docs.mapInArrow(_full_sets(size, wanted, unnamed), "doc_id bigint, node bigint, shingles binary")
+    return _full_sets(size, wanted, unnamed)
 
 
 def one_set_each(docs: DataFrame, need: DataFrame, size: int) -> DataFrame:
     """(node, shingles) of just the nodes in ``need``, one row each."""
     same_text = F.expr("f.node = w.node AND f.doc_id <=> w.label")  # a node without label has rows without id only
-    found = sets_of(docs, need, size).alias("f").join(need.alias("w"), same_text, "left_semi")
+    rows = docs.mapInArrow(sets_of(docs, need, size), "doc_id bigint, node bigint, shingles binary")
+    found = rows.alias("f").join(need.alias("w"), same_text, "left_semi")
     return found.select("node", "shingles").dropDuplicates(["node"])
 
 
@@ -239,9 +245,10 @@ def _cluster_links(open_keys: DataFrame, placed: DataFrame, full: DataFrame, per
     rows = clusters.withColumnRenamed("root", "cluster").join(placed, "node").join(full, "node")
     bytes_of = F.sum(F.octet_length("shingles").cast("bigint"))
     cells = F.greatest(F.ceil(F.count("*") / CELL_NODES), F.ceil(bytes_of / CELL_BYTES)).cast("int")
-    counted = rows.groupBy("cluster").agg(cells.alias("cells"))
+    # only clusters of several cells need their number: few rows, so that rows of a large cluster are not dealt by it
+    counted = written(rows.groupBy("cluster").agg(cells.alias("cells")).where("cells > 1"), "cells")
     own = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
-    rows = rows.join(counted, "cluster").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    rows = rows.join(counted, "cluster", "left").withColumn("cells", F.coalesce("cells", F.lit(1))).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     rows = rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
     return rows.select("cluster", "low", "high", "node", "root", "shingles").groupBy("cluster", "low", "high").applyInArrow(_cell(percent), "a bigint, b bigint")
 
@@ -271,8 +278,13 @@ def linked_groups(members: DataFrame, full: DataFrame, percent: int, likely: Cal
         placed = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
         open_keys = written(placed.join(mixed, "key"), "open_keys")
-        placed = open_keys.select("node", "root").distinct()
+        placed = written(open_keys.select("node", "root").distinct(), "open_nodes")
         open_keys = open_keys.drop("root")
+        n_open = placed.count()
+        if n_open <= FEW_OPEN:
+            break
+    if not n_open:
+        return groups
     more = written(_cluster_links(open_keys, placed, full, percent), "links")
     return written(components(links.union(more)), "groups")
 

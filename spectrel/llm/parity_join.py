@@ -25,7 +25,7 @@ from spectrel.operators.shared import written
 
 from .columns import flat, joined, mix, shingle_sets, slices
 from .hashfilter import key_filter, passes
-from .linking import classes_of, linked_groups, one_set_each, set_ids, sets_of
+from .linking import Step, classes_of, linked_groups, one_set_each, set_ids, sets_of
 
 PLACE_BITS = 16
 FILTER_BITS = 26
@@ -115,11 +115,11 @@ def _describe(size: int):
     return run
 
 
-def _keys(percent: int, kept=None):
-    """Rows (key, node) of the sets; with a filter, those of keys that may be shared."""
+def _keys(sets_of_batches: Step, percent: int, kept=None) -> Step:
+    """Rows (key, node) of the sets that a step gives; with a filter, those of keys that may be shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sets_of_batches(batches):
             shingles, starts = flat(batch.column("shingles"))
             node = batch.column("node").to_numpy()
             for a, b in slices(starts):
@@ -152,11 +152,11 @@ def parity_join(docs: DataFrame, percent: int = 80, size: int = 5, id_column: st
 
     described = written(docs.mapInArrow(_describe(size), "doc_id bigint, n_shingles bigint, node bigint"), "described")
     nodes = written(described.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("label")), "nodes")
-    every = sets_of(docs, nodes, size).select("node", "shingles")
-    counted = every.mapInArrow(_keys(percent), "key bigint, node bigint").groupBy("key").agg(F.count("*").alias("c"))
+    every = sets_of(docs, nodes, size)
+    counted = docs.mapInArrow(_keys(every, percent), "key bigint, node bigint").groupBy("key").agg(F.count("*").alias("c"))
     shared = written(counted.where("c > 1"), "shared_keys")
     kept = context.broadcast(key_filter(shared, "key", FILTER_BITS))
-    members = every.mapInArrow(_keys(percent, kept), "key bigint, node bigint").distinct()  # a copy may have passed as well
+    members = docs.mapInArrow(_keys(every, percent, kept), "key bigint, node bigint").distinct()  # a copy may have passed as well
     members = written(members.join(shared, "key"), "members")
     need = members.select("node").distinct().join(nodes, "node")
     full = written(one_set_each(docs, need, size), "full_sets")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.core import ship, table
+from catalog.core import table
 
 from .conversations import damaged, repair_conversations
 from .decontamination import contaminations
@@ -23,6 +23,7 @@ from .parity_join import parity_join
 from .periodic_runs import find_runs
 from .quality import fit_quality, score_quality
 from .repeats import cut_repeats
+from .session import ready
 from .topk import scaled, top_k
 from .url_rules import HOST_RULES, PATTERNS, host_rule, pattern_rule, filter_urls, rule_table
 from .warc import archive_round_trip
@@ -35,7 +36,7 @@ def query(name: str, sql: str | None = None):
     def register(fn):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf: str) -> DataFrame:
-            ship(spark)
+            ready(spark)
             return fn(spark, sf)
 
         QUERIES[name] = run
