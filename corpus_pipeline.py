@@ -10,13 +10,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.core import ship, table
+from catalog.core import table
 from spectrel.llm.decontamination import contaminated_rows, full_items, row_name
 from spectrel.llm.hashfilter import split_by_keys
 from spectrel.llm.near_duplicates import duplicate_classes, with_nodes
 from spectrel.llm.packing import pack
 from spectrel.llm.quality import fit_quality, score_quality
 from spectrel.llm.repeats import cut_repeats
+from spectrel.llm.session import ready
 from spectrel.operators.shared import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,7 +26,7 @@ LEAST_SCORE = 0.3
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier scores below ``LEAST_SCORE``."""
-    ship(spark)
+    ready(spark)
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
     return score_quality(docs.select(COLUMNS), model).where(F.col("score") >= LEAST_SCORE).select(COLUMNS)
 
@@ -36,7 +37,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows that repeat an id are judged by their own texts: of those in one class one row stays, the first by node and then
     by all columns. Rows without id are never compared away, and rows without words are in no class.
     """
-    ship(spark)
+    ready(spark)
     classes = written(duplicate_classes(docs, percent=80).where("doc_id IS NOT NULL"), "classes")
     away = F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False))
     ids = written(classes.groupBy("doc_id").agg(F.count("*").alias("rows"), F.count_if(away).alias("away")).where("rows > 1 OR away > 0"), "ids")
@@ -53,7 +54,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut strings of 50 bytes that a document with a smaller id holds as well; ``n_chars`` follows the text."""
-    ship(spark)
+    ready(spark)
     cut = cut_repeats(docs.select(COLUMNS))
     text = F.col("kept_text")
     return cut.select("doc_id", text.alias("text"), "rest.lang", "rest.source", F.length(text).cast("bigint").alias("n_chars"))
@@ -65,7 +66,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Items with fewer than five words ('yes', 'the answer') drop nothing, as clean documents hold them too;
     ``op6_benchmark_leaks`` reports them all the same.
     """
-    ship(spark)
+    ready(spark)
     items = full_items(table(spark, sf_dir, "benchmark"))
     found = written(contaminated_rows(docs, items).select("row").distinct(), "found")
     clear, rest = split_by_keys(docs.select(*COLUMNS, row_name().alias("row")), found, "row")
@@ -74,7 +75,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into sequences of at most 2048 tokens."""
-    ship(spark)
+    ready(spark)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
