@@ -449,7 +449,7 @@ def search_work(spark, sf):
     """Candidates of each spectrum, and whether over all spectra fewer were scored, in both forms of the search."""
     out = None
     for form, most in (("shared", se.BROADCAST_SPECTRA_BYTES), ("shuffled", 0)):
-        summaries, _ = se.search_summaries(document_proteins(spark, sf), benchmark_spectra(spark, sf), max_broadcast_bytes=most)
+        summaries, _ = se.search_summaries(document_proteins(spark, sf), benchmark_spectra(spark, sf), max_broadcast_bytes=most, lists_from=0)
         counts = summaries.groupBy("spectrum_id", "charge").agg(F.sum("n_candidates").alias("n_candidates"), F.sum("n_scored").alias("n_scored"))
         counts = written(counts, "counts")
         total = counts.agg((F.sum("n_scored") < F.sum("n_candidates")).alias("fewer_scored"))

@@ -262,7 +262,7 @@ def ion_mz(mh: Column, charge: Column) -> Column:
     return F.floor(total / charge).cast("bigint")
 
 
-def bins_by_charge(
+def fragment_entries(
     text: np.ndarray,
     ends: np.ndarray,
     mass: np.ndarray,
@@ -270,8 +270,8 @@ def bins_by_charge(
     width: float = FRAGMENT_BIN,
     offset: float = FRAGMENT_OFFSET,
     added: tuple[int, ...] = (),
-) -> list[tuple]:
-    """Fragment bins of many peptides at once: (row, bin) per charge, each bin at its lowest charge only.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fragment bins of many peptides at once: row, bin and charge in this order, each bin at its lowest charge only.
 
     ``added`` has the masses of the marks 1, 2 ... that may follow a residue or the signs of the ends, n and c.
     """
@@ -303,10 +303,13 @@ def bins_by_charge(
     ordered = np.sort(np.concatenate(codes))
     place = ordered >> 4
     lowest = ordered[np.concatenate([[True], place[1:] != place[:-1]])] if len(ordered) else ordered
-    return [
-        ((part := lowest[(lowest & 15) == charge]) >> 43, (part >> 4) & ((1 << 39) - 1))
-        for charge in range(1, max_charge + 1)
-    ]
+    return lowest >> 43, (lowest >> 4) & ((1 << 39) - 1), (lowest & 15).astype(np.int8)
+
+
+def bins_by_charge(text: np.ndarray, ends: np.ndarray, mass: np.ndarray, max_charge: int, *rules) -> list[tuple]:
+    """The entries of ``fragment_entries`` as (row, bin) for each charge."""
+    row, bins, charge = fragment_entries(text, ends, mass, max_charge, *rules)
+    return [(row[charge == z], bins[charge == z]) for z in range(1, max_charge + 1)]
 
 
 def with_fragment_bins(peptides: DataFrame, max_charge: int = MAX_FRAGMENT_CHARGE) -> DataFrame:

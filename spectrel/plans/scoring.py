@@ -26,14 +26,15 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import FRAGMENT_BIN, FRAGMENT_OFFSET
 from ..operators.joins import small_enough
-from .digest import bins_by_charge
-from .spectra import INTENSITY_UNIT, OFFSET_BINS, XCORR_SCALE, values_at
+from .digest import fragment_entries
+from .spectra import INTENSITY_UNIT, OFFSET_BINS, XCORR_SCALE, dense_values
 
 # Most rows of the histogram of masses that the driver cuts into blocks.
 MOST_FINE_BINS = 400_000
 PEPTIDES_PER_BLOCK = 50_000
 PAIRS_PER_CELL = 100_000_000
-CHUNK = 50_000  # peptides of a task that are scored together where spectra are in every task
+ROWS_AT_ONCE = 10_000  # peptides whose fragments are computed together
+CHUNK = 100_000  # peptides of a task that are scored together where spectra are in every task
 FEW = 32  # peptides that are scored at once instead of reading further lists
 
 SPECTRUM_COLUMNS = ["source_file", "spectrum_id", "charge", "low_uda", "high_uda", "bins", "values"]
@@ -55,7 +56,8 @@ class Rules:
 
     ``n`` best peptides of each spectrum; with ``score_bins`` a histogram of all scores, so many bins to a unit of xcorr.
     ``flanking`` adds half of the value of both neighbouring bins at each fragment. ``added`` has the masses of the marks of
-    modified residues.
+    modified residues. A spectrum with at least ``lists_from`` candidates in a block is scored by the lists of its bins;
+    fewer are scored at once, which takes less time than to read the lists.
     """
 
     n: int = 5
@@ -65,6 +67,7 @@ class Rules:
     flanking: bool = False
     score_bins: int | None = None
     added: tuple[int, ...] = ()
+    lists_from: int = 20_000
 
     @property
     def unit(self) -> float:
@@ -75,30 +78,33 @@ class Rules:
 
 
 class Index:
-    """The fragment bins of the peptides of a block, for ions up to one charge."""
+    """The fragment bins of the peptides of a block, for ions up to one charge: by peptide, and on demand by bin."""
 
-    def __init__(self, entries: list[tuple[np.ndarray, np.ndarray]], n: int):
-        row = np.concatenate([r for r, _ in entries])
-        bins = np.concatenate([b for _, b in entries])
-        order = np.argsort(row, kind="stable")
-        row, bins = row[order], bins[order]
+    def __init__(self, row: np.ndarray, bins: np.ndarray, n: int):
         self.start = np.searchsorted(row, np.arange(n + 1))
-        self.bins, self.code = np.unique(bins, return_inverse=True)
-        by_bin = np.argsort(self.code, kind="stable")
-        self.peptides = row[by_bin]  # of each list, in mass order
-        self.list_start = np.searchsorted(self.code[by_bin], np.arange(len(self.bins) + 1))
+        self.bins, self.size = bins.astype(np.int32), int(bins.max(initial=0)) + 1
+        self._row, self._lists = row, None
+
+    def list_of(self, code: int) -> np.ndarray:
+        """The peptides that have an ion in a bin, in mass order."""
+        if self._lists is None:
+            small = self.bins.astype(np.uint16) if self.size <= 1 << 16 else self.bins  # 16 bits are sorted by radix
+            self._lists = self._row[np.argsort(small, kind="stable")], np.searchsorted(np.sort(small), np.arange(self.size + 1))
+        peptides, starts = self._lists
+        return peptides[starts[code] : starts[code + 1]]
 
     def exact(self, values: np.ndarray, low: int, high: int) -> np.ndarray:
         """The scores of a run of peptides, given the value at each bin of the index."""
         a, b = self.start[low], self.start[high]
-        sums = np.concatenate([[0], np.cumsum(values[self.code[a:b]])])
+        sums = np.zeros(b - a + 1, np.int64)
+        np.cumsum(values[self.bins[a:b]], out=sums[1:])
         return sums[self.start[low + 1 : high + 1] - a] - sums[self.start[low:high] - a]
 
     def exact_of(self, values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
         lengths = self.start[chosen + 1] - self.start[chosen]
         ends = np.cumsum(lengths)
         spots = np.repeat(self.start[chosen] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-        sums = np.concatenate([[0], np.cumsum(values[self.code[spots]])])
+        sums = np.concatenate([[0], np.cumsum(values[self.bins[spots]])])
         return sums[ends] - sums[ends - lengths]
 
     def best(self, values: np.ndarray, low: int, high: int, n: int, floor: int | None) -> tuple[np.ndarray, np.ndarray, int]:
@@ -123,7 +129,7 @@ class Index:
                     if len(alive) <= FEW:
                         left = int(rest[k])
                         break
-            own = self.peptides[self.list_start[code] : self.list_start[code + 1]]
+            own = self.list_of(code)
             own = own[np.searchsorted(own, low) : np.searchsorted(own, high)]
             bound[own - low] += values[code]
         else:
@@ -160,14 +166,24 @@ class Block:
         # a letter outside ASCII weighs nothing, like B, J, X and Z
         text = np.frombuffer("".join(self.sequence.to_pylist()).encode("ascii", "replace"), dtype=np.uint8)
         ends = np.cumsum(pc.utf8_length(self.sequence).to_numpy(zero_copy_only=False).astype(np.int64))
-        self.entries = bins_by_charge(text, ends, self.mass, rules.max_charge, rules.fragment_bin, rules.fragment_offset, rules.added)
+        parts, before = [], 0
+        for a in range(0, len(ends), ROWS_AT_ONCE):
+            own = ends[a : a + ROWS_AT_ONCE]
+            entries = fragment_entries(
+                text[before : own[-1]], own - before, self.mass[a : a + ROWS_AT_ONCE], rules.max_charge, rules.fragment_bin, rules.fragment_offset, rules.added
+            )
+            parts.append((entries[0] + a, *entries[1:]))
+            before = int(own[-1])
+        self.entries = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3)]
         self.indexes: dict[int, Index] = {}
 
     def index(self, charge: int) -> Index:
         """For ions of charge 1 to ``charge`` - 1, at least 1."""
         level = max(1, min(self.rules.max_charge, charge - 1))
         if level not in self.indexes:
-            self.indexes[level] = Index(self.entries[:level], len(self.mass))
+            row, bins, lowest = self.entries
+            able = lowest <= level
+            self.indexes[level] = Index(row[able], bins[able], len(self.mass))
         return self.indexes[level]
 
     def run(self, low: int, high: int) -> tuple[int, int]:
@@ -188,7 +204,7 @@ class Summary:
         if a == b:
             return
         rules, index = block.rules, block.index(charge)
-        at = values_at(bins, values, index.bins, rules.flanking)
+        at = dense_values(bins, values, index.size, rules.flanking)
         floor = -self.hits[-1][0] if len(self.hits) >= rules.n else None
         if rules.score_bins:
             scores = index.exact(at, a, b)
@@ -197,7 +213,10 @@ class Summary:
             for key, count in zip(kept.tolist(), counts.tolist()):
                 self.histogram[key] = self.histogram.get(key, 0) + count
         else:
-            place, scores, scored = index.best(at, a, b, rules.n, floor)
+            if b - a < rules.lists_from:
+                place, scores, scored = np.arange(a, b), index.exact(at, a, b), b - a
+            else:
+                place, scores, scored = index.best(at, a, b, rules.n, floor)
         self.candidates += b - a
         self.scored += scored
         if len(scores) > rules.n:
@@ -297,7 +316,7 @@ def _all_pairs(rules: Rules):
             a, b = block.run(own.low[i], own.high[i])
             if a < b:
                 index = block.index(int(own.charge[i]))
-                scores = index.exact(values_at(*own.peaks(i), index.bins, rules.flanking), a, b)
+                scores = index.exact(dense_values(*own.peaks(i), index.size, rules.flanking), a, b)
                 fixed = [pa.repeat(pa.scalar(name[c], k), b - a) for c, k in (("source_file", pa.string()), ("spectrum_id", pa.string()), ("charge", pa.int32()))]
                 parts.append(pa.RecordBatch.from_arrays([*fixed, block.sequence[a:b], block.accession[a:b], pa.array(scores)], schema=schema))
         return pa.Table.from_batches(parts, schema=schema)

@@ -203,6 +203,7 @@ def search_summaries(
     max_broadcast_bytes: int = BROADCAST_SPECTRA_BYTES,
     bins_per_unit: int | None = None,
     shared_database: bool = False,
+    lists_from: int = Rules.lists_from,
     **params,
 ) -> tuple[DataFrame, Rules]:
     """What each part of the peptides gives for each spectrum (see ``score_summaries``), and the rules of the scores.
@@ -210,7 +211,7 @@ def search_summaries(
     With ``shared_database`` the peptides go to every task, up to ``max_broadcast_bytes``, and the spectra stay.
     """
     peptides, prepared, rules = prepared_search(proteins, spectra, **params)
-    rules = replace(rules, n=n, score_bins=bins_per_unit)
+    rules = replace(rules, n=n, score_bins=bins_per_unit, lists_from=lists_from)
     form = score_with_shared_database if shared_database else score_summaries
     return form(peptides, prepared, rules, max_broadcast_bytes), rules
 

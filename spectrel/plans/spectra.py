@@ -123,6 +123,26 @@ def values_at(bins: np.ndarray, values: np.ndarray, at: np.ndarray, flanking: bo
     return (2 * OFFSET_BINS + 1) * own - around
 
 
+def dense_values(bins: np.ndarray, values: np.ndarray, size: int, flanking: bool = False) -> np.ndarray:
+    """The values of ``values_at`` at the bins below ``size``: for the few bins that fragments of a mass range can have."""
+    if flanking:
+        one = dense_values(bins, values, size + 1)
+        out = 2 * one[:size]
+        out[1:] += one[: size - 1]
+        out += one[1:]
+        out[0] += values_at(bins, values, np.array([-1]))[0]
+        return out
+    near = bins < size + OFFSET_BINS + 1
+    bins, values = bins[near], values[near]
+    running = np.zeros(size + 2 * OFFSET_BINS + 2, np.int64)
+    running[bins + OFFSET_BINS + 1] = values
+    np.cumsum(running, out=running)
+    out = running[:size] - running[2 * OFFSET_BINS + 1 : 2 * OFFSET_BINS + 1 + size]
+    inside = bins < size
+    out[bins[inside]] += (2 * OFFSET_BINS + 1) * values[inside]
+    return out
+
+
 def _list_column(parts: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *parts])))

@@ -14,7 +14,7 @@ from spectrel.plans.modifications import Modification, covered_masses, marked, w
 from spectrel.plans.scoring import Block, Index, Rules, Summary, mass_grid, score_pairs, score_summaries
 from spectrel.plans.search import native_scorer, search
 from spectrel.plans.semi_digest import EITHER_END, FREE_C_END, FREE_N_END, semi_digest
-from spectrel.plans.spectra import filter_spectra, processed_bins, strong_peaks, values_at
+from spectrel.plans.spectra import filter_spectra, processed_bins, dense_values, strong_peaks, values_at
 
 MASS = residue_table()
 
@@ -29,6 +29,8 @@ def test_values_of_sparse_spectra(peaks, flanking):
     plain = np.array([151 * dense[i + 100] - dense[i + 25 : i + 176].sum() for i in range(-1, 1001)])
     expected = 2 * plain[1:-1] + plain[:-2] + plain[2:] if flanking else plain[1:-1]
     assert (values_at(bins, values, np.arange(1000), flanking) == expected).all()
+    for size in (1, 2, 40, 1000):
+        assert (dense_values(bins, values, size, flanking) == expected[:size]).all()
 
 
 def test_peaks_of_any_height_cost_no_memory(spark):
@@ -43,8 +45,7 @@ def test_peaks_of_any_height_cost_no_memory(spark):
 
 
 def random_index(random, n, n_bins):
-    entries = [(np.repeat(np.arange(n), 4), np.concatenate([np.sort(random.choice(n_bins, 4, replace=False)) for _ in range(n)]))]
-    return Index(entries, n)
+    return Index(np.repeat(np.arange(n), 4), np.concatenate([np.sort(random.choice(n_bins, 4, replace=False)) for _ in range(n)]), n)
 
 
 @settings(max_examples=300, deadline=None)
@@ -52,7 +53,7 @@ def random_index(random, n, n_bins):
 def test_bounded_search_loses_no_hit(seed, n, keep, floored):
     random = np.random.default_rng(seed)
     index = random_index(random, n, int(random.integers(5, 60)))
-    values = random.integers(-20, 30, len(index.bins)) * (random.random(len(index.bins)) < random.random())
+    values = random.integers(-20, 30, index.size) * (random.random(index.size) < random.random())
     low = int(random.integers(n))
     high = int(random.integers(low, n)) + 1
     exact = index.exact(values, low, high)
@@ -143,7 +144,7 @@ def test_fragments_of_marked_peptides():
     block = Block(table, rules)
     row = block.sequence.to_pylist().index("n2AS1MK")
     index = block.index(2)
-    got = set(index.bins[index.code[index.start[row] : index.start[row + 1]]].tolist())
+    got = set(index.bins[index.start[row] : index.start[row + 1]].tolist())
     prefix = np.cumsum(residues)[:-1]
     assert got == {int(np.floor(m / 1e6 / 0.02 + 1.0)) for m in [*(prefix + PROTON), *(total - prefix)]}
 
@@ -173,7 +174,7 @@ def test_all_forms_and_grids_give_the_same(spark):
     for f, name, charge, low, high, bins, values in spectra_rows:
         a, b = block.run(low, high)
         index = block.index(charge)
-        exact = index.exact(values_at(np.array(bins), np.array(values), index.bins), a, b).tolist()
+        exact = index.exact(values_at(np.array(bins), np.array(values), np.arange(index.size)), a, b).tolist()
         names = block.sequence.to_pylist()[a:b]
         pairs |= {(name, p, v) for p, v in zip(names, exact)}
         expected[name] = sorted(zip((-v for v in exact), names))[:4]
@@ -181,6 +182,7 @@ def test_all_forms_and_grids_give_the_same(spark):
     sizes = [{}, {"per_block": 20, "pairs_per_cell": 50}, {"per_block": 100, "pairs_per_cell": 300}]
     for most, size in [(1 << 20, {}), *((0, s) for s in sizes)]:
         got, counts, bins = {}, {}, {}
+        rules = Rules(n=4, lists_from=0 if len(size) != 1 else 1000)
         for r in score_summaries(peptides, spectra, rules, most, **size).collect():
             got.setdefault(r.spectrum_id, []).extend((-h.xcorr_sum, h.peptide) for h in r.hits)
             counts[r.spectrum_id] = counts.get(r.spectrum_id, 0) + r.n_candidates
@@ -199,10 +201,11 @@ def test_all_forms_and_grids_give_the_same(spark):
 
 def test_spectra_of_the_summary_keep_ties():
     rules = Rules(n=2, max_charge=1)
-    rows = [("AAG", "p", 1000), ("AGA", "q", 1000), ("GAA", "r", 1000)]
+    mass = 2 * MASS["A"] + MASS["G"] + WATER + PROTON
+    rows = [("AAG", "p", mass), ("AGA", "q", mass), ("GAA", "r", mass)]
     block = Block(pa.table([[r[k] for r in rows] for k in range(3)], names=["sequence", "accession", "mass_uda"]), rules)
     summary = Summary()
-    summary.add(block, 2, 0, 2000, np.array([5000]), np.array([7]))
+    summary.add(block, 2, mass, mass, np.array([5000]), np.array([7]))
     assert [p for _, p, _ in summary.hits] == ["AAG", "AGA"] and summary.candidates == 3
 
 
