@@ -474,7 +474,7 @@ def semi_sql(source: str) -> str:
         (b.sites - b.cut::INTEGER - a.sites)::INTEGER AS missed, (a.i + 1)::INTEGER AS start, b.i AS "end",
         CASE WHEN a.i = 0 THEN '-' ELSE substr(a.sequence, a.i, 1) END AS prev,
         CASE WHEN b.i = length(a.sequence) THEN '-' ELSE substr(a.sequence, b.i + 1, 1) END AS next
-        FROM ends a JOIN ends b ON a.accession = b.accession AND b.i BETWEEN a.i + {LENGTH_RANGE[0]} AND a.i + {LENGTH_RANGE[1]}
+        FROM (SELECT *, i + unnest(range({LENGTH_RANGE[0]}, {LENGTH_RANGE[1] + 1})) AS j FROM ends) a JOIN ends b ON a.accession = b.accession AND b.i = a.j
         WHERE (a.free OR b.free) AND b.m - a.m + {WATER + PROTON} BETWEEN {LOW} AND {HIGH} AND b.sites - b.cut::INTEGER - a.sites <= 2)"""
 
 
