@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.fixed_values import ENZYMES, LENGTH_RANGE, MASS_RANGE, MISSED_CLEAVAGES, PROTON, WATER
 from ..functions.masses import MICRO, residue_table
+from .texts import cut_texts, single_letters
 
 #: Which ends of a peptide have to be cut sites: one of both, both, the first (free C-terminus), the last (free N-terminus).
 EITHER_END, BOTH_ENDS, FREE_C_END, FREE_N_END = 1, 2, 8, 9
@@ -36,11 +37,14 @@ def cut_places(codes: np.ndarray, enzyme: str) -> np.ndarray:
 
 
 def windows(codes: np.ndarray, masses: np.ndarray, enzyme: str, termini: int, missed: int, mass_range: tuple[int, int], length_range: tuple[int, int]):
-    """(start, end, mass, missed) of every peptide of one protein, start from 0 and end exclusive, sorted."""
+    """(start, end, mass, missed) of every peptide of one protein, start from 0 and end exclusive, each once."""
     n = len(codes)
     sums = np.concatenate([[0], np.cumsum(masses[codes])])
     places = cut_places(codes, enzyme)
-    inside = np.cumsum(np.isin(np.arange(n + 1), places[1:-1]))  # cut sites up to and with a place
+    is_place, inner = np.zeros(n + 1, bool), np.zeros(n + 1, np.int64)
+    is_place[places] = True
+    inner[places[1:-1]] = 1
+    inside = np.cumsum(inner)  # cut sites up to and with a place
     low, high = mass_range[0] - WATER - PROTON, mass_range[1] - WATER - PROTON
     found = []
     if termini in (EITHER_END, BOTH_ENDS, FREE_C_END):
@@ -51,7 +55,7 @@ def windows(codes: np.ndarray, masses: np.ndarray, enzyme: str, termini: int, mi
         many = np.maximum(last - first + 1, 0)
         s = np.repeat(start, many)
         e = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
-        whole = np.isin(e, places) if termini == BOTH_ENDS else np.ones(len(e), bool)
+        whole = is_place[e] if termini == BOTH_ENDS else np.ones(len(e), bool)
         found.append((s[whole], e[whole]))
     if termini in (EITHER_END, FREE_N_END):
         end = places[1:]
@@ -61,11 +65,9 @@ def windows(codes: np.ndarray, masses: np.ndarray, enzyme: str, termini: int, mi
         many = np.maximum(last - first + 1, 0)
         s = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
         e = np.repeat(end, many)
-        fresh = ~np.isin(s, places) if termini == EITHER_END else np.ones(len(s), bool)
+        fresh = ~is_place[s] if termini == EITHER_END else np.ones(len(s), bool)
         found.append((s[fresh], e[fresh]))
     s, e = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-    order = np.lexsort((e, s))
-    s, e = s[order], e[order]
     between = inside[np.maximum(e - 1, 0)] - inside[s]
     return s, e, sums[e] - sums[s] + WATER + PROTON, between
 
@@ -74,6 +76,27 @@ _KINDS = [("accession", pa.string()), ("sequence", pa.string()), ("mass_uda", pa
           ("start", pa.int32()), ("end", pa.int32()), ("prev", pa.string()), ("next", pa.string())]
 
 
+# Windows of one protein among which equal texts are sought at once; of a longer protein, groups that hold all copies of a text.
+ROWS_OUT = 200_000
+
+
+def distinct_groups(codes: np.ndarray, s: np.ndarray, e: np.ndarray) -> list[np.ndarray | None]:
+    """The windows of a protein in groups of at most about ``ROWS_OUT``, dealt by what equal texts share."""
+    if len(s) <= ROWS_OUT:
+        return [None]
+    # a window begins with its first letters and has a length: equal texts agree in a hash of both
+    power, value = np.uint64(0x9E3779B97F4A7C15), np.zeros(len(s), np.uint64)
+    held = np.concatenate([codes, np.zeros(8, np.uint8)]).astype(np.uint64)
+    lengths = e - s
+    for k in range(8):
+        own = np.where(lengths > k, held[np.minimum(s + k, len(held) - 1)], 0).astype(np.uint64)
+        value = (value * power) ^ (value >> np.uint64(29)) ^ own
+    value = (value ^ (lengths.astype(np.uint64) << np.uint64(40))) * power
+    parts = -(-len(s) // ROWS_OUT)
+    group = (value >> np.uint64(33)) % np.uint64(parts)
+    return [np.flatnonzero(group == g) for g in range(parts)]
+
+
 def semi_digest(
     proteins: DataFrame,
     enzyme: str = "Trypsin",
@@ -85,8 +108,8 @@ def semi_digest(
 ) -> DataFrame:
     """Peptides of which one end need not be a cut site, with at most ``missed`` sites inside; no shuffle.
 
-    Without ``places`` a protein gives a sequence that it holds several times once, and the columns that tell where a
-    peptide lies are left out. A null or empty sequence gives no row.
+    Without ``places`` a protein gives a sequence that it holds several times once, however long it is, and the columns that
+    tell where a peptide lies are left out. A null or empty sequence gives no row.
     """
     if termini not in (EITHER_END, BOTH_ENDS, FREE_C_END, FREE_N_END):
         raise ValueError("termini is 1 (either end), 2 (both), 8 (free C-terminus) or 9 (free N-terminus)")
@@ -100,27 +123,45 @@ def semi_digest(
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
-            for accession, sequence in zip(batch.column("accession").to_pylist(), batch.column("sequence").to_pylist()):
+            held, n = [], 0
+            for k, sequence in enumerate(batch.column("sequence").to_pylist()):
                 if not sequence:
                     continue
                 codes = np.frombuffer(sequence.encode("ascii", "replace"), np.uint8)
-                s, e, mass, between = windows(codes, masses, enzyme, termini, missed, limits, length_range)
-                for a in range(0, len(s), 20_000):
-                    yield from rows(accession, sequence, *(c[a : a + 20_000] for c in (s, e, mass, between)))
-
-    def rows(accession, sequence, s, e, mass, between):
-        texts = [sequence[i:j] for i, j in zip(s.tolist(), e.tolist())]
-        if not places:  # of equal texts one; a protein of more than 20,000 peptides may give one again
-            first = np.array(list({t: k for k, t in reversed(list(enumerate(texts)))}.values()), np.int64)
-            first.sort()
-            texts, mass, between = [texts[k] for k in first], mass[first], between[first]
-        columns = [pa.array([accession] * len(texts), pa.string()), pa.array(texts, pa.string()), pa.array(mass), pa.array(between, pa.int32())]
+                found = windows(codes, masses, enzyme, termini, missed, limits, length_range)
+                for chosen in [None] if places else distinct_groups(codes, *found[:2]):
+                    own = found if chosen is None else tuple(c[chosen] for c in found)
+                    step = ROWS_OUT if places else max(1, len(own[0]))
+                    for a in range(0, len(own[0]), step):
+                        held.append(rows(k, sequence, codes, *(c[a : a + step] for c in own)))
+                        n += len(held[-1][0])
+                        if n >= ROWS_OUT:
+                            yield table(batch, held)
+                            held, n = [], 0
+            if held:
+                yield table(batch, held)
+
+    def rows(k, sequence, codes, s, e, mass, between):
+        plain = sequence.isascii()
+        texts = cut_texts(codes, s, e) if plain else pa.array([sequence[i:j] for i, j in zip(s.tolist(), e.tolist())], pa.string())
+        if not places:  # of equal texts the first
+            number = texts.dictionary_encode().indices.to_numpy()
+            first = np.flatnonzero(number > np.maximum.accumulate(np.concatenate([[-1], number[:-1]])))
+            texts, mass, between = texts.take(pa.array(first)), mass[first], between[first]
+        columns = [np.full(len(texts), k), texts, mass, between.astype(np.int32)]
         if places:
-            prev = [sequence[i - 1] if i else "-" for i in s.tolist()]
-            following = [sequence[j] if j < len(sequence) else "-" for j in e.tolist()]
-            columns += [pa.array(s + 1, pa.int32()), pa.array(e, pa.int32()), pa.array(prev), pa.array(following)]
-        if texts:
-            yield pa.RecordBatch.from_arrays(columns, names=[n for n, _ in kinds])
+            if plain:
+                edged = np.concatenate([[ord("-")], codes, [ord("-")]])
+                ends = [single_letters(edged[s]), single_letters(edged[e + 1])]
+            else:
+                edged = f"-{sequence}-"
+                ends = [pa.array([edged[i] for i in at.tolist()], pa.string()) for at in (s, e + 1)]
+            columns += [(s + 1).astype(np.int32), e.astype(np.int32), *ends]
+        return columns
+
+    def table(batch: pa.RecordBatch, held: list) -> pa.RecordBatch:
+        owner, *columns = (pa.concat_arrays([pa.array(h[c]) for h in held]) for c in range(len(held[0])))
+        return pa.RecordBatch.from_arrays([batch.column("accession").take(owner), *columns], names=[n for n, _ in kinds])
 
     ddl = ", ".join(f"`{n}` {'bigint' if k == pa.int64() else 'int' if k == pa.int32() else 'string'}" for n, k in kinds)
     return proteins.select("accession", "sequence").mapInArrow(batches, ddl)
