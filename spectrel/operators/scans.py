@@ -40,7 +40,7 @@ def renumber_scans(scans: DataFrame, position: list[str], file: str = "source_fi
     repeats = repeats.select(*scans.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_copy"))
     repeats = index_within(repeats, [file], [F.col(c) for c in position], "_index", unique=True)
     repeats = (
-        repeats.join(largest, file)
+        repeats.join(F.broadcast(largest), file)
         .withColumn("new_num", F.col("_largest") + 1 + F.col("_index"))
         .drop("_index", "_largest", "_copy")
     )
@@ -71,7 +71,8 @@ def repair_scan_tags(lines: DataFrame, file: str = "source_file", value: str = "
     with_prev = previous_value(lines.withColumn("_kind", kind), file, F.col("_kind"), "_prev")
     location = r'xsi:schemaLocation="[^"]*"'
     first = lines.where(line.rlike(location)).groupBy(file).agg(F.min(F.struct("block", "place")).alias("_loc"))
-    marked = with_prev.join(first, file, "left")
+    # one row a file: sent to every task, as a shuffle by file would gather a file in one
+    marked = with_prev.join(F.broadcast(first), file, "left")
     here = F.coalesce(F.struct("block", "place") == F.col("_loc"), F.lit(False))
     text = F.when(here, F.regexp_replace(line, f"^(.*?){location}", "$1")).otherwise(line)
     out = (
