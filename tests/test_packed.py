@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 
 from spectrel.operators.packed import pack, packed, unpack
-from spectrel.plans.digest import distinct_peptides
+from spectrel.plans.digest import distinct_peptides, search_peptides
 
 DIGESTED = "accession string, sequence string, mass_uda bigint, start int, prev string, next string"
 
@@ -47,3 +47,12 @@ def test_places_and_proteins_are_counted_and_move_once(spark):
         ("NULLK", 10): (2, 2, None, 1, 5, "-", "-"), ("XK", None): (1, 1, "A", 1, 2, "-", "-"),
     }
     assert exchanges(distinct_peptides(spark.createDataFrame([], DIGESTED))) == 1
+
+
+def test_peptides_of_a_search_are_packed(spark):
+    rows = [("DECOY_a", "PEPK", 5), ("sp|b", "PEPK", 5), ("sp|a", "PEPK", 5), ("DECOY_c", "ONLY", 5), (None, "NULLK", 5), ("a", "NULLK", 5), ("a", None, 5)]
+    found = search_peptides(spark.createDataFrame(rows, "accession string, sequence string, mass_uda bigint").repartition(3))
+    assert {r.sequence: r.accession for r in found.collect()} == {"PEPK": "sp|a", "ONLY": "DECOY_c", "NULLK": None, None: "a"}
+    assert found.columns == ["sequence", "mass_uda", "accession"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "packed" in plan and "Aggregate" not in plan
