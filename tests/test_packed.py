@@ -5,6 +5,7 @@ import pytest
 
 from spectrel.operators.packed import pack, packed, unpack
 from spectrel.plans.digest import distinct_peptides, search_peptides
+from spectrel.plans.search import candidates
 
 DIGESTED = "accession string, sequence string, mass_uda bigint, start int, prev string, next string"
 
@@ -56,3 +57,14 @@ def test_peptides_of_a_search_are_packed(spark):
     assert found.columns == ["sequence", "mass_uda", "accession"]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "packed" in plan and "Aggregate" not in plan
+
+
+def test_a_peptide_moves_once_to_meet_its_spectra(spark):
+    """Spectra are repeated for the bins of their windows, peptides are not."""
+    peptides = spark.createDataFrame([(f"P{i}", i * 500_000, "a") for i in range(2000, 2040)], "sequence string, mass_uda bigint, accession string")
+    spectra = spark.createDataFrame([("s", 2, 1_010_000_000, 1_007_000_000, 1_013_000_000)], "spectrum_id string, charge int, mh_uda bigint, low_uda bigint, high_uda bigint")
+    pairs = candidates(spectra, peptides, max_broadcast_bytes=0)
+    assert sorted(r.sequence for r in pairs.collect()) == [f"P{i}" for i in range(2014, 2027)]
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    repeated = [line for line in plan.splitlines() if "explode(sequence(greatest(" in line]
+    assert len(repeated) == 1 and "low_uda" in repeated[0]
