@@ -2,9 +2,11 @@
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from spectrel.operators.packed import pack, packed, unpack
-from spectrel.plans.digest import distinct_peptides, search_peptides
+from spectrel.plans import scoring
+from spectrel.plans.digest import digest, distinct_peptides, search_peptides
 from spectrel.plans.search import candidates
 
 DIGESTED = "accession string, sequence string, mass_uda bigint, start int, prev string, next string"
@@ -68,3 +70,16 @@ def test_a_peptide_moves_once_to_meet_its_spectra(spark):
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     repeated = [line for line in plan.splitlines() if "explode(sequence(greatest(" in line]
     assert len(repeated) == 1 and "low_uda" in repeated[0]
+
+
+def test_peptides_of_a_cell_travel_as_one_row(spark, monkeypatch):
+    peptides = digest(spark.createDataFrame([("a", "AEPTIDEK" * 30)], "accession string, sequence string"), places=False)
+    peptides = search_peptides(peptides)
+    seen = []
+    real = scoring.packed
+    monkeypatch.setattr(scoring, "packed", lambda *args, **more: seen.append(real(*args, **more)) or seen[-1])
+    row = [("", "s", 2, 900_000_000, 5_000_000_000, [100, 200], [10, 20])]
+    kinds = "source_file string, spectrum_id string, charge int, low_uda bigint, high_uda bigint, bins array<bigint>, values array<bigint>"
+    pairs = scoring.score_pairs(peptides, spark.createDataFrame(row, kinds), scoring.Rules())
+    assert pairs.count() == peptides.where("mass_uda >= 900000000").count() > 0
+    assert seen[0][0].agg(F.sum("n_packed")).first()[0] == peptides.count()
