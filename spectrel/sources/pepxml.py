@@ -30,6 +30,10 @@ def _attribute(name: str, column: str, columns: list[str]) -> Column:
     return F.coalesce(F.concat(F.lit(f' {name}="'), escape_xml(F.col(column).cast("string")), F.lit('"')), F.lit(""))
 
 
+def _shown(column: Column) -> Column:
+    return F.coalesce(column.cast("string"), F.lit("null"))
+
+
 def _score(name: str, column: str, columns: list[str]) -> Column:
     if column not in columns:
         return F.lit("")
@@ -42,8 +46,9 @@ def _sites(added: list[int] | None) -> Column:
     text = F.col("peptide").cast("string")
     if added is None:
         masses = F.create_map(*[F.lit(x) for r, m in table.items() if r.islower() for x in (r, m)])
-        letters = F.transform(F.split(text, ""), lambda r, i: F.struct((i + 1).alias("i"), F.element_at(masses, r).alias("m"), r.rlike("^[a-z]$").alias("on")))
-        return F.filter(letters, lambda s: s["on"])
+        letters = F.transform(F.split(text, ""), lambda r, i: F.struct((i + 1).alias("i"), r.alias("r")))
+        small = F.filter(letters, lambda s: s["r"].between("a", "z") & (F.length(s["r"]) == 1))
+        return F.transform(small, lambda s: F.struct(s["i"].alias("i"), F.element_at(masses, s["r"]).alias("m")))
     masses = F.create_map(*[F.lit(x) for r, m in table.items() if r.isupper() for x in (r, m)])
     extra = F.create_map(*[F.lit(x) for k, m in enumerate(added, start=1) for x in (str(k), m)])
     residues = F.regexp_extract_all(F.regexp_replace(text, "(^n[0-9])|(c[0-9]$)", ""), F.lit("[A-Z][0-9]?"), F.lit(0))
@@ -71,7 +76,9 @@ def _modifications(added: list[int] | None = None) -> Column:
             value = F.element_at(extra, F.regexp_extract(F.col("peptide"), pattern, 1))
             ends = F.concat(ends, F.coalesce(F.concat(F.lit(f' {name}="'), value, F.lit('"')), F.lit("")))
     text = F.concat(F.lit("<modification_info"), ends, F.lit(">"), F.array_join(rows, ""), F.lit("</modification_info>"))
-    return F.when((F.size(sites) > 0) | (ends != ""), text).otherwise("")
+    # the sites are made once, and only where there is one
+    some = F.col("peptide").cast("string").rlike("[a-z]") if added is None else (F.size(sites) > 0) | (ends != "")
+    return F.when(some, text).otherwise("")
 
 
 def query_text(hits: DataFrame, key: str = "spectrum_id", added: list[int] | None = None) -> DataFrame:
@@ -89,12 +96,13 @@ def query_text(hits: DataFrame, key: str = "spectrum_id", added: list[int] | Non
         others = F.transform("other_proteins", lambda p: F.concat(F.lit('<alternative_protein protein="'), escape_xml(p), F.lit('"/>')))
         more = F.coalesce(F.array_join(others, ""), F.lit(""))
     hit = F.concat(
-        F.format_string(
-            '<search_hit hit_rank="%d" peptide="%s" protein="%s"',
-            F.col("hit_rank"),
-            escape_xml(F.upper(F.col("peptide").cast("string") if added is None else F.regexp_replace("peptide", "[nc0-9]", ""))),
-            escape_xml(F.col("accession").cast("string")),
-        ),
+        F.lit('<search_hit hit_rank="'),
+        _shown(F.col("hit_rank")),
+        F.lit('" peptide="'),
+        _shown(escape_xml(F.upper(F.col("peptide").cast("string") if added is None else F.regexp_replace("peptide", "[nc0-9]", "")))),
+        F.lit('" protein="'),
+        _shown(escape_xml(F.col("accession").cast("string"))),
+        F.lit('"'),
         _attribute("assumed_charge", "charge", columns),
         _attribute("num_tot_proteins", "n_proteins", columns),
         F.coalesce(mass, F.lit("")) if "mass_uda" in columns else F.lit(""),
@@ -144,11 +152,12 @@ def unescape_xml(text: Column) -> Column:
 
 def read_queries(spark: SparkSession, path: str) -> DataFrame:
     """``spectrum_query`` elements with their spectrum; an unclosed one gives no row."""
-    whole = F.regexp_extract(F.concat(F.lit("<spectrum_query "), F.col("value")), r"(?s)^(<spectrum_query .*?</spectrum_query>)", 1)
+    end = "</spectrum_query>"
+    whole = F.concat(F.lit("<spectrum_query "), F.substring_index("value", end, 1), F.lit(end))
     return (
         read_delimited(spark, path, "<spectrum_query ")
+        .where(F.col("value").contains(end))
         .select(whole.alias("query"), "source_file")
-        .where("query <> ''")
         .select(extract_attr("query", "spectrum").alias("spectrum_id"), "query", "source_file")
     )
 
