@@ -9,7 +9,7 @@ from ..functions.fixed_values import NUM_OUTPUT, PROTON
 from ..functions.masses import MICRO, residue_table
 from ..functions.text import escape_xml, extract_attr, extract_elements
 from ..operators.hits import top_hits
-from .text_files import read_delimited, write_framed_text
+from .text_files import read_delimited
 
 FOOTER = " </msms_run_summary>\n</msms_pipeline_analysis>"
 
@@ -89,7 +89,7 @@ def query_text(hits: DataFrame, key: str = "spectrum_id", added: list[int] | Non
     masses of the marks of modified residues, in micro-daltons; without it these are small letters.
     """
     columns = hits.columns
-    keys = [c for c in ("source_file", key) if c in columns]
+    keys = [c for c in ("_frame", "source_file", key) if c in columns]
     mass = F.concat(F.lit(' calc_neutral_pep_mass="'), ((F.col("mass_uda") - PROTON) / MICRO).cast("decimal(20,6)").cast("string"), F.lit('"'))
     more = F.lit("")
     if "other_proteins" in columns:
@@ -141,7 +141,13 @@ def write_pepxml(hits: DataFrame, path: str, n: int = NUM_OUTPUT, key: str = "sp
     added = None if modifications is None else [m.added_uda for m in modifications]
     keys = [c for c in ("source_file", key) if c in hits.columns]
     ranked = top_hits(hits, keys, "xcorr", ["peptide", "accession"], n)
-    write_framed_text(query_text(ranked, key, added), path, keys, "value", header(num_output_lines=n, **parameters), FOOTER)
+    # hits are put in order before they become text: texts are long, and a sort makes its rows twice, to sample them and to move them
+    ends = hits.sparkSession.createDataFrame([(0,), (2,)], "_frame int")
+    rows = ranked.withColumn("_frame", F.lit(1)).unionByName(ends, allowMissingColumns=True).repartitionByRange("_frame", *keys)
+    top, frame = header(num_output_lines=n, **parameters), F.col("_frame")
+    value = F.when(frame == 0, F.lit(top)).when(frame == 2, F.lit(FOOTER)).otherwise(F.col("value"))
+    texts = query_text(rows, key, added).withColumn("value", value).sortWithinPartitions("_frame", *keys)
+    texts.select("value").write.mode("overwrite").text(path)
 
 
 def unescape_xml(text: Column) -> Column:

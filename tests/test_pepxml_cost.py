@@ -1,5 +1,7 @@
 """What a pepXML document costs: texts are cut and made once, and made after their hits are in order."""
 
+import tempfile
+
 from spectrel.functions.text import extract_attr
 from spectrel.sources import pepxml as px
 
@@ -34,3 +36,14 @@ def test_attributes_are_looked_for_by_name_first(spark):
     rows = spark.createDataFrame([('<a x:num="1" prenum="2" num="3"/>',), ('<a NUM="4"/>',), ("<a/>",), (None,)], "x string")
     found = rows.select(extract_attr("x", "num").alias("v"))
     assert [r.v for r in found.collect()] == ["3", "4", None, None]
+
+
+def test_hits_are_put_in_order_before_they_are_text(spark, monkeypatch):
+    seen, made = [], px.query_text
+    monkeypatch.setattr(px, "query_text", lambda rows, *more: seen.append(rows) or made(rows, *more))
+    path = tempfile.mkdtemp(prefix="pepxml-") + "/out"
+    px.write_pepxml(hits(spark).repartition(3), path)
+    assert "RepartitionByExpression" in plan(seen[0])
+    lines = [r.value for r in spark.read.text(path).orderBy("_metadata.file_name").collect()]
+    assert lines[0].startswith("<?xml") and lines[-1] == "</msms_pipeline_analysis>"
+    assert [line for line in lines if "<spectrum_query" in line] == ['<spectrum_query spectrum="s1">', '<spectrum_query spectrum="s2">']
