@@ -1,10 +1,12 @@
 """Digest, scores and the whole search against brute force in plain Python."""
 
+import itertools
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import QUERIES
 from catalog.core import benchmark_proteins, benchmark_spectra
 from spectrel.functions.fixed_values import ENZYMES, PROTON, WATER
 from spectrel.functions.masses import residue_table
@@ -198,3 +200,15 @@ def test_score_batches_without_result(spark):
     pairs = spark.createDataFrame([("a", "x"), ("b", "y")], "proteins string, spectra string")
     rows = se.score_batches(pairs, lambda p, s: None if p == "a" else [{"hit": p + s}], "hit string").collect()
     assert [r.hit for r in rows] == ["by"]
+
+
+def test_batches_meet_the_spectra_of_modified_forms(spark, tmp_path):
+    """The heaviest peptide of a batch has M; its modified form is as heavy as a spectrum that no plain mass of the batch meets."""
+    light = ["".join(letters) + "K" for letters in itertools.product("GA", repeat=8)][:199]
+    items = [*light, "AAAAAAMAAAK", "AAAAAAFAAAK"]
+    spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = [tuple(r) for r in QUERIES["score_batches_native"](spark, str(tmp_path)).select("spectrum_id", "peptide", "xcorr_sum", "hit_rank").collect()]
+    hits = se.search(benchmark_proteins(spark, str(tmp_path)), benchmark_spectra(spark, str(tmp_path)))
+    want = [tuple(r) for r in hits.select("spectrum_id", "peptide", "xcorr_sum", "hit_rank").collect()]
+    assert sorted(got) == sorted(want)
+    assert {r[1] for r in got if r[0] == "AAAAAAFAAAK"} == {"AAAAAAFAAAK", "AAAAAAmAAAK"}
