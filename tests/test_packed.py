@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import QUERIES
 from spectrel.operators.packed import pack, packed, unpack
 from spectrel.plans import scoring
 from spectrel.plans.digest import digest, distinct_peptides, search_peptides
@@ -52,6 +53,28 @@ def test_places_and_proteins_are_counted_and_move_once(spark):
     assert exchanges(distinct_peptides(spark.createDataFrame([], DIGESTED))) == 1
 
 
+def test_all_places_of_a_peptide_are_kept(spark):
+    """Every protein and place, in order, however the rows lie in tasks."""
+    held, want = distinct_peptides(places(spark), places=True), {}
+    for r in places(spark).collect():
+        want.setdefault((r.sequence, r.mass_uda), []).append((r.accession, r.start, r.start + len(r.sequence) - 1, r.prev, r.next))
+    got = {(r.sequence, r.mass_uda): [tuple(p) for p in r.places] for r in held.collect()}
+    assert got == {k: sorted(v, key=lambda p: (p[0] or "", p[1])) for k, v in want.items()}
+    assert sorted(map(tuple, held.drop("places").collect()), key=str) == sorted(map(tuple, distinct_peptides(places(spark)).collect()), key=str)
+    assert exchanges(distinct_peptides(spark.createDataFrame([], DIGESTED), places=True)) == 1
+    proteins = spark.createDataFrame([(a, "AEPTIDEKAEPTIDEKLLLLLLK") for a in ("b", "a", "c")], "accession string, sequence string")
+    found = {r.sequence: r for r in distinct_peptides(digest(proteins), places=True).collect()}
+    assert [tuple(p) for p in found["AEPTIDEK"].places] == [(a, *p) for a in "abc" for p in ((1, 8, "-", "A"), (9, 16, "K", "L"))]
+
+
+def test_the_query_gives_all_places(spark, tmp_path):
+    docs = spark.createDataFrame([(d, "en", "s", "AEPTIDEKAEPTIDEKLLLLLLK") for d in range(3)], "doc_id bigint, lang string, source string, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    row = QUERIES["distinct_peptides"](spark, str(tmp_path)).where("sequence = 'AEPTIDEK'").first()
+    assert row.places == ";".join(f"sp|D0000000{d}|en:{p}" for d in range(3) for p in ("1-A", "9KL"))
+    assert (row.n_proteins, row.n_places) == (3, 6)
+
+
 def test_peptides_of_a_search_are_packed(spark):
     rows = [("DECOY_a", "PEPK", 5), ("sp|b", "PEPK", 5), ("sp|a", "PEPK", 5), ("DECOY_c", "ONLY", 5), (None, "NULLK", 5), ("a", "NULLK", 5), ("a", None, 5)]
     found = search_peptides(spark.createDataFrame(rows, "accession string, sequence string, mass_uda bigint").repartition(3))
