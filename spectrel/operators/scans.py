@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .batching import index_within
+from .batching import BROADCAST_KEYS_BYTES
 from .blocks import previous_value, running_sum
+from .joins import small_enough
+from .shared import written
 
 FIRST_FREE_SCAN = 10_000
 
@@ -25,27 +27,34 @@ def renumber_scans(scans: DataFrame, position: list[str], file: str = "source_fi
     """First use of a number keeps it; later uses get free numbers from 10000 on, in file order.
 
     Rows that share a number and a position too are uses of their own: one of them is the first. A row without a number
-    keeps none.
+    keeps none. The rows are sorted once and kept with their places; the place of the first use of each number, a whole
+    number, goes back to the part of the sorted rows that it lies in, so neither a busy file nor a busy number is gathered.
     """
-    numbered = scans.where("scan_num IS NOT NULL")
-    copies = numbered.groupBy(*numbered.columns).agg(F.count("*").alias("_n"))
-    # one row of each place in the file, the first by all columns where rows share it
-    order = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in numbered.columns])
-    first = copies.groupBy(file, "scan_num").agg(F.min(F.struct(*position, order)).alias("_first"))
-    marked = copies.join(first, [file, "scan_num"]).withColumn("_is_first", F.struct(*position, order) == F.col("_first"))
-    largest = numbered.groupBy(file).agg(F.greatest(F.max("scan_num"), F.lit(FIRST_FREE_SCAN - 1)).alias("_largest"))
-    kept = marked.where("_is_first").select(*scans.columns, F.col("scan_num").cast("bigint").alias("new_num"))
-    again = F.when(F.col("_is_first"), F.col("_n") - 1).otherwise(F.col("_n"))
-    repeats = marked.withColumn("_n", again).where("_n > 0")
-    repeats = repeats.select(*scans.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_copy"))
-    repeats = index_within(repeats, [file], [F.col(c) for c in position], "_index", unique=True)
-    repeats = (
-        repeats.join(F.broadcast(largest), file)
-        .withColumn("new_num", F.col("_largest") + 1 + F.col("_index"))
-        .drop("_index", "_largest", "_copy")
-    )
-    bare = scans.where("scan_num IS NULL").withColumn("new_num", F.lit(None).cast("bigint"))
-    return kept.unionByName(repeats).unionByName(bare)
+    numbered = scans.where(F.col("scan_num").isNotNull() & F.col(file).isNotNull())
+    # rows that share a place in the file go by all their other columns
+    ties = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in numbered.columns if c not in (file, "scan_num", *position)]
+    ordered = numbered.orderBy(file, *position, *ties, F.xxhash64(*numbered.columns))
+    # the id is the partition number in the upper bits and the row's place in the lower 33
+    ordered = written(ordered.withColumn("_id", F.monotonically_increasing_id()), "ordered").withColumn("_part", F.shiftright("_id", 33))
+    first = ordered.groupBy(file, "scan_num").agg(F.min("_id").alias("_id")).select(file, "_id")
+    first = written(first, "first").withColumn("_part", F.shiftright("_id", 33))
+    # a row for each file in each part: later uses in the parts before, and the number after which free ones begin
+    sizes = ordered.groupBy("_part", file).agg(F.count("*").alias("_n"), F.max("scan_num").alias("_top"))
+    kept = first.groupBy("_part", file).agg(F.count("*").alias("_kept"))
+    sizes = sizes.join(kept, ["_part", file], "left").withColumn("_n", F.col("_n") - F.coalesce("_kept", F.lit(0)))
+    whole = Window.partitionBy(file)
+    before = F.coalesce(F.sum("_n").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_part", file, (F.greatest(F.max("_top").over(whole), F.lit(FIRST_FREE_SCAN - 1)) + before).alias("_start"))
+    starts = written(starts, "starts")
+    starts = F.broadcast(starts) if small_enough(starts, BROADCAST_KEYS_BYTES) else starts
+    # a first use stands behind its mark, and as many marks as first uses lie before each row
+    rows = ordered.withColumn("_row", F.lit(1)).unionByName(first.withColumn("_row", F.lit(0)), allowMissingColumns=True)
+    upto = Window.partitionBy("_part", file).orderBy("_id", "_row")
+    marks = F.sum(1 - F.col("_row")).over(upto)
+    rows = rows.withColumn("_is_first", F.coalesce(F.lag("_row").over(upto) == 0, F.lit(False))).withColumn("_later", F.row_number().over(upto) - marks * 2)
+    new_num = F.when(F.col("_is_first"), F.col("scan_num").cast("bigint")).otherwise(F.col("_start") + F.col("_later"))
+    out = rows.where("_row = 1").join(starts, ["_part", file]).select(*scans.columns, new_num.alias("new_num"))
+    return out.unionByName(scans.where("scan_num IS NULL").withColumn("new_num", F.lit(None).cast("bigint")))
 
 
 def head_scans(scans: DataFrame, n: int, position: list[str], file: str = "source_file") -> DataFrame:

@@ -197,3 +197,28 @@ def test_renumber_rows_that_share_a_place(spark):
     scans = spark.createDataFrame(rows, "source_file string, scan_num int, place int")
     got = [(r.source_file, r.scan_num, r.new_num) for r in sc.renumber_scans(scans, ["place"]).collect()]
     assert sorted(got, key=str) == sorted([("f", 5, 5), ("f", 5, 10_000), ("f", 5, 10_001), ("f", 5, 10_002), ("f", 6, 6), ("f", None, None), ("g", 20_000, 20_000), ("g", 20_000, 20_001)], key=str)
+
+
+def test_rows_are_renumbered_where_they_lie(spark):
+    """Many files, a busy number: the rows move by parts of the sorted table, never by their number."""
+    draw = random.Random(4)
+    rows = [(f"f{draw.choice('aaaaaabcd')}", draw.choice([7, 7, 7, *range(40), 12_000, None]), i, draw.choice("xy")) for i in range(3000)]
+    rows += rows[:200]
+    scans = spark.createDataFrame(rows, "source_file string, scan_num int, place int, text string").repartition(7)
+    out = sc.renumber_scans(scans, ["place"])
+    want, used = [], {}
+    for file in sorted({r[0] for r in rows}):
+        own = sorted((r for r in rows if r[0] == file and r[1] is not None), key=lambda r: (r[2], r[3]))
+        free = max(9_999, *(r[1] for r in own))
+        for r in own:
+            if used.setdefault((file, r[1]), r) is r and (file, r[1], "kept") not in used:
+                used[file, r[1], "kept"] = True
+                want.append((*r, r[1]))
+            else:
+                free += 1
+                want.append((*r, free))
+    want += [(*r, None) for r in rows if r[1] is None]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and all("hashpartitioning(_part" in line for line in moved)
