@@ -370,6 +370,9 @@ def scan_store_read(spark, sf):
 
 # ---- pepXML ------------------------------------------------------------------
 
+# Documents that only a later step reads; a part file is read by one task then, and there are as many as tasks that wrote.
+ZIPPED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
 
 @query("pepxml_roundtrip", f"WITH {_TOP} SELECT spectrum_id, hit_rank, peptide::VARCHAR AS peptide, accession::VARCHAR AS accession, xcorr FROM top")
 def pepxml_roundtrip(spark, sf):
@@ -395,7 +398,7 @@ def pepxml_details(spark, sf):
     )
     ranked = top_hits(hits, ["spectrum_id"], "xcorr", ["order", "accession"], 5)
     texts = px.query_text(ranked).select("value")
-    return px.read_pepxml(spark, written(spark, "queries", texts)).drop("hit_xml")
+    return px.read_pepxml(spark, written(spark, "queries", texts, **ZIPPED)).drop("hit_xml")
 
 
 @query(

@@ -2,6 +2,7 @@
 
 import tempfile
 
+from catalog import QUERIES, file_queries
 from spectrel.functions.text import extract_attr
 from spectrel.sources import pepxml as px
 
@@ -47,3 +48,14 @@ def test_hits_are_put_in_order_before_they_are_text(spark, monkeypatch):
     lines = [r.value for r in spark.read.text(path).orderBy("_metadata.file_name").collect()]
     assert lines[0].startswith("<?xml") and lines[-1] == "</msms_pipeline_analysis>"
     assert [line for line in lines if "<spectrum_query" in line] == ['<spectrum_query spectrum="s1">', '<spectrum_query spectrum="s2">']
+
+
+def test_a_document_between_steps_is_compressed(spark, tmp_path, monkeypatch):
+    rows = spark.range(2000).selectExpr("id div 7 l_orderkey", "id % 50 l_partkey", "id % 9 l_suppkey", "double(id) l_extendedprice")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(file_queries, "new_path", lambda spark, name: f"{tmp_path}/{name}")
+    found = QUERIES["pepxml_details"](spark, str(tmp_path))
+    assert found.where("mass_uda = 49000000 AND marked_peptide = 'AmKmC'").count() > 0
+    files = [p for p in (tmp_path / "queries").iterdir() if p.name.startswith("part-")]
+    text = sum(len(r.value) + 1 for r in spark.read.text(f"{tmp_path}/queries").collect())
+    assert sum(p.stat().st_size for p in files) * 5 < text
