@@ -97,6 +97,19 @@ def distinct_groups(codes: np.ndarray, s: np.ndarray, e: np.ndarray) -> list[np.
     return [np.flatnonzero(group == g) for g in range(parts)]
 
 
+def window_texts(sequence: str, codes: np.ndarray, s: np.ndarray, e: np.ndarray) -> pa.Array:
+    if sequence.isascii():
+        return cut_texts(codes, s, e)
+    return pa.array([sequence[i:j] for i, j in zip(s.tolist(), e.tolist())], pa.string())
+
+
+def first_texts(sequence: str, codes: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The texts of windows of a protein, and which are the first of their text."""
+    texts = window_texts(sequence, codes, s, e)
+    number = texts.dictionary_encode().indices.to_numpy()
+    return texts, np.flatnonzero(number > np.maximum.accumulate(np.concatenate([[-1], number[:-1]])))
+
+
 def semi_digest(
     proteins: DataFrame,
     enzyme: str = "Trypsin",
@@ -105,11 +118,13 @@ def semi_digest(
     mass_range: tuple[float, float] = MASS_RANGE,
     length_range: tuple[int, int] = LENGTH_RANGE,
     places: bool = True,
+    sums: list[str] | None = None,
 ) -> DataFrame:
     """Peptides of which one end need not be a cut site, with at most ``missed`` sites inside; no shuffle.
 
     Without ``places`` a protein gives a sequence that it holds several times once, however long it is, and the columns that
-    tell where a peptide lies are left out. A null or empty sequence gives no row.
+    tell where a peptide lies are left out. A null or empty sequence gives no row. With ``sums`` the peptides of a protein
+    are summed up where they are made: accession, n and the sums of these columns, a row for each protein that has any.
     """
     if termini not in (EITHER_END, BOTH_ENDS, FREE_C_END, FREE_N_END):
         raise ValueError("termini is 1 (either end), 2 (both), 8 (free C-terminus) or 9 (free N-terminus)")
@@ -120,6 +135,10 @@ def semi_digest(
     masses = masses_by_code()
     limits = (int(mass_range[0] * MICRO), int(mass_range[1] * MICRO))
     kinds = _KINDS if places else _KINDS[:4]
+    if sums is not None:
+        if unknown := set(sums) - {n for n, k in kinds if k != pa.string()}:
+            raise ValueError(f"no numbers to sum up: {sorted(unknown)}")
+        kinds = [_KINDS[0], *[(n, pa.int64()) for n in ("n", *sums)]]
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
@@ -129,6 +148,10 @@ def semi_digest(
                     continue
                 codes = np.frombuffer(sequence.encode("ascii", "replace"), np.uint8)
                 found = windows(codes, masses, enzyme, termini, missed, limits, length_range)
+                if sums is not None:
+                    if len(found[0]):
+                        held.append(totals(k, sequence, codes, found))
+                    continue
                 for chosen in [None] if places else distinct_groups(codes, *found[:2]):
                     own = found if chosen is None else tuple(c[chosen] for c in found)
                     step = ROWS_OUT if places else max(1, len(own[0]))
@@ -141,12 +164,23 @@ def semi_digest(
             if held:
                 yield table(batch, held)
 
+    def totals(k, sequence, codes, found) -> list[np.ndarray]:
+        out = np.zeros(1 + len(sums), np.int64)
+        for chosen in [None] if places else distinct_groups(codes, *found[:2]):
+            s, e, mass, between = found if chosen is None else (c[chosen] for c in found)
+            if not places and len(s):
+                first = first_texts(sequence, codes, s, e)[1]
+                s, e, mass, between = s[first], e[first], mass[first], between[first]
+            own = {"mass_uda": mass, "missed": between, "start": s + 1, "end": e}
+            out += [len(s), *(int(own[c].sum()) for c in sums)]
+        return [np.full(1, k), *(out[i : i + 1] for i in range(len(out)))]
+
     def rows(k, sequence, codes, s, e, mass, between):
         plain = sequence.isascii()
-        texts = cut_texts(codes, s, e) if plain else pa.array([sequence[i:j] for i, j in zip(s.tolist(), e.tolist())], pa.string())
-        if not places:  # of equal texts the first
-            number = texts.dictionary_encode().indices.to_numpy()
-            first = np.flatnonzero(number > np.maximum.accumulate(np.concatenate([[-1], number[:-1]])))
+        if places:
+            texts = window_texts(sequence, codes, s, e)
+        else:
+            texts, first = first_texts(sequence, codes, s, e)
             texts, mass, between = texts.take(pa.array(first)), mass[first], between[first]
         columns = [np.full(len(texts), k), texts, mass, between.astype(np.int32)]
         if places:

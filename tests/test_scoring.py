@@ -1,5 +1,7 @@
 """Block scoring, free ends, several modifications and error rates against plain Python."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from spectrel.functions.fixed_values import PROTON, WATER
 from spectrel.functions.masses import residue_table
+from spectrel.plans import semi_digest as semi
 from spectrel.plans.error_rates import error_rates
 from spectrel.plans.modifications import Modification, covered_masses, marked, with_modifications
 from spectrel.plans.scoring import Block, Index, Rules, Summary, mass_grid, score_pairs, score_summaries
@@ -242,3 +245,23 @@ def test_the_native_scorer_is_the_search(spark):
         (r.spectrum_id, r.charge, r.peptide, r.accession, r.xcorr_sum) for r in hits.orderBy("spectrum_id", "hit_rank").collect()
     ]
     assert native_scorer()("", "".join(blocks)) == [] and native_scorer()(fasta, "") == []
+
+
+@pytest.mark.parametrize("termini", [1, 2, 8, 9])
+def test_peptides_are_summed_up_where_they_are_made(spark, monkeypatch, termini):
+    """The same sums as from the rows: accessions that repeat, letters outside ASCII, nothing, and equal texts in groups."""
+    monkeypatch.setattr(semi, "ROWS_OUT", 50)
+    long = "".join(random.Random(7).choice("AEKRPGLM") for _ in range(300))
+    rows = [("a", long + long), ("a", "MKRPAAKWWMEDLVRKPGGSTMNNMLK"), ("b", "AEPTIDEKÄAEPTIDEKLLLLLLK"), ("c", ""), ("d", None), (None, long)]
+    proteins = spark.createDataFrame(rows, "accession string, sequence string")
+    names = ["mass_uda", "missed", "start", "end"]
+    for places in (True, False):
+        used = names if places else names[:2]
+        found = semi.semi_digest(proteins, termini=termini, places=places, sums=used)
+        got = found.groupBy("accession").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in used])
+        every = semi.semi_digest(proteins, termini=termini, places=places).groupBy("accession")
+        want = every.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in used])
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        assert found.count() <= 4
+    with pytest.raises(ValueError, match="no numbers"):
+        semi.semi_digest(proteins, sums=["sequence"])
