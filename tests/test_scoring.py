@@ -15,7 +15,8 @@ from spectrel.plans import semi_digest as semi
 from spectrel.plans.error_rates import error_rates
 from spectrel.plans.modifications import Modification, covered_masses, marked, with_modifications
 from spectrel.plans.scoring import Block, Index, Rules, Summary, mass_grid, score_pairs, score_summaries
-from spectrel.plans.search import native_scorer, search
+from spectrel.plans.digest import digest, wanted_masses
+from spectrel.plans.search import native_scorer, peptide_table, search
 from spectrel.plans.semi_digest import EITHER_END, FREE_C_END, FREE_N_END, semi_digest
 from spectrel.plans.spectra import filter_spectra, processed_bins, dense_values, strong_peaks, values_at
 
@@ -251,7 +252,7 @@ def test_the_native_scorer_is_the_search(spark):
 def test_peptides_are_summed_up_where_they_are_made(spark, monkeypatch, termini):
     """The same sums as from the rows: accessions that repeat, letters outside ASCII, nothing, and equal texts in groups."""
     monkeypatch.setattr(semi, "ROWS_OUT", 50)
-    long = "".join(random.Random(7).choice("AEKRPGLM") for _ in range(300))
+    long = "".join(random.Random(7).choices("AEKRPGLM", k=300))
     rows = [("a", long + long), ("a", "MKRPAAKWWMEDLVRKPGGSTMNNMLK"), ("b", "AEPTIDEKÄAEPTIDEKLLLLLLK"), ("c", ""), ("d", None), (None, long)]
     proteins = spark.createDataFrame(rows, "accession string, sequence string")
     names = ["mass_uda", "missed", "start", "end"]
@@ -265,3 +266,36 @@ def test_peptides_are_summed_up_where_they_are_made(spark, monkeypatch, termini)
         assert found.count() <= 4
     with pytest.raises(ValueError, match="no numbers"):
         semi.semi_digest(proteins, sums=["sequence"])
+
+
+def test_fragments_are_made_where_spectra_look(spark):
+    """A level of charges has lists only for the peptides that a spectrum of such a charge can meet."""
+    sequences = [a + b + c + "EPTIDEK" for a in "GASPVTLND" for b in "GASPVTLND" for c in "GAW"]
+    table = pa.table({"sequence": sequences, "accession": ["p"] * len(sequences), "mass_uda": [sum(MASS[r] for r in s) + WATER + PROTON for s in sequences]})
+    whole, block = Block(table, Rules()), Block(table, Rules())
+    edges = np.quantile(whole.mass, [0.1, 0.3, 0.5, 0.9]).astype(np.int64)
+    low, high, charge = edges[[0, 2, 3]], edges[[1, 2, 2]], np.array([2, 4, 3])  # the last window is empty
+    block.only_for(charge, low, high)
+    for z, a, b in zip(charge.tolist(), low.tolist(), high.tolist()):
+        own, every = block.index(z), whole.index(z)
+        inside = (block.mass >= a) & (block.mass <= b)
+        assert ((np.diff(own.start) > 0) == inside).all()
+        s, e = block.run(a, b)
+        if s < e:
+            assert (own.bins[own.start[s] : own.start[e]] == every.bins[every.start[s] : every.start[e]]).all()
+
+
+def test_only_forms_that_a_spectrum_asks_for_are_made(spark):
+    text = "".join(random.Random(3).choices("AEKRPGLMMSTVDIN", k=6000))
+    proteins = spark.createDataFrame([("a", text), ("b", text[500:900] + "WWWWK")], "accession string, sequence string")
+    windows = spark.createDataFrame([(m * 1_000_000 - 2_000, m * 1_000_000 + 507_000) for m in range(601, 3000, 37)], "low_uda bigint, high_uda bigint")
+    covered = covered_masses(windows)
+    every = peptide_table(proteins).where(F.col("mass_uda").isNotNull())
+    some = peptide_table(proteins, covered=covered)
+    want = sorted(tuple(r) for r in every.collect() if covered[r.mass_uda // 10_000])
+    assert sorted(map(tuple, some.collect())) == want and 0 < len(want) < every.count() / 4
+    plain = peptide_table(proteins, covered=covered, modify=False)
+    assert sorted(r.sequence for r in plain.collect()) == sorted(r.sequence for r in peptide_table(proteins, modify=False).collect() if covered[r.mass_uda // 10_000])
+    # a peptide stays out of the shuffle only where none of its forms is asked for
+    kept = {r.sequence for r in digest(proteins, places=False, wanted=wanted_masses(covered)).collect()}
+    assert {p.upper() for p, *_ in want} <= kept < {r.sequence for r in digest(proteins, places=False).collect()}
